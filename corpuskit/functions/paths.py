@@ -25,7 +25,7 @@ from corpuskit.functions.variant import as_array, as_python_value, get_key, is_o
     vstr
 
 # nested lists at the leaf are flattened this many levels deep
-FLATTEN_DEPTH = 4
+FLATTEN_DEPTH = 2
 
 
 def split_path(path: str | Sequence[str], sep: str = ".") -> tuple[str, ...]:
@@ -59,9 +59,9 @@ def terminal(v: Column, path: str | Sequence[str], sep: str = ".",
     if not keys:  # the record itself
         is_list = F.coalesce(as_array(v).isNotNull(), F.lit(False))
         vals = _expand(v)
+    # each level references ``vals`` once, so the expression stays linear in size
     for _ in range(FLATTEN_DEPTH):
-        vals = F.when(F.exists(vals, lambda x: as_array(x).isNotNull()),
-                      F.flatten(F.transform(vals, _expand))).otherwise(vals)
+        vals = F.flatten(F.transform(vals, _expand))
     vals = F.transform(vals, as_python_value)
     return F.struct(is_list.alias("is_list"), vals.alias("vals"))
 

@@ -27,6 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    Record building and path walks are CPU-heavy per row; a one-file table would
+    otherwise run in one task. Large scans already have many splits and pass through
+    untouched (no extra shuffle at scale).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _jstr(c: Column) -> Column:
     """JSON string literal for a string column (``null`` for NULL)."""
     return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
@@ -38,7 +51,7 @@ def _empty() -> Column:
 
 def rec_docs_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, json)``: one catalogue record per document, under ``_source``."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     d = F.col("doc_id")
     lang = F.col("lang")
@@ -123,7 +136,7 @@ def rec_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rec_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(event_id, v)``: ``{event_id, event_type, props: {k}}``."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     return ev.select("event_id", F.parse_json(F.to_json(F.struct(
         "event_id", "event_type", F.parse_json("props").alias("props")))).alias("v"))
 

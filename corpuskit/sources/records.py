@@ -97,13 +97,22 @@ def extract_table(records: DataFrame, columns: Iterable[str] | Mapping[str, str]
     hidden = {p: f"__t{i}" for i, p in enumerate(paths)}
     rec = Record(F.col(col), repairs, sep)
     df = cap(records, max_len, order)
-    df = df.select(*keep, F.col(col),
-                   *[terminal(F.col(col), p, repair=rec.repairs.get(p)).alias(hidden[p])
-                     for p in paths])
+    bundle = F.struct(*[F.col(k) for k in keep],
+                      *[terminal(F.col(col), p, repair=rec.repairs.get(p)).alias(hidden[p])
+                        for p in paths])
     if filters:
-        bound = Record(F.col(col), repairs, sep, bound={p: F.col(h) for p, h in hidden.items()})
-        df = df.where(conjunction(filters)(bound))
-    return df.select(*keep, *[F.col(hidden[p]).alias(alias) for alias, p in wanted.items()])
+        # Each terminal is compiled once into ``bundle``; the filters read its fields
+        # through a lambda variable. Filtering inside ``explode`` keeps the optimizer
+        # from pushing a Filter below the projection and re-inlining every terminal.
+        def keep_row(s):
+            bound = Record(F.col(col), repairs, sep,
+                           bound={p: s.getField(h) for p, h in hidden.items()})
+            return conjunction(filters)(bound)
+        df = df.select(F.explode(F.filter(F.array(bundle), keep_row)).alias("__r"))
+    else:
+        df = df.select(bundle.alias("__r"))
+    return df.select(*[F.col("__r").getField(k).alias(k) for k in keep],
+                     *[F.col("__r").getField(hidden[p]).alias(alias) for alias, p in wanted.items()])
 
 
 def read_vocabulary(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
