@@ -15,14 +15,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit.functions.paths import split_path
-from corpuskit.functions.variant import key_path
 
 SUBCATEGORY_FIELDS = ("narrower", "hasTopConcept")
 _view_ids = itertools.count()
 
 
 def _json_path(seq: Sequence[str]) -> str:
-    return "$" + "".join(key_path(k)[1:] for k in seq)
+    """JSONPath with double-quoted keys (embedded in single-quoted SQL literals)."""
+    for k in seq:
+        if '"' in k or "'" in k or "\\" in k:
+            raise ValueError(f"unsupported vocabulary key: {k!r}")
+    return "$" + "".join('["' + k + '"]' for k in seq)
 
 
 def concept_nodes(vocab: DataFrame, id_seq: Sequence[str] | str = ("id",),
@@ -73,8 +76,9 @@ def parent_map(nodes: DataFrame) -> DataFrame:
 
 
 def label_table(nodes: DataFrame) -> DataFrame:
-    """``(id, label)``, one row per id; duplicates: smallest depth, then label."""
-    e = nodes.where(F.col("id").isNotNull())
+    """``(id, label)`` for every node that has a label; one row per id
+    (duplicates: smallest depth, then label)."""
+    e = nodes.where(F.col("id").isNotNull() & F.col("label").isNotNull())
     return e.groupBy("id").agg(F.min_by("label", F.struct("depth", "label")).alias("label"))
 
 
