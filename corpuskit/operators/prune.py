@@ -34,12 +34,30 @@ def _violations(bow: DataFrame, docs: DataFrame, vocab: DataFrame, cats: DataFra
     return bad_docs.unionByName(bad_words).unionByName(bad_cats)
 
 
+def _round_violations(bow: DataFrame, assign: DataFrame, min_doc_tokens: int, min_word_docs: int,
+                      min_cat_docs: int) -> DataFrame:
+    """Violations inside a round's state: documents, words and categories are the
+    key sets of ``bow`` / ``assign`` (everything else was removed with its rows)."""
+    bad_docs = bow.groupBy("doc_id").agg(F.sum("n").alias("l")).where(F.col("l") < min_doc_tokens)
+    bad_words = bow.groupBy("word").agg(F.count(F.lit(1)).alias("s")).where(F.col("s") < min_word_docs)
+    bad_cats = assign.groupBy("field", "uri").agg(F.count(F.lit(1)).alias("s")) \
+        .where(F.col("s") < min_cat_docs)
+    return bad_docs.select(F.lit(1).alias("x")).unionByName(bad_words.select(F.lit(1).alias("x"))) \
+        .unionByName(bad_cats.select(F.lit(1).alias("x")))
+
+
 def prune_fixpoint(corpus: Corpus, min_doc_tokens: int = 10, min_word_docs: int = 5,
                    min_cat_docs: int = 10, max_rounds: int = 1000) -> Corpus:
+    """Greatest sub-corpus meeting the constraints (see module doc).
+
+    Per round: two checkpointed tables (``bow``, ``assignments``) and one
+    violation check; documents, words and categories are their key sets.
+    """
     checkpoint_root(corpus.docs.sparkSession)
-    bow, docs = corpus.bow, corpus.docs.select("doc_id")
-    vocab, cats = corpus.vocab.select("word"), corpus.categories.select("field", "uri")
-    assign = corpus.assignments
+    bow = corpus.bow.select("doc_id", "word", "n").checkpoint()
+    assign = corpus.assignments.select("field", "doc_id", "uri").checkpoint()
+    docs, vocab = corpus.docs.select("doc_id"), corpus.vocab.select("word")
+    cats = corpus.categories.select("field", "uri")
     if _violations(bow, docs, vocab, cats, assign, min_doc_tokens, min_word_docs,
                    min_cat_docs).isEmpty():
         return corpus
@@ -57,18 +75,16 @@ def prune_fixpoint(corpus: Corpus, min_doc_tokens: int = 10, min_word_docs: int
         docs2 = docs_ok.join(assign2.select("doc_id"), "doc_id", "left_semi")
         bow = bow1.join(docs2, "doc_id", "left_semi").checkpoint()
         assign = assign2.join(docs2, "doc_id", "left_semi").checkpoint()
-        docs = docs2.checkpoint()
-        cats = cats_ok.checkpoint()
-        vocab = words_ok.checkpoint()
-        if _violations(bow, docs, vocab, cats, assign, min_doc_tokens, min_word_docs,
-                       min_cat_docs).isEmpty():
+        if _round_violations(bow, assign, min_doc_tokens, min_word_docs, min_cat_docs).isEmpty():
             break
     else:
         raise RuntimeError("fixpoint not reached within max_rounds")
-    out = Corpus(docs=corpus.docs.join(docs, "doc_id", "left_semi"), assignments=assign,
-                 categories=corpus.categories, fields=corpus.fields, bow=bow, vocab=corpus.vocab)
     from corpuskit.operators.corpus import subset_categories
 
+    kept_docs = bow.select("doc_id").distinct()
+    out = Corpus(docs=corpus.docs.join(kept_docs, "doc_id", "left_semi"), assignments=assign,
+                 categories=corpus.categories, fields=corpus.fields, bow=bow, vocab=corpus.vocab)
+    cats = assign.select("field", "uri").distinct()
     for f in corpus.fields:
         out = subset_categories(out, f, cats.where(F.col("field") == f).select("uri"))
-    return subset_vocab(out, vocab)
+    return subset_vocab(out, bow.select("word").distinct())
