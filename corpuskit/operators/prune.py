@@ -5,7 +5,7 @@ counts) and >= 1 category; every word occurs in >= ``min_word_docs`` documents;
 every category has >= ``min_cat_docs`` documents. All are monotone, so the
 greatest sub-corpus meeting them is unique and the removal order inside a round
 does not matter. A round is four semi-join/aggregate steps over the long tables;
-each round's tables are checkpointed (reliable checkpoint in the shared folder),
+each round's tables are written to the shared checkpoint folder and read back,
 so lineage stays short and a lost executor only recomputes one round.
 
 Boundary rule kept from the original: when the length and support constraints
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.operators.corpus import Corpus, subset_vocab
-from corpuskit.session import checkpoint_root
+from corpuskit.session import checkpoint_root, materialize
 
 
 def _violations(bow: DataFrame, docs: DataFrame, vocab: DataFrame, cats: DataFrame,
@@ -54,8 +54,8 @@ def prune_fixpoint(corpus: Corpus, min_doc_tokens: int = 10, min_word_docs: int
     violation check; documents, words and categories are their key sets.
     """
     checkpoint_root(corpus.docs.sparkSession)
-    bow = corpus.bow.select("doc_id", "word", "n").checkpoint()
-    assign = corpus.assignments.select("field", "doc_id", "uri").checkpoint()
+    bow = materialize(corpus.bow.select("doc_id", "word", "n"), "prune_bow")
+    assign = materialize(corpus.assignments.select("field", "doc_id", "uri"), "prune_assign")
     docs, vocab = corpus.docs.select("doc_id"), corpus.vocab.select("word")
     cats = corpus.categories.select("field", "uri")
     if _violations(bow, docs, vocab, cats, assign, min_doc_tokens, min_word_docs,
@@ -73,8 +73,8 @@ def prune_fixpoint(corpus: Corpus, min_doc_tokens: int = 10, min_word_docs: int
         assign2 = assign1.join(cats_ok, (assign1["field"] == cats_ok["field"])
                                & assign1["uri"].eqNullSafe(cats_ok["uri"]), "left_semi")
         docs2 = docs_ok.join(assign2.select("doc_id"), "doc_id", "left_semi")
-        bow = bow1.join(docs2, "doc_id", "left_semi").checkpoint()
-        assign = assign2.join(docs2, "doc_id", "left_semi").checkpoint()
+        bow = materialize(bow1.join(docs2, "doc_id", "left_semi"), "prune_bow")
+        assign = materialize(assign2.join(docs2, "doc_id", "left_semi"), "prune_assign")
         if _round_violations(bow, assign, min_doc_tokens, min_word_docs, min_cat_docs).isEmpty():
             break
     else:

@@ -13,12 +13,15 @@ key's leading hex digits (bucket) gives counts before each bucket, and windows
 run only inside (category, bucket). A category holding a third of all documents
 is therefore spread over thousands of small window partitions.
 
-Step 4 runs in exact parallel rounds. For a document d and category c let S0 be
-the initial surplus (selected - target), rem/und the earlier documents already
-removed / still undecided. d is removed when S0 - rem - und >= 1 for all its c,
-kept when S0 - rem <= 0 for some c, else decided in a later round. The first
-undecided document always decides, so rounds terminate; each round is
-checkpointed.
+Step 4 is computed exactly without walking documents one by one. Before any
+category runs out of surplus, the walk removes every document it meets; a
+category with surplus S0 is *exhausted* at the document that makes its S0-th
+removal, and afterwards no document of that category can leave. So the whole
+walk is fixed by the ordered list of exhaustion events, and there are at most as
+many events as categories. Each pass assumes no exhaustion after the last known
+event, computes every category's cumulative removals (two-level prefix counts)
+and takes the earliest point where one reaches its surplus: that event is real.
+Passes repeat until no category exhausts; the small event table is checkpointed.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit.operators.corpus import Corpus, subset_docs
-from corpuskit.session import checkpoint_root
+from corpuskit.session import checkpoint_root, materialize
 
 BUCKET_HEX_DIGITS = 3  # 4096 buckets
 
@@ -81,34 +84,50 @@ def split_candidates(corpus: Corpus, field: str, ratio: float = 0.3, seed: int =
 
 
 def split_pruned(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0,
-                 max_rounds: int = 100000) -> DataFrame:
+                 max_passes: int | None = None) -> DataFrame:
     """I4: ``(doc_id)`` of the documents kept after greedy surplus removal."""
-    checkpoint_root(corpus.docs.sparkSession)
+    spark = corpus.docs.sparkSession
+    checkpoint_root(spark)
     cand = split_candidates(corpus, field, ratio, seed)
     a = keyed_assignments(corpus, field, seed).join(cand, "doc_id", "left_semi")
     t = split_targets(corpus, field, ratio)
     sel = a.groupBy("uri").agg(F.count(F.lit(1)).alias("selected"))
     s0 = sel.join(t, sel["uri"].eqNullSafe(t["uri"])).select(
         sel["uri"].alias("__su"), (F.col("selected") - F.col("target")).alias("s0"))
-    rows = a.join(s0, a["uri"].eqNullSafe(s0["__su"])).drop("__su") \
-        .withColumn("state", F.lit("U")).checkpoint()
-    for _ in range(max_rounds):
-        flagged = rows.withColumn("r", (F.col("state") == "R").cast("int")) \
-            .withColumn("u", (F.col("state") == "U").cast("int"))
-        p = _prefix(flagged, ["r", "u"])
-        per_doc = p.where(F.col("state") == "U").groupBy("doc_id").agg(
-            F.bool_and(F.col("s0") - F.col("r_before") - F.col("u_before") >= 1).alias("rm"),
-            F.bool_or(F.col("s0") - F.col("r_before") <= 0).alias("st"))
-        decided = per_doc.select("doc_id", F.when(F.col("rm"), "R").when(F.col("st"), "S")
-                                 .otherwise("U").alias("__new"))
-        rows = (rows.join(decided, "doc_id", "left")
-                .withColumn("state", F.coalesce("__new", "state")).drop("__new")
-                .checkpoint())
-        if rows.where(F.col("state") == "U").isEmpty():
+    rows = materialize(a.join(s0, a["uri"].eqNullSafe(s0["__su"])).drop("__su"), "split_rows")
+    # exhaustion events (uri, at): documents with key > at can no longer leave via uri;
+    # a category without surplus is exhausted before every key ("")
+    events = materialize(rows.where(F.col("s0") <= 0).select("uri", F.lit("").alias("at")).distinct(),
+                         "split_events")
+    n_cats = rows.select("uri").distinct().count()
+    for _ in range(max_passes or (n_cats + 1)):
+        removed = _removed_flags(rows, events)
+        ev = events.select(F.col("uri").alias("__eu"), F.lit(1).alias("__done"))
+        open_rows = removed.join(ev, removed["uri"].eqNullSafe(ev["__eu"]), "left") \
+            .where(F.col("__done").isNull()).drop("__eu", "__done")
+        p = _prefix(open_rows, ["rm"])
+        hits = p.where((F.col("rm") == 1) & (F.col("rm_before") + 1 == F.col("s0")))
+        first = hits.agg(F.min("key").alias("k")).first()["k"]
+        if first is None:
             break
+        new = hits.where(F.col("key") == first).select("uri", F.col("key").alias("at"))
+        events = materialize(events.unionByName(new), "split_events")
     else:
         raise RuntimeError("greedy split did not converge")
-    return rows.where(F.col("state") == "S").select("doc_id").distinct()
+    removed = _removed_flags(rows, events)
+    gone = removed.where(F.col("rm") == 1).select("doc_id").distinct()
+    return cand.join(gone, "doc_id", "left_anti")
+
+
+def _removed_flags(rows: DataFrame, events: DataFrame) -> DataFrame:
+    """``rows`` plus ``rm`` (1 when the document leaves under the known events):
+    a document leaves unless one of its categories was exhausted before its key."""
+    ev = events.select(F.col("uri").alias("__eu"), "at")
+    blocked = rows.join(ev, rows["uri"].eqNullSafe(ev["__eu"])) \
+        .where(F.col("at") < F.col("key")).select("doc_id").distinct() \
+        .withColumn("__blocked", F.lit(1))
+    return rows.join(blocked, "doc_id", "left") \
+        .withColumn("rm", F.when(F.col("__blocked").isNull(), 1).otherwise(0)).drop("__blocked")
 
 
 def balanced_split(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0) -> tuple[Corpus, Corpus]:

@@ -11,16 +11,17 @@ from corpuskit.plans.oracle_views import TEXT_ASSIGN, TOK, with_
 from corpuskit.plans.registry import query
 from corpuskit.sources import fixtures as FX
 
-EMPTY = F.array().cast("array<string>")
+def empty():
+    return F.array().cast("array<string>")
 
 
 def text_corpus(spark, sf, tokens: bool = True) -> C.Corpus:
     """Every document; category field ``topic`` = source, plus language when doc_id % 4 = 3."""
     docs = FX.spread(FX.table(spark, sf, "documents"))
     d = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("raw_text"),
-                    F.lit(False).alias("editor"), EMPTY.alias("test_fields"),
+                    F.lit(False).alias("editor"), empty().alias("test_fields"),
                     F.concat(F.array("source"), F.when(F.col("doc_id") % 4 == 3, F.array("lang"))
-                             .otherwise(EMPTY)).alias("vals"))
+                             .otherwise(empty())).alias("vals"))
     a, c = C.encode(d.select("doc_id", "vals"), "topic")
     d = d.drop("vals")
     if tokens:

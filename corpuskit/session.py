@@ -87,3 +87,15 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as parquet below the shared checkpoint folder and read it back.
+
+    Cuts lineage *and* the optimizer's memory of the producing plan (a plain file
+    scan), which keeps iterative loops at constant planning cost per round. The
+    folder is shared storage, so a lost executor never loses the table.
+    """
+    path = staging_path(df.sparkSession, "tables", name, unique=True)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
