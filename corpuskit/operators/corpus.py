@@ -195,9 +195,11 @@ def bit_strings(corpus: Corpus, field: str) -> DataFrame:
     # one row per field: a broadcast bounded by the number of fields
     m = corpus.categories.where(F.col("field") == field).groupBy("field") \
         .agg(F.count(F.lit(1)).alias("m"))
-    a = corpus.assignments.where(F.col("field") == field)
-    c = corpus.categories.where(F.col("field") == field)
-    idxs = (a.join(c, _uri_eq(a, c)).groupBy(a["doc_id"]).agg(F.collect_set(c["idx"]).alias("idxs")))
+    a = corpus.assignments.where(F.col("field") == field).select("doc_id", "uri")
+    c = corpus.categories.where(F.col("field") == field).select(F.col("uri").alias("__cu"),
+                                                              F.col("idx").alias("__ci"))
+    idxs = (a.join(c, a["uri"].eqNullSafe(c["__cu"])).groupBy("doc_id")
+            .agg(F.collect_set("__ci").alias("idxs")))
     d = (corpus.docs.select("doc_id", F.lit(field).alias("field")).join(idxs, "doc_id", "left")
          .join(F.broadcast(m), "field", "left"))
     bits = F.when(F.coalesce(F.col("m"), F.lit(0)) == 0, F.lit("")).otherwise(F.array_join(F.transform(

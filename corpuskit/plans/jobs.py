@@ -22,6 +22,7 @@ from corpuskit.operators import corpus as C
 from corpuskit.operators import order as O
 from corpuskit.operators import text as T
 from corpuskit.operators.prune import prune_fixpoint
+from corpuskit.session import materialize
 from corpuskit.sources.records import extract_table
 
 BASE_COLUMNS = (Fields.TITLE.value, Fields.DESCRIPTION.value, Fields.ID.value,
@@ -103,11 +104,11 @@ def collections_corpus(records: DataFrame, target_fields: Sequence[str],
 def training_corpus(records: DataFrame, target_fields: Sequence[str], filters: Iterable[P.Filter] = (),
                     language: str = "de", tagger=T.token_class, excluded_tags=FD.EXCLUDED_POS_TAGS,
                     min_doc_tokens: int = 10, min_word_docs: int = 5, min_cat_docs: int = 10,
-                    **kw) -> tuple[C.Corpus, DataFrame]:
+                    length_unit: str = "elements", **kw) -> tuple[C.Corpus, DataFrame]:
     """K4: bag-of-words training corpus; returns the corpus and its order (H1)."""
     labelled = P.labeled_filter(list(target_fields), multi_field_semantics="any")
     text_len = P.len_filter([Fields.DESCRIPTION.value, Fields.TITLE.value], 30,
-                            multi_field_semantics="any")
+                            multi_field_semantics="any", unit=length_unit)
     corpus = flat_corpus(records, target_fields, filters=[labelled, text_len] + list(filters), **kw)
     for f in corpus.fields:
         corpus = C.drop_unlabelled(corpus, f)
@@ -117,6 +118,10 @@ def training_corpus(records: DataFrame, target_fields: Sequence[str], filters: I
     docs = T.df_interval(docs, min_num=10, max_rate=0.25, interval_open=False)
     docs = T.language_vote(docs)
     corpus = T.keep_language(corpus.with_(docs=docs), language)
+    # the token pipeline is the expensive part: write it once, every later branch reads it
+    corpus = corpus.with_(docs=materialize(corpus.docs, "training_docs"),
+                          assignments=materialize(corpus.assignments, "training_assign"),
+                          categories=materialize(corpus.categories, "training_cats"))
     corpus = T.bag_of_words(corpus)
     corpus = T.drop_long_tokens(corpus, 30)
     corpus = prune_fixpoint(corpus, min_doc_tokens, min_word_docs, min_cat_docs)
@@ -125,7 +130,7 @@ def training_corpus(records: DataFrame, target_fields: Sequence[str], filters: I
 
 def candidates_corpus(records: DataFrame, field: str, topic_labels: DataFrame,
                       topic_prefix: str = "", filters: Iterable[P.Filter] = (),
-                      **kw) -> tuple[C.Corpus, DataFrame]:
+                      length_unit: str = "elements", **kw) -> tuple[C.Corpus, DataFrame]:
     """K5: test-data candidates for ``field``; returns the corpus and its order (H2, H3).
 
     ``topic_labels(uri, label)`` is the staged topic vocabulary; a collection is kept
@@ -134,9 +139,9 @@ def candidates_corpus(records: DataFrame, field: str, topic_labels: DataFrame,
     targets = [field, Fields.COLLECTIONS_UUID.value, Fields.TOPIC.value]
     extra = [P.labeled_filter([field]),
              P.len_filter([Fields.DESCRIPTION.value, Fields.TITLE.value], 50,
-                          multi_field_semantics="any")]
+                          multi_field_semantics="any", unit=length_unit)]
     corpus = flat_corpus(records, targets, filters=extra + list(filters), **kw)
-    corpus = corpus.with_(docs=T.drop_short_sentences(corpus.docs, 6))
+    corpus = corpus.with_(docs=materialize(T.drop_short_sentences(corpus.docs, 6), "candidate_docs"))
     corpus = T.drop_short_docs(corpus, 20)
     colls = collections_corpus(records, [field])
     colls = C.docs_with_label(colls, topic_prefix, topic_labels)
