@@ -225,3 +225,10 @@ def prune_fixpoint_q(spark, sf):
     return (c.docs.select("doc_id").join(lens, "doc_id", "left").join(cats, "doc_id", "left")
             .select("doc_id", F.coalesce("length", F.lit(0)).cast("long").alias("length"),
                     F.coalesce("n_cats", F.lit(0)).cast("long").alias("n_cats")))
+
+
+@query("subset_vocab", summary_sql("kept AS (SELECT * FROM tok WHERE length(word) <= 4)", TOK))
+def subset_vocab(spark, sf):
+    """keep the short words of the vocabulary; tokens lose the others (order kept)."""
+    c = T.bag_of_words(text_corpus(spark, sf))
+    return token_summary(C.subset_vocab(c, c.vocab.where(F.length("word") <= 4).select("word")).docs)
