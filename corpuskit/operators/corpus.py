@@ -59,7 +59,9 @@ def encode(values: DataFrame, field: str, order: list[Column] | None = None,
     """
     assignments = values.select(F.lit(field).alias("field"), "doc_id",
                                 F.explode(F.array_distinct("vals")).alias("uri"))
-    uris = assignments.select("field", "uri").distinct()
+    # the same partial aggregate as ``support``: a plan needing both reuses one exchange
+    uris = assignments.groupBy("field", "uri").agg(F.count(F.lit(1)).alias("support")) \
+        .select("field", "uri")
     categories = category_index(uris, order)
     categories = attach_labels(categories, labels)
     return assignments, categories

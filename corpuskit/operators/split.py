@@ -21,7 +21,9 @@ walk is fixed by the ordered list of exhaustion events, and there are at most as
 many events as categories. Each pass assumes no exhaustion after the last known
 event, computes every category's cumulative removals (two-level prefix counts)
 and takes the earliest point where one reaches its surplus: that event is real.
-Passes repeat until no category exhausts; the small event table is checkpointed.
+Later candidate events are accepted in the same pass while they lie before the
+first document an already accepted event could change. Passes repeat until no category exhausts; the event table (one row per category
+at most) is rebuilt locally each pass, so every pass plans from scratch.
 """
 
 from __future__ import annotations
@@ -96,22 +98,38 @@ def split_pruned(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0,
         sel["uri"].alias("__su"), (F.col("selected") - F.col("target")).alias("s0"))
     rows = materialize(a.join(s0, a["uri"].eqNullSafe(s0["__su"])).drop("__su"), "split_rows")
     # exhaustion events (uri, at): documents with key > at can no longer leave via uri;
-    # a category without surplus is exhausted before every key ("")
-    events = materialize(rows.where(F.col("s0") <= 0).select("uri", F.lit("").alias("at")).distinct(),
-                         "split_events")
+    # a category without surplus is exhausted before every key (""). The event table
+    # has at most one row per category, so it is kept as a small local table.
+    schema = "uri string, at string"
+    known = [(r["uri"], "") for r in
+             rows.where(F.col("s0") <= 0).select("uri").distinct().collect()]
+    events = spark.createDataFrame(known, schema)
     n_cats = rows.select("uri").distinct().count()
     for _ in range(max_passes or (n_cats + 1)):
         removed = _removed_flags(rows, events)
         ev = events.select(F.col("uri").alias("__eu"), F.lit(1).alias("__done"))
-        open_rows = removed.join(ev, removed["uri"].eqNullSafe(ev["__eu"]), "left") \
+        open_rows = removed.join(F.broadcast(ev), removed["uri"].eqNullSafe(ev["__eu"]), "left") \
             .where(F.col("__done").isNull()).drop("__eu", "__done")
         p = _prefix(open_rows, ["rm"])
-        hits = p.where((F.col("rm") == 1) & (F.col("rm_before") + 1 == F.col("s0")))
-        first = hits.agg(F.min("key").alias("k")).first()["k"]
-        if first is None:
+        hits = p.where((F.col("rm") == 1) & (F.col("rm_before") + 1 == F.col("s0"))) \
+            .select(F.col("uri").alias("__hu"), F.col("key").alias("t"))
+        # f: the first later document of the category that this pass counted as
+        # leaving; accepting the event can only change documents from f onwards
+        later = p.where(F.col("rm") == 1).join(F.broadcast(hits), p["uri"].eqNullSafe(hits["__hu"])) \
+            .where(F.col("key") > F.col("t")).groupBy("__hu").agg(F.min("key").alias("f"))
+        cands = hits.join(later, "__hu", "left").select(F.col("__hu").alias("uri"), "t", "f") \
+            .collect()  # at most one row per category
+        if not cands:
             break
-        new = hits.where(F.col("key") == first).select("uri", F.col("key").alias("at"))
-        events = materialize(events.unionByName(new), "split_events")
+        cands.sort(key=lambda r: r["t"])
+        bound = None
+        for r in cands:
+            if bound is not None and r["t"] >= bound:
+                break  # this event may be moved by an accepted one; recompute next pass
+            known.append((r["uri"], r["t"]))
+            if r["f"] is not None:
+                bound = r["f"] if bound is None else min(bound, r["f"])
+        events = spark.createDataFrame(known, schema)
     else:
         raise RuntimeError("greedy split did not converge")
     removed = _removed_flags(rows, events)
@@ -123,7 +141,8 @@ def _removed_flags(rows: DataFrame, events: DataFrame) -> DataFrame:
     """``rows`` plus ``rm`` (1 when the document leaves under the known events):
     a document leaves unless one of its categories was exhausted before its key."""
     ev = events.select(F.col("uri").alias("__eu"), "at")
-    blocked = rows.join(ev, rows["uri"].eqNullSafe(ev["__eu"])) \
+    # one row per category at most: a bounded broadcast
+    blocked = rows.join(F.broadcast(ev), rows["uri"].eqNullSafe(ev["__eu"])) \
         .where(F.col("at") < F.col("key")).select("doc_id").distinct() \
         .withColumn("__blocked", F.lit(1))
     return rows.join(blocked, "doc_id", "left") \

@@ -45,8 +45,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (tests, a laptop)
-    do we create a private folder and register it as the checkpoint dir.
+    The cluster's setting always wins. Only in local mode (tests, a laptop) is an
+    unset value replaced by a private folder; on a cluster it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -54,6 +54,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             root = jdir.get()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="corpuskit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
