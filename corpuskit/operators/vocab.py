@@ -11,7 +11,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.functions.paths import split_path
@@ -144,4 +144,4 @@ def label_lookup_table(nodes: DataFrame) -> DataFrame:
 
 
 __all__ = ["concept_nodes", "children_map", "parent_map", "label_table", "labels_for_ids",
-           "labels_by_uri", "hierarchy", "normalise_uri", "label_lookup_table", "Window"]
+           "labels_by_uri", "hierarchy", "normalise_uri", "label_lookup_table"]
