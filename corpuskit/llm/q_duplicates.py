@@ -1,8 +1,8 @@
-"""Queries: near duplicates of texts."""
+"""Queries: near duplicates and repeated passages."""
 
 from __future__ import annotations
 
-from corpuskit.llm import bag_minhash
+from corpuskit.llm import bag_minhash, relative_lz
 from corpuskit.llm.common import table
 from corpuskit.llm.registry import query
 
@@ -11,3 +11,9 @@ from corpuskit.llm.registry import query
 def op5_bag_minhash(spark, sf_dir):
     """Every document with its class id (the smallest of the class) and whether it stays."""
     return bag_minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
+
+
+@query("op4_relative_lz")
+def op4_relative_lz(spark, sf_dir):
+    """Every document after the removal of words in windows of 20 that start earlier elsewhere."""
+    return relative_lz.remove_repeats(table(spark, sf_dir, "documents"), spans=False).drop("factors")
