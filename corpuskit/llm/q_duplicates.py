@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpuskit.llm import bag_minhash, relative_lz
+from corpuskit.llm import bag_minhash, cross_polytope, relative_lz
 from corpuskit.llm.common import table
 from corpuskit.llm.registry import query
 
@@ -17,3 +17,9 @@ def op5_bag_minhash(spark, sf_dir):
 def op4_relative_lz(spark, sf_dir):
     """Every document after the removal of words in windows of 20 that start earlier elsewhere."""
     return relative_lz.remove_repeats(table(spark, sf_dir, "documents"), spans=False).drop("factors")
+
+
+@query("op6_cross_polytope")
+def op6_cross_polytope(spark, sf_dir):
+    """Every vector with its links, its component and whether it stays."""
+    return cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
