@@ -22,6 +22,7 @@ HEADER = struct.Struct("<4sIII")  # magic, ids, crc32 of the ids (little-endian
 BLOCK_IDS = 4096
 LANES = 1024
 ROWS = 1024  # of each order's table; contexts share rows by hash
+SHIFT = np.uint32(33 - ROWS.bit_length())
 WHOLE = 32752  # a row's frequencies sum to this, so that its bounds fit 16 bits
 TOTAL = np.uint32(WHOLE + 16)  # in the mixture every symbol keeps a frequency of one at least
 TOP, BOTTOM = np.uint32(1 << 24), np.uint32(1 << 16)
@@ -51,7 +52,7 @@ class Lanes:
         node = (prefix + np.uint32(NODE[place] + 1)) * np.uint32(0x9E3779B1)
         self.row = np.empty((3, k), np.int64)
         for o in range(3):
-            self.row[o] = ((node ^ context[o]) * np.uint32(0x85EBCA6B)) >> np.uint32(22)
+            self.row[o] = ((node ^ context[o]) * np.uint32(0x85EBCA6B)) >> SHIFT
         self.row += self.base[:, :k]
         self.bound = self.rows.take(self.row.reshape(-1)).view(np.int16).reshape(3, k, 16)
         known = self.bound[1:, :, 7] != START[7]  # contexts seen before may deserve more
