@@ -1,6 +1,6 @@
 """An adaptive context-mixing range coder for token ids below 65,536.
 
-An id is coded as four symbols of four bits. For each, three adaptive distributions are
+An id is coded as three symbols (six, five and five bits). For each, three adaptive distributions are
 looked up: order 0 (the id's bits so far), order 1 (with the id before) and order 2 (with
 the two before). They are mixed by weights that follow how well each has predicted, and
 the mixture drives a carryless range coder. Everything is integer arithmetic, so any
@@ -21,74 +21,100 @@ MAGIC = b"CMX1"
 HEADER = struct.Struct("<4sIII")  # magic, ids, crc32 of the ids (little-endian 32-bit), bytes that follow
 BLOCK_IDS = 4096
 LANES = 1024
-ROWS = 1024  # of each order's table; contexts share rows by hash
-SHIFT = np.uint32(33 - ROWS.bit_length())
-WHOLE = 32752  # a row's frequencies sum to this, so that its bounds fit 16 bits
-TOTAL = np.uint32(WHOLE + 16)  # in the mixture every symbol keeps a frequency of one at least
+WHOLE = 32704  # a row's frequencies sum to this, so that its bounds fit 16 bits
+TOTAL = np.uint32(WHOLE + 64)  # in the mixture every symbol keeps a frequency of one at least
 TOP, BOTTOM = np.uint32(1 << 24), np.uint32(1 << 16)
 RATE = np.int16(4)  # a row moves 1/16 of the way
-LEAST = 16
-_STEP = np.arange(16)
-#: A row holds the upper bounds of its 16 symbols; here they go when symbol s occurs.
-START = ((_STEP + 1) * (WHOLE // 16)).astype(np.int16)
-TARGET = np.where(_STEP[None, :] < _STEP[:, None], (_STEP[None, :] + 1) * LEAST,
-                  WHOLE - (15 - _STEP[None, :]) * LEAST).astype(np.int16)
-NODE = (0, 1, 17, 273)  # first context number of each of the four symbols
+LEAST = 8
+#: Of each of the three symbols: bits below it, its mask, and how far context numbers are apart.
+PLACES = ((10, 63, 0), (5, 31, 1), (0, 31, 65))
+
+
+class Rows:
+    """The adaptive distributions over ``width`` symbols, ``count`` for each order and lane; contexts share them by hash.
+
+    A row holds the upper bounds of its symbols. Rows are fetched and stored as one item.
+    """
+
+    def __init__(self, lanes: int, width: int, count: int):
+        step = np.arange(width)
+        self.width, self.shift = width, np.uint32(33 - count.bit_length())
+        self.start = ((step + 1) * (WHOLE // width)).astype(np.int16)
+        self.target = np.where(step[None, :] < step[:, None], (step[None, :] + 1) * LEAST,
+                               WHOLE - (width - 1 - step[None, :]) * LEAST).astype(np.int16)
+        self.items = np.tile(self.start, (3 * lanes * count, 1)).view(f"V{2 * width}")[:, 0]
+        self.base = (np.arange(3)[:, None] * lanes + np.arange(lanes)[None, :]) * count
+        self.base = self.base.astype(np.int64)
+        self.step = step[: width - 1].astype(np.int32)
 
 
 class Lanes:
     """Statistics and coder state of blocks coded in step."""
 
     def __init__(self, lanes: int):
-        self.table = np.tile(START, (3 * lanes * ROWS, 1))
-        self.rows = self.table.view("V32")[:, 0]  # a row as one item, to fetch and store at once
-        self.base = (np.arange(3)[:, None] * lanes + np.arange(lanes)[None, :]) * ROWS
+        six, five = Rows(lanes, 64, 128), Rows(lanes, 32, 512)
+        self.rows = (six, five, five)
         self.weight = np.full((16 * lanes, 3), 2048, np.int32)
-        self.lane = np.arange(lanes)
+        self.lane16 = np.arange(lanes) * 16
         self.low, self.range = np.zeros(lanes, np.uint32), np.full(lanes, 0xFFFFFFFF, np.uint32)
 
-    def fetch(self, k: int, context: list[np.ndarray], place: int, prefix: np.ndarray) -> None:
+    def fetch(self, k: int, context: np.ndarray, place: int, prefix: np.ndarray) -> None:
         """Look up the three distributions of the next symbol of the first ``k`` lanes, and their weights."""
-        node = (prefix + np.uint32(NODE[place] + 1)) * np.uint32(0x9E3779B1)
-        self.row = np.empty((3, k), np.int64)
-        for o in range(3):
-            self.row[o] = ((node ^ context[o]) * np.uint32(0x85EBCA6B)) >> SHIFT
-        self.row += self.base[:, :k]
-        self.bound = self.rows.take(self.row.reshape(-1)).view(np.int16).reshape(3, k, 16)
-        known = self.bound[1:, :, 7] != START[7]  # contexts seen before may deserve more
-        self.set = self.lane[:k] * 16 + (4 * place + 2 * known[1] + known[0])
-        self.w = self.weight[self.set].T.copy()  # (3, k)
-        self.sum = self.w.sum(axis=0, dtype=np.int32)
-
-    def find(self, value: np.ndarray) -> np.ndarray:
+        rows = self.rows[place]
+        node = (prefix + np.uint32(PLACES[place][2] + 1)) * np.uint32(0x9E3779B1)
+        mixed = context ^ node
+        mixed *= np.uint32(0x85EBCA6B)
+        mixed >>= rows.shift
+        self.row = (rows.base[:, :k] + mixed).reshape(-1)
+        self.bound = rows.items.take(self.row).view(np.int16).reshape(3, k, rows.width)
+        known = self.bound[1:, :, 7] != rows.start[7]  # contexts seen before may deserve more
+        self.set = self.lane16[:k] + (4 * place + 2 * known[1] + known[0])
+        self.w = np.ascontiguousarray(self.weight.take(self.set, axis=0).T)  # (3, k)
+        self.sum = self.w[0] + self.w[1] + self.w[2]
+
+    def find(self, place: int, value: np.ndarray) -> np.ndarray:
         """The symbols whose span of the mixture holds ``value``."""
-        mixture = self.bound[0, :, :15] * self.w[0][:, None]
-        mixture += self.bound[1, :, :15] * self.w[1][:, None]
-        mixture += self.bound[2, :, :15] * self.w[2][:, None]
-        most = (value.astype(np.int32)[:, None] - _STEP[:15].astype(np.int32)) * self.sum[:, None]
+        rows = self.rows[place]
+        last = rows.width - 1
+        mixture = self.bound[0, :, :last] * self.w[0][:, None]
+        mixture += self.bound[1, :, :last] * self.w[1][:, None]
+        mixture += self.bound[2, :, :last] * self.w[2][:, None]
+        most = (value.astype(np.int32)[:, None] - rows.step) * self.sum[:, None]
         return (mixture < most).sum(axis=1)
 
-    def narrow(self, k: int, symbol: np.ndarray) -> None:
+    def narrow(self, k: int, place: int, symbol: np.ndarray) -> None:
         """Code the symbols: cut the ranges to their spans, and move the statistics."""
-        flat, at = self.bound.reshape(-1), np.arange(3 * k).reshape(3, k) * 16 + symbol
-        high = flat[at].astype(np.int32)
-        below = np.where(symbol > 0, flat[at - 1], 0).astype(np.int32)
-        start = ((self.w * below).sum(axis=0, dtype=np.int32) // self.sum + symbol).astype(np.uint32)
-        end = ((self.w * high).sum(axis=0, dtype=np.int32) // self.sum + symbol + 1).astype(np.uint32)
+        rows = self.rows[place]
+        flat, at = self.bound.reshape(-1), np.arange(0, 3 * k * rows.width, rows.width).reshape(3, k) + symbol
+        high = flat.take(at).astype(np.int32)
+        below = flat.take(at - 1, mode="clip").astype(np.int32)
+        below[:, symbol == 0] = 0
+        a, b = self.w * below, self.w * high
+        start = (a[0] + a[1] + a[2]) // self.sum + symbol
+        end = (b[0] + b[1] + b[2]) // self.sum + symbol + 1
+        if rows.width < 64:  # what the last symbol has over, so that the spans fill the whole
+            end[symbol == rows.width - 1] = int(TOTAL)
         part = self.range[:k] // TOTAL
-        self.low[:k] += start * part
-        self.range[:k] = (end - start) * part
-        self.weight[self.set] = np.maximum(self.w + ((((high - below) >> 2) - self.w) >> 3), 32).T
-        move = TARGET[symbol] - self.bound
+        self.low[:k] += start.astype(np.uint32) * part
+        self.range[:k] = (end - start).astype(np.uint32) * part
+        high -= below
+        high >>= 2
+        high -= self.w
+        high >>= 3
+        high += self.w
+        np.maximum(high, 32, out=high)
+        self.weight[self.set] = high.T
+        move = rows.target.take(symbol, axis=0) - self.bound
         move >>= RATE
         move += self.bound
-        self.rows[self.row.reshape(-1)] = move.reshape(-1, 16).view("V32")[:, 0]
+        rows.items[self.row] = move.reshape(-1, rows.width).view(f"V{2 * rows.width}")[:, 0]
 
 
-def _contexts(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
-    """Hashes of nothing, the id before, and the two ids before."""
+def _contexts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """(3, lanes) hashes of nothing, the id before, and the two ids before."""
     one = (a + np.uint32(1)) * np.uint32(0xC2B2AE35)
-    return [np.zeros(len(a), np.uint32), one, (one ^ (one >> np.uint32(15))) + (b + np.uint32(7)) * np.uint32(0x27D4EB2F)]
+    return np.stack([np.zeros(len(a), np.uint32), one,
+                     (one ^ (one >> np.uint32(15))) + (b + np.uint32(7)) * np.uint32(0x27D4EB2F)])
 
 
 def _shift(state: Lanes, k: int):
@@ -130,10 +156,10 @@ def _encode_group(blocks: list[np.ndarray]) -> list[bytes]:
     for t in range(int(length[0])):
         k = int(np.searchsorted(-length, -t, side="left"))  # lanes with more than t ids
         context = _contexts(ids[t - 1, :k] if t else zero[:k], ids[t - 2, :k] if t > 1 else zero[:k])
-        for place in range(4):
-            symbol = ((ids[t, :k] >> np.uint32(12 - 4 * place)) & np.uint32(15)).astype(np.int64)
-            state.fetch(k, context, place, ids[t, :k] >> np.uint32(16 - 4 * place))
-            state.narrow(k, symbol)
+        for place, (below, mask, _) in enumerate(PLACES):
+            symbol = ((ids[t, :k] >> np.uint32(below)) & np.uint32(mask)).astype(np.int64)
+            state.fetch(k, context, place, ids[t, :k] >> np.uint32(below) >> np.uint32(mask.bit_length()))
+            state.narrow(k, place, symbol)
             while len(go := _shift(state, k)):
                 flat[start[go] + pos[go]] = state.low[go] >> np.uint32(24)
                 pos[go] += 1
@@ -177,12 +203,12 @@ def _decode_group(payloads: list[bytes], length: np.ndarray) -> list[np.ndarray]
         k = int(np.searchsorted(-length, -t, side="left"))
         context = _contexts(ids[t - 1, :k] if t else zero[:k], ids[t - 2, :k] if t > 1 else zero[:k])
         prefix = np.zeros(k, np.uint32)
-        for place in range(4):
+        for place, (_, mask, _) in enumerate(PLACES):
             state.fetch(k, context, place, prefix)
             value = (code[:k] - state.low[:k]) // (state.range[:k] // TOTAL)
-            symbol = state.find(np.minimum(value, TOTAL - np.uint32(1)))
-            state.narrow(k, symbol)
-            prefix = (prefix << np.uint32(4)) | symbol.astype(np.uint32)
+            symbol = state.find(place, np.minimum(value, TOTAL - np.uint32(1)))
+            state.narrow(k, place, symbol)
+            prefix = (prefix << np.uint32(mask.bit_length())) | symbol.astype(np.uint32)
             while len(go := _shift(state, k)):
                 code[go] = (code[go] << np.uint32(8)) | flat[start[go] + np.minimum(pos[go], width - 1)]
                 pos[go] += 1
