@@ -21,12 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.functions.repair import Repair, repair_expand
+from corpuskit.session import materialize
 from corpuskit.functions.variant import as_array, as_python_value, get_key, is_object, is_string, \
     vstr
 
-# nested lists at the leaf are flattened this many levels deep
-FLATTEN_DEPTH = 2
-
 
 def split_path(path: str | Sequence[str], sep: str = ".") -> tuple[str, ...]:
     if isinstance(path, str):
@@ -42,6 +40,23 @@ def _expand(c: Column) -> Column:
     return F.coalesce(as_array(c), F.array(c))
 
 
+def _flat(vals: Column) -> Column:
+    """All nested lists dissolved, however deep.
+
+    A list can be nested no deeper than its text has brackets; that many steps are taken
+    where a list is left, none elsewhere. ``vals`` is bound once, so the expression stays
+    linear in size.
+    """
+    def flat(x: Column) -> Column:
+        text = F.to_json(x)
+        brackets = F.length(text) - F.length(F.replace(text, F.lit("["), F.lit("")))
+        steps = F.when(F.exists(x, lambda e: as_array(e).isNotNull()), F.sequence(F.lit(1), brackets)) \
+            .otherwise(F.array().cast("array<int>"))
+        return F.aggregate(steps, x, lambda acc, _: F.flatten(F.transform(acc, _expand)))
+
+    return F.get(F.transform(F.array(vals), flat), 0)
+
+
 def terminal(v: Column, path: str | Sequence[str], sep: str = ".",
              repair: Repair | None = None) -> Column:
     """Compile the terminal value of ``path`` in record column ``v``."""
@@ -59,10 +74,7 @@ def terminal(v: Column, path: str | Sequence[str], sep: str = ".",
     if not keys:  # the record itself
         is_list = F.coalesce(as_array(v).isNotNull(), F.lit(False))
         vals = _expand(v)
-    # each level references ``vals`` once, so the expression stays linear in size
-    for _ in range(FLATTEN_DEPTH):
-        vals = F.flatten(F.transform(vals, _expand))
-    vals = F.transform(vals, as_python_value)
+    vals = F.transform(_flat(vals), as_python_value)
     return F.struct(is_list.alias("is_list"), vals.alias("vals"))
 
 
@@ -136,35 +148,36 @@ def t_contains_string(t: Column, value: str) -> Column:
 
 # --- leaf discovery -----------------------------------------------------------
 
-def leaf_paths(records: DataFrame, col: str = "v", max_depth: int = 32,
-               sep: str = ".") -> DataFrame:
+def leaf_paths(records: DataFrame, col: str = "v", sep: str = ".") -> DataFrame:
     """Distinct leaf paths of all records: ``(path STRING, depth INT)``.
 
     Lists add no path segment; an empty object or list contributes nothing. The
-    walk is a recursive CTE over ``variant_explode``; ``distinct`` is a partial
-    aggregate, so each task ships at most its own distinct paths.
+    walk goes level by level until no object or list is left; each level is written
+    and read back, so its plan doesn't grow with the depth. Paths are distinct per
+    level (a partial aggregate: each task ships at most its own distinct paths).
     """
-    spark = records.sparkSession
-    view = f"__ck_leaf_src_{abs(hash((id(records), col))) % (1 << 40)}"
-    records.select(F.col(col).alias("v")).createOrReplaceTempView(view)
-    sep_lit = sep.replace("'", "\\'")
-    return spark.sql(f"""
-        WITH RECURSIVE nodes(path, node, depth) AS (
-          SELECT CAST(array() AS array<string>), v, 0 FROM {view} WHERE v IS NOT NULL
-          UNION ALL
-          SELECT CASE WHEN n.is_arr THEN n.path ELSE concat(n.path, array(e.key)) END,
-                 e.value, n.depth + 1
-          FROM (SELECT path, node, depth,
-                       try_variant_get(node, '$', 'array<variant>') IS NOT NULL AS is_arr
-                FROM nodes
-                WHERE depth < {int(max_depth)}
-                  AND (try_variant_get(node, '$', 'array<variant>') IS NOT NULL
-                       OR try_variant_get(node, '$', 'map<string,variant>') IS NOT NULL)) n,
-               LATERAL variant_explode(n.node) e
-        )
-        SELECT DISTINCT array_join(path, '{sep_lit}') AS path, size(path) AS depth
-        FROM nodes
-        WHERE try_variant_get(node, '$', 'array<variant>') IS NULL
-          AND try_variant_get(node, '$', 'map<string,variant>') IS NULL
-          AND size(path) > 0
-    """)
+    none = F.array().cast("array<string>")
+    level = records.where(F.col(col).isNotNull()).select(none.alias("path"), F.col(col).alias("node"))
+    found = None
+    while True:
+        # an object's members by key, a list's elements under the same path, or a leaf
+        members = F.try_variant_get("node", "$", "map<string,variant>")
+        level = materialize(level.select(
+            "path", F.when(as_array(F.col("node")).isNotNull(), F.transform(
+                as_array(F.col("node")), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value"))))
+            .otherwise(F.transform(F.map_entries(members), lambda x: F.struct(
+                x["key"].alias("key"), x["value"].alias("value")))).alias("inside")), "leaves")
+        leaves = level.where(F.col("inside").isNull() & (F.size("path") > 0)).select("path").distinct()
+        found = leaves if found is None else found.unionByName(leaves)
+        if level.where(F.size("inside") > 0).isEmpty():
+            break
+        level = level.select("path", F.explode("inside").alias("x")).select(
+            F.when(F.col("x.key").isNull(), F.col("path")).otherwise(F.concat("path", F.array("x.key"))).alias("path"),
+            F.col("x.value").alias("node"))
+    return found.distinct().select(F.array_join("path", sep).alias("path"), F.size("path").alias("depth")).distinct()
+
+
+def sampled_leaf_paths(records: DataFrame, rate: float, key: str, col: str = "v", sep: str = ".") -> DataFrame:
+    """Leaf paths of a share ``rate`` of the records, drawn by a hash of their key."""
+    draw = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 13), 16, 10).cast("double") / float(1 << 52)
+    return leaf_paths(records.where(draw < F.lit(float(rate))), col, sep)

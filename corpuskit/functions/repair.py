@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 from corpuskit.functions.variant import as_array, equals_value, in_values, is_boolean, is_number, \
     is_object, is_string, literal_variant, vstr
 
-# maps with more entries than this use one map lookup instead of a CASE chain
-_CASE_LIMIT = 48
-
 
 @dataclass(frozen=True)
 class Repair:
@@ -55,22 +52,16 @@ def repairs_from(dropped_values: dict | None, remapped_values: dict | None) -> d
 def _remap(x: Column, mapping: dict) -> Column:
     if not mapping:
         return x
-    str_items = {k: v for k, v in mapping.items() if isinstance(k, str)}
-    other_items = {k: v for k, v in mapping.items() if not isinstance(k, str)}
-    if len(str_items) > _CASE_LIMIT:
-        m = F.create_map(*[c for k, v in str_items.items()
-                           for c in (F.lit(k), F.lit(json.dumps(v)))])
-        hit = is_string(x) & F.map_contains_key(m, vstr(x))
-        out = F.when(F.coalesce(hit, F.lit(False)), F.parse_json(F.element_at(m, vstr(x))))
-    else:
-        out = None
-        for k, v in str_items.items():
-            cond = equals_value(x, k)
-            out = F.when(cond, literal_variant(v)) if out is None else out.when(cond, literal_variant(v))
-    for k, v in other_items.items():
-        cond = equals_value(x, k)
-        out = F.when(cond, literal_variant(v)) if out is None else out.when(cond, literal_variant(v))
-    return out.otherwise(x)
+    strings = {k: v for k, v in mapping.items() if isinstance(k, str)}
+    out = x
+    if strings:  # one lookup, whatever the size of the mapping
+        table = F.create_map(*[c for k, v in strings.items() for c in (F.lit(k), F.lit(json.dumps(v)))])
+        hit = F.when(is_string(x), F.try_element_at(table, vstr(x)))
+        out = F.when(hit.isNotNull(), F.parse_json(hit)).otherwise(out)
+    for k, v in mapping.items():
+        if not isinstance(k, str):
+            out = F.when(equals_value(x, k), literal_variant(v)).otherwise(out)
+    return out
 
 
 def _is_scalar(x: Column) -> Column:

@@ -66,8 +66,8 @@ def review_queue(corpus: Corpus, field: str, positions: DataFrame, visited: Data
     rel = _relevant(corpus, field, positions, visited)
     cand = rel.join(counts, rel["uri"].eqNullSafe(counts["uri"])).select(
         "doc_id", rel["uri"], "idx", "label", "accepted", "ord")
-    return top_k_per_group(cand, ["idx"], ["ord"], F.lit(max_hits) - F.col("accepted"),
-                           salt_key="doc_id", rank_name="rank")
+    return top_k_per_group(cand, ["idx"], ["ord"], max_hits, salt_key="doc_id", rank_name="rank",
+                           bound=F.lit(max_hits) - F.col("accepted"))
 
 
 def coverage_report(corpus: Corpus, field: str, accepted: DataFrame) -> DataFrame:

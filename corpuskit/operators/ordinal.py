@@ -1,11 +1,11 @@
 """Global positions without a single-partition window.
 
-``with_ordinal`` sorts globally (range partitioning), numbers rows inside each
-partition with ``monotonically_increasing_id`` (which follows the sorted order in
-the same stage) and adds per-partition offsets. The offset table has one row per
+``with_ordinal`` sorts globally (range partitioning), writes the sorted rows once with
+the id of their partition and their place in it, and takes both the rows and the counts
+per partition from that table. A partition id is thus never evaluated twice: two plans
+over one sort may be cut into different partitions. The offset table has one row per
 partition, so broadcasting it is bounded by the partition count, not the data.
-The order must be total (end it with a unique key) so a recomputed partition
-numbers its rows the same way.
+The order must be total (end it with a unique key) for positions to be reproducible.
 """
 
 from __future__ import annotations
@@ -13,40 +13,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuskit.session import materialize
+
+#: Rows of a hot group that one task ranks, at most about.
+ROWS_PER_SALT = 100_000
+
 
 def with_ordinal(df: DataFrame, order: list[Column | str], name: str = "ord",
                  start: int = 0) -> DataFrame:
-    tagged = (df.orderBy(*order)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id()))
+    """``df`` with the global position of each row in ``order``, from ``start``."""
+    tagged = materialize(
+        df.orderBy(*order).withColumn("__pid", F.spark_partition_id())
+        .withColumn("__mid", F.monotonically_increasing_id()), "ordinal")
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__off"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
     return (tagged.join(F.broadcast(offsets), "__pid")
-            .withColumn(name, F.coalesce(F.col("__off"), F.lit(0)) + local + F.lit(start))
+            .withColumn(name, F.col("__off") + local + F.lit(start))
             .drop("__pid", "__mid", "__off"))
 
 
-def top_k_per_group(df: DataFrame, group: list[str], order: list[Column | str], k: Column | int,
-                    salt_buckets: int = 32, salt_key: str | None = None, rank_name: str = "rank") -> DataFrame:
-    """Rows with rank <= k per group (k may be a column), skew-safe.
+def top_k_per_group(df: DataFrame, group: list[str], order: list[Column | str], k: int,
+                    salt_key: str, rank_name: str = "rank", bound: Column | None = None) -> DataFrame:
+    """Rows with rank <= k per group, skew-safe; ``bound`` may lower k group by group.
 
-    Phase 1 ranks inside ``(group, salt)`` so a hot group is spread over
-    ``salt_buckets`` tasks and keeps at most k rows per salt; phase 2 ranks the
-    survivors (at most ``k * salt_buckets`` per group). Needs a bounded k.
+    Phase 1 ranks inside ``(group, salt)`` and phase 2 the survivors. Both filter by the
+    literal ``k``, so the planner cuts groups before the shuffle. The number of salts
+    follows the number of rows.
     """
-    kcol = F.lit(k) if isinstance(k, int) else k
-    salt = F.pmod(F.xxhash64(F.col(salt_key) if salt_key else F.to_json(F.struct(*df.columns))),
-                  F.lit(salt_buckets))
+    salts = max(1, -(-df.count() // ROWS_PER_SALT))
+    salt = F.pmod(F.xxhash64(F.col(salt_key)), F.lit(salts))
     w1 = Window.partitionBy(*group, "__salt").orderBy(*order)
     w2 = Window.partitionBy(*group).orderBy(*order)
-    stage1 = (df.withColumn("__salt", salt)
-              .withColumn("__k", kcol)
-              .withColumn("__r1", F.row_number().over(w1))
-              .where(F.col("__r1") <= F.col("__k")))
-    return (stage1.withColumn(rank_name, F.row_number().over(w2))
-            .where(F.col(rank_name) <= F.col("__k"))
-            .drop("__salt", "__k", "__r1"))
+    stage1 = (df.withColumn("__salt", salt).withColumn("__r1", F.row_number().over(w1))
+              .where(F.col("__r1") <= F.lit(k)))
+    out = stage1.drop("__salt", "__r1").withColumn(rank_name, F.row_number().over(w2)) \
+        .where(F.col(rank_name) <= F.lit(k))
+    return out if bound is None else out.where(F.col(rank_name) <= bound)

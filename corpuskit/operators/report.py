@@ -2,7 +2,7 @@
 
 Inputs are long tables ``truth(doc_id, label)`` and ``pred(doc_id, label)``
 (multi-label) or one label per document (single-label). A metric whose
-denominator is zero is 0. Ratios are rounded to 6 digits.
+denominator is zero is 0. Ratios are rounded to 6 digits once, at output.
 """
 
 from __future__ import annotations
@@ -42,6 +42,11 @@ def _outcomes(truth: DataFrame, pred: DataFrame) -> DataFrame:
 
 def per_class(truth: DataFrame, pred: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """``(label, precision, recall, f1, support)``; classes default to all labels seen."""
+    return _round(_class_metrics(truth, pred, classes))
+
+
+def _class_metrics(truth: DataFrame, pred: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """J1 before rounding: averages are taken from these."""
     o = _outcomes(truth, pred)
     agg = o.groupBy("label").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
                                  F.sum("fn").alias("fn"))
@@ -49,7 +54,7 @@ def per_class(truth: DataFrame, pred: DataFrame, classes: DataFrame | None = Non
         agg = classes.select("label").join(agg, "label", "left").na.fill(0, ["tp", "fp", "fn"])
     out = agg.select("label", *_metrics(F.col("tp"), F.col("fp"), F.col("fn")),
                      (F.col("tp") + F.col("fn")).cast("long").alias("support"))
-    return _round(out)
+    return out
 
 
 def micro_avg(truth: DataFrame, pred: DataFrame) -> DataFrame:
@@ -61,13 +66,17 @@ def micro_avg(truth: DataFrame, pred: DataFrame) -> DataFrame:
                            (F.col("tp") + F.col("fn")).cast("long").alias("support")))
 
 
-def macro_weighted_avg(per_class_df: DataFrame) -> DataFrame:
+def macro_weighted_avg(truth: DataFrame, pred: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """Macro and support-weighted averages over all classes (two rows)."""
+    return _averages(_class_metrics(truth, pred, classes))
+
+
+def _averages(metrics: DataFrame) -> DataFrame:
     s = F.sum("support")
-    macro = per_class_df.agg(F.lit("macro avg").alias("avg"), F.avg("precision").alias("precision"),
-                             F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
-                             s.cast("long").alias("support"))
-    weighted = per_class_df.agg(
+    macro = metrics.agg(F.lit("macro avg").alias("avg"), F.avg("precision").alias("precision"),
+                        F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
+                        s.cast("long").alias("support"))
+    weighted = metrics.agg(
         F.lit("weighted avg").alias("avg"),
         *[_ratio(F.sum(F.col(m) * F.col("support")), s.cast("double")).alias(m)
           for m in ("precision", "recall", "f1")],
@@ -88,34 +97,57 @@ def samples_avg(truth: DataFrame, pred: DataFrame, docs: DataFrame) -> DataFrame
     return _round(out)
 
 
+def _single_label(truth: DataFrame, pred: DataFrame) -> DataFrame:
+    """``(doc_id, t, p)``; a document without a prediction has none, and so a wrong one."""
+    return truth.select("doc_id", F.col("label").alias("t")).join(
+        pred.select("doc_id", F.col("label").alias("p")), "doc_id", "left")
+
+
+def _single_label_metrics(joined: DataFrame) -> DataFrame:
+    labels = F.filter(F.array_distinct(F.array("t", "p")), lambda x: x.isNotNull())
+    ex = joined.select("t", "p", F.explode(labels).alias("label"))
+    is_t = F.coalesce(F.col("t") == F.col("label"), F.lit(False))
+    is_p = F.coalesce(F.col("p") == F.col("label"), F.lit(False))
+    per = ex.groupBy("label").agg(F.sum((is_t & is_p).cast("int")).alias("tp"),
+                                  F.sum((~is_t & is_p).cast("int")).alias("fp"),
+                                  F.sum((is_t & ~is_p).cast("int")).alias("fn"))
+    return per.select("label", *_metrics(F.col("tp"), F.col("fp"), F.col("fn")),
+                      (F.col("tp") + F.col("fn")).cast("long").alias("support"))
+
+
 def multiclass_report(truth: DataFrame, pred: DataFrame) -> DataFrame:
     """Single-label report: per-class rows plus ``accuracy`` in every row."""
-    j = truth.select("doc_id", F.col("label").alias("t")).join(
-        pred.select("doc_id", F.col("label").alias("p")), "doc_id")
-    acc = j.agg(F.avg((F.col("t") == F.col("p")).cast("double")).alias("accuracy"))
-    ex = j.select("t", "p", F.explode(F.array_distinct(F.array("t", "p"))).alias("label"))
-    per = ex.groupBy("label").agg(
-        F.sum(((F.col("t") == F.col("label")) & (F.col("p") == F.col("label"))).cast("int")).alias("tp"),
-        F.sum(((F.col("t") != F.col("label")) & (F.col("p") == F.col("label"))).cast("int")).alias("fp"),
-        F.sum(((F.col("t") == F.col("label")) & (F.col("p") != F.col("label"))).cast("int")).alias("fn"))
-    out = per.select("label", *_metrics(F.col("tp"), F.col("fp"), F.col("fn")),
-                     (F.col("tp") + F.col("fn")).cast("long").alias("support"))
     from corpuskit.operators.text import with_scalar
 
-    return _round(with_scalar(out, acc), ("precision", "recall", "f1", "accuracy"))
+    j = _single_label(truth, pred)
+    right = F.coalesce(F.col("t") == F.col("p"), F.lit(False)).cast("double")
+    return _round(with_scalar(_single_label_metrics(j), j.agg(F.avg(right).alias("accuracy"))),
+                  ("precision", "recall", "f1", "accuracy"))
+
+
+def multiclass_averages(truth: DataFrame, pred: DataFrame) -> DataFrame:
+    """The macro and weighted rows of the single-label report."""
+    return _averages(_single_label_metrics(_single_label(truth, pred)))
+
 
+def named(report: DataFrame, names: DataFrame, label: str = "label") -> DataFrame:
+    """Attach readable names ``names(label, name)`` to a report; rows without one keep NULL."""
+    own = names.select(F.col("label").alias("__label"), "name")
+    return report.join(own, report[label] == own["__label"], "left").drop("__label")
 
-def named(per_class_df: DataFrame, names: DataFrame) -> DataFrame:
-    """Attach readable names ``names(label, name)`` to a per-class report."""
-    return per_class_df.join(names.select("label", "name"), "label", "left")
 
+def classification_report(truth: DataFrame, pred: DataFrame, docs: DataFrame,
+                          classes: DataFrame | None = None, names: DataFrame | None = None) -> DataFrame:
+    """Everything of the multi-label report in one frame: classes, then averages.
 
-def classification_report(truth: DataFrame, pred: DataFrame, docs: DataFrame) -> DataFrame:
-    """Everything of the multi-label report in one frame: classes, then averages."""
-    pc = per_class(truth, pred)
-    avgs = micro_avg(truth, pred).unionByName(macro_weighted_avg(pc)) \
+    ``classes(label)`` are all categories of the field, so that those without truth and
+    prediction count in the averages; ``names`` adds a readable name to the class rows.
+    """
+    pc = per_class(truth, pred, classes)
+    avgs = micro_avg(truth, pred).unionByName(macro_weighted_avg(truth, pred, classes)) \
         .unionByName(samples_avg(truth, pred, docs))
-    return pc.withColumnRenamed("label", "avg").unionByName(avgs)
+    out = pc.withColumnRenamed("label", "avg").unionByName(avgs)
+    return out if names is None else named(out, names, "avg")
 
 
 # Field -> evaluation function (multi-label report for the default fields)

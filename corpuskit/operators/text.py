@@ -4,14 +4,14 @@ Tokens are an ``ARRAY<STRING>`` column of ``docs``. The linguistic model of the
 original (lemmas, tags, sentence splitter, language detector) is an external
 per-row library; here tokenisation is a regular expression, the language is a
 stop-word vote, tags are token classes, and each step accepts a caller-supplied
-replacement (a Column function or a pandas UDF) where a model is wanted.
+replacement: a Column function, or a column that a pandas UDF has filled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.operators.corpus import Corpus, filter_tokens, subset_docs, subset_vocab
@@ -19,7 +19,6 @@ from corpuskit.operators.ordinal import with_ordinal
 
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 SENTENCE_PATTERN = r"[.!?\n]+"
-BOW_CAP = 255
 
 # --- fixed values: stop words for the language vote ---------------------------
 STOPWORDS = {
@@ -39,23 +38,22 @@ def tokenise(docs: DataFrame, text_col: str = "raw_text", out: str = "tokens",
     return docs.withColumn(out, col)
 
 
-def stopword_table(spark, stopwords: dict[str, Iterable[str]] = STOPWORDS) -> DataFrame:
-    rows = [(w, lang) for lang, words in stopwords.items() for w in words]
-    return spark.createDataFrame(rows, "word string, lang string")
-
-
 def language_vote(docs: DataFrame, tokens_col: str = "tokens", out: str = "language",
                   stopwords: dict[str, Iterable[str]] = STOPWORDS) -> DataFrame:
     """language = the language whose stop words occur most (ties: smaller code);
-    NULL when no stop word occurs. The stop-word table is a fixed, small broadcast."""
-    sw = F.broadcast(stopword_table(docs.sparkSession, stopwords))
-    ex = docs.select("doc_id", F.explode(tokens_col).alias("word")) \
-        .select("doc_id", F.lower("word").alias("word"))
-    votes = ex.join(sw, "word").groupBy("doc_id", "lang").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("doc_id").orderBy(F.desc("n"), F.asc("lang"))
-    best = votes.withColumn("__r", F.row_number().over(w)).where("__r = 1") \
-        .select("doc_id", F.col("lang").alias("__lang"))
-    return docs.join(best, "doc_id", "left").withColumn(out, F.col("__lang")).drop("__lang")
+    NULL when no stop word occurs. Counted inside each row, without a shuffle."""
+    lower = F.transform(F.coalesce(F.col(tokens_col), F.array().cast("array<string>")), F.lower)
+
+    def votes(words: Column) -> Column:
+        def count(own: list[str]) -> Column:
+            return F.size(F.filter(words, lambda w: w.isin(own)))
+
+        # the least of the negated counts, then the smaller code
+        return F.array_min(F.array(*[F.struct((-count(list(own))).alias("n"), F.lit(lang).alias("lang"))
+                                     for lang, own in stopwords.items()]))
+
+    best = F.get(F.transform(F.array(lower), votes), 0)
+    return docs.withColumn(out, F.when(best["n"] < 0, best["lang"]))
 
 
 def keep_language(corpus: Corpus, language: str = "de") -> Corpus:
@@ -63,53 +61,69 @@ def keep_language(corpus: Corpus, language: str = "de") -> Corpus:
     return subset_docs(corpus, corpus.docs.where(F.col("language") == language).select("doc_id"))
 
 
-def _regroup(kept: DataFrame, docs: DataFrame, col: str) -> DataFrame:
-    regrouped = kept.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("__pos", "word"))).alias("__t"))
-    regrouped = regrouped.select("doc_id", F.transform("__t", lambda s: s["word"]).alias("__new"))
-    return (docs.join(regrouped, "doc_id", "left")
-            .withColumn(col, F.coalesce(F.col("__new"), F.array().cast("array<string>")))
-            .drop("__new"))
-
-
 def repetition_filter(docs: DataFrame, min_rep_count: int = 3, post_filter_count: int = 1,
                       col: str = "tokens") -> DataFrame:
-    """Runs of >= ``min_rep_count`` identical tokens are cut to their first
+    """Runs of at least ``min_rep_count`` identical tokens keep their first
     ``post_filter_count`` tokens.
 
-    Gaps-and-islands over (doc, position): a run starts where the token differs
-    from its predecessor; a running sum numbers the runs.
+    Inside each row: a run starts where a token differs from the one before; each run is
+    sliced to its new length, and the slices are joined again.
     """
     if min_rep_count < 2:
-        raise ValueError(f"min_rep_count must be at least 2! Was: {min_rep_count}")
+        raise ValueError(f"a run has two tokens or more, got min_rep_count={min_rep_count}")
     if post_filter_count > min_rep_count:
-        raise ValueError("post_filter_count must not be larger than min_rep_count!")
-    ex = docs.select("doc_id", F.posexplode(col).alias("__pos", "word"))
-    w = Window.partitionBy("doc_id").orderBy("__pos")
-    prev = F.lag("word").over(w)
-    ex = ex.withColumn("__new", F.when(prev.isNull() | (prev != F.col("word")), 1).otherwise(0))
-    ex = ex.withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    wr = Window.partitionBy("doc_id", "__run")
-    ex = ex.withColumn("__len", F.count(F.lit(1)).over(wr)) \
-        .withColumn("__rank", F.col("__pos") - F.min("__pos").over(wr))
-    kept = ex.where((F.col("__len") < min_rep_count) | (F.col("__rank") < post_filter_count))
-    return _regroup(kept.select("doc_id", "__pos", "word"), docs, col)
+        raise ValueError(f"cannot keep {post_filter_count} tokens of runs that may have {min_rep_count}")
+
+    def shortened(words: Column) -> Column:
+        n = F.size(words)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | ~F.get(words, i).eqNullSafe(F.get(words, i - 1)))
+
+        def cut(at: Column) -> Column:
+            ends = F.concat(F.slice(at, F.lit(2), n), F.array(n))
+            return F.flatten(F.zip_with(at, ends, lambda a, e: F.slice(
+                words, a + 1, F.when(e - a >= min_rep_count, F.lit(post_filter_count)).otherwise(e - a))))
+
+        return F.get(F.transform(F.array(starts), cut), 0)
+
+    return docs.withColumn(col, F.when(F.size(col) > 0, F.get(F.transform(F.array(F.col(col)), shortened), 0))
+                           .otherwise(F.col(col)))
 
 
 def token_class(word: Column) -> Column:
-    """Default tagger: NUM for digits only, X for a single character, WORD otherwise."""
+    """Default tagger: NUM for digits only, CHAR for a single character, WORD otherwise.
+
+    These classes share no name with part-of-speech tags.
+    """
     return F.when(word.rlike(r"^\p{N}+$"), F.lit("NUM")) \
-        .when(F.length(word) == 1, F.lit("X")).otherwise(F.lit("WORD"))
+        .when(F.length(word) == 1, F.lit("CHAR")).otherwise(F.lit("WORD"))
 
 
 def drop_tags(docs: DataFrame, excluded: Iterable[str], tagger: Callable[[Column], Column] = token_class,
-              col: str = "tokens") -> DataFrame:
-    """Remove tokens whose tag is excluded (row-local, order kept)."""
+              col: str = "tokens", tagged_col: str | None = None) -> DataFrame:
+    """Remove tokens whose tag is excluded (row-local, order kept).
+
+    ``tagged_col`` names an ``array<struct<token, tag>>`` column from a tagger that saw the
+    whole text (a pandas UDF, say); without it ``tagger`` gives a Column per token.
+    """
     excluded = list(excluded)
+    if tagged_col is not None:
+        kept = F.filter(tagged_col, lambda x: ~F.coalesce(x["tag"].isin(*excluded), F.lit(False)))
+        return docs.withColumn(col, F.transform(kept, lambda x: x["token"]))
     return docs.withColumn(col, F.filter(col, lambda w: ~F.coalesce(tagger(w).isin(*excluded),
                                                                      F.lit(False))))
 
 
+#: A token pipeline: each step takes and returns the documents.
+TokenStep = Callable[[DataFrame], DataFrame]
+
+
+def run_pipeline(docs: DataFrame, steps: Iterable[TokenStep]) -> DataFrame:
+    """Apply the steps in order."""
+    for step in steps:
+        docs = step(docs)
+    return docs
+
+
 def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
     """Attach a one-row aggregate to every row (a broadcast of one row)."""
     return df.withColumn("__one", F.lit(1)).join(
@@ -152,8 +166,9 @@ def drop_short_docs(corpus: Corpus, min_tokens: int = 20) -> Corpus:
     return subset_docs(corpus, corpus.docs.where(F.size("tokens") >= min_tokens).select("doc_id"))
 
 
-def bag_of_words(corpus: Corpus, words: DataFrame | None = None) -> Corpus:
-    """``bow(doc_id, word, n)`` with n capped at 255, and ``vocab(word, idx)``.
+def bag_of_words(corpus: Corpus, words: DataFrame | None = None, max_count: int | None = None) -> Corpus:
+    """``bow(doc_id, word, n)`` and ``vocab(word, idx)``; ``max_count`` caps n
+    (for one-byte storage), by default it is the true count.
 
     With ``words`` the vocabulary is given: unknown words are ignored, unused words
     stay in ``vocab`` (zero columns), and tokens are synced to it (G12).
@@ -164,8 +179,9 @@ def bag_of_words(corpus: Corpus, words: DataFrame | None = None) -> Corpus:
         ex = ex.join(vocab_words, "word", "left_semi")
     else:
         vocab_words = ex.select("word").distinct()
+    count = F.count(F.lit(1))
     bow = ex.groupBy("doc_id", "word").agg(
-        F.least(F.count(F.lit(1)), F.lit(BOW_CAP)).cast("int").alias("n"))
+        (count if max_count is None else F.least(count, F.lit(max_count))).cast("int").alias("n"))
     vocab = with_ordinal(vocab_words, ["word"], "idx").select(
         "word", F.col("idx").cast("int").alias("idx"))
     out = corpus.with_(bow=bow, vocab=vocab)

@@ -2,22 +2,21 @@
 
 Vocabulary documents are nested concept trees (``hasTopConcept`` / ``narrower``).
 They may be one document or many fragments whose union is the vocabulary; either
-way the expansion is a recursive CTE, one row per (node occurrence), so no node
+way the expansion goes level by level, one row per (node occurrence), so no node
 list is gathered in one place. Outputs are edge tables rather than per-node lists.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.functions.paths import split_path
+from corpuskit.session import materialize
 
 SUBCATEGORY_FIELDS = ("narrower", "hasTopConcept")
-_view_ids = itertools.count()
 
 
 def _json_path(seq: Sequence[str]) -> str:
@@ -30,32 +29,34 @@ def _json_path(seq: Sequence[str]) -> str:
 
 def concept_nodes(vocab: DataFrame, id_seq: Sequence[str] | str = ("id",),
                   label_seq: Sequence[str] | str = ("prefLabel", "de"),
-                  subcategory_fields: Sequence[str] = SUBCATEGORY_FIELDS,
-                  max_depth: int = 64, col: str = "v") -> DataFrame:
+                  subcategory_fields: Sequence[str] = SUBCATEGORY_FIELDS, col: str = "v") -> DataFrame:
     """``(id, label, parent, depth)`` for every node occurrence reachable through
-    the subcategory fields (roots have NULL parent)."""
+    the subcategory fields (roots have NULL parent).
+
+    The trees are walked level by level: each level's nodes are written and read back,
+    so the plan of a level doesn't grow with its depth, and the walk ends with the first
+    empty level. A JSON tree is finite, so no depth limit is needed.
+    """
     id_seq = split_path(id_seq) if isinstance(id_seq, str) else tuple(id_seq)
     label_seq = split_path(label_seq) if isinstance(label_seq, str) else tuple(label_seq)
-    spark = vocab.sparkSession
-    view = f"__ck_vocab_{next(_view_ids)}"
-    vocab.select(F.col(col).alias("v")).createOrReplaceTempView(view)
-    kids = ", ".join(
-        f"coalesce(try_variant_get(n.node, '{_json_path([f])}', 'array<variant>'), "
-        f"CAST(array() AS array<variant>))" for f in subcategory_fields)
     idp, labp = _json_path(id_seq), _json_path(label_seq)
-    return spark.sql(f"""
-        WITH RECURSIVE nodes(node, parent, depth) AS (
-          SELECT v, CAST(NULL AS STRING), 0 FROM {view} WHERE v IS NOT NULL
-          UNION ALL
-          SELECT c.child, try_variant_get(n.node, '{idp}', 'string'), n.depth + 1
-          FROM nodes n LATERAL VIEW explode(concat({kids})) c AS child
-          WHERE n.depth < {int(max_depth)}
-        )
-        SELECT try_variant_get(node, '{idp}', 'string') AS id,
-               try_variant_get(node, '{labp}', 'string') AS label,
-               parent, depth
-        FROM nodes
-    """)
+    none = F.array().cast("array<variant>")
+    kids = F.concat(*[F.coalesce(F.try_variant_get("node", _json_path([f]), "array<variant>"), none)
+                      for f in subcategory_fields])
+    level = vocab.where(F.col(col).isNotNull()).select(
+        F.col(col).alias("node"), F.lit(None).cast("string").alias("parent"))
+    found, depth = None, 0
+    while True:
+        level = materialize(level.select(
+            F.try_variant_get("node", idp, "string").alias("id"),
+            F.try_variant_get("node", labp, "string").alias("label"), "parent",
+            F.lit(depth).alias("depth"), kids.alias("kids")), "concepts")
+        rows = level.select("id", "label", "parent", "depth")
+        found = rows if found is None else found.unionByName(rows)
+        if level.where(F.size("kids") > 0).isEmpty():
+            return found
+        level = level.select(F.explode("kids").alias("node"), F.col("id").alias("parent"))
+        depth += 1
 
 
 def children_map(nodes: DataFrame) -> DataFrame:

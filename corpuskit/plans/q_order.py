@@ -239,22 +239,22 @@ def eval_micro(spark, sf):
 
 
 @query("eval_macro", WP + """
-SELECT 'macro avg' AS avg, round(avg(round(p, 6)), 6) AS precision, round(avg(round(r, 6)), 6) AS recall,
-       round(avg(round(f1, 6)), 6) AS f1, CAST(sum(support) AS BIGINT) AS support FROM pcf""")
+SELECT 'macro avg' AS avg, round(avg(p), 6) AS precision, round(avg(r), 6) AS recall,
+       round(avg(f1), 6) AS f1, CAST(sum(support) AS BIGINT) AS support FROM pcf""")
 def eval_macro(spark, sf):
     _, truth, pred = _preds(spark, sf)
-    return R.macro_weighted_avg(R.per_class(truth, pred)).where(F.col("avg") == "macro avg")
+    return R.macro_weighted_avg(truth, pred).where(F.col("avg") == "macro avg")
 
 
 @query("eval_weighted", WP + """
 SELECT 'weighted avg' AS avg,
-       round(sum(round(p, 6) * support) / sum(support), 6) AS precision,
-       round(sum(round(r, 6) * support) / sum(support), 6) AS recall,
-       round(sum(round(f1, 6) * support) / sum(support), 6) AS f1, CAST(sum(support) AS BIGINT) AS support
+       round(sum(p * support) / sum(support), 6) AS precision,
+       round(sum(r * support) / sum(support), 6) AS recall,
+       round(sum(f1 * support) / sum(support), 6) AS f1, CAST(sum(support) AS BIGINT) AS support
 FROM pcf""")
 def eval_weighted(spark, sf):
     _, truth, pred = _preds(spark, sf)
-    return R.macro_weighted_avg(R.per_class(truth, pred)).where(F.col("avg") == "weighted avg")
+    return R.macro_weighted_avg(truth, pred).where(F.col("avg") == "weighted avg")
 
 
 @query("eval_samples", WP + """
@@ -306,4 +306,42 @@ def eval_named(spark, sf):
     return R.named(R.per_class(truth, pred), names)
 
 
-__all__ = ["RCORPUS"]
+@query("eval_multiclass_averages", with_(MULTI) + """
+SELECT kind AS avg, round(p, 6) AS precision, round(r, 6) AS recall, round(f1, 6) AS f1, support
+FROM (SELECT avg(p) AS p, avg(r) AS r, avg(f1) AS f1, CAST(sum(support) AS BIGINT) AS support, 'macro avg' AS kind FROM mf
+      UNION ALL SELECT sum(p * support) / sum(support), sum(r * support) / sum(support),
+                       sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT), 'weighted avg' FROM mf)""".replace(
+    "FROM mf", """FROM (SELECT p, r, CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END AS f1, support
+      FROM (SELECT CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p,
+                   CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r, tp + fn AS support FROM cnt))"""))
+def eval_multiclass_averages(spark, sf):
+    truth, pred = FX.single_label_preds(spark, sf)
+    return R.multiclass_averages(truth, pred)
+
+
+REPORT_CLASSES = ("quality", "toxic", "spam")  # the last one occurs nowhere
+
+
+@query("classification_report", WP + """,
+allpc AS (SELECT c.label, coalesce(p, 0.0) AS p, coalesce(r, 0.0) AS r, coalesce(f1, 0.0) AS f1, coalesce(support, 0) AS support
+          FROM (VALUES ('quality'), ('toxic'), ('spam')) c(label) LEFT JOIN pcf ON pcf.label = c.label),
+tot AS (SELECT CAST(sum(tp) AS DOUBLE) AS tp, CAST(sum(fp) AS DOUBLE) AS fp, CAST(sum(fn) AS DOUBLE) AS fn FROM outc),
+perdoc AS (SELECT CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p,
+                  CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r, tp + fn AS support
+           FROM (SELECT b.doc_id, CAST(coalesce(sum(o.tp), 0) AS DOUBLE) AS tp, CAST(coalesce(sum(o.fp), 0) AS DOUBLE) AS fp,
+                        CAST(coalesce(sum(o.fn), 0) AS DOUBLE) AS fn
+                 FROM pbase b LEFT JOIN outc o ON o.doc_id = CAST(b.doc_id AS VARCHAR) GROUP BY b.doc_id)),
+lines AS (
+  SELECT label AS avg, p, r, f1, support FROM allpc
+  UNION ALL SELECT 'micro avg', tp / (tp + fp), tp / (tp + fn), 2.0 * tp / (2.0 * tp + fp + fn), CAST(tp + fn AS BIGINT) FROM tot
+  UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f1), CAST(sum(support) AS BIGINT) FROM allpc
+  UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support),
+                   sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM allpc
+  UNION ALL SELECT 'samples avg', avg(p), avg(r), avg(CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END),
+                   CAST(sum(support) AS BIGINT) FROM perdoc)
+SELECT avg, round(p, 6) AS precision, round(r, 6) AS recall, round(f1, 6) AS f1, support,
+       CASE WHEN avg IN ('quality', 'toxic', 'spam') THEN upper(avg) END AS name FROM lines""")
+def classification_report(spark, sf):
+    docs, truth, pred = _preds(spark, sf)
+    classes = spark.createDataFrame([(c,) for c in REPORT_CLASSES], "label string")
+    return R.classification_report(truth, pred, docs, classes, classes.select("label", F.upper("label").alias("name")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.fields import Fields, LANGUAGE_REMAPPED, PROTOCOL_FIELD
 from corpuskit.functions import predicates as P
-from corpuskit.functions.paths import get_in, leaf_paths, t_first_string, t_is_list, t_scalar, \
+from corpuskit.functions.paths import get_in, leaf_paths, sampled_leaf_paths, t_first_string, t_is_list, t_scalar, \
     t_string, t_strings, t_vals, terminal
 from corpuskit.functions.variant import is_string, vstr
 from corpuskit.plans.oracle_views import CATALOGUE, HAS_TEXT, PUBLIC, REC, with_
@@ -133,14 +133,10 @@ def leaf_paths_q(spark, sf):
 
 @query("discover_fields", """
 SELECT path, CAST(depth AS INTEGER) AS depth FROM (VALUES ('event_id', 1), ('event_type', 1), ('props.k', 2)) t(path, depth)
-WHERE EXISTS (SELECT 1 FROM events WHERE event_id % 10 = 0)""")
+WHERE EXISTS (SELECT 1 FROM events WHERE ('0x' || substr(md5(event_id::VARCHAR), 1, 13))::BIGINT < 0.1 * 4503599627370496)""")
 def discover_fields(spark, sf, rate: float = 0.1):
-    """Leaf paths of every ceil(1/rate)-th record, shortest first."""
-    import math
-
-    k = math.ceil(1 / rate)
-    ev = FX.rec_events(spark, sf).where(F.col("event_id") % k == 0)
-    return leaf_paths(ev).orderBy(F.length("path"), "path")
+    """Leaf paths of a tenth of the records, shortest first."""
+    return sampled_leaf_paths(FX.rec_events(spark, sf), rate, "event_id").orderBy(F.length("path"), "path")
 
 
 @query("project_alias", W + "SELECT id AS doc, proto, CAST(len(taxon) AS BIGINT) AS n_taxa FROM rec")
@@ -268,9 +264,8 @@ def repair_path(spark, sf):
 @query("repair_scalar", W + """
 SELECT id, CASE WHEN lang = 'es' THEN NULL ELSE lang END AS lang FROM rec WHERE NOT lang_list""")
 def repair_scalar(spark, sf):
-    recs = FX.rec_docs(spark, sf).where(F.col("doc_id") % 2 == 0)
-    t = extract_table(recs, {"id": ID, "lang": LANG}, dropped_values={LANG: {"es"}},
-                      remapped_values={LANG: LANGUAGE_REMAPPED})
+    t = extract_table(FX.rec_docs(spark, sf), {"id": ID, "lang": LANG}, dropped_values={LANG: {"es"}},
+                      remapped_values={LANG: LANGUAGE_REMAPPED}).where(~t_is_list(F.col("lang")))
     return t.select(t_string(F.col("id")).alias("id"), t_string(F.col("lang")).alias("lang"))
 
 
@@ -279,9 +274,8 @@ SELECT id, CAST(len(l) AS BIGINT) AS n_vals, array_to_string(l, '|') AS vals
 FROM (SELECT id, list_filter(CASE WHEN lang_two THEN [lang, 'en'] ELSE [lang] END, lambda x: x <> 'es') AS l
       FROM rec WHERE lang_list)""")
 def repair_list(spark, sf):
-    recs = FX.rec_docs(spark, sf).where(F.col("doc_id") % 2 == 1)
-    t = extract_table(recs, {"id": ID, "lang": LANG}, dropped_values={LANG: {"es"}},
-                      remapped_values={LANG: LANGUAGE_REMAPPED})
+    t = extract_table(FX.rec_docs(spark, sf), {"id": ID, "lang": LANG}, dropped_values={LANG: {"es"}},
+                      remapped_values={LANG: LANGUAGE_REMAPPED}).where(t_is_list(F.col("lang")))
     return t.select(t_string(F.col("id")).alias("id"), F.size(t_vals(F.col("lang"))).cast("long")
                     .alias("n_vals"), _joined(F.col("lang")).alias("vals"))
 

@@ -96,7 +96,7 @@ def repetition(spark, sf):
 @query("drop_tags", summary_sql(r"""
 kept AS (SELECT * FROM tok WHERE NOT (regexp_full_match(word, '[\p{N}]+') OR length(word) = 1))""", TOK))
 def drop_tags(spark, sf):
-    return token_summary(T.drop_tags(text_corpus(spark, sf).docs, ["NUM", "X"]))
+    return token_summary(T.drop_tags(text_corpus(spark, sf).docs, ["NUM", "CHAR"]))
 
 
 @query("df_interval", summary_sql("""
@@ -127,7 +127,7 @@ def drop_short_docs(spark, sf):
 
 
 BOW = """
-bow AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, word, CAST(least(count(*), 255) AS INTEGER) AS n
+bow AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, word, CAST(count(*) AS INTEGER) AS n
         FROM tok GROUP BY doc_id, word)"""
 
 

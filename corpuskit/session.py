@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,20 +44,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only in local mode (tests, a laptop) is an
-    unset value replaced by a private folder; on a cluster it is an error.
+    The cluster's setting always wins. Where it is unset, a folder inside the session's
+    warehouse is used, which every executor of a session shares as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if jdir.isDefined():
-            root = jdir.get()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="corpuskit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+        root = jdir.get() if jdir.isDefined() else \
+            spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -79,18 +74,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (used only by tests reading exports back)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def materialize(df, name: str = "table"):
     """Write ``df`` as parquet below the shared checkpoint folder and read it back.
 
@@ -101,3 +84,14 @@ def materialize(df, name: str = "table"):
     path = staging_path(df.sparkSession, "tables", name, unique=True)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_materialized(*frames) -> None:
+    """Delete tables written by :func:`materialize` that no frame in use reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        own = staging_path(spark, "tables")
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if own.split(":", 1)[-1].lstrip("/") in path:
+                jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)

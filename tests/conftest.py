@@ -14,10 +14,9 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from corpuskit.session import get_spark
 
-    s = get_spark("local[4]", 4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="corpuskit-test-ckpt-"))
-    yield s
+    folder = tempfile.mkdtemp(prefix="corpuskit-test-")  # one machine: local mode shares it
+    yield get_spark("local[4]", 4, extra={"spark.checkpoint.dir": folder + "/checkpoints",
+                                          "spark.sql.warehouse.dir": folder + "/warehouse"})
 
 
 @pytest.fixture(scope="session")

@@ -39,14 +39,15 @@ def test_subsets_keep_columns_and_rerank(spark, sf):
         pass
 
 
-def test_bow_length_law_and_cap(spark, sf):
+def test_bow_length_law_and_true_counts(spark, sf):
     c = T.bag_of_words(text_corpus(spark, sf))
     lens = {r.doc_id: r.n for r in c.bow.groupBy("doc_id").agg(F.sum("n").alias("n")).collect()}
     toks = {r.doc_id: len(r.tokens) for r in c.docs.collect()}
     for d, n in toks.items():
-        if n:
-            assert lens[d] <= n
-    assert c.bow.where("n > 255").count() == 0
+        assert lens.get(d, 0) == n
+    one = c.with_(docs=spark.createDataFrame([("d", "x " * 300, ["x"] * 300)], "doc_id string, raw_text string, tokens array<string>"))
+    assert T.bag_of_words(one).bow.first().n == 300
+    assert T.bag_of_words(one, max_count=255).bow.first().n == 255
 
 
 def test_repetition_filter_example(spark):

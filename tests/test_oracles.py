@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from corpuskit.plans.registry import ORACLES, QUERIES  # filled by the entry module
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -41,11 +42,12 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_is_iterative():
-    missing = set(queries()) - set(oracle_sql())
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
+    missing = set(QUERIES) - set(ORACLES)
     assert missing <= {"job_training", "job_candidates", "job_publish", "job_review"}
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(oracle_sql()) & set(ORACLES) - SKIP))
 def test_query_matches_oracle(spark, sf, con, name):
     df = queries()[name](spark, sf)
     res = con.execute(oracle_sql()[name])
