@@ -1,0 +1,322 @@
+"""Rules, classifier, token files, pieces, surrogates and the pipeline."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from corpuskit.llm import isolation_rules, range_coder, sentence_pieces, surrogates, token_files, zstd_classifier
+from corpuskit.llm.q_text import BYTE_BPE, END_ID, PIECES
+
+RNG = random.Random(8)
+STRANGE = ["", " ", "  a  b ", "x\x00y", "日本語 テキスト 😀", "a▁b", "\n\n\t", "éééé " * 30, "=-=-====", "<|endoftext|> a <|endoftext|>",
+           "don't 'll ' s", "a \n b\r\n c", "trail   "] + [
+    "".join(RNG.choice("ab  cé1.,'\n日▁-") for _ in range(RNG.randrange(60))) for _ in range(300)]
+
+
+# --- isolation rules ---------------------------------------------------------------
+
+def _counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i: i + 5]) for i in range(len(words) - 4))
+    twice = {i + k for i in range(len(words) - 4) if windows[tuple(words[i: i + 5])] > 1 for k in range(5)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(twice))
+
+
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def test_rules_equal_brute_force(spark, tables):
+    docs = tables("documents")
+    rows = isolation_rules.quality_rules(docs, tables("labels")).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in rows:
+        want = _counts(texts[r.doc_id])
+        assert tuple(r[c] for c in BASE) == want
+        assert r.base_failed == (want[0] < 10 or 100 * want[4] > 20 * want[0])
+        assert not (r.kept and r.base_failed)
+    quality = {r.doc_id: r.quality for r in tables("labels").collect()}
+    kept = {q: [r.kept for r in rows if quality.get(r.doc_id) == q and not r.base_failed] for q in (0, 1)}
+    assert np.mean(kept[1]) >= 0.99 and np.mean(kept[0]) <= 0.2
+
+
+def test_rules_strange_texts():
+    for t in [*STRANGE, "a b c d e " * 9, "q w e r t y q w e r t", "l1\nl2\nl1\n \nl2\n\n"]:
+        got = isolation_rules.statistics(t.encode("utf-8"))
+        assert got[:5] == _counts(t), t
+
+
+def test_forest_isolates_outliers():
+    x = np.zeros((2000, 3))
+    x[:20, 1] = np.linspace(1, 2, 20)
+    paths = isolation_rules.grow(x[np.random.default_rng(0).permutation(2000)]).paths(x)
+    assert paths[:20].max() < paths[20:].min()
+
+
+def test_rules_odd_rows(spark, odd, odd_rows, empty):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (99, 1), (4, None)], "doc_id long, quality int")
+    rows = isolation_rules.quality_rules(odd, labels).collect()
+    assert Counter((r.doc_id, *[r[c] for c in BASE]) for r in rows) == Counter((i, *_counts(t)) for i, t in odd_rows)
+    none = isolation_rules.quality_rules(odd, labels.limit(0)).collect()  # no labels: only the base rule
+    assert all(r.kept != r.base_failed for r in none)
+    assert isolation_rules.quality_rules(empty, labels).count() == 0
+
+
+# --- compression classifier ------------------------------------------------------------
+
+def test_classifier_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = zstd_classifier.fit(docs, labels)
+    rows = (zstd_classifier.score(docs.select("doc_id", "text"), model).where(zstd_classifier.held_out(F.col("doc_id")))
+            .join(labels, "doc_id").select("quality", "score", "predicted").collect())
+    good = np.array([r.score for r in rows if r.quality == 1])
+    bad = np.array([r.score for r in rows if r.quality == 0])
+    assert len(bad) > 50 and (good[:, None] > bad[None, :]).mean() > 0.95  # area under the curve
+    assert np.mean([r.predicted == 1 for r in rows if r.quality == 1]) > 0.97
+    both = np.concatenate([good, bad])
+    assert abs(both.mean() - len(good) / len(both)) < 0.05  # calibrated
+    assert all((r.predicted == 1) == (r.score >= 0.3) and 0 <= r.score <= 1 for r in rows)
+
+
+def test_held_out_is_by_crc(spark):
+    got = spark.range(200).select("id", zstd_classifier.held_out(F.col("id")).alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
+
+
+def test_classifier_never_reads_held_out_labels(spark, tables):
+    labels = tables("labels")
+    other = labels.withColumn("quality", F.when(zstd_classifier.held_out(F.col("doc_id")), 1 - F.col("quality"))
+                              .otherwise(F.col("quality")))
+    assert zstd_classifier.fit(tables("documents"), labels) == zstd_classifier.fit(tables("documents"), other)
+
+
+def test_classifier_odd_rows(spark, tables, odd, empty):
+    model = zstd_classifier.fit(tables("documents"), tables("labels"))
+    rows = zstd_classifier.score(odd, model).collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    assert {r.score for r in rows if not r.text} == {model.share}
+    assert zstd_classifier.score(empty, model).count() == 0
+    blank = zstd_classifier.fit(odd, spark.createDataFrame([(1, None)], "doc_id long, quality int"))
+    assert not blank.fitted and {r.predicted for r in zstd_classifier.score(odd, blank).collect()} == {1}
+
+
+# --- token files --------------------------------------------------------------------------
+
+@pytest.mark.parametrize("kind", ["text", "random", "one", "short"])
+def test_coder_round_trip(kind):
+    rng = np.random.default_rng(2)
+    blocks = {"text": [rng.zipf(1.3, 700) % 50258 for _ in range(5)], "random": [rng.integers(0, 65536, 900) for _ in range(3)],
+              "one": [np.full(800, 7)], "short": [np.zeros(0, int), np.array([65535]), np.arange(5)]}[kind]
+    coded = range_coder.encode(blocks)
+    for a, b in zip(blocks, range_coder.decode(coded)):
+        assert a.tolist() == b.tolist()
+    for i, c in enumerate(coded):  # blocks stand alone
+        assert range_coder.decode([c])[0].tolist() == blocks[i].tolist()
+    if kind == "one":
+        assert len(coded[0]) < 200
+    if kind == "text":
+        assert len(coded[0]) < 2 * 700
+
+
+def test_coder_sees_damage():
+    coded = bytearray(range_coder.encode([np.arange(500)])[0])
+    coded[range_coder.HEADER.size + 40] ^= 1
+    with pytest.raises(ValueError):
+        range_coder.decode([bytes(coded)])
+
+
+def test_units_equal_the_tokenizer():
+    t = token_files.Tokens(BYTE_BPE)
+    want = [e.ids for e in Tokenizer.from_file(BYTE_BPE).encode_batch(STRANGE, add_special_tokens=False)]
+    assert [x.tolist() for x in t.encode(STRANGE)] == want
+    assert [x.tolist() for x in t.encode(STRANGE[::-1])] == want[::-1]
+
+
+def _written(spark, docs, tmp_path, **kw):
+    token_files.write_tokens(docs, f"file:{tmp_path}/t", BYTE_BPE, END_ID)
+    return token_files.read_tokens(spark, f"file:{tmp_path}/t", **kw).collect()
+
+
+def test_token_files(spark, tables, tmp_path, monkeypatch):
+    docs = tables("documents").limit(60)
+    rows = {r.doc_id: r for r in _written(spark, docs, tmp_path, ids=True)}
+    tokenizer, start = Tokenizer.from_file(BYTE_BPE), 0
+    for d in sorted(docs.collect(), key=lambda r: r.doc_id):
+        ids = np.array([*tokenizer.encode(d.text, add_special_tokens=False).ids, END_ID], "<u4")
+        r = rows.pop(d.doc_id)
+        assert (r.start, r.n_tokens, r.ids_crc32, r.ids) == (start, len(ids), zlib.crc32(ids.tobytes()), ids.tolist())
+        start += len(ids)
+    assert not rows
+
+
+def test_token_files_odd_rows(spark, odd, odd_rows, empty, tmp_path):
+    rows = _written(spark, odd.drop("n", "bands"), tmp_path)
+    sizes = Counter((i, len(Tokenizer.from_file(BYTE_BPE).encode(t or "", add_special_tokens=False).ids) + 1) for i, t in odd_rows)
+    assert Counter((r.doc_id, r.n_tokens) for r in rows) == sizes
+    ends = sorted((r.start, r.start + r.n_tokens) for r in rows)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    ids = [r.doc_id for r in sorted(rows, key=lambda r: r.start)]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    assert _written(spark, empty, tmp_path / "none") == []
+
+
+# --- pieces ----------------------------------------------------------------------------------
+
+def test_pieces_equal_the_library(tables):
+    texts = STRANGE + [r.text for r in tables("documents").limit(80).collect()]
+    texts += ["".join(RNG.choice("aab ht ineor  s") for _ in range(120)) for _ in range(200)]
+    sp, own = sentencepiece.SentencePieceProcessor(model_file=PIECES), sentence_pieces.Encoder(PIECES)
+    for got, want, text in zip(own.encode(texts), sp.encode(texts), texts):
+        assert got.tolist() == want, text
+        assert own.decode(got).decode() == sp.decode(want) == text.replace("▁", " ")
+
+
+def test_pieces_forget_without_harm(monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "MEMORY", 10)
+    monkeypatch.setattr(sentence_pieces, "CHUNK_CHARS", 50)
+    sp, own = sentencepiece.SentencePieceProcessor(model_file=PIECES), sentence_pieces.Encoder(PIECES)
+    for at in range(0, 60, 7):
+        assert [x.tolist() for x in own.encode(STRANGE[at: at + 7])] == sp.encode(STRANGE[at: at + 7])
+
+
+def test_suffix_array_finds_every_piece():
+    m = sentence_pieces.model(PIECES)
+    text = "▁the▁there▁internationalisation"
+    codes = m.code[[ord(c) for c in text]]
+    order, keys, ids, low, high = m.suffixes(codes)
+    lo, hi = m.search(keys, low, False), m.search(keys, high, True)
+    got = {(int(p), int(i)) for i, a, b in zip(ids, lo, hi) for p in order[a:b]}
+    want = {(p, i) for i, s in m.text.items() if m.sound[i] for p in range(len(text)) if text.startswith(s, p)}
+    assert got == want
+
+
+def test_pieces_odd_rows(spark, odd, odd_rows, empty):
+    done = sentence_pieces.encode_documents(odd, PIECES, keep=tuple(odd.columns), back=True)
+    rows = done.collect()
+    assert len(rows) == len(odd_rows) and all(r.round_trip for r in rows if r.text is not None)
+    assert all(r.ids is None and r.n_pieces is None and r.decoded is None for r in rows if r.text is None)
+    assert all(r.ids == [] for r in rows if r.text == "")
+    back = sentence_pieces.decode_documents(done.drop("decoded"), PIECES).collect()
+    assert [r.decoded for r in back] == [r.decoded for r in rows]
+    assert sentence_pieces.encode_documents(empty, PIECES).count() == 0
+
+
+# --- surrogates ---------------------------------------------------------------------------------
+
+LETTER = ("Mail the.72@mail3.example.com or call +1 (017) 555-7713, card 4111111111111111, id 4785380592391131, ip 10.2.3.4 and "
+          '97.51.17.173### token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" Frau Anna Müller came; Müller and ANNA left. '
+          "Mr. John Smith, Herr Иванов. DE89 3704 0044 0532 0130 00 ssn 123-45-6789.")
+
+
+def test_surrogates_keep_type_and_format():
+    new, n, kinds = surrogates.replace(LETTER, "k", {})
+    old = surrogates.entities(LETTER)
+    assert n == len(old) == len(kinds)
+    assert Counter(kinds) == Counter(email=1, phone=1, card=2, ip=2, secret=1, name=7, iban=1, ssn=1)
+    found = surrogates.entities(new)
+    assert [f[2] for f in found] == kinds  # they are entities of the same kinds
+    for a, b in zip(old, found):
+        assert a[3] != b[3]
+        if a[2] != "ip":
+            assert len(a[3]) == len(b[3]) and [c.isdigit() for c in a[3]] == [c.isdigit() for c in b[3]] or a[2] in ("secret", "name")
+            assert [c.isupper() for c in a[3]] == [c.isupper() for c in b[3]] or a[2] == "name"
+    by = {a[3]: b[3] for a, b in zip(old, found)}
+    assert by["ANNA"].capitalize() == by["Anna"] in surrogates.FIRST_NAMES["f"] and by["John"] in surrogates.FIRST_NAMES["m"]
+    assert surrogates._luhn(by["4111111111111111"][:-1]) == int(by["4111111111111111"][-1])
+    assert surrogates._luhn(by["4785380592391131"][:-1]) != int(by["4785380592391131"][-1])
+    assert by["10.2.3.4"].startswith("10.") and by["the.72@mail3.example.com"].endswith(".example.com")
+    assert re.fullmatch(r"[А-Я][а-я]+", by["Иванов"]) and by["Müller"][-1] == "r"
+    assert surrogates.replace(LETTER, "other", {})[0] != new
+
+
+@pytest.mark.parametrize("span", [2, 3, 10, 97, 1000])
+def test_permutation_moves_all(span):
+    got = [surrogates.other(b"k", "x", i, span) for i in range(span)]
+    assert sorted(got) == list(range(span)) and all(a != b for a, b in enumerate(got))
+
+
+def test_different_entities_stay_apart():
+    for kind, values in (("card", [str(4785380592391100 + i) for i in range(500)]),
+                         ("email", [f"{a}{i}@m.example.com" for a in "abcdef" for i in range(100)]),
+                         ("ip", [f"10.0.{i}.{j}" for i in range(20) for j in range(20)]),
+                         ("name", ["".join(x) for x in zip("BCDFGHJKLMNP" * 8, "aeiou" * 19 + "a", "lmnr" * 24)])):
+        values = sorted(set(values))
+        assert len({surrogates.surrogate("s", kind, v) for v in values}) == len(values)
+
+
+def test_collisions_are_rekeyed(spark):
+    """A corpus that holds all one-letter addresses of a host: no surrogate may be one of them."""
+    real = [f"{c}@a.example.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    docs = spark.createDataFrame([(i, f"write {e} today") for i, e in enumerate(real)], "doc_id long, text string")
+    rows = surrogates.pseudonymize(docs, "k").collect()
+    new = [r.text.split()[1] for r in rows]
+    assert not set(new) & set(real) and len(set(new)) == len(real)
+
+
+def test_rekeyed_by_join(spark, monkeypatch):
+    real = [f"{c}@a.example.com" for c in "aeioubcdf"]
+    docs = spark.createDataFrame([(i, f"write {e} today") for i, e in enumerate(real)] + [(99, None)], "doc_id long, text string")
+    want = sorted((r.doc_id, r.text) for r in surrogates.pseudonymize(docs, "k").collect())
+    monkeypatch.setattr(surrogates, "CLOSURE_ROWS", 0)
+    assert sorted((r.doc_id, r.text) for r in surrogates.pseudonymize(docs, "k").collect()) == want
+
+
+def test_documents_lose_their_data(spark, tables):
+    docs = tables("documents")
+    old = {r.doc_id: r.text for r in docs.collect()}
+    pattern = re.compile(r"\S+@\S+\.com|\d{16}|\d+\.\d+\.\d+\.\d+|[0-9a-f]{40}|\+1 \(\d+\) [\d-]+")
+    changed = 0
+    for r in surrogates.pseudonymize(docs.select("doc_id", "text"), "k").collect():
+        mine = pattern.findall(old[r.doc_id])
+        changed += bool(mine)
+        assert (r.n_found > 0) == bool(mine) and (mine or r.text == old[r.doc_id])
+        assert not any(x in r.text for x in mine) and len(pattern.findall(r.text)) == len(mine)
+    assert changed
+
+
+def test_surrogates_odd_rows(spark, odd, odd_rows, empty):
+    rows = surrogates.pseudonymize(odd.withColumn("kinds", F.lit(1)), "k").collect()
+    assert len(rows) == len(odd_rows) and all((a.text is None) == (t is None) for a, (_, t) in zip(rows, odd_rows))
+    assert surrogates.pseudonymize(empty, "k").count() == 0
+
+
+# --- pipeline ---------------------------------------------------------------------------------------
+
+def test_pipeline(spark, sf, tables):
+    docs = tables("documents")
+    counts, frames = [docs.count()], [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        from corpuskit.llm.common import written
+
+        frames.append(written(stage(spark, frames[-1], sf), "test-stage"))
+        counts.append(frames[-1].count())
+        if len(frames) <= len(corpus_pipeline.STAGES):
+            assert frames[-1].columns == docs.columns
+    quality = {r.doc_id: r.quality for r in tables("labels").collect()}
+    kept = {r.doc_id for r in frames[1].select("doc_id").collect()}
+    assert np.mean([i in kept for i, q in quality.items() if q == 1]) > 0.95
+    assert counts[2] <= counts[1] and counts[3] == counts[2]
+    assert all(r.round_trip for r in frames[5].collect()) and counts[5] == counts[4]
+    assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_pipeline_of_nothing(spark, sf, tables, odd):
+    frame = tables("documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        frame = stage(spark, frame, sf)
+    assert frame.count() == 0
+    frame = odd.select("doc_id", "text", F.lit("en").alias("lang"), "source", F.lit(1).cast("long").alias("n_chars"))
+    for _, stage in corpus_pipeline.STAGES:
+        frame = stage(spark, frame, sf)
+    assert frame.count() > 0
