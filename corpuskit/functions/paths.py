@@ -134,12 +134,6 @@ def t_value_list(t: Column) -> Column:
         .otherwise(F.array(vstr(t_scalar(t))))
 
 
-def t_to_json(t: Column) -> Column:
-    """Python-like rendering for inspection and oracles: list -> JSON array, scalar -> JSON."""
-    return F.when(t_is_list(t), F.to_json(t_vals(t))) \
-        .otherwise(F.to_json(F.array(t_scalar(t))).substr(F.lit(2), F.lit(1 << 30)))
-
-
 def t_contains_string(t: Column, value: str) -> Column:
     """``value`` among the values (list) or equal to the scalar; never NULL."""
     return F.coalesce(F.exists(t_vals(t), lambda x: is_string(x) & (vstr(x) == F.lit(value))),

@@ -81,15 +81,14 @@ def base_corpus(records: DataFrame, target_fields: Sequence[str],
 
 def flat_corpus(records: DataFrame, target_fields: Sequence[str], dropped_values: dict | None = None,
                 remapped_values: dict | None = None, filters: Iterable[P.Filter] = (),
-                use_defaults: bool = True, discipline_prefix: str = "", **kw) -> C.Corpus:
+                use_defaults: bool = True, **kw) -> C.Corpus:
     """K2: K1 with default repairs and the catalogue, visibility and text filters."""
     dropped_values = dict(dropped_values or {})
     remapped_values = dict(remapped_values or {})
     filters = list(filters)
     if use_defaults:
-        dropped_values = FD.merge_defaults(FD.default_dropped_values(discipline_prefix), dropped_values)
-        remapped_values = FD.merge_defaults(FD.default_remapped_values(discipline_prefix),
-                                            remapped_values)
+        dropped_values = FD.merge_defaults(FD.default_dropped_values(), dropped_values)
+        remapped_values = FD.merge_defaults(FD.default_remapped_values(), remapped_values)
         filters = [P.public_filter, P.catalogue_filter, P.existing_text_filter] + filters
     return base_corpus(records, target_fields, filters=filters, dropped_values=dropped_values,
                        remapped_values=remapped_values, **kw)

@@ -50,17 +50,51 @@ def test_bow_length_law_and_true_counts(spark, sf):
     assert T.bag_of_words(one, max_count=255).bow.first().n == 255
 
 
-def test_repetition_filter_example(spark):
-    docs = spark.createDataFrame([("d", ["abc", "abc", "abc", "foo", "abc", "x", "x", "x", "x"])],
+def test_repetition_filter_runs(spark):
+    rows = [("a", "so so so good good day so".split()), ("b", []), ("c", None), ("d", ["hm"] * 7), ("e", ["one"])]
+    docs = spark.createDataFrame(rows, "doc_id string, tokens array<string>")
+    out = {r.doc_id: r.tokens for r in T.repetition_filter(docs, 3, 2).collect()}
+    assert out == {"a": "so so good good day so".split(), "b": [], "c": None, "d": ["hm", "hm"], "e": ["one"]}
+    out = {r.doc_id: r.tokens for r in T.repetition_filter(docs, 2, 1).collect()}
+    assert out["a"] == "so good day so".split() and out["d"] == ["hm"]
+    plan = T.repetition_filter(docs, 3, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_language_vote_and_tags_are_row_local(spark):
+    docs = spark.createDataFrame([("a", ["Der", "and", "die"]), ("b", ["zzz"]), ("c", None), ("d", ["the", "der"])],
                                  "doc_id string, tokens array<string>")
-    out = T.repetition_filter(docs, 3, 1).first().tokens
-    assert out == ["abc", "foo", "abc", "x"]
+    voted = T.language_vote(docs)
+    assert {r.doc_id: r.language for r in voted.collect()} == {"a": "de", "b": None, "c": None, "d": "de"}
+    assert "Exchange" not in voted._jdf.queryExecution().executedPlan().toString()
+    tagged = docs.withColumn("t", F.transform("tokens", lambda w: F.struct(w.alias("token"), F.upper(F.substring(w, 1, 1)).alias("tag"))))
+    kept = T.run_pipeline(tagged, [lambda d: T.drop_tags(d, ["D"], tagged_col="t")])
+    assert {r.doc_id: r.tokens for r in kept.collect()} == {"a": ["and"], "b": ["zzz"], "c": None, "d": ["the"]}
 
 
 def test_ordinal_is_dense_and_ordered(spark):
-    df = spark.range(0, 1000, 1, 7).select((F.col("id") * 7919 % 1000).alias("k"))
-    rows = with_ordinal(df, ["k"], "ord").collect()
-    assert sorted((r.ord, r.k) for r in rows) == [(i, i) for i in range(1000)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        df = spark.range(0, 200_000, 1, 7).select(F.xxhash64("id").alias("k"), F.lpad(F.col("id").cast("string"), 80, "x").alias("p"))
+        got = with_ordinal(df, ["k"], "ord")
+        n, distinct, low, high = got.agg(F.count("*"), F.countDistinct("ord"), F.min("ord"), F.max("ord")).first()
+        assert (n, distinct, low, high) == (200_000, 200_000, 0, 199_999)
+        keys = [r.k for r in got.where("ord < 5000").orderBy("ord").select("k").collect()]
+        assert keys == sorted(r.k for r in df.orderBy("k").limit(5000).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_vocabulary_of_many_levels(spark):
+    from conftest import records
+    from corpuskit.operators.vocab import concept_nodes
+
+    node = {"id": "c0"}
+    for i in range(1, 105):
+        node = {"id": f"c{i}", "narrower": [node]}
+    got = concept_nodes(records(spark, [{"id": "root", "hasTopConcept": [node]}])).collect()
+    assert len(got) == 106 and {(r.id, r.parent) for r in got if r.depth > 1} == {(f"c{i}", f"c{i + 1}") for i in range(104)}
 
 
 def test_fixpoint_matches_model(spark, sf):
