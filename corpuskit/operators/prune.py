@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.operators.corpus import Corpus, subset_vocab
-from corpuskit.session import checkpoint_root, materialize
+from corpuskit.session import drop_materialized, materialize
 
 
 def _violations(bow: DataFrame, docs: DataFrame, vocab: DataFrame, cats: DataFrame,
@@ -34,26 +34,15 @@ def _violations(bow: DataFrame, docs: DataFrame, vocab: DataFrame, cats: DataFra
     return bad_docs.unionByName(bad_words).unionByName(bad_cats)
 
 
-def _round_violations(bow: DataFrame, assign: DataFrame, min_doc_tokens: int, min_word_docs: int,
-                      min_cat_docs: int) -> DataFrame:
-    """Violations inside a round's state: documents, words and categories are the
-    key sets of ``bow`` / ``assign`` (everything else was removed with its rows)."""
-    bad_docs = bow.groupBy("doc_id").agg(F.sum("n").alias("l")).where(F.col("l") < min_doc_tokens)
-    bad_words = bow.groupBy("word").agg(F.count(F.lit(1)).alias("s")).where(F.col("s") < min_word_docs)
-    bad_cats = assign.groupBy("field", "uri").agg(F.count(F.lit(1)).alias("s")) \
-        .where(F.col("s") < min_cat_docs)
-    return bad_docs.select(F.lit(1).alias("x")).unionByName(bad_words.select(F.lit(1).alias("x"))) \
-        .unionByName(bad_cats.select(F.lit(1).alias("x")))
-
-
 def prune_fixpoint(corpus: Corpus, min_doc_tokens: int = 10, min_word_docs: int = 5,
-                   min_cat_docs: int = 10, max_rounds: int = 1000) -> Corpus:
+                   min_cat_docs: int = 10) -> Corpus:
     """Greatest sub-corpus meeting the constraints (see module doc).
 
-    Per round: two checkpointed tables (``bow``, ``assignments``) and one
-    violation check; documents, words and categories are their key sets.
+    Per round two tables (``bow``, ``assignments``) are written and the round before is
+    deleted; documents, words and categories are their key sets. A round that removes no
+    row of either has reached the fixpoint, so there is no separate check of the
+    constraints after the first. Rows only ever leave, so the rounds end.
     """
-    checkpoint_root(corpus.docs.sparkSession)
     bow = materialize(corpus.bow.select("doc_id", "word", "n"), "prune_bow")
     assign = materialize(corpus.assignments.select("field", "doc_id", "uri"), "prune_assign")
     docs, vocab = corpus.docs.select("doc_id"), corpus.vocab.select("word")
@@ -61,7 +50,8 @@ def prune_fixpoint(corpus: Corpus, min_doc_tokens: int = 10, min_word_docs: int
     if _violations(bow, docs, vocab, cats, assign, min_doc_tokens, min_word_docs,
                    min_cat_docs).isEmpty():
         return corpus
-    for _ in range(max_rounds):
+    size = (bow.count(), assign.count())
+    while True:
         words_ok = bow.groupBy("word").agg(F.count(F.lit(1)).alias("s")) \
             .where(F.col("s") >= min_word_docs).select("word")
         bow1 = bow.join(words_ok, "word", "left_semi")
@@ -73,12 +63,15 @@ def prune_fixpoint(corpus: Corpus, min_doc_tokens: int = 10, min_word_docs: int
         assign2 = assign1.join(cats_ok, (assign1["field"] == cats_ok["field"])
                                & assign1["uri"].eqNullSafe(cats_ok["uri"]), "left_semi")
         docs2 = docs_ok.join(assign2.select("doc_id"), "doc_id", "left_semi")
-        bow = materialize(bow1.join(docs2, "doc_id", "left_semi"), "prune_bow")
-        assign = materialize(assign2.join(docs2, "doc_id", "left_semi"), "prune_assign")
-        if _round_violations(bow, assign, min_doc_tokens, min_word_docs, min_cat_docs).isEmpty():
+        new_assign = materialize(assign2.join(docs2, "doc_id", "left_semi"), "prune_assign")
+        kept = new_assign.select("doc_id").distinct()  # documents whose rows all stayed in both
+        new_bow = materialize(bow1.join(kept, "doc_id", "left_semi"), "prune_bow")
+        drop_materialized(bow, assign)
+        bow, assign = new_bow, new_assign
+        now = (bow.count(), assign.count())  # row counts come from the files' footers
+        if now == size:
             break
-    else:
-        raise RuntimeError("fixpoint not reached within max_rounds")
+        size = now
     from corpuskit.operators.corpus import subset_categories
 
     kept_docs = bow.select("doc_id").distinct()

@@ -1,15 +1,13 @@
 """End-to-end corpus jobs (K1-K7).
 
-Each job is lazy until its outputs are written. The extracted record table is
-persisted once and shared by the document table and every target (the original
-scanned the dump twice for K5; here both branches read one extraction).
+The extracted record table is written once to shared storage and read by the document
+table and every target, so later steps never walk the records again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +19,12 @@ from corpuskit.functions.variant import is_string, vstr
 from corpuskit.operators import corpus as C
 from corpuskit.operators import order as O
 from corpuskit.operators import text as T
+from corpuskit.operators import split as S
 from corpuskit.operators.prune import prune_fixpoint
+from corpuskit.operators.vocab import concept_nodes, label_lookup_table, labels_by_uri
 from corpuskit.session import materialize
-from corpuskit.sources.records import extract_table
+from corpuskit.sources import published as PUB
+from corpuskit.sources.records import extract_table, read_id_list, read_vocabulary, write_id_list
 
 BASE_COLUMNS = (Fields.TITLE.value, Fields.DESCRIPTION.value, Fields.ID.value,
                 Fields.COLLECTIONS_TITLE.value, Fields.LANGUAGE.value, Fields.TEST_DATA.value)
@@ -41,8 +42,15 @@ def base_corpus(records: DataFrame, target_fields: Sequence[str],
                 labels: dict[str, DataFrame] | None = None, skip_labels: bool = False,
                 filters: Iterable[P.Filter] = (), dropped_values: dict | None = None,
                 remapped_values: dict | None = None, max_len: int | None = None,
-                order=None, persist: bool = True) -> C.Corpus:
-    """K1: records (``v`` VARIANT, re-rooted) -> corpus over ``target_fields``."""
+                order=None, stage: bool = True, uri_labels: DataFrame | None = None,
+                category_order: dict | None = None) -> C.Corpus:
+    """K1: records (``v`` VARIANT, re-rooted) -> corpus over ``target_fields``.
+
+    The extraction is written once (``stage``) and every table of the corpus reads it.
+    Categories take their labels from ``labels[field]`` (a vocabulary's ``(uri, label)``),
+    or, for fields without one, from the staged per-URI table ``uri_labels``.
+    ``category_order[field]`` orders a field's categories (Columns over ``uri``).
+    """
     target_fields = tuple(str(f) for f in target_fields)
     paths = list(dict.fromkeys(BASE_COLUMNS + target_fields))
     columns = {_alias(p): p for p in paths}
@@ -62,14 +70,16 @@ def base_corpus(records: DataFrame, target_fields: Sequence[str],
                      .alias("doc_id"), raw_text.alias("raw_text"), editor.alias("editor"),
                      test_fields.alias("test_fields"),
                      *[t_value_list(t[f]).alias(_alias(f)) for f in target_fields])
-    if persist:
-        ext = ext.persist(StorageLevel.MEMORY_AND_DISK)
+    if stage:
+        ext = materialize(ext, "extraction")
     docs = ext.select("doc_id", "raw_text", "editor", "test_fields")
     assignments, categories = None, None
     for f in target_fields:
         vals = ext.select("doc_id", F.col(_alias(f)).alias("vals"))
         lab = None if skip_labels or not labels else labels.get(f)
-        a, c = C.encode(vals, f, labels=lab)
+        a, c = C.encode(vals, f, order=(category_order or {}).get(f), labels=lab)
+        if lab is None and uri_labels is not None and not skip_labels:
+            c = labels_by_uri(c.drop("label"), "uri", uri_labels).select("field", "idx", "uri", "label")
         assignments = a if assignments is None else assignments.unionByName(a)
         categories = c if categories is None else categories.unionByName(c)
     if assignments is None:
@@ -100,22 +110,39 @@ def collections_corpus(records: DataFrame, target_fields: Sequence[str],
     return base_corpus(records, target_fields, filters=list(filters) + [P.collections_filter], **kw)
 
 
+def vocabulary_labels(spark, registry: dict[str, str], overrides: dict[str, str] | None = None,
+                      label_seq="prefLabel.de", multiline: bool = True) -> dict[str, DataFrame]:
+    """``labels`` for K1 from a registry ``field -> staged vocabulary`` (``overrides`` win)."""
+    seq = tuple(label_seq.split(".")) if isinstance(label_seq, str) else tuple(label_seq)
+    return {f: label_lookup_table(concept_nodes(read_vocabulary(spark, path, multiline=multiline), label_seq=seq))
+            for f, path in {**registry, **(overrides or {})}.items()}
+
+
+def default_pipeline(tagger=T.token_class, excluded_tags=()) -> list[T.TokenStep]:
+    """The token steps of the training job; ``excluded_tags`` are names of the tagger given."""
+    return [T.tokenise,
+            lambda d: T.repetition_filter(d, min_rep_count=4, post_filter_count=2),
+            lambda d: T.drop_tags(d, excluded_tags, tagger),
+            lambda d: T.df_interval(d, min_num=10, max_rate=0.25, interval_open=False),
+            T.language_vote]
+
+
 def training_corpus(records: DataFrame, target_fields: Sequence[str], filters: Iterable[P.Filter] = (),
-                    language: str = "de", tagger=T.token_class, excluded_tags=FD.EXCLUDED_POS_TAGS,
+                    language: str = "de", pipeline: Iterable[T.TokenStep] | None = None,
                     min_doc_tokens: int = 10, min_word_docs: int = 5, min_cat_docs: int = 10,
                     length_unit: str = "elements", **kw) -> tuple[C.Corpus, DataFrame]:
-    """K4: bag-of-words training corpus; returns the corpus and its order (H1)."""
+    """K4: bag-of-words training corpus; returns the corpus and its order (H1).
+
+    ``pipeline`` is a list of steps ``documents -> documents``; the default is
+    :func:`default_pipeline`.
+    """
     labelled = P.labeled_filter(list(target_fields), multi_field_semantics="any")
     text_len = P.len_filter([Fields.DESCRIPTION.value, Fields.TITLE.value], 30,
                             multi_field_semantics="any", unit=length_unit)
     corpus = flat_corpus(records, target_fields, filters=[labelled, text_len] + list(filters), **kw)
     for f in corpus.fields:
         corpus = C.drop_unlabelled(corpus, f)
-    docs = T.tokenise(corpus.docs)
-    docs = T.repetition_filter(docs, min_rep_count=4, post_filter_count=2)
-    docs = T.drop_tags(docs, excluded_tags, tagger)
-    docs = T.df_interval(docs, min_num=10, max_rate=0.25, interval_open=False)
-    docs = T.language_vote(docs)
+    docs = T.run_pipeline(corpus.docs, default_pipeline() if pipeline is None else pipeline)
     corpus = T.keep_language(corpus.with_(docs=docs), language)
     # the token pipeline is the expensive part: write it once, every later branch reads it
     corpus = corpus.with_(docs=materialize(corpus.docs, "training_docs"),
@@ -147,3 +174,33 @@ def candidates_corpus(records: DataFrame, field: str, topic_labels: DataFrame,
     ids = colls.docs.select(F.col("doc_id").alias("uri"))
     corpus = C.categories_in_set(corpus, Fields.COLLECTIONS_UUID.value, ids)
     return corpus, O.sort_len(corpus, Fields.COLLECTIONS_UUID.value)
+
+
+def publish_job(corpus: C.Corpus, order: DataFrame, field: str, target_dir: str, ratio: float = 0.3, seed: int = 0,
+                train: str = "corpus_train", test: str = "corpus_test") -> tuple[dict, dict]:
+    """K6: split ``corpus`` by the categories of ``field`` and publish both parts; their paths."""
+    rest, kept = S.balanced_split(corpus, field, ratio, seed)
+    return PUB.publish(rest, target_dir, train, order), PUB.publish(kept, target_dir, test, order)
+
+
+def review_job(corpus: C.Corpus, order: DataFrame, field: str, state_dir: str, max_hits: int) -> tuple[DataFrame, DataFrame]:
+    """K7, one round: the review queue of ``field`` and its coverage.
+
+    Reads the lists of visited and accepted ids of earlier rounds from ``state_dir`` and
+    writes the ids to review next as ``queue.csv`` there. An unknown field is an error.
+    """
+    corpus.check_field(field)
+    spark = corpus.docs.sparkSession
+    visited, accepted = (read_id_list(spark, f"{state_dir}/{n}.csv") for n in ("visited", "accepted"))
+    queue = materialize(O.review_queue(corpus, field, order, visited, accepted, max_hits), "queue")
+    write_id_list(queue.select("doc_id").distinct(), state_dir + "/queue.csv")
+    return queue, O.coverage_report(corpus, field, accepted)
+
+
+def record_review(spark, state_dir: str, visited: DataFrame, accepted: DataFrame) -> None:
+    """Add the outcome of a round, ``(doc_id)`` each, to the lists that the next round reads."""
+    for name, ids in (("visited", visited), ("accepted", accepted)):
+        path = f"{state_dir}/{name}.csv"
+        # written apart first: the list is read while the new one is written
+        new = materialize(read_id_list(spark, path).unionByName(ids.select("doc_id")).distinct(), name)
+        write_id_list(new, path)

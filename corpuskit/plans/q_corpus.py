@@ -26,7 +26,7 @@ def rec_corpus(spark, sf, targets=(TAXON,), **kw) -> C.Corpus:
     """K1 over the record view: taxon target, labels from the staged source vocabulary."""
     return J.base_corpus(FX.rec_docs(spark, sf), targets,
                          labels={TAXON: FX.source_labels(spark, sf)},
-                         dropped_values={TAXON: {""}}, persist=False, **kw)
+                         dropped_values={TAXON: {""}}, **kw)
 
 
 # --- E: vocabularies -------------------------------------------------------------
@@ -221,6 +221,5 @@ def flagship_support(spark, sf):
     taxon target -> encode -> support per category."""
     c = J.base_corpus(FX.rec_docs(spark, sf), [TAXON], labels={TAXON: FX.source_labels(spark, sf)},
                       filters=[P.language_filter(["de", "en"]), P.existing_text_filter],
-                      dropped_values={TAXON: {""}}, remapped_values={LANG: LANGUAGE_REMAPPED},
-                      persist=False)
+                      dropped_values={TAXON: {""}}, remapped_values={LANG: LANGUAGE_REMAPPED})
     return C.support(c)

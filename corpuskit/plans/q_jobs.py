@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpuskit.fields import Fields
-from corpuskit.operators import order as O
-from corpuskit.operators import split as S
 from corpuskit.operators import text as T
 from corpuskit.plans import jobs as J
 from corpuskit.plans.oracle_views import CATALOGUE, HAS_TEXT, PUBLIC, REC, TOK, with_
@@ -15,7 +13,6 @@ from corpuskit.plans.q_text import VOTE, text_corpus
 from corpuskit.plans.registry import query
 from corpuskit.sources import fixtures as FX
 from corpuskit.sources import published as PUB
-from corpuskit.sources.records import read_id_list, write_id_list
 from corpuskit.session import staging_path
 
 TAXON = Fields.TAXONID.value
@@ -39,22 +36,20 @@ FROM rec WHERE {where}"""
 
 @query("job_base", _doc_sql("true", "len(taxon)"))
 def job_base(spark, sf):
-    c = J.base_corpus(FX.rec_docs(spark, sf), [TAXON], labels={TAXON: FX.source_labels(spark, sf)},
-                      persist=False)
+    c = J.base_corpus(FX.rec_docs(spark, sf), [TAXON], labels={TAXON: FX.source_labels(spark, sf)})
     return _doc_summary(c)
 
 
 @query("job_flat", _doc_sql(f"{CATALOGUE} AND {PUBLIC} AND {HAS_TEXT}",
                             "len(list_filter(taxon, lambda x: x IS NULL OR x <> ''))"))
 def job_flat(spark, sf):
-    c = J.flat_corpus(FX.rec_docs(spark, sf), [TAXON], labels={TAXON: FX.source_labels(spark, sf)},
-                      persist=False)
+    c = J.flat_corpus(FX.rec_docs(spark, sf), [TAXON], labels={TAXON: FX.source_labels(spark, sf)})
     return _doc_summary(c)
 
 
 @query("job_collections", _doc_sql("asp = 2", "len(taxon)"))
 def job_collections(spark, sf):
-    c = J.collections_corpus(FX.rec_docs(spark, sf), [TAXON], persist=False)
+    c = J.collections_corpus(FX.rec_docs(spark, sf), [TAXON])
     return _doc_summary(c)
 
 
@@ -97,11 +92,11 @@ def import_published(spark, sf):
     return back.assignments
 
 
-# --- K4 - K7 (rows-only checks) ---------------------------------------------------------
+# --- K4 - K7 ---------------------------------------------------------
 
 def _training(spark, sf):
     return J.training_corpus(FX.rec_docs(spark, sf), [TAXON], language="en",
-                             labels={TAXON: FX.source_labels(spark, sf)}, persist=False)
+                             labels={TAXON: FX.source_labels(spark, sf)})
 
 
 @query("job_training")
@@ -111,11 +106,29 @@ def job_training(spark, sf):
     return order.join(lens, "doc_id", "left").select("doc_id", "editor", "ord", "length")
 
 
-@query("job_candidates")
+def _candidates(spark, sf):
+    """Collections are the records themselves here: each record's collection ids name other records."""
+    return J.candidates_corpus(FX.rec_docs(spark, sf), TAXON, topic_labels=FX.topic_labels(spark, sf),
+                               topic_prefix=FX.TAXON_PREFIX, length_unit="chars")
+
+
+CANDIDATES = rf"""
+flat AS (SELECT *, {RAW} AS raw FROM rec WHERE {CATALOGUE} AND {PUBLIC} AND {HAS_TEXT}
+         AND length(text) >= 50),
+toks AS (SELECT *, flatten(list_filter(list_transform(string_split_regex(raw, '[.!?
+]+'),
+                                                       lambda s: regexp_extract_all(s, '[\p{{L}}\p{{N}}]+')),
+                                        lambda x: len(x) >= 6)) AS t FROM flat),
+topics AS (SELECT id FROM rec WHERE asp = 2 AND (d // 30) % 2 = 0),
+cand AS (SELECT id AS doc_id, d, taxon, CAST(len(t) AS INTEGER) AS n_tokens,
+                CAST(CASE WHEN CAST(d - d % 30 + 2 AS VARCHAR) IN (SELECT id FROM topics) THEN 1 ELSE 0 END AS BIGINT) AS n
+         FROM toks WHERE len(t) >= 20),
+queue_order AS (SELECT *, row_number() OVER (ORDER BY n_tokens DESC, n ASC, doc_id ASC) - 1 AS ord FROM cand)"""
+
+
+@query("job_candidates", with_(REC, CANDIDATES) + "SELECT doc_id, n_tokens, n, ord FROM queue_order")
 def job_candidates(spark, sf):
-    c, order = J.candidates_corpus(FX.rec_docs(spark, sf), TAXON,
-                                   topic_labels=FX.source_labels(spark, sf), topic_prefix=FX.TAXON_PREFIX,
-                                   length_unit="chars", persist=False)
+    _, order = _candidates(spark, sf)
     return order
 
 
@@ -123,28 +136,36 @@ def job_candidates(spark, sf):
 def job_publish(spark, sf):
     """K6: training corpus -> balanced split -> two published triples; returns the data files."""
     c, order = _training(spark, sf)
-    rest, kept = S.balanced_split(c, TAXON, 0.3, 0)
-    target = staging_path(spark, "published", unique=True)
-    p_train = PUB.publish(rest, target, "corpus_train", order)
-    p_test = PUB.publish(kept, target, "corpus_test", order)
+    p_train, p_test = J.publish_job(c, order, TAXON, staging_path(spark, "published", unique=True))
     read = lambda p: spark.read.options(header="true", multiLine="true", escape='"').csv(p)
     return (read(p_train["data"]).select("uuid", F.lit("train").alias("part"))
             .unionByName(read(p_test["data"]).select("uuid", F.lit("test").alias("part"))))
 
 
-@query("job_review")
+REVIEW = """
+uris AS (SELECT id, unnest(list_distinct(list_transform(list_filter(taxon, lambda x: x IS NULL OR x <> ''),
+                                                        lambda x: coalesce(x, '~')))) AS u FROM flat),
+cats AS (SELECT u, CAST(row_number() OVER (ORDER BY CASE WHEN u = '~' THEN 0 ELSE 1 END, u) - 1 AS INTEGER) AS idx
+         FROM (SELECT DISTINCT u FROM uris)),
+asg AS (SELECT q.doc_id, q.ord, c.idx, nullif(c.u, '~') AS uri FROM queue_order q JOIN uris x ON x.id = q.doc_id JOIN cats c ON c.u = x.u),
+first_round AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY idx ORDER BY ord) AS r FROM asg) WHERE r <= 5),
+visited AS (SELECT DISTINCT doc_id FROM first_round),
+acc AS (SELECT c.idx, count(a.doc_id) AS accepted FROM cats c
+        LEFT JOIN (SELECT * FROM asg WHERE doc_id IN (SELECT doc_id FROM visited WHERE CAST(doc_id AS BIGINT) % 2 = 0)) a ON a.idx = c.idx
+        GROUP BY c.idx)"""
+
+
+@query("job_review", with_(REC, CANDIDATES, REVIEW) + """
+SELECT doc_id, uri, idx, ord, rank FROM (
+  SELECT a.*, acc.accepted, row_number() OVER (PARTITION BY a.idx ORDER BY ord) AS rank
+  FROM asg a JOIN acc ON acc.idx = a.idx WHERE doc_id NOT IN (SELECT doc_id FROM visited) AND accepted < 5)
+WHERE rank <= 5 - accepted""")
 def job_review(spark, sf):
-    """K7 batch form: field discovery, candidates, coverage, review queue, id lists."""
-    from corpuskit.functions.paths import leaf_paths
-
-    fields = leaf_paths(FX.rec_docs(spark, sf).where(F.col("doc_id") % 10 == 0))
-    field = TAXON if fields.where(F.col("path") == TAXON).limit(1).count() else Fields.TITLE.value
-    c, order = J.candidates_corpus(FX.rec_docs(spark, sf), field,
-                                   topic_labels=FX.source_labels(spark, sf), topic_prefix=FX.TAXON_PREFIX,
-                                   length_unit="chars", persist=False)
+    """K7: two rounds of review; the first round's queue is visited, every other document of it accepted."""
+    c, order = _candidates(spark, sf)
     state = staging_path(spark, "review", unique=True)
-    visited = read_id_list(spark, state + "/visited.csv")
-    accepted = read_id_list(spark, state + "/accepted.csv")
-    queue = O.review_queue(c, field, order, visited, accepted, 5)
-    write_id_list(queue.select("doc_id").distinct(), state + "/queue.csv")
+    queue, _ = J.review_job(c, order, TAXON, state, 5)
+    seen = queue.select("doc_id").distinct()
+    J.record_review(spark, state, seen, seen.where(F.col("doc_id").cast("long") % 2 == 0))
+    queue, _ = J.review_job(c, order, TAXON, state, 5)
     return queue.select("doc_id", "uri", "idx", "ord", F.col("rank").cast("long").alias("rank"))

@@ -30,6 +30,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(_SESSION_DEFAULTS)
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
+        conf.setdefault("spark.corpuskit.recordPartitions", str(shuffle_partitions or 8))
         conf.setdefault("spark.driver.memory", os.environ.get("CORPUSKIT_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.session import path_exists, staging_path
+from corpuskit.session import staging_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -28,16 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+    """Round-robin over as many partitions as ``spark.corpuskit.recordPartitions`` says, if set.
 
-    Record building and path walks are CPU-heavy per row; a one-file table would
-    otherwise run in one task. Large scans already have many splits and pass through
-    untouched (no extra shuffle at scale).
+    Record building and path walks are CPU-heavy per row; a table of one file would
+    otherwise run in one task. Unset, scans keep their own splits and get no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    n = df.sparkSession.conf.get("spark.corpuskit.recordPartitions", None)
+    return df if n is None else df.repartition(int(n))
 
 
 def _jstr(c: Column) -> Column:
@@ -70,7 +67,8 @@ def rec_docs_json(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .alias("Read")).alias("permissions"),
         F.struct(F.when(d % 5 == 2, F.lit("Redaktionsbuffet")).otherwise(F.col("source"))
                  .alias("cm:title"),
-                 F.col("source").alias("sys:node-uuid")).alias("properties")))
+                 # a collection's id is the id of the record that describes it
+                 (d - d % 30 + 2).cast("string").alias("sys:node-uuid")).alias("properties")))
     second_coll = F.to_json(F.struct(F.struct(lang.alias("cm:title"),
                                               lang.alias("sys:node-uuid")).alias("properties")))
     collections = F.concat(F.lit("["), _jstr(F.concat(F.lit("c"), F.col("source"))), F.lit(","),
@@ -109,13 +107,12 @@ def rec_docs(spark: SparkSession, sf_dir: str, rooted: bool = True) -> DataFrame
 
 
 def staged_json_lines(spark: SparkSession, sf_dir: str, name: str, frame: DataFrame) -> str:
-    """Write ``frame.json`` once as JSON lines below the checkpoint folder; return the path."""
-    import hashlib
+    """Write ``frame.json`` as JSON lines below the checkpoint folder; return the path.
 
-    tag = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:10]
-    path = staging_path(spark, "staged", f"{name}-{tag}")
-    if not path_exists(spark, path + "/_SUCCESS"):
-        frame.select(F.col("json").alias("value")).write.mode("overwrite").text(path)
+    Each call stages anew, so a dump never shows an older state of its table.
+    """
+    path = staging_path(spark, "staged", name, unique=True)
+    frame.select(F.col("json").alias("value")).write.text(path)
     return path
 
 
@@ -190,6 +187,14 @@ def source_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.upper(F.col("source")).alias("label")))
 
 
+def topic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged ``(uri, label)`` topics over record ids: every other group of 30 records has one."""
+    d = F.col("doc_id")
+    return (table(spark, sf_dir, "documents").where(F.floor(d / 30) % 2 == 0)
+            .select(F.concat(F.lit(TAXON_PREFIX), d.cast("string")).alias("uri"),
+                    F.concat(F.lit("topic "), F.col("source")).alias("label")))
+
+
 def tok(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, pos, word)`` by the token pattern."""
     docs = table(spark, sf_dir, "documents")

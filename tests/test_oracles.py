@@ -11,8 +11,7 @@ from corpuskit.plans.registry import ORACLES, QUERIES  # filled by the entry mod
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 # heavier iterative queries are covered by dedicated tests
-SKIP = {"split_pruned", "split_kept", "split_rest", "prune_fixpoint", "job_training", "job_publish",
-        "job_review", "job_candidates"}
+SKIP = {"split_pruned", "split_kept", "split_rest", "prune_fixpoint"}
 
 
 def _norm(v):
@@ -44,7 +43,7 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_iterative():
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
     missing = set(QUERIES) - set(ORACLES)
-    assert missing <= {"job_training", "job_candidates", "job_publish", "job_review"}
+    assert missing <= {"job_training", "job_publish"}
 
 
 @pytest.mark.parametrize("name", sorted(set(oracle_sql()) & set(ORACLES) - SKIP))
