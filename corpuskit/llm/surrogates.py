@@ -45,19 +45,22 @@ FIRST_NAMES = {
 ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëïöü", "çñśźčšžřýß",
              "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ")
 HEX = "0123456789abcdef"
+SECRET_KEYS = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey")
 
 WORD = r"[^\W\d_][\w'’-]*"
 PATTERN = re.compile("|".join((
     r"(?P<email>[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)",
     r"(?P<secret>(?<![0-9A-Za-z])(?:(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{24,128}|(?:sk|pk|ghp|xoxb)[-_][0-9A-Za-z]{16,}|AKIA[0-9A-Z]{16})(?![0-9A-Za-z]))",
-    r"(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z]))",
-    r"(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d))",
-    r"(?P<phone>\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d))",
-    r"(?P<card>(?<!\d)(?:\d[ -]?){12,18}\d(?!\d))",
-    r"(?P<ssn>(?<!\d)\d{3}-\d{2}-\d{4}(?!\d))",
+    rf"(?P<keyed>(?:{'|'.join(SECRET_KEYS)})(?: ?= ?|: ?)[\"']?(?P<value>(?=[A-Za-z+/_-]*[0-9])[0-9A-Za-z+/_-]{{6,}}))",
+    r"(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z]))",
+    r"(?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))",
+    r"(?P<phone>\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9]))",
+    r"(?P<card>(?<![0-9])(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4})(?![0-9]))",
+    r"(?P<ssn>(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]))",
     rf"(?P<person>(?<!\w)(?:{'|'.join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True))}) (?:[A-ZÀ-ÞА-Я]{WORD[WORD.index(']') + 1:]}(?: |\b)){{1,3}})",
 )))
-HINT = re.compile(r"[0-9@]|(?<!\w)(?:M[rsim]|Herr|Frau|Mme|Señor|S[r]a?\.|Dr|Prof)")
+HINT = re.compile(r"[0-9@=:]")
+TITLE_HINTS = ("Mr", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Sr.", "Sra.", "Dr", "Prof.")
 
 
 def _round(key: bytes, label: bytes, n: int, value: int, span: int) -> int:
@@ -102,6 +105,7 @@ def respell(key: bytes, label: str, text: str, sets: list[str | None]) -> str:
     lower, x, span = text.lower(), 0, 1
     if len(lower) != len(text):
         lower = text
+    sets = [s if s and c in s else None for c, s in zip(lower, sets)]
     for c, s in zip(lower, sets):
         if s:
             x, span = x * len(s) + s.index(c), span * len(s)
@@ -220,7 +224,7 @@ def surrogate(secret: str, kind: str, text: str, attempt: int = 0, gender: str =
     elif kind == "secret":
         start = re.match(r"(?:sk|pk|ghp|xoxb)[-_]|AKIA|", text).end()
         sets[:start] = [None] * start
-        if not start:
+        if not start and all(c in HEX for c in text):
             sets = [HEX] * len(text)
     elif kind == "iban":
         sets[:2] = [None, None]
@@ -232,12 +236,12 @@ def surrogate(secret: str, kind: str, text: str, attempt: int = 0, gender: str =
 
 def canonical(kind: str, text: str) -> str:
     """What two mentions of one entity have in common."""
-    return text.lower() if kind in ("email", "name", "secret") else text
+    return text.lower() if kind in ("email", "name") else text
 
 
 def entities(text: str) -> list[tuple[int, int, str, str, str]]:
     """``(start, end, kind, mention, gender)`` in order; names found once are followed through the text."""
-    if not text or not HINT.search(text):
+    if not text or not (HINT.search(text) or any(t in text for t in TITLE_HINTS)):
         return []
     found, names = [], {}
     for m in PATTERN.finditer(text):
@@ -249,6 +253,8 @@ def entities(text: str) -> list[tuple[int, int, str, str, str]]:
                 at = m.start() + len(title) + 1
                 found.append((at + w.start(), at + w.end(), "name", w.group(), gender))
                 names.setdefault(w.group().lower(), gender)
+        elif kind == "keyed":
+            found.append((*m.span("value"), "secret", m.group("value"), ""))
         elif kind == "ip" and max(map(int, m.group().split("."))) > 255:
             continue
         else:
