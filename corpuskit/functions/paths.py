@@ -79,20 +79,25 @@ def terminal(v: Column, path: str | Sequence[str], sep: str = ".",
 
 
 def get_in(v: Column, path: str | Sequence[str], sep: str = ".", strict: bool = False) -> Column:
-    """The raw sub-tree at ``path`` (no list mapping) as VARIANT.
+    """The raw sub-tree at ``path`` as VARIANT; a list on the way is mapped to the list of
+    what its elements have there.
 
-    Lenient by default (missing -> NULL). ``strict=True`` raises like an uncaught
-    ``KeyError``/``TypeError`` when a key is missing or the tree ends early.
+    Lenient by default (missing -> NULL). ``strict=True`` raises an error when a key is
+    missing or something else than an object or list stands in the way.
     """
-    keys = split_path(path, sep)
-    out = v
-    for key in keys:
-        nxt = get_key(out, key)
+    def walk(x: Column, keys: tuple[str, ...]) -> Column:
+        if not keys:
+            return x
+        child = get_key(x, keys[0])
         if strict:
-            nxt = F.when(out.isNull() | ~is_object(out) | nxt.isNull(),
-                         F.raise_error(F.lit(f"path key not found: {key}"))).otherwise(nxt)
-        out = nxt
-    return out
+            child = F.when(x.isNull() | ~is_object(x) | child.isNull(),
+                           F.raise_error(F.lit(f"path key not found: {keys[0]}"))).otherwise(child)
+        if len(keys) == 1:
+            return child
+        mapped = F.to_variant_object(F.transform(as_array(child), lambda e: walk(e, keys[1:])))
+        return F.when(as_array(child).isNotNull(), mapped).otherwise(walk(child, keys[1:]))
+
+    return walk(v, split_path(path, sep))
 
 
 # --- typed views of a terminal ------------------------------------------------

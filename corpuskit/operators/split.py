@@ -13,17 +13,16 @@ key's leading hex digits (bucket) gives counts before each bucket, and windows
 run only inside (category, bucket). A category holding a third of all documents
 is therefore spread over thousands of small window partitions.
 
-Step 4 is computed exactly without walking documents one by one. Before any
-category runs out of surplus, the walk removes every document it meets; a
-category with surplus S0 is *exhausted* at the document that makes its S0-th
-removal, and afterwards no document of that category can leave. So the whole
-walk is fixed by the ordered list of exhaustion events, and there are at most as
-many events as categories. Each pass assumes no exhaustion after the last known
-event, computes every category's cumulative removals (two-level prefix counts)
-and takes the earliest point where one reaches its surplus: that event is real.
-Later candidate events are accepted in the same pass while they lie before the
-first document an already accepted event could change. Passes repeat until no category exhausts; the event table (one row per category
-at most) is rebuilt locally each pass, so every pass plans from scratch.
+Step 4 is computed exactly without walking documents one by one. Before any category runs
+out of surplus, the walk removes every document it meets; a category with surplus S is
+exhausted at its S-th removal, and no later document of it can leave. Each pass takes the
+undecided documents, sets aside those with an exhausted category (they stay), and ranks the
+rest in each category: t is the key at which the category would be exhausted, f the key of
+its next document, the first that this would change. Taken in the order of t, exhaustions
+hold as long as t lies before every earlier f. Up to the last one that holds, all documents
+are decided (they leave), the surpluses are lowered by their numbers, and the pass after it
+sees only what is left. The passes end when no category is exhausted; their state is written
+tables, a single key comes to the driver.
 """
 
 from __future__ import annotations
@@ -32,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit.operators.corpus import Corpus, subset_docs
-from corpuskit.session import checkpoint_root, materialize
+from corpuskit.session import drop_materialized, materialize
 
 BUCKET_HEX_DIGITS = 3  # 4096 buckets
 
@@ -85,68 +84,56 @@ def split_candidates(corpus: Corpus, field: str, ratio: float = 0.3, seed: int =
     return ranked.where(F.col("one_before") < F.col("target")).select("doc_id").distinct()
 
 
-def split_pruned(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0,
-                 max_passes: int | None = None) -> DataFrame:
+def split_pruned(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0) -> DataFrame:
     """I4: ``(doc_id)`` of the documents kept after greedy surplus removal."""
-    spark = corpus.docs.sparkSession
-    checkpoint_root(spark)
-    cand = split_candidates(corpus, field, ratio, seed)
+    cand = materialize(split_candidates(corpus, field, ratio, seed), "split_candidates")
     a = keyed_assignments(corpus, field, seed).join(cand, "doc_id", "left_semi")
-    t = split_targets(corpus, field, ratio)
-    sel = a.groupBy("uri").agg(F.count(F.lit(1)).alias("selected"))
-    s0 = sel.join(t, sel["uri"].eqNullSafe(t["uri"])).select(
-        sel["uri"].alias("__su"), (F.col("selected") - F.col("target")).alias("s0"))
-    rows = materialize(a.join(s0, a["uri"].eqNullSafe(s0["__su"])).drop("__su"), "split_rows")
-    # exhaustion events (uri, at): documents with key > at can no longer leave via uri;
-    # a category without surplus is exhausted before every key (""). The event table
-    # has at most one row per category, so it is kept as a small local table.
-    schema = "uri string, at string"
-    known = [(r["uri"], "") for r in
-             rows.where(F.col("s0") <= 0).select("uri").distinct().collect()]
-    events = spark.createDataFrame(known, schema)
-    n_cats = rows.select("uri").distinct().count()
-    for _ in range(max_passes or (n_cats + 1)):
-        removed = _removed_flags(rows, events)
-        ev = events.select(F.col("uri").alias("__eu"), F.lit(1).alias("__done"))
-        open_rows = removed.join(F.broadcast(ev), removed["uri"].eqNullSafe(ev["__eu"]), "left") \
-            .where(F.col("__done").isNull()).drop("__eu", "__done")
-        p = _prefix(open_rows, ["rm"])
-        hits = p.where((F.col("rm") == 1) & (F.col("rm_before") + 1 == F.col("s0"))) \
-            .select(F.col("uri").alias("__hu"), F.col("key").alias("t"))
-        # f: the first later document of the category that this pass counted as
-        # leaving; accepting the event can only change documents from f onwards
-        later = p.where(F.col("rm") == 1).join(F.broadcast(hits), p["uri"].eqNullSafe(hits["__hu"])) \
-            .where(F.col("key") > F.col("t")).groupBy("__hu").agg(F.min("key").alias("f"))
-        cands = hits.join(later, "__hu", "left").select(F.col("__hu").alias("uri"), "t", "f") \
-            .collect()  # at most one row per category
-        if not cands:
+    t = split_targets(corpus, field, ratio).select(F.col("uri").alias("__tu"), "target")
+    selected = a.groupBy("uri").agg(F.count(F.lit(1)).alias("selected"))
+    surplus = materialize(selected.join(t, selected["uri"].eqNullSafe(t["__tu"])).select(
+        "uri", (F.col("selected") - F.col("target")).alias("surplus")), "split_surplus")
+    rows = materialize(a, "split_rows")
+    gone: list[DataFrame] = []
+    while True:
+        left = surplus.select(F.col("uri").alias("__su"), "surplus")
+        held = rows.join(left.where("surplus <= 0"), rows["uri"].eqNullSafe(left["__su"]), "left_semi")
+        open_rows = rows.join(held.select("doc_id").distinct(), "doc_id", "left_anti")
+        open_rows = materialize(open_rows.join(left, open_rows["uri"].eqNullSafe(left["__su"])).drop("__su"), "split_rows")
+        drop_materialized(rows)
+        # per category: where it would be exhausted, and the next document after that
+        ranked = _prefix(open_rows.withColumn("one", F.lit(1)), ["one"])
+        at = ranked.groupBy("uri").agg(
+            F.max(F.when(F.col("one_before") + 1 == F.col("surplus"), F.col("key"))).alias("t"),
+            F.max(F.when(F.col("one_before") == F.col("surplus"), F.col("key"))).alias("f")).where("t is not null")
+        order = Window.orderBy("t", F.col("uri").asc_nulls_first())  # a row per category
+        checked = at.withColumn("first", F.min("f").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+        broken = F.min(F.when(F.col("t") >= F.col("first"), F.col("t"))).over(
+            order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        until = checked.withColumn("broken", broken).where(F.col("broken").isNull()).agg(F.max("t")).first()[0]
+        decided = open_rows if until is None else open_rows.where(F.col("key") <= until)
+        gone.append(materialize(decided.select("doc_id").distinct(), "split_gone"))
+        if until is None:
+            drop_materialized(open_rows, surplus)
             break
-        cands.sort(key=lambda r: r["t"])
-        bound = None
-        for r in cands:
-            if bound is not None and r["t"] >= bound:
-                break  # this event may be moved by an accepted one; recompute next pass
-            known.append((r["uri"], r["t"]))
-            if r["f"] is not None:
-                bound = r["f"] if bound is None else min(bound, r["f"])
-        events = spark.createDataFrame(known, schema)
-    else:
-        raise RuntimeError("greedy split did not converge")
-    removed = _removed_flags(rows, events)
-    gone = removed.where(F.col("rm") == 1).select("doc_id").distinct()
-    return cand.join(gone, "doc_id", "left_anti")
-
-
-def _removed_flags(rows: DataFrame, events: DataFrame) -> DataFrame:
-    """``rows`` plus ``rm`` (1 when the document leaves under the known events):
-    a document leaves unless one of its categories was exhausted before its key."""
-    ev = events.select(F.col("uri").alias("__eu"), "at")
-    # one row per category at most: a bounded broadcast
-    blocked = rows.join(F.broadcast(ev), rows["uri"].eqNullSafe(ev["__eu"])) \
-        .where(F.col("at") < F.col("key")).select("doc_id").distinct() \
-        .withColumn("__blocked", F.lit(1))
-    return rows.join(blocked, "doc_id", "left") \
-        .withColumn("rm", F.when(F.col("__blocked").isNull(), 1).otherwise(0)).drop("__blocked")
+        if len(gone) == 16:  # few tables, however many passes
+            joined = materialize(_union(gone), "split_gone")
+            drop_materialized(*gone)
+            gone = [joined]
+        less = decided.groupBy("uri").agg(F.count(F.lit(1)).alias("less")).select(F.col("uri").alias("__lu"), "less")
+        lower = surplus.join(less, surplus["uri"].eqNullSafe(less["__lu"]), "left").select(
+            "uri", (F.col("surplus") - F.coalesce("less", F.lit(0))).alias("surplus"))
+        new_surplus = materialize(lower, "split_surplus")
+        rows = materialize(open_rows.where(F.col("key") > until).drop("surplus"), "split_rows")
+        drop_materialized(open_rows, surplus)
+        surplus = new_surplus
+    return cand.join(_union(gone), "doc_id", "left_anti")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def balanced_split(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0) -> tuple[Corpus, Corpus]:

@@ -8,7 +8,7 @@ from corpuskit.fields import Fields, LANGUAGE_REMAPPED, PROTOCOL_FIELD
 from corpuskit.functions import predicates as P
 from corpuskit.functions.paths import get_in, leaf_paths, sampled_leaf_paths, t_first_string, t_is_list, t_scalar, \
     t_string, t_strings, t_vals, terminal
-from corpuskit.functions.variant import is_string, vstr
+from corpuskit.functions.variant import as_array, is_string, vstr
 from corpuskit.plans.oracle_views import CATALOGUE, HAS_TEXT, PUBLIC, REC, with_
 from corpuskit.plans.registry import query
 from corpuskit.sources import fixtures as FX
@@ -87,6 +87,19 @@ def path_get(spark, sf):
                     F.array_join(t_strings(t), "|").alias("titles"))
 
 
+@query("path_get_in", W + """
+SELECT id, CAST(CASE WHEN coll_two THEN 3 ELSE 2 END AS BIGINT) AS n_vals, CAST(1 AS BIGINT) AS n_null,
+       CASE WHEN coll_two THEN coll_title || '|' || lang ELSE coll_title END AS titles
+FROM rec""")
+def path_get_in(spark, sf):
+    """B1: the sub-tree below a list, one value per element; strict where the path is in every record."""
+    r = FX.rec_docs(spark, sf)
+    vals = as_array(get_in(F.col("v"), Fields.COLLECTIONS_TITLE.value))
+    return r.select(vstr(get_in(F.col("v"), ID, strict=True)).alias("id"), F.size(vals).cast("long").alias("n_vals"),
+                    F.size(F.filter(vals, lambda x: x.isNull() | F.is_variant_null(x))).cast("long").alias("n_null"),
+                    F.array_join(F.transform(vals, vstr), "|").alias("titles"))
+
+
 @query("path_terminal", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, false AS is_list FROM events""")
 def path_terminal(spark, sf):

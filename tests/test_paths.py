@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from conftest import records
-from corpuskit.functions.paths import leaf_paths, t_is_list, t_vals, terminal
+from corpuskit.functions.paths import get_in, leaf_paths, t_is_list, t_vals, terminal
 from corpuskit.functions.variant import vstr
 import model
 
@@ -70,6 +70,20 @@ def test_deep_records_lose_nothing(spark):
     assert vals == ["x"] + ["y"] * 12
 
 
+def test_get_in_maps_lists_and_can_be_strict(spark):
+    import pytest
+
+    df = records(spark, [{"a": [{"b": 1}, {"c": 2}, 3], "d": {"e": {"f": 4}}}])
+    got = df.select(F.to_json(get_in(F.col("v"), "a.b")).alias("x"), F.to_json(get_in(F.col("v"), "d.e")).alias("y"),
+                    get_in(F.col("v"), "d.zz").alias("z")).first()
+    assert got.x == "[1,null,null]" and got.y == '{"f":4}' and got.z is None
+    assert vstr(get_in(F.col("v"), "d.e.f", strict=True)) is not None
+    assert df.select(vstr(get_in(F.col("v"), "d.e.f", strict=True)).alias("x")).first().x == "4"
+    for path in ("a.b", "d.zz", "d.e.f.g"):
+        with pytest.raises(Exception, match="path key not found"):
+            df.select(vstr(get_in(F.col("v"), path, strict=True))).collect()
+
+
 def test_leaf_paths_random(spark):
     rng = random.Random(11)
     recs = [{k: _random_value(rng) for k in rng.sample(["a", "b", "c"], rng.randint(1, 3))}
