@@ -78,32 +78,36 @@ acc AS (SELECT c.idx, c.uri, c.label, count(a.doc_id) AS accepted
         FROM bcats c LEFT JOIN ab a ON a.uri = c.uri AND a.doc_id IN (SELECT doc_id FROM accepted)
         GROUP BY c.idx, c.uri, c.label),
 rel AS (SELECT a.doc_id, a.uri, p.ord FROM ab a JOIN pos p ON p.doc_id = a.doc_id
-        WHERE a.doc_id NOT IN (SELECT doc_id FROM visited))"""
+        WHERE a.doc_id NOT IN (SELECT doc_id FROM visited)),
+goal AS (SELECT max(accepted) + 20 AS hits FROM acc)"""
 WB = with_(BRAND, REVIEW)
 
 
 def _review_inputs(spark, sf):
+    """The corpus, its positions, the id lists, and a goal that no category has reached: 20 above the largest."""
     visited, accepted = FX.review_lists(spark, sf)
-    return brand_corpus(spark, sf), brand_positions(spark, sf), visited, accepted
+    corpus = brand_corpus(spark, sf)
+    most = O.coverage_report(corpus, "brand", accepted).agg(F.max("accepted")).first()[0]
+    return corpus, brand_positions(spark, sf), visited, accepted, int(most or 0) + 20
 
 
 @query("next_candidate", WB + """
 SELECT r.doc_id, r.uri, c.idx, c.accepted, r.ord FROM rel r JOIN acc c ON c.uri = r.uri
-WHERE c.accepted <= 100 ORDER BY c.accepted, c.idx, r.ord LIMIT 1""")
+WHERE c.accepted <= (SELECT hits FROM goal) ORDER BY c.accepted, c.idx, r.ord LIMIT 1""")
 def next_candidate(spark, sf):
-    c, pos, visited, accepted = _review_inputs(spark, sf)
-    return O.next_candidate(c, "brand", pos, visited, accepted, 100)
+    c, pos, visited, accepted, goal = _review_inputs(spark, sf)
+    return O.next_candidate(c, "brand", pos, visited, accepted, goal)
 
 
 @query("review_queue", WB + """
 SELECT doc_id, uri, idx, label, accepted, ord, rank FROM (
   SELECT r.doc_id, r.uri, c.idx, c.label, c.accepted, r.ord,
          row_number() OVER (PARTITION BY c.idx ORDER BY r.ord) AS rank
-  FROM rel r JOIN acc c ON c.uri = r.uri WHERE c.accepted < 120)
-WHERE rank <= 120 - accepted""")
+  FROM rel r JOIN acc c ON c.uri = r.uri WHERE c.accepted < (SELECT hits FROM goal))
+WHERE rank <= (SELECT hits FROM goal) - accepted""")
 def review_queue(spark, sf):
-    c, pos, visited, accepted = _review_inputs(spark, sf)
-    return O.review_queue(c, "brand", pos, visited, accepted, 120) \
+    c, pos, visited, accepted, goal = _review_inputs(spark, sf)
+    return O.review_queue(c, "brand", pos, visited, accepted, goal) \
         .select("doc_id", "uri", "idx", "label", "accepted", "ord", F.col("rank").cast("long").alias("rank"))
 
 
@@ -112,8 +116,8 @@ SELECT c.idx, c.uri, c.label, count(a.doc_id) AS candidates, acc.accepted
 FROM bcats c LEFT JOIN ab a ON a.uri = c.uri JOIN acc ON acc.idx = c.idx
 GROUP BY c.idx, c.uri, c.label, acc.accepted""")
 def coverage_report(spark, sf):
-    c, _, _, accepted = _review_inputs(spark, sf)
-    return O.coverage_report(c, "brand", accepted)
+    _, accepted = FX.review_lists(spark, sf)
+    return O.coverage_report(brand_corpus(spark, sf), "brand", accepted)
 
 
 # --- I -----------------------------------------------------------------------------
