@@ -30,3 +30,28 @@ def test_evaluation_registry():
 
     reg = evaluation_registry()
     assert len(reg) == 8 and reg[Fields.TAXONID.value] is classification_report
+
+
+def test_vocabulary_of_one_document_per_file(spark):
+    from corpuskit.operators.vocab import concept_nodes
+    from corpuskit.sources.records import read_vocabulary
+
+    path = staging_path(spark, "vocab", unique=True)
+    text = '{\n "id": "top",\n "hasTopConcept": [\n  {"id": "a", "prefLabel": {"de": "A"},\n   "narrower": [{"id": "b"}]}\n ]\n}'
+    for k in range(2):
+        spark.createDataFrame([(text.replace("top", f"top{k}"),)], "value string").coalesce(1).write.mode("append").text(path)
+    nodes = {(r.id, r.parent) for r in concept_nodes(read_vocabulary(spark, path)).collect()}
+    assert nodes == {("top0", None), ("top1", None), ("a", "top0"), ("a", "top1"), ("b", "a")}
+
+
+def test_review_lists_round_trip(spark):
+    from corpuskit.plans.jobs import record_review
+    from corpuskit.sources.records import read_id_list
+
+    state = staging_path(spark, "lists", unique=True)
+    assert read_id_list(spark, state + "/visited.csv").count() == 0
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "doc_id string")
+    record_review(spark, state, ids("1", "2"), ids("2"))
+    record_review(spark, state, ids("2", "3"), ids("3"))
+    assert {r.doc_id for r in read_id_list(spark, state + "/visited.csv").collect()} == {"1", "2", "3"}
+    assert {r.doc_id for r in read_id_list(spark, state + "/accepted.csv").collect()} == {"2", "3"}
