@@ -8,11 +8,13 @@ texts then agree in a slot with a probability of their weighted Jaccard similari
 time runs only until all slots are filled.
 
 Signatures are cut into ``BANDS`` bands of ``ROWS`` slots (a pair at 0.8 shares no band
-with probability 1e-7). Texts that share a band are verified on their multisets: links are
-pairs with overlap / union >= 0.8, and classes are the links' components. Texts with the
-same words are one node from the start. Within a band's bucket a few pivots, twice as many
-each round, are held against the members not yet in their class, so that a bucket of many
-alike texts costs few comparisons, and every pair that is not joined otherwise is made.
+with probability 1e-7). Texts that share a band are compared by a byte of each slot; a
+share of agreeing slots below ``SURE`` is more than five standard deviations from 0.8. The
+rest are verified on their multisets: links are pairs with overlap / union >= 0.8, and
+classes are the links' components. Texts with the same words are one node from the start.
+Bands come in turns, and within a bucket a few pivots, more each round, are held
+against the members not yet in their class, so that a bucket of many alike texts costs few
+comparisons, and every pair that is not joined otherwise is made.
 
 Defined results: fewer than five words make one shingle of them all; texts without words
 (null, empty, white space) are copies of each other; a class's id is its smallest id, and
@@ -37,6 +39,11 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 40, 5
 SLOTS = BANDS * ROWS
+#: Bands taken together: the first ones join most copies, and the rest has little left to compare.
+TURNS = ((0, 2), (2, 10), (10, BANDS))
+SURE = 0.65
+#: A bucket's pivots in the first round (about), and how many times as many are through after each further one.
+PIVOTS, MORE = 2.0, 8.0
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -144,7 +151,7 @@ def band_hashes(sig: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, node, bands)``: the words' digest and the buckets of every row (none without words)."""
+    """``(id, node, bands, sketch)``: the words' digest, the buckets of every row (none without words), slots' bytes."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,15 +159,17 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             for part in slices(batch, "__text", 1 << 20):
                 nodes, doc, h = shingles(blobs(part, "__text"))
                 d, s, count, _ = weighted(doc, h)
-                bands = band_hashes(signatures(len(nodes), d, s, count)).view(np.int64)
+                sig = signatures(len(nodes), d, s, count)
+                bands = band_hashes(sig).view(np.int64)
+                sketch = mix(sig.view(np.uint64)).astype(np.uint8)
                 some = np.bincount(doc, minlength=len(nodes)) > 0
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(nodes, pa.binary()),
-                     pa.array([b if z else [] for b, z in zip(bands, some)], pa.list_(pa.int64()))],
-                    names=["id", "node", "bands"])
+                     pa.array([b if z else [] for b, z in zip(bands, some)], pa.list_(pa.int64())),
+                     pa.array([x.tobytes() for x in sketch], pa.binary())], names=["id", "node", "bands", "sketch"])
 
     return docs.select(F.col(key).alias("id"), F.col(text).alias("__text")).mapInArrow(
-        run, f"id {kind}, node binary, bands array<long>")
+        run, f"id {kind}, node binary, bands array<long>, sketch binary")
 
 
 def multisets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
@@ -197,53 +206,70 @@ def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def agreement(a: pa.Array, b: pa.Array) -> pa.Array:
+    """The similarity that the slots' bytes show (unequal slots agree in one of 256 cases)."""
+    if not len(a):
+        return pa.array([], pa.float64())
+    x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, SLOTS) for v in (a, b))
+    return pa.array(((x == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256), pa.float64())
+
+
+def verified(pairs: DataFrame, busy: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``(a, b)`` that are similar enough."""
-    side = lambda n: sets.select(F.col("node").alias(n), F.col("items").alias("items_" + n))
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
+    def side(frame: DataFrame, n: str, column: str) -> DataFrame:
+        return frame.select(F.col("node").alias(n), F.col(column).alias(f"{column}_{n}"))
+
+    near = (pairs.join(side(busy, "a", "sketch"), "a").join(side(busy, "b", "sketch"), "b")
+            .where(F.arrow_udf(agreement, "double")("sketch_a", "sketch_b") >= SURE).select("a", "b"))
+    return (near.join(side(sets, "a", "items"), "a").join(side(sets, "b", "items"), "b")
             .where(F.arrow_udf(jaccard, "double")("items_a", "items_b") >= threshold).select("a", "b"))
 
 
 def link_classes(nodes: DataFrame, docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame | None:
     """``(node, label)`` for the nodes that share a bucket with others; None if there are none."""
-    rows = nodes.select("node", F.explode("bands").alias("bucket"))
+    rows = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(rows.join(full, "bucket").withColumn("u", hash52(F.hex("node")) / F.lit(HASH_SPAN)), "members")
-    busy = written(members.select("node").distinct().join(nodes.select("node", "id"), "node"), "busy")
+    everyone = written(rows.join(full, "bucket").withColumn("u", hash52(F.hex("node")) / F.lit(HASH_SPAN)), "members")
+    busy = written(everyone.select("node").distinct().join(nodes.select("node", "id", "sketch"), "node"), "busy")
     if busy.isEmpty():
         return None
-    sets = written(multisets(docs, busy, key, text), "multisets")
+    sets = written(multisets(docs, busy.select("id", "node"), key, text), "multisets")
     labels = written(busy.select("node", F.col("node").alias("label")), "labels")
-    done, rounds = F.lit(0.0), 0
-    while True:
-        upto = F.lit(float(2 << rounds)) / F.col("n")  # this share of each bucket has been a pivot after the round
-        held = written(members.where(F.col("u") >= done).join(labels, "node"), "held")
-        pivots = held.where(F.col("u") < upto).select("bucket", F.col("node").alias("a"), F.col("u").alias("ua"),
-                                                      F.col("label").alias("la"))
-        pairs = (held.join(pivots, "bucket").where((F.col("label") != F.col("la")) & (
-            (F.col("ua") < F.col("u")) | (F.col("ua") == F.col("u")) & (F.col("a") < F.col("node"))))
-            .select("a", F.col("node").alias("b")).distinct())
-        links = written(verified(pairs, sets, threshold), "links")
-        fresh = relabel(labels, links)
-        if fresh is not labels:
-            drop_written(labels)
-            labels = fresh
-        # buckets go on while members that were no pivots yet are in different classes
-        rest = held.drop("label").where(F.col("u") >= upto).join(labels, "node")
-        open_ = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        left = written(rest.join(open_.select("bucket"), "bucket", "left_semi").drop("label"), "members")
-        drop_written(members, held, links)
-        members, done, rounds = left, upto, rounds + 1
-        if members.isEmpty():
-            drop_written(sets, busy, members)
-            return labels
+    for low, high in TURNS:
+        members, done, rounds = everyone.where((F.col("band") >= low) & (F.col("band") < high)), F.lit(0.0), 0
+        while True:
+            # buckets go on while members that were no pivots yet are in different classes
+            now = members.where(F.col("u") >= done).join(labels, "node")
+            open_ = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+            held = written(now.join(open_.select("bucket"), "bucket", "left_semi"), "held")
+            if rounds:
+                drop_written(members)
+            if held.isEmpty():
+                drop_written(held)
+                break
+            upto = F.lit(PIVOTS * MORE**rounds) / F.col("n")  # this share of a bucket has been a pivot after the round
+            pivots = held.where(F.col("u") < upto).select("bucket", F.col("node").alias("a"), F.col("u").alias("ua"),
+                                                          F.col("label").alias("la"))
+            pairs = (held.join(pivots, "bucket").where((F.col("label") != F.col("la")) & (
+                (F.col("ua") < F.col("u")) | (F.col("ua") == F.col("u")) & (F.col("a") < F.col("node"))))
+                .select("a", F.col("node").alias("b")).distinct())
+            links = written(verified(pairs, busy, sets, threshold), "links")
+            fresh = relabel(labels, links)
+            drop_written(links)
+            if fresh is not labels:
+                drop_written(labels)
+                labels = fresh
+            members, done, rounds = held.drop("label"), upto, rounds + 1
+    drop_written(sets, busy, everyone)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, class_id, kept, node)`` of every row; ``node`` is a digest of its words."""
     prints = written(fingerprints(docs, key, text), "fingerprints")
-    nodes = written(prints.groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "nodes")
+    nodes = written(prints.groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands"),
+                                               F.first("sketch").alias("sketch")), "nodes")
     labels = link_classes(nodes, docs, key, text, threshold)
     named = nodes.select("node", "id", F.col("node").alias("root"))
     if labels is not None:
