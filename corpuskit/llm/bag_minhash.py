@@ -43,7 +43,7 @@ SLOTS = BANDS * ROWS
 TURNS = ((0, 2), (2, 10), (10, BANDS))
 SURE = 0.65
 #: A bucket's pivots in the first round (about), and how many times as many are through after each further one.
-PIVOTS, MORE = 2.0, 8.0
+PIVOTS, MORE = 2.0, 4.0
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
