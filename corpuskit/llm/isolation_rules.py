@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import blobs, hash52, slices, written
+from corpuskit.llm.common import HASH_SPAN, blobs, hash52, slices, written
 
 TREES = 100
 SAMPLE = 256
@@ -170,8 +170,10 @@ def grow(x: np.ndarray, seed: int = 7) -> Forest:
 
 def fit_forest(counted: DataFrame) -> Forest | None:
     """A forest over the documents that pass the base rule; None if there are none."""
-    pool = (counted.where(~base_failed()).withColumn("__h", hash52(F.lit("forest"), F.col("doc_id"), F.col("word_chars")))
-            .orderBy("__h", *COUNTS).limit(TREES * SAMPLE).select(*COUNTS).toPandas())
+    size, fit = TREES * SAMPLE, counted.where(~base_failed())
+    share = 2.0 * size / max(fit.count(), 1)  # a hash below this share leaves enough, and tasks send few rows
+    pool = (fit.withColumn("__h", hash52(F.lit("forest"), F.col("doc_id"), F.col("word_chars")))
+            .where(F.col("__h") < F.lit(share * HASH_SPAN)).orderBy("__h", *COUNTS).limit(size).select(*COUNTS).toPandas())
     return grow(features(pool)) if len(pool) else None
 
 
