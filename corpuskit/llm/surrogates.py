@@ -10,6 +10,21 @@ apart, and equal ones are replaced alike in every document. No entity maps to it
 The corpus-wide check then looks for surrogates that some document really holds, or that
 two entities share; those entities take the next key, until none collides.
 
+Detected kinds, by their form only; what has another form stays in clear:
+
+* ``email``; ``ip`` (IPv4); ``iban``; ``ssn`` (ddd-dd-dddd);
+* ``card``: 13 to 19 digits in a row, or grouped by blanks or hyphens 4-4-4-4, 4-6-5 or 4-6-4;
+* ``phone``: international with ``+``; (ddd) ddd-dddd and ddd-ddd-dddd with an optional 1 before it
+  (blanks or dots too; three numbers in a longer row of numbers parted by blanks are none); an area
+  code with trunk 0, in brackets or set off by blank, slash or hyphen, and five digits or more; five
+  pairs of digits from 0. A national number without separators is taken for a plain number;
+* ``secret``: lower-case hexadecimal runs of 24 to 128 with letters and digits, keys that start as ``sk pk ghp
+  xoxb AKIA`` do, and values of six characters or more with a digit after one of ``SECRET_KEYS`` (any
+  case) and ``=`` or ``:``;
+* ``name``: up to three words after one of ``TITLES``, with a Latin, Greek or Cyrillic capital, or a
+  run of up to four Chinese characters (of a longer run, three), and their other mentions in the same
+  text. Names without a title, native Greek, Cyrillic or Chinese titles and other scripts are not found.
+
 Defined results: null stays null and empty empty; a text without entities is unchanged;
 repeated rows are replaced alike; other columns pass through; ``n_found`` and ``kinds`` of
 the result replace columns of those names.
@@ -43,21 +58,33 @@ FIRST_NAMES = {
     "m": "Adam Albert Arthur Bruno Carlos Daniel David Edward Emil Felix Frank George Henry Hugo Ivan James Jan John "
          "Karl Leo Louis Martin Max Michael Oscar Paul Pedro Peter Robert Samuel Thomas Victor".split()}
 ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëïöü", "çñśźčšžřýß",
-             "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ")
+             "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ")
 HEX = "0123456789abcdef"
 SECRET_KEYS = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey")
 
 WORD = r"[^\W\d_][\w'’-]*"
+#: Latin, Greek and Cyrillic capitals; the ideographs that have surrogates.
+CAPITALS = "".join(c for c in map(chr, (*range(0x530), *range(0x1E00, 0x2000))) if c.isupper())
+HAN = "[\u4e00-\u9fa5]"
+PHONES = (
+    r"\+[0-9]{1,3}[ .-]?(?:\(0\)[ .-]?)?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
+    r"(?<![0-9])\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    r"(?<![0-9A-Za-z])(?<![0-9][.-])(?:1[ .-])?[2-9][0-9]{2}(?:[ .-][2-9][0-9]{2}-|\.[2-9][0-9]{2}\.)[0-9]{4}(?![0-9]|[.-][0-9])",
+    r"(?<![0-9A-Za-z])(?<![0-9][ .-])(?:1 )?[2-9][0-9]{2} [2-9][0-9]{2} [0-9]{4}(?![0-9]|[ .-][0-9])",
+    r"(?<![0-9A-Za-z])(?<![0-9][.-])(?:\(0[1-9][0-9]{1,4}\) ?|0[1-9][0-9]{1,4}(?: ?[/-] ?| ))"
+    r"(?:[0-9]{5,8}(?:-[0-9]{1,4})?|[0-9]{3,4}[ -][0-9]{3,4}(?:[ -][0-9]{2,4})?|[0-9]{2,3}(?:[ -][0-9]{2,3}){2,3})(?![0-9])",
+    r"(?<![0-9A-Za-z])(?<![0-9][ .-])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9]|[ .-][0-9])",
+)
 PATTERN = re.compile("|".join((
     r"(?P<email>[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)",
     r"(?P<secret>(?<![0-9A-Za-z])(?:(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{24,128}|(?:sk|pk|ghp|xoxb)[-_][0-9A-Za-z]{16,}|AKIA[0-9A-Z]{16})(?![0-9A-Za-z]))",
-    rf"(?P<keyed>(?:{'|'.join(SECRET_KEYS)})(?: ?= ?|: ?)[\"']?(?P<value>(?=[A-Za-z+/_-]*[0-9])[0-9A-Za-z+/_-]{{6,}}))",
+    rf"(?P<keyed>(?i:{'|'.join(SECRET_KEYS)})[\"']?(?: ?= ?| ?: ?)[\"']?(?P<value>(?=[A-Za-z+/_-]*[0-9])[0-9A-Za-z+/_-]{{6,}}))",
     r"(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z]))",
     r"(?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))",
-    r"(?P<phone>\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9]))",
-    r"(?P<card>(?<![0-9])(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4})(?![0-9]))",
+    rf"(?P<phone>{'|'.join(PHONES)})",
+    r"(?P<card>(?<![0-9])(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9]))",
     r"(?P<ssn>(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]))",
-    rf"(?P<person>(?<!\w)(?:{'|'.join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True))}) (?:[A-ZÀ-ÞА-Я]{WORD[WORD.index(']') + 1:]}(?: |\b)){{1,3}})",
+    rf"(?P<person>(?<!\w)(?:{'|'.join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True))}) (?:(?:[{CAPITALS}]{WORD[WORD.index(']') + 1:]}(?: |\b)){{1,3}}|{HAN}{{1,4}}(?!{HAN})|{HAN}{{3}}))",
 )))
 HINT = re.compile(r"[0-9@=:]")
 TITLE_HINTS = ("Mr", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Sr.", "Sra.", "Dr", "Prof.")
@@ -194,13 +221,28 @@ def _name(key: bytes, text: str, gender: str, attempt: int) -> str:
             new = names[other(key, "name" + names[0], names.index(plain), len(names))]
             return new.upper() if text.isupper() and len(text) > 1 else new
     sets = _sets(text)
-    if len(text) > 3:
+    if len(text) > 3 and sets[-1] is not _ideographs():
         sets[-1] = None  # endings carry gender
     longer = _longer(key, text, sets, attempt)
     got = respell(key, "name", text, sets)
     return got[:-1] + (longer.upper() if text.isupper() else longer) + got[-1:]
 
 
+def _dialled(text: str, sets: list[str | None]) -> None:
+    """Keep what makes a phone number one of its form: country code, trunk 0, the range of first digits."""
+    code = re.match(r"(?:\+\d{1,3}(?=\D)|\+\d)(?:[ .-]?\(0\))?|1[ .-]|", text).end()
+    sets[:code] = [None] * code
+    if text[0] == "+":
+        return
+    digits = [i for i in range(code, len(text)) if text[i].isdigit()]
+    if text[digits[0]] == "0":
+        sets[digits[0]], sets[digits[1]] = None, "123456789"
+    elif text[code] == "(":
+        sets[digits[0]] = "123456789"
+    else:
+        sets[digits[0]] = sets[digits[3]] = "23456789"
+
+
 def surrogate(secret: str, kind: str, text: str, attempt: int = 0, gender: str = "") -> str:
     """The replacement of one entity; ``attempt`` counts the keys tried before."""
     key = hashlib.blake2b(f"{secret}/{kind}/{attempt}".encode(), digest_size=32).digest()
@@ -218,9 +260,8 @@ def surrogate(secret: str, kind: str, text: str, attempt: int = 0, gender: str =
             sets[i] = None
         got = respell(key, kind, text, sets)
         return got[: domain - 1] + _longer(key, text, sets, attempt) + got[domain - 1:]
-    if kind == "phone" and text[0] == "+":
-        code = re.match(r"\+\d{1,3}(?=\D)|\+\d", text)
-        sets[: code.end()] = [None] * code.end()
+    if kind == "phone":
+        _dialled(text, sets)
     elif kind == "secret":
         start = re.match(r"(?:sk|pk|ghp|xoxb)[-_]|AKIA|", text).end()
         sets[:start] = [None] * start
@@ -252,7 +293,7 @@ def entities(text: str) -> list[tuple[int, int, str, str, str]]:
             for w in re.finditer(WORD, rest):
                 at = m.start() + len(title) + 1
                 found.append((at + w.start(), at + w.end(), "name", w.group(), gender))
-                names.setdefault(w.group().lower(), gender)
+                names.setdefault(w.group().lower(), (w.group(), gender))
         elif kind == "keyed":
             found.append((*m.span("value"), "secret", m.group("value"), ""))
         elif kind == "ip" and max(map(int, m.group().split("."))) > 255:
@@ -261,10 +302,12 @@ def entities(text: str) -> list[tuple[int, int, str, str, str]]:
             found.append((m.start(), m.end(), kind, m.group(), ""))
     if names:
         taken = sorted((a, b) for a, b, *_ in found)
-        every = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(names, key=len, reverse=True)))})(?!\w)", re.I)
-        for m in every.finditer(text):
-            if m.group()[0].isupper() and not any(a < m.end() and m.start() < b for a, b in taken):
-                found.append((m.start(), m.end(), "name", m.group(), names[m.group().lower()]))
+        # Chinese names of two characters or more stand in running text without a border
+        bounded = "|".join(re.escape(n) if re.fullmatch(HAN + "{2,}", n) else rf"(?<!\w){re.escape(n)}(?!\w)"
+                           for n, _ in sorted(names.values(), key=lambda x: len(x[0]), reverse=True))
+        for m in re.finditer(bounded, text, re.I):
+            if not m.group()[0].islower() and not any(a < m.end() and m.start() < b for a, b in taken):
+                found.append((m.start(), m.end(), "name", m.group(), names.get(m.group().lower(), ("", ""))[1]))
         found.sort()
     return found
 

@@ -251,6 +251,47 @@ def test_keyed_secrets():
     assert not any(x in new for x in ("e9b9ed9cc9999999d9", "Hunter2xyz", "P5Q3J46A2LMVSK5"))
 
 
+FORMS = {
+    "secret": ["Password: hunter22", "PASSWORD=hunter22", "API_KEY=abcd1234", "password: hunter22", '"Token": "abcd1234"', "DB_Secret = abcd1234"],
+    "phone": ["415-555-0132", "415.555.0132", "415 555 0132", "415 555-0132", "1-800-555-0199", "(415) 555-0132", "(415) 555 0132",
+              "0171 2345678", "0171/2345678", "(0171) 2345678", "020 7946 0958", "030 1234-567", "07700 900123", "01 23 45 67 89",
+              "+49 (0)171 2345678", "+1 415 555 0132"],
+    "card": ["3782 822463 10005", "3782-822463-10005", "3056 930902 5904", "4111 1111 1111 1111"],
+    "name": ["Dr. Παπαδόπουλος", "Herr Ωρίων", "Frau Šimková", "Mr. Ёлкин", "Mr. 王小明", "Dr 王"],
+}
+
+
+@pytest.mark.parametrize("kind", FORMS)
+def test_forms_are_found_and_kept(kind):
+    for form in FORMS[kind]:
+        for text in (form, f"So {form}, he said", f"电话 {form}。", f"see {form}\nand 12 more"):
+            new, n, kinds = surrogates.replace(text, "k", {})
+            assert kinds == [kind], text
+            a, b = surrogates.entities(text)[0], surrogates.entities(new)[0]
+            assert b[2] == kind and a[:2] == b[:2] and a[3] != b[3]
+            assert [c.isdigit() for c in a[3]] == [c.isdigit() for c in b[3]] or kind == "secret"
+            assert text[: a[0]] + text[a[1]:] == new[: b[0]] + new[b[1]:]
+
+
+def test_close_to_the_forms_stays():
+    for t in ("Password: required", "PASSWORD = none", "tokens: 1048576", "256 512 1024 2048", "2020-01-15 and 15/01/2020", "01.02.2020",
+              "ISSN 0317-8471", "ISBN 978-0-306-40615-7", "02139-4307", "01 02 03 04 05 06 07", "10.25 300.50", "3782 822463", "007 22",
+              "Dr. med", "Frau 9", "Παπαδόπουλος", "王小明来了"):
+        assert surrogates.replace(t, "k", {}) == (t, 0, [])
+
+
+def test_names_of_other_scripts_are_followed():
+    new, n, kinds = surrogates.replace("Mr. 王小明 came. 后来王小明走了。 Dr. Παπάς and ΠΑΠΆΣ.", "k", {})
+    assert kinds == ["name"] * 4 and "王小明" not in new and "Παπάς" not in new and "ΠΑΠΆΣ" not in new
+    assert new.count(new[4:7]) == 2
+    assert surrogates.replace("Mr. 王小明住在北京", "k", {})[0].endswith("住在北京")
+
+
+def test_phones_of_one_form_stay_apart():
+    values = [f"{a}-555-{i:04}" for a in (212, 999) for i in range(300)] + [f"0171 {i:07}" for i in range(300)]
+    assert len({surrogates.surrogate("s", "phone", v) for v in values}) == len(values)
+
+
 @pytest.mark.parametrize("span", [2, 3, 10, 97, 1000])
 def test_permutation_moves_all(span):
     got = [surrogates.other(b"k", "x", i, span) for i in range(span)]
