@@ -60,6 +60,7 @@ FIRST_NAMES = {
 ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëïöü", "çñśźčšžřýß",
              "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ")
 HEX = "0123456789abcdef"
+PREFIXES = "sk|pk|ghp|xoxb"
 SECRET_KEYS = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey")
 
 WORD = r"[^\W\d_][\w'’-]*"
@@ -77,7 +78,7 @@ PHONES = (
 )
 PATTERN = re.compile("|".join((
     r"(?P<email>[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)",
-    r"(?P<secret>(?<![0-9A-Za-z])(?:(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{24,128}|(?:sk|pk|ghp|xoxb)[-_][0-9A-Za-z]{16,}|AKIA[0-9A-Z]{16})(?![0-9A-Za-z]))",
+    rf"(?P<secret>(?<![0-9A-Za-z])(?:(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{{24,128}}|(?:{PREFIXES})[-_][0-9A-Za-z]{{16,}}|AKIA[0-9A-Z]{{16}})(?![0-9A-Za-z]))",
     rf"(?P<keyed>(?i:{'|'.join(SECRET_KEYS)})[\"']?(?: ?= ?| ?: ?)[\"']?(?P<value>(?=[A-Za-z+/_-]*[0-9])[0-9A-Za-z+/_-]{{6,}}))",
     r"(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z]))",
     r"(?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))",
@@ -86,7 +87,8 @@ PATTERN = re.compile("|".join((
     r"(?P<ssn>(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]))",
     rf"(?P<person>(?<!\w)(?:{'|'.join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True))}) (?:(?:[{CAPITALS}]{WORD[WORD.index(']') + 1:]}(?: |\b)){{1,3}}|{HAN}{{1,4}}(?!{HAN})|{HAN}{{3}}))",
 )))
-HINT = re.compile(r"[0-9@=:]")
+#: What every entity but a name has; prefixed keys may be letters only.
+HINT = re.compile(rf"[0-9@=:]|(?:{PREFIXES})[-_]|AKIA")
 TITLE_HINTS = ("Mr", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Sr.", "Sra.", "Dr", "Prof.")
 
 
@@ -263,7 +265,7 @@ def surrogate(secret: str, kind: str, text: str, attempt: int = 0, gender: str =
     if kind == "phone":
         _dialled(text, sets)
     elif kind == "secret":
-        start = re.match(r"(?:sk|pk|ghp|xoxb)[-_]|AKIA|", text).end()
+        start = re.match(rf"(?:{PREFIXES})[-_]|AKIA|", text).end()
         sets[:start] = [None] * start
         if not start and all(c in HEX for c in text):
             sets = [HEX] * len(text)
