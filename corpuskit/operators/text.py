@@ -103,12 +103,26 @@ def drop_tags(docs: DataFrame, excluded: Iterable[str], tagger: Callable[[Column
     """Remove tokens whose tag is excluded (row-local, order kept).
 
     ``tagged_col`` names an ``array<struct<token, tag>>`` column from a tagger that saw the
-    whole text (a pandas UDF, say); without it ``tagger`` gives a Column per token.
+    whole text (a pandas UDF, say); without it ``tagger`` gives a Column per token. Tokens
+    that earlier steps left out of ``col`` stay out: each token takes the tag of its next
+    mention among the tagged ones, and a token without one has no tag and stays. Where
+    ``docs`` have no ``col`` yet, the tagged tokens are taken.
     """
     excluded = list(excluded)
     if tagged_col is not None:
-        kept = F.filter(tagged_col, lambda x: ~F.coalesce(x["tag"].isin(*excluded), F.lit(False)))
-        return docs.withColumn(col, F.transform(kept, lambda x: x["token"]))
+        words = F.transform(tagged_col, lambda x: x["token"])
+        if col not in docs.columns:
+            docs = docs.withColumn(col, words)
+
+        def judged(a: Column, w: Column) -> Column:
+            found = F.array_position(F.slice(words, a["at"] + 1, F.size(words)), w).cast("int")
+            at = a["at"] + F.coalesce(found, F.lit(0))
+            gone = F.coalesce((found > 0) & F.get(F.col(tagged_col), at - 1)["tag"].isin(*excluded), F.lit(False))
+            return F.struct(at.alias("at"), F.concat(a["kept"], F.when(gone, none).otherwise(F.array(w))).alias("kept"))
+
+        none = F.array().cast("array<string>")
+        start = F.struct(F.lit(0).alias("at"), none.alias("kept"))
+        return docs.withColumn(col, F.aggregate(col, start, judged, lambda a: a["kept"]))
     return docs.withColumn(col, F.filter(col, lambda w: ~F.coalesce(tagger(w).isin(*excluded),
                                                                      F.lit(False))))
 

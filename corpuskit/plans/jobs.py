@@ -118,11 +118,15 @@ def vocabulary_labels(spark, registry: dict[str, str], overrides: dict[str, str]
             for f, path in {**registry, **(overrides or {})}.items()}
 
 
-def default_pipeline(tagger=T.token_class, excluded_tags=()) -> list[T.TokenStep]:
-    """The token steps of the training job; ``excluded_tags`` are names of the tagger given."""
+def default_pipeline(tagger=T.token_class, excluded_tags=FD.EXCLUDED_POS_TAGS, tagged_col: str | None = None) -> list[T.TokenStep]:
+    """The token steps of the training job.
+
+    ``excluded_tags`` are names of the tagger given, or of the tags in ``tagged_col``. The default
+    tagger knows none of the default's part-of-speech tags, so with it the step drops nothing.
+    """
     return [T.tokenise,
             lambda d: T.repetition_filter(d, min_rep_count=4, post_filter_count=2),
-            lambda d: T.drop_tags(d, excluded_tags, tagger),
+            lambda d: T.drop_tags(d, excluded_tags, tagger, tagged_col=tagged_col),
             lambda d: T.df_interval(d, min_num=10, max_rate=0.25, interval_open=False),
             T.language_vote]
 

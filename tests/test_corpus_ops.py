@@ -72,6 +72,23 @@ def test_language_vote_and_tags_are_row_local(spark):
     assert {r.doc_id: r.tokens for r in kept.collect()} == {"a": ["and"], "b": ["zzz"], "c": None, "d": ["the"]}
 
 
+def test_tagged_tokens_keep_what_earlier_steps_left(spark):
+    from corpuskit.plans.jobs import default_pipeline
+
+    tagged = "array<struct<token:string,tag:string>>"
+    rows = [("a", ["x"] * 2 + ["der", "y"], [("x", "NOUN")] * 6 + [("der", "DET"), ("y", None)]),
+            ("b", ["der", "z"], [("der", "PRON"), ("der", "NOUN"), ("q", "NOUN"), ("z", "NOUN")]),
+            ("c", ["new", "der"], [("der", "DET")]), ("d", None, [("x", "NOUN")]), ("e", ["x"], None), ("f", [], [("x", "NOUN")])]
+    docs = spark.createDataFrame(rows, f"doc_id string, tokens array<string>, t {tagged}")
+    want = {"a": ["x", "x", "y"], "b": ["z"], "c": ["new"], "d": None, "e": ["x"], "f": []}
+    assert {r.doc_id: r.tokens for r in T.drop_tags(docs, ["DET", "PRON"], tagged_col="t").collect()} == want
+    # the job's own step, by its default tags
+    assert {r.doc_id: r.tokens for r in default_pipeline(tagged_col="t")[2](docs).collect()} == want
+    upper = default_pipeline(tagger=lambda w: F.when(w == "der", "DET").otherwise("NOUN"))[2]
+    assert {r.doc_id: r.tokens for r in upper(docs).collect()} == want | {"b": ["z"]}
+    assert {r.doc_id: r.tokens for r in T.drop_tags(docs.drop("tokens"), ["DET"], tagged_col="t").collect()}["a"] == ["x"] * 6 + ["y"]
+
+
 def test_ordinal_is_dense_and_ordered(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "32")
