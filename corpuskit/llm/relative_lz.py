@@ -13,8 +13,9 @@ than windows.
    answers with the earliest place (document, start) that has the window.
 4. Each document is parsed greedily from the left: a factor starts where a window occurs
    earlier, and goes on while the next window continues at the same place of the same
-   reference. Where it ends, windows across the border are judged by their own answers, so
-   no shared run is lost between two factors. The words under factors are removed.
+   reference. Where it ends, windows across the border are judged by their own answers and
+   start factors of their own, so no shared run is lost between two factors. The words under
+   factors are removed, whether the factors themselves are returned or not.
 
 A window goes to the index at most once per block, however often the block repeats it, so
 a passage that many documents share weighs no more than the number of blocks.
@@ -172,22 +173,18 @@ def _lookups(rows: pa.Table, shared: pa.Table) -> pa.Table:
                   start=block.offset(which))
 
 
-def factors(known: np.ndarray, ref_doc: np.ndarray, ref_start: np.ndarray, offset: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """The greedy parse of one document from the answers for its windows (start, length, reference)."""
+def factors(known: np.ndarray, ref_doc: np.ndarray, ref_start: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The greedy parse of a block's documents from the answers for its windows: each factor's first and last window."""
     hit = np.flatnonzero(known)
-    if not len(hit):
-        return []
     goes_on = np.zeros(len(hit), bool)
     a, b = hit[:-1], hit[1:]
-    goes_on[1:] = (b == a + 1) & (ref_doc[b] == ref_doc[a]) & (ref_start[b] == ref_start[a] + 1)
+    goes_on[1:] = (b == a + 1) & (owner[b] == owner[a]) & (ref_doc[b] == ref_doc[a]) & (ref_start[b] == ref_start[a] + 1)
     heads = np.flatnonzero(~goes_on)
-    ends = np.append(heads[1:], len(hit)) - 1
-    return [(int(offset[hit[h]]), int(offset[hit[e]] - offset[hit[h]]) + WINDOW, int(ref_doc[hit[h]]), int(ref_start[hit[h]]))
-            for h, e in zip(heads, ends)]
+    return hit[heads], hit[np.append(heads[1:], len(hit)) - 1] if len(hit) else hit
 
 
 def _parsed(rows: pa.Table, answers: pa.Table, spans: bool) -> pa.Table:
-    """What is left of each document of the block, and (``spans``) its factors."""
+    """What is left of each document of the block after the words under factors go, and (``spans``) its factors."""
     out: dict[str, list] = {k: [] for k in ("doc_id", "n_words", "n_removed", "kept_sha256", "factors")}
     if rows.num_rows:
         block = Block(rows)
@@ -201,13 +198,15 @@ def _parsed(rows: pa.Table, answers: pa.Table, spans: bool) -> pa.Table:
         later = np.flatnonzero(first != np.arange(n))  # the block itself has the window earlier
         known[later] = True
         source[later], place[later] = block.order(first[later]), block.offset(first[later])
-        cover = np.zeros(len(block.doc) + WINDOW + 1, np.int64)
-        np.add.at(cover, block.at[known], 1)
-        np.add.at(cover, block.at[known] + WINDOW, -1)
-        gone = np.cumsum(cover)[: len(block.doc)] > 0
         offset = block.offset(np.arange(n))
         owner = block.doc[block.at]
-        cut = np.searchsorted(owner, np.arange(len(block.ids) + 1))
+        head, end = factors(known, source, place, owner)
+        cover = np.zeros(len(block.doc) + WINDOW + 1, np.int64)
+        np.add.at(cover, block.at[head], 1)
+        np.add.at(cover, block.at[end] + WINDOW, -1)
+        gone = np.cumsum(cover)[: len(block.doc)] > 0
+        cut = np.searchsorted(owner[head], np.arange(len(block.ids) + 1))
+        spanned = np.stack([offset[head], offset[end] - offset[head] + WINDOW, source[head], place[head]], axis=1)
         for d, words in enumerate(block.words):
             lost = gone[block.start[d]: block.start[d] + block.size[d]]
             kept = words if not lost.any() else [w for w, z in zip(words, lost.tolist()) if not z]
@@ -215,9 +214,8 @@ def _parsed(rows: pa.Table, answers: pa.Table, spans: bool) -> pa.Table:
             out["n_words"].append(len(words))
             out["n_removed"].append(int(lost.sum()))
             out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
-            s = slice(cut[d], cut[d + 1])
             out["factors"].append([dict(zip(("start", "length", "ref_doc", "ref_start"), f)) for f in
-                                   factors(known[s], source[s], place[s], offset[s])] if spans else None)
+                                   spanned[cut[d]: cut[d + 1]].tolist()] if spans else None)
     kinds = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]))
     return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "n_words": pa.array(out["n_words"], pa.int64()),
                      "n_removed": pa.array(out["n_removed"], pa.int64()), "kept_sha256": pa.array(out["kept_sha256"], pa.string()),

@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,6 +154,20 @@ def test_passages_cross_factor_borders(spark):
     assert {r.doc_id: r.n_removed for r in got} == {1: 0, 2: 0, 3: 0, 4: 60, 5: 0, 6: 0}
 
 
+def test_passages_are_removed_by_the_parse(monkeypatch):
+    """Without spans, too, what goes are the words under the parse's factors."""
+    a, b = prose("a", 30), prose("b", 30)
+    rows = pa.table({"block": [0] * 3, "row": pa.array(range(3), pa.int32()), "id": [1, 2, 3],
+                     "text": [t.encode() for t in (a, b, a + " " + b)]})
+    none = pa.table({n: pa.array([], pa.int64()) for n in ("block", "at", "ref_doc", "ref_start")})
+    parse, parsed = relative_lz.factors, []
+    monkeypatch.setattr(relative_lz, "factors", lambda *x: parsed.append(parse(*x)) or parsed[-1])
+    got = relative_lz._parsed(rows, none, False)
+    assert [len(x) for x, _ in parsed] == [2] and got.column("n_removed").to_pylist() == [0, 0, 60]
+    monkeypatch.setattr(relative_lz, "factors", lambda *x: tuple(y[:1] for y in parse(*x)))
+    assert relative_lz._parsed(rows, none, False).column("n_removed").to_pylist() == [0, 0, 30]
+
+
 def test_passages_odd_rows(spark, odd, odd_rows, empty):
     got = relative_lz.remove_repeats(odd).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[1:])
