@@ -27,13 +27,17 @@ ADDED = ("rate", "n_copies", "copy", "shuffle_key")
 
 def rates_by_power(docs: DataFrame, power: float = 0.5, epochs: float = 1.0,
                    source: str = "source", text: str = "text") -> DataFrame:
-    """``(source, rate)``: source weights follow size**power; the mix is ``epochs`` times the input's size."""
+    """``(source, rate)`` of every source: weights follow size**power; the mix is ``epochs`` times the input's size.
+
+    Sizes count characters, so a source whose texts are all null or empty has no weight and rate 0:
+    none of its documents are drawn. Empty texts of other sources are drawn at their source's rate.
+    """
     sizes = docs.groupBy(F.col(source).alias("source")).agg(
         F.sum(F.length(F.coalesce(F.col(text), F.lit("")))).alias("size"))
-    sizes = sizes.where("size > 0")
-    total, spread = sizes.agg(F.sum("size"), F.sum(F.pow(F.col("size").cast("double"), F.lit(power)))).first()
+    total, spread = sizes.where("size > 0").agg(F.sum("size"), F.sum(F.pow(F.col("size").cast("double"), F.lit(power)))).first()
     share = F.pow(F.col("size").cast("double"), F.lit(power)) / F.lit(float(spread or 1.0))
-    return sizes.select("source", (F.lit(float(epochs) * (total or 0)) * share / F.col("size")).alias("rate"))
+    rate = F.when(F.col("size") > 0, F.lit(float(epochs) * (total or 0)) * share / F.col("size")).otherwise(F.lit(0.0))
+    return sizes.select("source", rate.alias("rate"))
 
 
 def _inverse(u: Column, mean: Column) -> Column:

@@ -54,6 +54,19 @@ def test_mix_odd_rows(spark, odd, empty):
     assert poisson_mix.poisson_mix(odd, none).count() == 0
 
 
+@pytest.mark.parametrize("power", [0.0, 0.5, 1.0])
+def test_sources_without_text_have_rate_zero(spark, power):
+    rows = [(1, "abcd", "s"), (2, "", "s"), (3, None, "empty"), (4, "", "empty"), (5, "ab", None), (6, None, "null")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    rates = {r.source: r.rate for r in poisson_mix.rates_by_power(docs, power, epochs=50.0).collect()}
+    assert set(rates) == {"s", "empty", "null", None} and rates["empty"] == rates["null"] == 0.0
+    assert math.isclose(4 * rates["s"] + 2 * rates[None], 50.0 * 6)
+    drawn = poisson_mix.poisson_mix(docs, poisson_mix.rates_by_power(docs, power, epochs=50.0)).collect()
+    assert {r.doc_id for r in drawn} == {1, 2, 5}  # empty texts only of sources that have text
+    none = docs.where("source in ('empty', 'null')")
+    assert [r.rate for r in poisson_mix.rates_by_power(none, power).collect()] == [0.0, 0.0]
+
+
 def test_many_sources_join_without_broadcast(spark, odd, monkeypatch):
     rates = spark.createDataFrame([("s", 2.0), ("t", 1.0)], "source string, rate double")
     want = sorted((r.doc_id or -1, r.copy) for r in poisson_mix.poisson_mix(odd, rates).collect())
