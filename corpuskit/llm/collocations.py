@@ -31,13 +31,13 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import drop_written, written
+from corpuskit.llm.common import blobs, drop_written, slices, written
 
 LONGEST = 4
 #: Bytes of text whose grams are counted before they are shipped.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Bytes of text whose grams make up a bucket, about.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: A prefix is dealt by its next word where it has more than this share of a bucket's grams.
 HEAVY_SHARE = 0.25
 #: Copies of each one-word count that phrases are dealt to by hash: words are the hot parts.
@@ -70,7 +70,8 @@ def _grams(data: bytes):
     text = lower[np.frombuffer(data, dtype=np.uint8)]
     sort = kind[text]
     inside = sort == 0
-    edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
+    zero = np.zeros(1, dtype=np.int8)
+    edge = np.diff(np.concatenate((zero, inside.view(np.int8), zero)))
     start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if len(start) == 0:
         return [], np.zeros((0, LONGEST), dtype=np.uint32), np.zeros(0, dtype=np.int64)
@@ -80,7 +81,7 @@ def _grams(data: bytes):
         pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]).dictionary_encode()
     words = coded.dictionary.to_pylist()
     ids = np.asarray(coded.indices).astype(np.uint64) + np.uint64(1)
-    piece = np.cumsum(sort == 2)[start]
+    piece = np.cumsum(sort == 2, dtype=np.int32)[start]
     gram = np.zeros((LONGEST, len(ids) + LONGEST), dtype=np.uint64)
     gram[0, :len(ids)] = ids
     for k in range(1, LONGEST):
@@ -129,11 +130,10 @@ def _chunks(batches, chunk: int) -> Iterator[tuple[str, bytes]]:
     """``(lang, text)`` in pieces of about ``chunk`` bytes; a text is never cut."""
     held: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if not text:
+    for batch in (part for whole in batches for part in slices(whole, "text")):
+        for lang, data in zip(batch.column(0).to_pylist(), blobs(batch, "text")):
+            if not data:
                 continue
-            data = text.encode("utf-8", "surrogatepass")
             held.setdefault(lang, []).append(data)
             size[lang] = size.get(lang, 0) + len(data) + 1
             if size[lang] >= chunk:
