@@ -5,6 +5,13 @@ A *filter* is ``Callable[[Record], Column]`` returning a never-NULL boolean. A
 predicate on terminals (any/all over lists, direct on scalars). The reference
 model is two-valued, so every builder ends in ``coalesce(.., false)`` before any
 negation, and equality is type-checked (``1 != "1"``).
+
+Filters in Python are made by ``record_filter`` (whole records as dicts), ``python_filter``
+(the values of some paths), ``python_predicate`` (single values, lifted like ``lift``) and
+``udf_filter`` (a Column with any UDF). Spark cannot run Python inside a lambda, so these are
+*late*: the extraction evaluates them in an Arrow stage behind the other filters, over
+terminals that are already compiled. ``negated`` and ``comp`` take both sorts; what
+holds a late filter is late.
 """
 
 from __future__ import annotations
@@ -17,7 +24,7 @@ from pyspark.sql import functions as F
 
 from corpuskit import fields as FD
 from corpuskit.functions.paths import split_path, t_is_list, t_scalar, t_vals, terminal
-from corpuskit.functions.repair import Repair
+from corpuskit.functions.repair import Repair, repaired_record
 from corpuskit.functions.variant import equals_value, in_values, is_boolean, is_number, is_string, \
     vbool, vdouble, vstr
 
@@ -39,6 +46,7 @@ class Record:
         self.sep = sep
         self.bound = bound or {}
         self.used: list[tuple] = []
+        self.whole = False
 
     def key(self, path) -> tuple:
         return split_path(path, self.sep)
@@ -52,9 +60,28 @@ class Record:
         return terminal(self.v, k, repair=self.repairs.get(k))
 
 
+    def entry(self) -> Column:
+        """The whole record, without repairs (see ``record_filter``)."""
+        self.whole = True
+        return self.bound.get(WHOLE, self.v)
+
+
+#: The key under which a bound record holds itself.
+WHOLE = ("*",)
+
 Filter = Callable[[Record], Column]
 
 
+def is_late(f: Filter) -> bool:
+    """Whether a filter runs Python, and so behind the others."""
+    return getattr(f, "late", False)
+
+
+def _late_like(f: Filter, *parts: Filter) -> Filter:
+    f.late = any(is_late(p) for p in parts)
+    return f
+
+
 def _false_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
@@ -92,7 +119,7 @@ def get_filter_with_basic_predicate(predicate_fun: Predicate, field: str,
 
 def negated(f: Filter) -> Filter:
     """C1."""
-    return lambda r: ~_false_if_null(f(r))
+    return _late_like(lambda r: ~_false_if_null(f(r)), f)
 
 
 def comp(*filters: Filter, comp_semantics: Summary = "any") -> Filter:
@@ -104,7 +131,7 @@ def comp(*filters: Filter, comp_semantics: Summary = "any") -> Filter:
         if comp_semantics == "all" or comp_semantics is all:
             return reduce(lambda a, b: a & b, cols, F.lit(True))
         return _false_if_null(comp_semantics(F.array(*cols)))
-    return fun
+    return _late_like(fun, *filters)
 
 
 def conjunction(filters: Iterable[Filter]) -> Filter:
@@ -112,6 +139,69 @@ def conjunction(filters: Iterable[Filter]) -> Filter:
     return comp(*filters, comp_semantics="all")
 
 
+# --- filters in Python --------------------------------------------------------
+
+def udf_filter(f: Filter) -> Filter:
+    """Mark a filter whose Column calls a Python UDF (pandas, Arrow or plain)."""
+    def fun(r: Record) -> Column:
+        return _false_if_null(f(r))
+    fun.late = True
+    return fun
+
+
+def _json_udf(judge: Callable):
+    """A Boolean Arrow UDF over JSON columns: ``judge`` gets each row's decoded values."""
+    @F.arrow_udf("boolean")
+    def run(*columns):
+        import json
+
+        import pyarrow as pa
+
+        rows = zip(*[c.to_pylist() for c in columns])
+        return pa.array([bool(judge(*[None if x is None else json.loads(x) for x in row])) for row in rows], pa.bool_())
+    return run
+
+
+def _decoded(t: dict | None):
+    """A terminal as Python has it: a list, or a single value."""
+    if t is None:
+        return None
+    return t["vals"] if t["is_list"] else (t["vals"] or [None])[0]
+
+
+def _terminal_json(t: Column) -> Column:
+    return F.to_json(F.struct(t_is_list(t).alias("is_list"), t_vals(t).alias("vals")), {"ignoreNullFields": "false"})
+
+
+def python_filter(fun: Callable[..., bool], fields: Sequence[str], separator: str = ".") -> Filter:
+    """``fun(value, ...)`` on the values at ``fields``: a list where a list was met on the way,
+    otherwise a single value or None. What it raises fails the job."""
+    paths = [split_path(f, separator) for f in fields]
+    judge = _json_udf(lambda *ts: fun(*map(_decoded, ts)))
+    return udf_filter(lambda r: judge(*[_terminal_json(r.terminal(p)) for p in paths]))
+
+
+def python_predicate(fun: Callable[..., bool], field: str, multi_value_semantics: Summary = "any",
+                     separator: str = ".") -> Filter:
+    """``fun`` on single values (string, number, Boolean or None) at ``field``; a list's results
+    are summarised by ``"any"``, ``"all"`` or a function of the results."""
+    summary = {"any": any, "all": all}.get(multi_value_semantics, multi_value_semantics)
+
+    def judge(value) -> bool:
+        return summary(bool(fun(x)) for x in value) if isinstance(value, list) else fun(value)
+
+    return python_filter(judge, [field], separator)
+
+
+def record_filter(fun: Callable[[dict], bool]) -> Filter:
+    """``fun(record)`` on the whole record as a dict, with the extraction's repairs done in it."""
+    def build(r: Record) -> Column:
+        repairs = dict(r.repairs)
+        judge = _json_udf(lambda record: fun(repaired_record(record, repairs)))
+        return judge(F.to_json(r.entry()))
+    return udf_filter(build)
+
+
 # --- scalar predicates --------------------------------------------------------
 
 def eq(value) -> Predicate:

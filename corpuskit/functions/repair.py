@@ -93,3 +93,40 @@ def repair_expand(c: Column, repair: Repair) -> Column:
     arr = as_array(c)
     return F.when(arr.isNotNull(), repair_list(arr, repair)) \
         .otherwise(F.array(F.when(is_object(c), c).otherwise(repair_scalar(c, repair))))
+
+
+def repaired_record(record, repairs: dict[tuple, Repair]):
+    """A record as Python values, with the repairs made in place (for filters on whole records)."""
+    for path, repair in repairs.items():
+        if not repair.is_noop():
+            _repair_at(record, path, repair)
+    return record
+
+
+def _repair_at(node, path: tuple, repair: Repair) -> None:
+    if isinstance(node, list):
+        for x in node:
+            _repair_at(x, path, repair)
+        return
+    if not isinstance(node, dict) or path[0] not in node:
+        return
+    if len(path) > 1:
+        _repair_at(node[path[0]], path[1:], repair)
+        return
+    plain = lambda x: isinstance(x, (str, int, float, bool))
+    changed = lambda x: _looked_up(x, repair) if plain(x) else x
+    gone = lambda x: plain(x) and any(_same(x, d) for d in repair.drop)
+    value = node[path[0]]
+    if isinstance(value, list):
+        node[path[0]] = [x for x in map(changed, value) if not gone(x)]
+    else:
+        value = changed(value)
+        node[path[0]] = None if gone(value) else value
+
+
+def _same(x, y) -> bool:
+    return x == y and isinstance(x, str) == isinstance(y, str)
+
+
+def _looked_up(x, repair: Repair):
+    return next((new for old, new in repair.remap if _same(x, old)), x)

@@ -5,7 +5,8 @@
 * ``docs(doc_id, raw_text, editor, test_fields[, language, tokens])``
 * ``assignments(field, doc_id, uri)`` -- one row per (document, category)
 * ``categories(field, idx, uri, label)`` -- matrix columns; may have zero support
-* ``bow(doc_id, word, n)`` and ``vocab(word, idx)`` once a bag of words exists
+* ``bow(doc_id, word, n)`` and ``vocab(word)`` once a bag of words exists; ``vocabulary``
+  ranks the words when somebody reads their matrix columns
 
 Category URIs may be NULL (a NULL inside a value list is a category), so joins on
 ``uri`` are null-safe.
@@ -15,9 +16,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuskit.operators.hot import hot_words, judge_tokens, keep_words
+from corpuskit.operators.ordinal import with_group_ordinal, with_ordinal
+
 
 @dataclass(frozen=True)
 class Corpus:
@@ -43,11 +47,12 @@ def _uri_eq(left: DataFrame, right: DataFrame) -> Column:
 def category_index(distinct_uris: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """``(field, uri)`` -> ``(field, idx, uri)``; default order: uri ascending, NULL first.
 
-    The window is per field: one task ranks the distinct categories of a field.
+    All fields are ranked in one global sort over many tasks, however many categories a
+    field has.
     """
     order = order or [F.col("uri").asc_nulls_first()]
-    w = Window.partitionBy("field").orderBy(*order)
-    return distinct_uris.select("field", (F.row_number().over(w) - 1).cast("int").alias("idx"), "uri")
+    ranked = with_group_ordinal(distinct_uris.select("field", "uri"), "field", order, "idx")
+    return ranked.select("field", F.col("idx").cast("int").alias("idx"), "uri")
 
 
 def encode(values: DataFrame, field: str, order: list[Column] | None = None,
@@ -117,8 +122,8 @@ def subset_categories(corpus: Corpus, field: str, keep: DataFrame) -> Corpus:
     cats = corpus.categories
     this = cats.where(F.col("field") == field)
     kept = this.join(keep_u, _uri_eq(this, keep_u), "left_semi")
-    w = Window.partitionBy("field").orderBy("idx")
-    kept = kept.select("field", (F.row_number().over(w) - 1).cast("int").alias("idx"), "uri", "label")
+    kept = with_group_ordinal(kept.withColumnRenamed("idx", "__old"), "field", ["__old"], "idx") \
+        .select("field", F.col("idx").cast("int").alias("idx"), "uri", "label")
     others = cats.where(F.col("field") != field)
     a = corpus.assignments
     a_this = a.where(F.col("field") == field)
@@ -127,39 +132,49 @@ def subset_categories(corpus: Corpus, field: str, keep: DataFrame) -> Corpus:
                         assignments=a.where(F.col("field") != field).unionByName(a_kept))
 
 
-def filter_tokens(docs: DataFrame, keep_words: DataFrame, col: str = "tokens") -> DataFrame:
+def token_words(docs: DataFrame, col: str = "tokens") -> DataFrame:
+    """``(word, df)``: documents containing the word (distinct per row first, so the
+    count is a plain partial aggregate)."""
+    return (docs.select("doc_id", F.explode(F.array_distinct(col)).alias("word"))
+            .groupBy("word").agg(F.count(F.lit(1)).alias("df")))
+
+
+def filter_tokens(docs: DataFrame, keep_words: DataFrame, col: str = "tokens", hot: list[str] | None = None) -> DataFrame:
     """Remove tokens not in ``keep_words(word)``, keeping order and repeats.
 
-    Tokens are exploded with their position, semi-joined on the word (so a
-    frequent word is spread by document, not sent to one task), and re-collected
-    per document in position order.
+    The words of most documents (``hot``, found by a count where it is not given) are judged inside
+    their rows; only tokens of the other words are shuffled, with their positions.
     """
-    exploded = docs.select("doc_id", F.posexplode(col).alias("__pos", "word"))
-    kept = exploded.join(keep_words.select("word").distinct(), "word", "left_semi")
-    regrouped = kept.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("__pos", "word"))).alias("__t"))
-    regrouped = regrouped.select("doc_id", F.transform("__t", lambda s: s["word"]).alias("__new"))
-    return (docs.join(regrouped, "doc_id", "left")
-            .withColumn(col, F.coalesce(F.col("__new"), F.array().cast("array<string>")))
-            .drop("__new"))
+    hot = hot_words(token_words(docs, col), "df") if hot is None else hot
+    return judge_tokens(docs, keep_words, hot, col)
+
+
+def drop_tokens(docs: DataFrame, words: DataFrame, col: str = "tokens", hot: list[str] | None = None) -> DataFrame:
+    """Remove tokens that are in ``words(word)``; the counterpart of :func:`filter_tokens`."""
+    hot = hot_words(token_words(docs, col), "df") if hot is None else hot
+    return judge_tokens(docs, words, hot, col, keep=False)
 
 
-def subset_vocab(corpus: Corpus, keep_words: DataFrame) -> Corpus:
+def vocabulary(corpus: Corpus) -> DataFrame:
+    """``(word, idx)``: the corpus's words with their matrix columns, by word."""
+    ranked = with_ordinal(corpus.vocab.select("word"), ["word"], "idx")
+    return ranked.select("word", F.col("idx").cast("int").alias("idx"))
+
+
+def subset_vocab(corpus: Corpus, keep_words_: DataFrame) -> Corpus:
     """Restrict the vocabulary; tokens lose the removed words."""
-    words = keep_words.select("word").distinct()
+    words = keep_words_.select("word").distinct()
     out = corpus
     if corpus.vocab is not None:
-        from corpuskit.operators.ordinal import with_ordinal
-
-        v = corpus.vocab.join(words, "word", "left_semi")
-        # vocabularies can be large: re-rank with a global ordinal, not one window
-        v = with_ordinal(v.select("word", F.col("idx").alias("__old")), ["__old"], "idx") \
-            .select("word", F.col("idx").cast("int").alias("idx"))
-        out = out.with_(vocab=v)
-    if corpus.bow is not None:
-        out = out.with_(bow=corpus.bow.join(words, "word", "left_semi"))
+        out = out.with_(vocab=corpus.vocab.join(words, "word", "left_semi"))
+    hot = None
     if "tokens" in corpus.docs.columns:
-        out = out.with_(docs=filter_tokens(corpus.docs, words))
+        hot = hot_words(token_words(corpus.docs), "df")
+        out = out.with_(docs=filter_tokens(corpus.docs, words, hot=hot))
+    if corpus.bow is not None:
+        if hot is None:
+            hot = hot_words(corpus.bow.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "df")
+        out = out.with_(bow=keep_words(corpus.bow, words, hot))
     return out
 
 

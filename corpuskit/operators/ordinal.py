@@ -34,6 +34,18 @@ def with_ordinal(df: DataFrame, order: list[Column | str], name: str = "ord",
             .drop("__pid", "__mid", "__off"))
 
 
+def with_group_ordinal(df: DataFrame, group: str, order: list[Column | str], name: str = "ord") -> DataFrame:
+    """``df`` with the position of each row within its ``group``, from 0.
+
+    The rows are sorted once over all groups; a group's positions are global ones minus its
+    first. The table of first positions has a row per group.
+    """
+    ranked = with_ordinal(df, [group, *order], "__at")
+    first = ranked.groupBy(F.col(group).alias("__group")).agg(F.min("__at").alias("__first"))
+    return (ranked.join(first, ranked[group].eqNullSafe(first["__group"]))
+            .withColumn(name, F.col("__at") - F.col("__first")).drop("__at", "__first", "__group"))
+
+
 def top_k_per_group(df: DataFrame, group: list[str], order: list[Column | str], k: int,
                     salt_key: str, rank_name: str = "rank", bound: Column | None = None) -> DataFrame:
     """Rows with rank <= k per group, skew-safe; ``bound`` may lower k group by group.

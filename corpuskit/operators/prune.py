@@ -1,12 +1,16 @@
-"""Joint quality pruning to a fixpoint.
+"""Joint quality pruning to a fixpoint (G15), by peeling.
 
 Constraints: every document has >= ``min_doc_tokens`` tokens (sum of capped
 counts) and >= 1 category; every word occurs in >= ``min_word_docs`` documents;
 every category has >= ``min_cat_docs`` documents. All are monotone, so the
-greatest sub-corpus meeting them is unique and the removal order inside a round
-does not matter. A round is four semi-join/aggregate steps over the long tables;
-each round's tables are written to the shared checkpoint folder and read back,
-so lineage stays short and a lost executor only recomputes one round.
+greatest sub-corpus meeting them is unique and the order of removal does not matter.
+
+Each document, word and category has counts of what supports it, taken once. What falls
+below its threshold is dead; a round sends decrements for the rows of the newly dead only
+(a dead document to its words and categories, a dead word or category to its documents), and only what
+received a decrement is looked at again. So the bag of words is written once and only read
+after that, and what a round writes is as large as what it removes. Decrements to something
+that is dead already change nothing.
 
 Boundary rule kept from the original: when the length and support constraints
 already hold, nothing is pruned (documents without a category then stay).
@@ -14,70 +18,103 @@ already hold, nothing is pruned (documents without a category then stay).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.operators.corpus import Corpus, subset_vocab
+from corpuskit.operators.corpus import Corpus, drop_tokens, subset_categories
+from corpuskit.operators.hot import hot_words, keep_words
 from corpuskit.session import drop_materialized, materialize
 
 
-def _violations(bow: DataFrame, docs: DataFrame, vocab: DataFrame, cats: DataFrame,
-                assign: DataFrame, min_doc_tokens: int, min_word_docs: int, min_cat_docs: int) -> DataFrame:
-    lens = docs.select("doc_id").join(bow.groupBy("doc_id").agg(F.sum("n").alias("len")),
-                                      "doc_id", "left")
-    bad_docs = lens.where(F.coalesce("len", F.lit(0)) < min_doc_tokens).select(F.lit("doc").alias("kind"))
-    sup = vocab.select("word").join(bow.groupBy("word").agg(F.count(F.lit(1)).alias("s")), "word", "left")
-    bad_words = sup.where(F.coalesce("s", F.lit(0)) < min_word_docs).select(F.lit("word").alias("kind"))
-    cs = assign.groupBy("field", "uri").agg(F.count(F.lit(1)).alias("s"))
-    j = cats.join(cs, (cats["field"] == cs["field"]) & cats["uri"].eqNullSafe(cs["uri"]), "left")
-    bad_cats = j.where(F.coalesce(cs["s"], F.lit(0)) < min_cat_docs).select(F.lit("cat").alias("kind"))
-    return bad_docs.unionByName(bad_words).unionByName(bad_cats)
+def _category(field: Column, uri: Column) -> Column:
+    """One key of a category; a NULL uri is a category of its own."""
+    return F.to_json(F.struct(field.alias("f"), uri.alias("u")))
+
+
+def _union(*frames: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _node(kind: str, key: Column | str, n: Column) -> list[Column]:
+    return [F.lit(kind).alias("kind"), (F.col(key) if isinstance(key, str) else key).alias("key"), n.cast("long").alias("n")]
+
+
+def _support(corpus: Corpus, bow: DataFrame, assign: DataFrame, thresholds: dict[str, int]) -> DataFrame:
+    """``(kind, key, n, least)``: ``len`` and ``has`` of documents, ``word``, ``cat``; those without support, too."""
+    one, none = F.lit(1), F.lit(0)
+    parts = _union(
+        bow.select(*_node("len", "doc_id", F.col("n"))), bow.select(*_node("word", "word", one)),
+        assign.select(*_node("has", "doc_id", one)), assign.select(*_node("cat", "cat", one)),
+        corpus.docs.select(*_node("len", "doc_id", none)), corpus.docs.select(*_node("has", "doc_id", none)),
+        corpus.vocab.select(*_node("word", "word", none)),
+        corpus.categories.select(*_node("cat", _category(F.col("field"), F.col("uri")), none)))
+    least = F.create_map(*[F.lit(x) for kv in thresholds.items() for x in kv])
+    return parts.groupBy("kind", "key").agg(F.sum("n").alias("n")).withColumn("least", least[F.col("kind")].cast("long"))
 
 
 def prune_fixpoint(corpus: Corpus, min_doc_tokens: int = 10, min_word_docs: int = 5,
                    min_cat_docs: int = 10) -> Corpus:
     """Greatest sub-corpus meeting the constraints (see module doc).
 
-    Per round two tables (``bow``, ``assignments``) are written and the round before is
-    deleted; documents, words and categories are their key sets. A round that removes no
-    row of either has reached the fixpoint, so there is no separate check of the
-    constraints after the first. Rows only ever leave, so the rounds end.
+    The rounds end when no decrement kills anything; something dies in every other round.
     """
     bow = materialize(corpus.bow.select("doc_id", "word", "n"), "prune_bow")
-    assign = materialize(corpus.assignments.select("field", "doc_id", "uri"), "prune_assign")
-    docs, vocab = corpus.docs.select("doc_id"), corpus.vocab.select("word")
-    cats = corpus.categories.select("field", "uri")
-    if _violations(bow, docs, vocab, cats, assign, min_doc_tokens, min_word_docs,
-                   min_cat_docs).isEmpty():
+    assign = materialize(corpus.assignments.select(
+        "field", "doc_id", "uri", _category(F.col("field"), F.col("uri")).alias("cat")), "prune_assign")
+    support = materialize(_support(corpus, bow, assign, {
+        "len": min_doc_tokens, "has": 1, "word": min_word_docs, "cat": min_cat_docs}), "prune_support")
+    short = support.where("n < least")
+    if short.where("kind <> 'has'").isEmpty():
+        drop_materialized(bow, assign, support)
         return corpus
-    size = (bow.count(), assign.count())
+    # a document dies of either of its counts
+    died = lambda rows: rows.select(F.when(F.col("kind").isin("len", "has"), "doc")
+                                    .otherwise(F.col("kind")).alias("kind"), "key").distinct()
+    dead = [materialize(died(short), "prune_dead")]
+    sent: list[DataFrame] = []
+    hot = hot_words(support.where("kind = 'word'"), "n", "key")
     while True:
-        words_ok = bow.groupBy("word").agg(F.count(F.lit(1)).alias("s")) \
-            .where(F.col("s") >= min_word_docs).select("word")
-        bow1 = bow.join(words_ok, "word", "left_semi")
-        docs_ok = bow1.groupBy("doc_id").agg(F.sum("n").alias("len")) \
-            .where(F.col("len") >= min_doc_tokens).select("doc_id")
-        assign1 = assign.join(docs_ok, "doc_id", "left_semi")
-        cats_ok = assign1.groupBy("field", "uri").agg(F.count(F.lit(1)).alias("s")) \
-            .where(F.col("s") >= min_cat_docs).select("field", "uri")
-        assign2 = assign1.join(cats_ok, (assign1["field"] == cats_ok["field"])
-                               & assign1["uri"].eqNullSafe(cats_ok["uri"]), "left_semi")
-        docs2 = docs_ok.join(assign2.select("doc_id"), "doc_id", "left_semi")
-        new_assign = materialize(assign2.join(docs2, "doc_id", "left_semi"), "prune_assign")
-        kept = new_assign.select("doc_id").distinct()  # documents whose rows all stayed in both
-        new_bow = materialize(bow1.join(kept, "doc_id", "left_semi"), "prune_bow")
-        drop_materialized(bow, assign)
-        bow, assign = new_bow, new_assign
-        now = (bow.count(), assign.count())  # row counts come from the files' footers
-        if now == size:
+        new = materialize(_decrements(bow, assign, dead[-1], hot), "prune_sent")
+        sent.append(new)
+        touched = new.select("kind", "key").distinct()
+        lost = _union(*sent).join(touched, ["kind", "key"], "left_semi").groupBy("kind", "key").agg(F.sum("n").alias("lost"))
+        below = support.join(lost, ["kind", "key"]).where(F.col("n") - F.col("lost") < F.col("least"))
+        newly = materialize(died(below).join(_union(*dead), ["kind", "key"], "left_anti"), "prune_dead")
+        if newly.isEmpty():
+            drop_materialized(newly)
             break
-        size = now
-    from corpuskit.operators.corpus import subset_categories
+        dead.append(newly)
+    gone = materialize(_union(*dead), "prune_gone")
+    drop_materialized(support, *sent, *dead)
+    return _without(corpus, bow, assign, gone, hot)
+
+
+def _decrements(bow: DataFrame, assign: DataFrame, dead: DataFrame, hot: list[str]) -> DataFrame:
+    """``(kind, key, n)``: what the newly dead take from the counts of others."""
+    of = lambda kind, name: dead.where(F.col("kind") == kind).select(F.col("key").alias(name))
+    one = F.lit(1)
+    by_doc, words = of("doc", "doc_id"), of("word", "word")
+    rows = _union(
+        bow.join(by_doc, "doc_id", "left_semi").select(*_node("word", "word", one)),
+        assign.join(by_doc, "doc_id", "left_semi").select(*_node("cat", "cat", one)),
+        # a frequent word that is alive sends nothing: its rows stay out of the join's shuffle
+        keep_words(bow, words, hot).select(*_node("len", "doc_id", F.col("n"))),
+        assign.join(of("cat", "cat"), "cat", "left_semi").select(*_node("has", "doc_id", one)))
+    return rows.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+
 
-    kept_docs = bow.select("doc_id").distinct()
-    out = Corpus(docs=corpus.docs.join(kept_docs, "doc_id", "left_semi"), assignments=assign,
-                 categories=corpus.categories, fields=corpus.fields, bow=bow, vocab=corpus.vocab)
-    cats = assign.select("field", "uri").distinct()
+def _without(corpus: Corpus, bow: DataFrame, assign: DataFrame, gone: DataFrame, hot: list[str]) -> Corpus:
+    of = lambda kind, name: gone.where(F.col("kind") == kind).select(F.col("key").alias(name))
+    docs, words, cats = of("doc", "doc_id"), of("word", "word"), of("cat", "cat")
+    assign = assign.join(docs, "doc_id", "left_anti").join(cats, "cat", "left_anti").drop("cat")
+    out = corpus.with_(docs=corpus.docs.join(docs, "doc_id", "left_anti"), assignments=assign)
     for f in corpus.fields:
-        out = subset_categories(out, f, cats.where(F.col("field") == f).select("uri"))
-    return subset_vocab(out, bow.select("word").distinct())
+        own = corpus.categories.where(F.col("field") == f).select("uri", _category(F.lit(f), F.col("uri")).alias("cat"))
+        out = subset_categories(out, f, own.join(cats, "cat", "left_anti").select("uri"))
+    out = out.with_(assignments=assign, bow=keep_words(bow.join(docs, "doc_id", "left_anti"), words, hot, keep=False),
+                    vocab=corpus.vocab.join(words, "word", "left_anti"))
+    if "tokens" in corpus.docs.columns:
+        out = out.with_(docs=drop_tokens(out.docs, words, hot=hot))
+    return out

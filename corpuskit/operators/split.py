@@ -13,20 +13,25 @@ key's leading hex digits (bucket) gives counts before each bucket, and windows
 run only inside (category, bucket). A category holding a third of all documents
 is therefore spread over thousands of small window partitions.
 
-Step 4 is computed exactly without walking documents one by one. Before any category runs
-out of surplus, the walk removes every document it meets; a category with surplus S is
-exhausted at its S-th removal, and no later document of it can leave. Each pass takes the
-undecided documents, sets aside those with an exhausted category (they stay), and ranks the
-rest in each category: t is the key at which the category would be exhausted, f the key of
-its next document, the first that this would change. Taken in the order of t, exhaustions
-hold as long as t lies before every earlier f. Up to the last one that holds, all documents
-are decided (they leave), the surpluses are lowered by their numbers, and the pass after it
-sees only what is left. The passes end when no category is exhausted; their state is written
-tables, a single key comes to the driver.
+Step 4 is computed exactly without walking documents one by one. A category has a surplus S:
+S more documents may leave it. In a pass, each undecided document is ranked by key among the
+undecided ones of each of its categories. If its rank is below the surplus in all of them, it
+leaves, whatever becomes of the others: even if all before it left, each of its categories
+would have surplus for it. The surpluses are lowered by those that leave; a document of a
+category without surplus stays. Documents that share no open category are thus decided
+in the same pass, and each pass decides the smallest key of every group of documents that
+are linked by open categories at least. The passes follow the depth of such conflicts, not the number
+of documents or categories; once few rows are left, one task walks them.
+
+Taking the leavers out of the ranking is exact. A later pass sees a category with S - D of surplus,
+where D left. A document with rank S or more had all D before it. One with a smaller rank
+has a rank below the new surplus again: behind it, below S, were at most S - 1 - rank leavers.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +39,8 @@ from corpuskit.operators.corpus import Corpus, subset_docs
 from corpuskit.session import drop_materialized, materialize
 
 BUCKET_HEX_DIGITS = 3  # 4096 buckets
+#: Undecided rows (a document in a category) that are few enough for one task.
+TAIL_ROWS = 100_000
 
 
 def split_key(doc_id: Column, seed: int = 0) -> Column:
@@ -77,63 +84,87 @@ def _prefix(rows: DataFrame, flags: list[str]) -> DataFrame:
 
 def split_candidates(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0) -> DataFrame:
     """``(doc_id)`` of the initial selection."""
-    a = keyed_assignments(corpus, field, seed).withColumn("one", F.lit(1))
     t = split_targets(corpus, field, ratio).select(F.col("uri").alias("__tu"), "target")
-    ranked = _prefix(a, ["one"])
-    ranked = ranked.join(t, ranked["uri"].eqNullSafe(t["__tu"]))
+    return _first_of_each(keyed_assignments(corpus, field, seed), t)
+
+
+def _first_of_each(keyed: DataFrame, targets: DataFrame) -> DataFrame:
+    ranked = _prefix(keyed.withColumn("one", F.lit(1)), ["one"])
+    ranked = ranked.join(targets, ranked["uri"].eqNullSafe(targets["__tu"]))
     return ranked.where(F.col("one_before") < F.col("target")).select("doc_id").distinct()
 
 
-def split_pruned(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0) -> DataFrame:
-    """I4: ``(doc_id)`` of the documents kept after greedy surplus removal."""
-    cand = materialize(split_candidates(corpus, field, ratio, seed), "split_candidates")
-    a = keyed_assignments(corpus, field, seed).join(cand, "doc_id", "left_semi")
-    t = split_targets(corpus, field, ratio).select(F.col("uri").alias("__tu"), "target")
+def split_pruned(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0,
+                 tail_rows: int = TAIL_ROWS) -> DataFrame:
+    """I4: ``(doc_id)`` of the documents kept after greedy surplus removal.
+
+    Passes run until at most ``tail_rows`` rows are undecided; these few are walked in one task.
+    """
+    keyed = materialize(keyed_assignments(corpus, field, seed), "split_keyed")
+    own = corpus.with_(assignments=keyed.select(F.lit(field).alias("field"), "doc_id", "uri"))
+    targets = materialize(split_targets(own, field, ratio).select(F.col("uri").alias("__tu"), "target"), "split_targets")
+    cand = materialize(_first_of_each(keyed, targets), "split_candidates")
+    a = keyed.join(cand, "doc_id", "left_semi")
     selected = a.groupBy("uri").agg(F.count(F.lit(1)).alias("selected"))
-    surplus = materialize(selected.join(t, selected["uri"].eqNullSafe(t["__tu"])).select(
-        "uri", (F.col("selected") - F.col("target")).alias("surplus")), "split_surplus")
-    rows = materialize(a, "split_rows")
-    gone: list[DataFrame] = []
+    surplus = selected.join(targets, selected["uri"].eqNullSafe(targets["__tu"])).select(
+        F.col("uri").alias("__su"), (F.col("selected") - F.col("target")).alias("surplus"))
+    a = a.join(surplus, a["uri"].eqNullSafe(surplus["__su"])).drop("__su")
+    closed = a.where("surplus <= 0").select("doc_id").distinct()
+    rows = materialize(a.join(closed, "doc_id", "left_anti").withColumn("leaves", F.lit(False)), "split_rows")
+    passes = [rows]
     while True:
-        left = surplus.select(F.col("uri").alias("__su"), "surplus")
-        held = rows.join(left.where("surplus <= 0"), rows["uri"].eqNullSafe(left["__su"]), "left_semi")
-        open_rows = rows.join(held.select("doc_id").distinct(), "doc_id", "left_anti")
-        open_rows = materialize(open_rows.join(left, open_rows["uri"].eqNullSafe(left["__su"])).drop("__su"), "split_rows")
-        drop_materialized(rows)
-        # per category: where it would be exhausted, and the next document after that
-        ranked = _prefix(open_rows.withColumn("one", F.lit(1)), ["one"])
-        at = ranked.groupBy("uri").agg(
-            F.max(F.when(F.col("one_before") + 1 == F.col("surplus"), F.col("key"))).alias("t"),
-            F.max(F.when(F.col("one_before") == F.col("surplus"), F.col("key"))).alias("f")).where("t is not null")
-        order = Window.orderBy("t", F.col("uri").asc_nulls_first())  # a row per category
-        checked = at.withColumn("first", F.min("f").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-        broken = F.min(F.when(F.col("t") >= F.col("first"), F.col("t"))).over(
-            order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        until = checked.withColumn("broken", broken).where(F.col("broken").isNull()).agg(F.max("t")).first()[0]
-        decided = open_rows if until is None else open_rows.where(F.col("key") <= until)
-        gone.append(materialize(decided.select("doc_id").distinct(), "split_gone"))
-        if until is None:
-            drop_materialized(open_rows, surplus)
+        still_open = rows.where("NOT leaves AND surplus > 0").drop("leaves")
+        n = still_open.count()
+        if n == 0:
+            break
+        rows = materialize(_pass(still_open) if n > tail_rows else _walk(still_open), "split_rows")
+        passes.append(rows)
+        if n <= tail_rows:
             break
-        if len(gone) == 16:  # few tables, however many passes
-            joined = materialize(_union(gone), "split_gone")
-            drop_materialized(*gone)
-            gone = [joined]
-        less = decided.groupBy("uri").agg(F.count(F.lit(1)).alias("less")).select(F.col("uri").alias("__lu"), "less")
-        lower = surplus.join(less, surplus["uri"].eqNullSafe(less["__lu"]), "left").select(
-            "uri", (F.col("surplus") - F.coalesce("less", F.lit(0))).alias("surplus"))
-        new_surplus = materialize(lower, "split_surplus")
-        rows = materialize(open_rows.where(F.col("key") > until).drop("surplus"), "split_rows")
-        drop_materialized(open_rows, surplus)
-        surplus = new_surplus
-    return cand.join(_union(gone), "doc_id", "left_anti")
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    gone = reduce(DataFrame.unionByName, [p.where("leaves").select("doc_id") for p in passes]).distinct()
+    kept = materialize(cand.join(gone, "doc_id", "left_anti"), "split_kept")
+    drop_materialized(keyed, targets, cand, *passes)
+    return kept
+
+
+def _walk(rows: DataFrame) -> DataFrame:
+    """The last undecided documents, one by one in the order of their keys (a bounded number of rows)."""
+    def run(batches):
+        import pyarrow as pa
+
+        table = pa.Table.from_batches(list(batches))
+        if not len(table):
+            return
+        docs, uris = table.column("doc_id").to_pylist(), table.column("uri").to_pylist()
+        surplus = dict(zip(uris, table.column("surplus").to_pylist()))
+        leaves, at = [], 0
+        while at < len(docs):
+            stop = at
+            while stop < len(docs) and docs[stop] == docs[at]:
+                stop += 1
+            leaving = all(surplus[u] > 0 for u in uris[at:stop])
+            for u in uris[at:stop]:
+                surplus[u] -= leaving
+            leaves += [leaving] * (stop - at)
+            at = stop
+        yield from table.append_column("leaves", pa.array(leaves, pa.bool_())).to_batches()
+
+    ordered = rows.coalesce(1).sortWithinPartitions("key", "doc_id")
+    return ordered.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", leaves boolean")
+
+
+def _pass(rows: DataFrame) -> DataFrame:
+    """The rows of undecided documents after a pass: those that leave, those that are still open (with the
+    surplus left), and those that stay (surplus 0 in every row)."""
+    ranked = _prefix(rows.withColumn("one", F.lit(1)), ["one"])
+    leaves = ranked.groupBy("doc_id").agg(F.min(F.col("one_before") < F.col("surplus")).alias("leaves"))
+    judged = rows.join(leaves, "doc_id")
+    less = judged.where("leaves").groupBy(F.col("uri").alias("__lu")).agg(F.count(F.lit(1)).alias("less"))
+    left = judged.join(less, judged["uri"].eqNullSafe(less["__lu"]), "left").withColumn(
+        "surplus", F.col("surplus") - F.coalesce("less", F.lit(0))).drop("__lu", "less")
+    closed = left.where("NOT leaves AND surplus <= 0").select("doc_id", F.lit(0).alias("__closed")).distinct()
+    return left.join(closed, "doc_id", "left").withColumn(
+        "surplus", F.coalesce("__closed", "surplus")).drop("__closed")
 
 
 def balanced_split(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0) -> tuple[Corpus, Corpus]:

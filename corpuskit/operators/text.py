@@ -14,8 +14,9 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.operators.corpus import Corpus, filter_tokens, subset_docs, subset_vocab
-from corpuskit.operators.ordinal import with_ordinal
+from corpuskit.operators.corpus import Corpus, filter_tokens, subset_docs, token_words
+from corpuskit.operators.hot import hot_words
+from corpuskit.session import materialize
 
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 SENTENCE_PATTERN = r"[.!?\n]+"
@@ -144,26 +145,20 @@ def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
         F.broadcast(scalar.withColumn("__one", F.lit(1))), "__one").drop("__one")
 
 
-def document_frequency(docs: DataFrame, col: str = "tokens") -> DataFrame:
-    """``(word, df)``: documents containing the word (distinct per row first, so the
-    count is a plain partial aggregate)."""
-    return (docs.select("doc_id", F.explode(F.array_distinct(col)).alias("word"))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("df")))
-
-
 def df_interval(docs: DataFrame, min_num: int = 10, max_rate: float = 0.25,
                 interval_open: bool = False, col: str = "tokens") -> DataFrame:
     """Keep words whose document frequency lies in ``[min_num, max_rate * N]``.
 
-    Counts only the tokens still selected; N is the number of documents.
+    Counts only the tokens still selected; N is the number of documents. The words of most documents,
+    those above ``max_rate`` first, are judged inside their rows.
     """
     n = docs.agg(F.count(F.lit(1)).alias("__n"))
-    dfs = with_scalar(document_frequency(docs, col), n)
+    dfs = materialize(with_scalar(token_words(docs, col), n), "frequencies")
     if interval_open:
         ok = (F.col("df") > min_num) & (F.col("df") < F.col("__n") * F.lit(max_rate))
     else:
         ok = (F.col("df") >= min_num) & (F.col("df") <= F.col("__n") * F.lit(max_rate))
-    return filter_tokens(docs, dfs.where(ok).select("word"), col)
+    return filter_tokens(docs, dfs.where(ok).select("word"), col, hot=hot_words(dfs, "df"))
 
 
 def drop_short_sentences(docs: DataFrame, min_len: int = 6, text_col: str = "raw_text",
@@ -181,27 +176,38 @@ def drop_short_docs(corpus: Corpus, min_tokens: int = 20) -> Corpus:
 
 
 def bag_of_words(corpus: Corpus, words: DataFrame | None = None, max_count: int | None = None) -> Corpus:
-    """``bow(doc_id, word, n)`` and ``vocab(word, idx)``; ``max_count`` caps n
+    """``bow(doc_id, word, n)`` and ``vocab(word)``; ``max_count`` caps n
     (for one-byte storage), by default it is the true count.
 
-    With ``words`` the vocabulary is given: unknown words are ignored, unused words
-    stay in ``vocab`` (zero columns), and tokens are synced to it (G12).
+    Words are counted inside their document's row, without a shuffle; the vocabulary is only
+    made when it is read. With ``words`` the vocabulary is given: unknown words are ignored, unused
+    words stay in ``vocab`` (zero columns), and tokens are synced to it (G12).
     """
-    ex = corpus.docs.select("doc_id", F.explode("tokens").alias("word"))
-    if words is not None:
-        vocab_words = words.select("word").distinct()
-        ex = ex.join(vocab_words, "word", "left_semi")
-    else:
-        vocab_words = ex.select("word").distinct()
-    count = F.count(F.lit(1))
-    bow = ex.groupBy("doc_id", "word").agg(
-        (count if max_count is None else F.least(count, F.lit(max_count))).cast("int").alias("n"))
-    vocab = with_ordinal(vocab_words, ["word"], "idx").select(
-        "word", F.col("idx").cast("int").alias("idx"))
-    out = corpus.with_(bow=bow, vocab=vocab)
+    out = corpus
     if words is not None:
-        out = out.with_(docs=filter_tokens(corpus.docs, vocab_words))
-    return out
+        vocab = words.select("word").distinct()
+        out = out.with_(docs=filter_tokens(corpus.docs, vocab))
+    bow = out.docs.select("doc_id", F.explode(_word_counts(F.col("tokens"))).alias("c")).select(
+        "doc_id", "c.word", (F.col("c.n") if max_count is None else F.least("c.n", F.lit(max_count))).alias("n"))
+    if words is None:
+        vocab = bow.select("word").distinct()
+    return out.with_(bow=bow, vocab=vocab)
+
+
+def _word_counts(tokens: Column) -> Column:
+    """The distinct words of a list with their numbers, inside the row: runs of the sorted list."""
+    def counted(s: Column) -> Column:
+        n = F.size(s)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+
+        def runs(at: Column) -> Column:
+            ends = F.concat(F.slice(at, F.lit(2), n), F.array(n))
+            return F.zip_with(at, ends, lambda a, e: F.struct(F.get(s, a).alias("word"), (e - a).alias("n")))
+
+        return F.get(F.transform(F.array(starts), runs), 0)
+
+    present = F.filter(tokens, lambda w: w.isNotNull())
+    return F.when(F.size(present) > 0, F.get(F.transform(F.array(F.sort_array(present)), counted), 0))
 
 
 def bow_from_raw(corpus: Corpus, words: DataFrame | None = None, **kw) -> Corpus:
@@ -210,9 +216,16 @@ def bow_from_raw(corpus: Corpus, words: DataFrame | None = None, **kw) -> Corpus
 
 
 def drop_long_tokens(corpus: Corpus, max_len: int = 30) -> Corpus:
-    """Remove words longer than ``max_len`` characters (vocab, bow, tokens)."""
-    keep = corpus.vocab.where(F.length("word") <= max_len).select("word")
-    return subset_vocab(corpus, keep)
+    """Remove words longer than ``max_len`` characters (vocab, bow, tokens).
+
+    The rule looks at the word alone, so each table is filtered where it is.
+    """
+    short = F.length("word") <= max_len
+    out = corpus.with_(vocab=corpus.vocab.where(short), bow=corpus.bow.where(short))
+    if "tokens" in corpus.docs.columns:
+        out = out.with_(docs=corpus.docs.withColumn("tokens", F.coalesce(
+            F.filter("tokens", lambda w: F.length(w) <= max_len), F.array().cast("array<string>"))))
+    return out
 
 
 def bow_stats(corpus: Corpus) -> tuple[DataFrame, DataFrame]:

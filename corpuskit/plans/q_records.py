@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from corpuskit.fields import Fields, LANGUAGE_REMAPPED, PROTOCOL_FIELD
@@ -242,6 +243,33 @@ FILTER_QUERIES = {
 }
 
 
+# the same conditions in Python: on single values, on values of several paths, on whole records
+PYTHON_FILTER_QUERIES = {
+    "f_udf": (lambda: [P.catalogue_filter, P.comp(P.public_filter, P.python_predicate(
+        lambda x: isinstance(x, str) and x.startswith("de"), LANG))],
+              f"{CATALOGUE} AND ({PUBLIC} OR lang_code LIKE 'de%')"),
+    "f_udf_fields": (lambda: [P.negated(P.python_filter(
+        lambda title, taxa: title is None or len(taxa) > 1, [Fields.TITLE.value, TAXON]))],
+                     "title IS NOT NULL AND len(taxon) <= 1"),
+    "f_udf_record": (lambda: [P.negated(P.editor_filter), P.record_filter(
+        lambda r: len(r["properties"].get("cclom:general_description") or []) > 0 and r["type"] == "ccm:io")],
+                     "coll_title <> 'Redaktionsbuffet' AND has_descr AND typ = 'ccm:io'"),
+    "f_udf_pandas": (lambda: [P.udf_filter(lambda r: _title_longer(t_string(r.terminal(Fields.TITLE.value)), F.lit(20)))],
+                     "coalesce(length(title), 0) > 20"),
+}
+
+
+@F.pandas_udf("boolean")
+def _title_longer(title: pd.Series, n: pd.Series) -> pd.Series:
+    return title.str.len().fillna(0) > n
+
+
+for _name, (_make, _cond) in PYTHON_FILTER_QUERIES.items():
+    def _run(spark, sf, make=_make):
+        return _ids(spark, sf, *make())
+    query(_name, W + f"SELECT id FROM rec WHERE {_cond}")(_run)
+
+
 def _register_filter(name, make, cond):
     @query(name, W + f"SELECT id FROM rec WHERE {cond}")
     def run(spark, sf):

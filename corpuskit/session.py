@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import os
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,18 +48,52 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting always wins. Where it is unset, a folder inside the session's
-    warehouse is used, which every executor of a session shares as well.
+    warehouse is used. On a cluster a warehouse on local disk is no shared folder, so
+    there the setting must be given.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else \
             spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        local = spark.sparkContext.master.startswith("local")
+        if not jdir.isDefined() and not local and root.split(":", 1)[0] in ("file", root):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the executors' Python workers (once per application).
+
+    It goes as a zip in the shared folder, so no path has to be set on any machine.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(home):  # already run from such a zip
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(home)):
+            for name in sorted(names):
+                if name.endswith((".py", ".json")):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("corpuskit", os.path.relpath(full, home)))
+    path = staging_path(spark, "code", unique=True) + "/corpuskit.zip"
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(jpath)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def staging_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path below the shared checkpoint folder for staged tables and exports."""
     root = checkpoint_root(spark)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpuskit import fields as FD
 from corpuskit.functions.paths import split_path, terminal
-from corpuskit.functions.predicates import Filter, Record, conjunction
+from corpuskit.functions.predicates import WHOLE, Filter, Record, conjunction, is_late
 from corpuskit.functions.repair import repairs_from
 from corpuskit.functions.variant import is_object
 
@@ -79,7 +79,8 @@ def extract_table(records: DataFrame, columns: Iterable[str] | Mapping[str, str]
     """A5: one terminal struct column per requested path (alias -> path).
 
     Every path used by a filter or a projection is compiled once into a hidden
-    column; filters and the projection read those columns.
+    column; filters and the projection read those columns. Filters in Python (see
+    ``predicates``) run behind the others, in an Arrow stage over the same columns.
     """
     if isinstance(columns, Mapping):
         wanted = {alias: split_path(p, sep) for alias, p in columns.items()}
@@ -97,18 +98,24 @@ def extract_table(records: DataFrame, columns: Iterable[str] | Mapping[str, str]
     hidden = {p: f"__t{i}" for i, p in enumerate(paths)}
     rec = Record(F.col(col), repairs, sep)
     df = cap(records, max_len, order)
-    bundle = F.struct(*[F.col(k) for k in keep],
-                      *[terminal(F.col(col), p, repair=rec.repairs.get(p)).alias(hidden[p])
-                        for p in paths])
+    members = [F.col(k) for k in keep] + [terminal(F.col(col), p, repair=rec.repairs.get(p)).alias(hidden[p]) for p in paths]
+    if probe.whole:
+        hidden[WHOLE] = "__whole"
+        members.append(F.col(col).alias("__whole"))
+    bundle = F.struct(*members)
+
+    def bound(s) -> Record:
+        return Record(F.col(col), repairs, sep, bound={p: s.getField(h) for p, h in hidden.items()})
+
+    early = [f for f in filters if not is_late(f)]
+    late = [f for f in filters if is_late(f)]
     if filters:
         # Each terminal is compiled once into ``bundle``; the filters read its fields
         # through a lambda variable. Filtering inside ``explode`` keeps the optimizer
         # from pushing a Filter below the projection and re-inlining every terminal.
-        def keep_row(s):
-            bound = Record(F.col(col), repairs, sep,
-                           bound={p: s.getField(h) for p, h in hidden.items()})
-            return conjunction(filters)(bound)
-        df = df.select(F.explode(F.filter(F.array(bundle), keep_row)).alias("__r"))
+        df = df.select(F.explode(F.filter(F.array(bundle), lambda s: conjunction(early)(bound(s)))).alias("__r"))
+        if late:  # Python cannot run in the lambda: it judges what is left, on the same terminals
+            df = df.where(conjunction(late)(bound(F.col("__r"))))
     else:
         df = df.select(bundle.alias("__r"))
     return df.select(*[F.col("__r").getField(k).alias(k) for k in keep],

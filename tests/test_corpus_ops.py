@@ -138,8 +138,26 @@ def test_split_matches_sequential_walk(spark, sf):
 
     keys = {d: hashlib.md5(f"0:{d}".encode()).hexdigest() for d in doc_cats}
     expect = model.greedy_split(doc_cats, keys, 0.3)
-    got = {r.doc_id for r in S.split_pruned(c, "brand", 0.3, 0).collect()}
-    assert got == expect
+    for tail in (S.TAIL_ROWS, 300, 0):  # mostly walked, mostly decided in passes, passes alone
+        assert {r.doc_id for r in S.split_pruned(c, "brand", 0.3, 0, tail).collect()} == expect
+
+
+def test_split_passes_follow_conflicts_not_categories(spark, monkeypatch):
+    """Documents without a common category are decided together, however many categories there are."""
+    import hashlib
+
+    rows = [(f"d{i}", f"c{i % 60}") for i in range(600)] + [(f"d{i}", None) for i in range(0, 600, 7)]
+    a = spark.createDataFrame(rows, "doc_id string, uri string").selectExpr("'f' AS field", "doc_id", "uri")
+    docs = a.select("doc_id").distinct().selectExpr("doc_id", "'' AS raw_text", "false AS editor", "array() AS test_fields")
+    c = C.Corpus(docs=docs, assignments=a, categories=C.attach_labels(C.category_index(a.select("field", "uri").distinct()), None), fields=("f",))
+    passes, plain = [], S._pass
+    monkeypatch.setattr(S, "_pass", lambda r: passes.append(1) or plain(r))
+    got = {r.doc_id for r in S.split_pruned(c, "f", 0.5, 0, 0).collect()}
+    cats = {}
+    for d, u in rows:
+        cats.setdefault(d, set()).add("" if u is None else u)
+    assert got == model.greedy_split(cats, {d: hashlib.md5(f"0:{d}".encode()).hexdigest() for d in cats}, 0.5)
+    assert 1 <= len(passes) <= 12
 
 
 def test_publish_import_round_trip(spark, sf):

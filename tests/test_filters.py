@@ -85,3 +85,53 @@ def test_negation_and_composition(spark):
     either = P.comp(P.catalogue_filter, P.collections_filter)
     assert _eval(spark, recs, both) == [False, False]
     assert _eval(spark, recs, either) == [True, False]
+
+
+def _extracted(spark, recs, *filters, **kw):
+    from corpuskit.sources.records import extract_table
+
+    out = extract_table(records(spark, recs), {"a": "a"}, filters=filters, keep=["rid"], **kw)
+    return out, sorted(r["rid"] for r in out.select("rid").collect())
+
+
+def test_python_filters_mix_with_columns(spark):
+    recs = [{"a": "x", "b": [1, 2]}, {"a": None, "b": []}, {"a": ["x", "y"], "b": 3}, {}, {"a": 1.5, "b": [None, "z"]}]
+    has_x = P.python_predicate(lambda v: v == "x", "a")
+    all_x = P.python_predicate(lambda v: v == "x", "a", "all")
+    two = P.python_predicate(lambda v: v == "x", "a", lambda flags: sum(flags) < 2)
+    listed = P.python_filter(lambda a, b: isinstance(b, list), ["a", "b"])
+    column = P.get_filter_with_basic_predicate(P.eq("x"), "a")
+    assert _extracted(spark, recs, has_x)[1] == [0, 2]
+    assert _extracted(spark, recs, all_x)[1] == [0]
+    assert _extracted(spark, recs, two)[1] == [0, 2]
+    assert _extracted(spark, recs, P.negated(has_x))[1] == [1, 3, 4]
+    assert _extracted(spark, recs, listed)[1] == [0, 1, 4]
+    assert _extracted(spark, recs, P.comp(column, listed))[1] == [0, 1, 2, 4]
+    assert _extracted(spark, recs, P.comp(column, P.negated(listed), comp_semantics="all"))[1] == [2]
+    assert _extracted(spark, recs, column, P.negated(P.comp(has_x, listed, comp_semantics="all")))[1] == [2]
+    assert [P.is_late(f) for f in (column, has_x, P.negated(has_x), P.comp(column, has_x), P.negated(column))] == \
+        [False, True, True, True, False]
+
+
+def test_record_filter_sees_repaired_records(spark):
+    recs = [{"a": "old", "n": {"k": ["p", "q"]}}, {"a": "gone"}, {"a": ["gone", "old"], "n": [{"k": "q"}]}, {"n": 1}]
+    seen = P.record_filter(lambda r: r.get("a") in ("new", ["new"], None) and r.get("n") in ({"k": ["p"]}, [{"k": None}], None, 1))
+    out, ids = _extracted(spark, recs, seen, dropped_values={"a": {"gone"}, "n.k": {"q"}}, remapped_values={"a": {"old": "new"}})
+    assert ids == [0, 1, 2, 3]
+    assert _extracted(spark, recs, P.record_filter(lambda r: "n" in r))[1] == [0, 2, 3]
+
+
+def test_errors_in_python_filters_fail_the_job(spark):
+    import pytest
+
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        _extracted(spark, [{"a": 0}], P.python_predicate(lambda x: 1 / x > 0, "a"))
+
+
+def test_python_filters_walk_once(spark):
+    column = P.get_filter_with_basic_predicate(P.eq("x"), "a")
+    out, _ = _extracted(spark, [{"a": "x"}], column, P.python_predicate(lambda v: True, "a"), P.python_filter(lambda a: True, ["a"]))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and plan.count("try_variant_get") == plan.split("Generate explode")[1].count("try_variant_get")
+    above = plan.split("Generate explode")[0]
+    assert "ArrowEvalPython" in above and "try_variant_get" not in above
