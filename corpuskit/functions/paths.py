@@ -15,7 +15,9 @@ scan stage; no Python runs per row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,36 +149,63 @@ def t_contains_string(t: Column, value: str) -> Column:
 
 # --- leaf discovery -----------------------------------------------------------
 
+#: Levels that one pass walks inside a record's row.
+LEVELS = 8
+_OPEN = "array<struct<path:array<string>,node:variant>>"
+
+
+def _is_container(x: Column) -> Column:
+    return F.coalesce(as_array(x).isNotNull() | is_object(x), F.lit(False))
+
+
+def _walked(path: Column, node: Column) -> Column:
+    """``struct<found, open>``: leaf paths down to LEVELS levels below ``node``, and the containers left there."""
+    none = F.array().cast("array<array<string>>")
+
+    def inside(e: Column) -> Column:
+        # an object's members by key, a list's elements under the same path
+        members = F.map_entries(F.try_variant_get(e["node"], "$", "map<string,variant>"))
+        return F.when(as_array(e["node"]).isNotNull(), F.transform(
+            as_array(e["node"]), lambda x: F.struct(e["path"].alias("path"), x.alias("node")))).otherwise(
+            F.transform(members, lambda m: F.struct(F.concat(e["path"], F.array(m["key"])).alias("path"), m["value"].alias("node"))))
+
+    def level(acc: Column, _) -> Column:
+        kids = F.flatten(F.transform(acc["open"], inside))
+        return F.get(F.transform(F.array(kids), lambda ks: F.struct(
+            F.array_distinct(F.concat(acc["found"], F.transform(
+                F.filter(ks, lambda k: ~_is_container(k["node"])), lambda k: k["path"]))).alias("found"),
+            F.filter(ks, lambda k: _is_container(k["node"])).alias("open"))), 0)
+
+    top = F.array(F.struct(path.alias("path"), node.alias("node")))
+    start = F.struct(none.alias("found"), F.filter(top, lambda e: _is_container(e["node"])).alias("open"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), start, level)
+
+
 def leaf_paths(records: DataFrame, col: str = "v", sep: str = ".") -> DataFrame:
     """Distinct leaf paths of all records: ``(path STRING, depth INT)``.
 
-    Lists add no path segment; an empty object or list contributes nothing. The
-    walk goes level by level until no object or list is left; each level is written
-    and read back, so its plan doesn't grow with the depth. Paths are distinct per
-    level (a partial aggregate: each task ships at most its own distinct paths).
+    Lists add no path segment; an empty object or list contributes nothing. Each record is walked
+    inside its row, and each task sends its distinct paths only; just these few are written. A record that
+    is deeper than LEVELS is walked on from there in another pass, however deep it is.
     """
-    none = F.array().cast("array<string>")
-    level = records.where(F.col(col).isNotNull()).select(none.alias("path"), F.col(col).alias("node"))
-    found = None
+    top = F.array().cast("array<string>")
+    nodes = records.where(F.col(col).isNotNull()).select(top.alias("path"), F.col(col).alias("node"))
+    found = []
     while True:
-        # an object's members by key, a list's elements under the same path, or a leaf
-        members = F.try_variant_get("node", "$", "map<string,variant>")
-        level = materialize(level.select(
-            "path", F.when(as_array(F.col("node")).isNotNull(), F.transform(
-                as_array(F.col("node")), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value"))))
-            .otherwise(F.transform(F.map_entries(members), lambda x: F.struct(
-                x["key"].alias("key"), x["value"].alias("value")))).alias("inside")), "leaves")
-        leaves = level.where(F.col("inside").isNull() & (F.size("path") > 0)).select("path").distinct()
-        found = leaves if found is None else found.unionByName(leaves)
-        if level.where(F.size("inside") > 0).isEmpty():
+        walked = nodes.select(_walked(F.col("path"), F.col("node")).alias("w"))
+        deeper = F.when(F.size("w.open") > 0, F.array(F.lit(None).cast("array<string>"))) \
+            .otherwise(F.array().cast("array<array<string>>"))
+        found.append(materialize(walked.select(F.explode(F.concat("w.found", deeper)).alias("path")).distinct(), "leaves"))
+        if found[-1].where("path IS NULL").isEmpty():
             break
-        level = level.select("path", F.explode("inside").alias("x")).select(
-            F.when(F.col("x.key").isNull(), F.col("path")).otherwise(F.concat("path", F.array("x.key"))).alias("path"),
-            F.col("x.value").alias("node"))
-    return found.distinct().select(F.array_join("path", sep).alias("path"), F.size("path").alias("depth")).distinct()
+        nodes = walked.select(F.explode("w.open").alias("e")).select("e.path", "e.node")
+    paths = reduce(DataFrame.unionByName, found).where("path IS NOT NULL").distinct()
+    return paths.select(F.array_join("path", sep).alias("path"), F.size("path").alias("depth")).distinct()
 
 
 def sampled_leaf_paths(records: DataFrame, rate: float, key: str, col: str = "v", sep: str = ".") -> DataFrame:
-    """Leaf paths of a share ``rate`` of the records, drawn by a hash of their key."""
-    draw = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 13), 16, 10).cast("double") / float(1 << 52)
-    return leaf_paths(records.where(draw < F.lit(float(rate))), col, sep)
+    """Leaf paths of every k-th record in the order of ``key``, k = ceil(1 / rate), from the first."""
+    from corpuskit.operators.ordinal import with_ordinal
+
+    ids = with_ordinal(records.select(key), [key], "__at").where(F.col("__at") % math.ceil(1 / rate) == 0).select(key)
+    return leaf_paths(records.join(ids, key, "left_semi"), col, sep)

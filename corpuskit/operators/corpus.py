@@ -5,8 +5,8 @@
 * ``docs(doc_id, raw_text, editor, test_fields[, language, tokens])``
 * ``assignments(field, doc_id, uri)`` -- one row per (document, category)
 * ``categories(field, idx, uri, label)`` -- matrix columns; may have zero support
-* ``bow(doc_id, word, n)`` and ``vocab(word)`` once a bag of words exists; ``vocabulary``
-  ranks the words when somebody reads their matrix columns
+* ``bow(doc_id, word, n)`` once a bag of words exists, and ``words(word)`` where the vocabulary
+  is given apart from it; ``vocabulary`` ranks the words when somebody reads their matrix columns
 
 Category URIs may be NULL (a NULL inside a value list is a category), so joins on
 ``uri`` are null-safe.
@@ -14,7 +14,9 @@ Category URIs may be NULL (a NULL inside a value list is a category), so joins o
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +32,12 @@ class Corpus:
     categories: DataFrame
     fields: tuple[str, ...]
     bow: DataFrame | None = None
-    vocab: DataFrame | None = None
+    words: DataFrame | None = None
+
+    @property
+    def vocab(self) -> DataFrame | None:
+        """``(word)``: the given vocabulary, or the words of the bag of words."""
+        return self.bow.select("word").distinct() if self.words is None and self.bow is not None else self.words
 
     def with_(self, **kw) -> "Corpus":
         return replace(self, **kw)
@@ -55,21 +62,55 @@ def category_index(distinct_uris: DataFrame, order: list[Column] | None = None)
     return ranked.select("field", F.col("idx").cast("int").alias("idx"), "uri")
 
 
-def encode(values: DataFrame, field: str, order: list[Column] | None = None,
-           labels: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """``values(doc_id, vals ARRAY<STRING>)`` -> ``(assignments, categories)``.
+def assigned(values: DataFrame, field: str) -> DataFrame:
+    """``values(doc_id, vals ARRAY<STRING>)`` -> ``(field, doc_id, uri)``; duplicates inside a
+    document collapse in its row (``array_distinct``)."""
+    return values.select(F.lit(field).alias("field"), "doc_id", F.explode(F.array_distinct("vals")).alias("uri"))
+
 
-    Duplicates inside a document collapse row-locally (``array_distinct``), so the
-    only shuffle is the distinct over category URIs (partially aggregated).
+def rank_categories(assignments: DataFrame, fields: Sequence[str], orders: Mapping[str, list[Column]] = {}) -> DataFrame:  # noqa: B006
+    """``(field, idx, uri)`` of the categories assigned; fields without an order of their own are ranked together.
+
+    The only shuffle of the assignments is the distinct over category URIs (partially aggregated).
     """
-    assignments = values.select(F.lit(field).alias("field"), "doc_id",
-                                F.explode(F.array_distinct("vals")).alias("uri"))
     # the same partial aggregate as ``support``: a plan needing both reuses one exchange
-    uris = assignments.groupBy("field", "uri").agg(F.count(F.lit(1)).alias("support")) \
-        .select("field", "uri")
-    categories = category_index(uris, order)
-    categories = attach_labels(categories, labels)
-    return assignments, categories
+    uris = assignments.groupBy("field", "uri").agg(F.count(F.lit(1)).alias("support")).select("field", "uri")
+    plain = [f for f in fields if not orders.get(f)]
+    parts = [category_index(uris.where(F.col("field") == f), orders[f]) for f in fields if orders.get(f)]
+    if plain:
+        parts.append(category_index(uris if len(plain) == len(fields) else uris.where(F.col("field").isin(*plain))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def encode(values: DataFrame, field: str, order: list[Column] | None = None,
+           labels: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``values(doc_id, vals ARRAY<STRING>)`` -> ``(assignments, categories)``."""
+    assignments = assigned(values, field)
+    return assignments, attach_labels(rank_categories(assignments, [field], {field: order}), labels)
+
+
+def label_categories(categories: DataFrame, labels: Mapping[str, DataFrame] | DataFrame | None,
+                     uri_labels: DataFrame | None = None) -> DataFrame:
+    """``(field, idx, uri, label)``: labels of a vocabulary per field, else of a table by URI."""
+    if isinstance(labels, Mapping):
+        tables = [t.select(F.lit(f).alias("field"), "uri", "label") for f, t in labels.items() if t is not None]
+        labels = reduce(DataFrame.unionByName, tables) if tables else None
+    if labels is None:
+        out = categories.withColumn("label", F.lit(None).cast("string"))
+    else:
+        own = labels.select(F.col("field").alias("__lf"), F.col("uri").alias("__lu"), "label")
+        out = categories.join(own, (F.col("field") == F.col("__lf")) & (F.col("uri") == F.col("__lu")), "left") \
+            .select("field", "idx", "uri", "label")
+    if uri_labels is None:
+        return out
+    from corpuskit.operators.vocab import labels_by_uri
+
+    by_uri = labels_by_uri(out, "uri", uri_labels, "__by_uri")
+    if labels is None:
+        return by_uri.select("field", "idx", "uri", F.col("__by_uri").alias("label"))
+    known = labels.select(F.col("field").alias("__kf")).distinct()  # a field with a vocabulary takes no label by URI
+    return by_uri.join(known, F.col("field") == F.col("__kf"), "left").select("field", "idx", "uri", F.when(
+        F.col("__kf").isNull(), F.col("__by_uri")).otherwise(F.col("label")).alias("label"))
 
 
 def attach_labels(categories: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -165,8 +206,8 @@ def subset_vocab(corpus: Corpus, keep_words_: DataFrame) -> Corpus:
     """Restrict the vocabulary; tokens lose the removed words."""
     words = keep_words_.select("word").distinct()
     out = corpus
-    if corpus.vocab is not None:
-        out = out.with_(vocab=corpus.vocab.join(words, "word", "left_semi"))
+    if corpus.words is not None:
+        out = out.with_(words=corpus.words.join(words, "word", "left_semi"))
     hot = None
     if "tokens" in corpus.docs.columns:
         hot = hot_words(token_words(corpus.docs), "df")
@@ -202,9 +243,14 @@ def categories_in_set(corpus: Corpus, field: str, ids: DataFrame) -> Corpus:
 
 def docs_with_label(corpus: Corpus, prefix: str, labels: DataFrame) -> Corpus:
     """keep documents whose ``prefix + doc_id`` has a non-NULL label."""
+    return subset_docs(corpus, ids_with_label(corpus.docs, prefix, labels).select(F.col("uri").alias("doc_id")))
+
+
+def ids_with_label(ids: DataFrame, prefix: str, labels: DataFrame) -> DataFrame:
+    """``(uri)``: the ids of ``ids(doc_id)`` whose ``prefix + doc_id`` has a non-NULL label."""
     lab = labels.where(F.col("label").isNotNull()).select(F.col("uri").alias("__u")).distinct()
-    d = corpus.docs.select("doc_id", F.concat(F.lit(prefix), F.col("doc_id")).alias("__u"))
-    return subset_docs(corpus, d.join(lab, "__u", "left_semi").select("doc_id"))
+    d = ids.select(F.col("doc_id").alias("uri"), F.concat(F.lit(prefix), F.col("doc_id")).alias("__u"))
+    return d.join(lab, "__u", "left_semi").select("uri")
 
 
 def bit_strings(corpus: Corpus, field: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words that are judged inside rows, at most.
-HOT_WORDS = 2000
+HOT_WORDS = 256
 
 
 def hot_words(counts: DataFrame, n: str, word: str = "word", most: int = HOT_WORDS) -> list[str]:
@@ -34,7 +34,9 @@ def keep_words(rows: DataFrame, words: DataFrame, hot: list[str], word: str = "w
     """Rows whose word is in the table ``words`` (``keep``), or is not."""
     listed = hot_in(words, hot, word)
     stay = listed if keep else [w for w in hot if w not in set(listed)]
-    rare = rows.where(~among(F.col(word), hot)).join(words.select(word).distinct(), word, "left_semi" if keep else "left_anti")
+    # distinct words spread evenly, so a task's share of them makes a small hash table: no sort of the rows
+    own = words.select(word).distinct().hint("shuffle_hash")
+    rare = rows.where(~among(F.col(word), hot)).join(own, word, "left_semi" if keep else "left_anti")
     rare = rare.select(*rows.columns)
     return rare.unionByName(rows.where(among(F.col(word), stay))) if stay else rare
 

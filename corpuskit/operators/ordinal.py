@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from corpuskit.session import materialize
 
-#: Rows of a hot group that one task ranks, at most about.
-ROWS_PER_SALT = 100_000
-
 
 def with_ordinal(df: DataFrame, order: list[Column | str], name: str = "ord",
                  start: int = 0) -> DataFrame:
@@ -50,11 +47,11 @@ def top_k_per_group(df: DataFrame, group: list[str], order: list[Column | str],
                     salt_key: str, rank_name: str = "rank", bound: Column | None = None) -> DataFrame:
     """Rows with rank <= k per group, skew-safe; ``bound`` may lower k group by group.
 
-    Phase 1 ranks inside ``(group, salt)`` and phase 2 the survivors. Both filter by the
-    literal ``k``, so the planner cuts groups before the shuffle. The number of salts
-    follows the number of rows.
+    Phase 1 ranks inside ``(group, salt)`` and phase 2 the survivors, ``k`` of each salt at most. Both
+    filter by the literal ``k``, so the planner cuts groups before the shuffle. There are as many salts as
+    shuffle partitions: a group that holds all rows is ranked by all tasks, and nothing is counted first.
     """
-    salts = max(1, -(-df.count() // ROWS_PER_SALT))
+    salts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salt = F.pmod(F.xxhash64(F.col(salt_key)), F.lit(salts))
     w1 = Window.partitionBy(*group, "__salt").orderBy(*order)
     w2 = Window.partitionBy(*group).orderBy(*order)

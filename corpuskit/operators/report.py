@@ -142,14 +142,50 @@ def classification_report(truth: DataFrame, pred: DataFrame, docs: DataFrame,
 
     ``classes(label)`` are all categories of the field, so that those without truth and
     prediction count in the averages; ``names`` adds a readable name to the class rows.
+
+    Truth and prediction are joined once. One aggregate over grouping sets sums the outcomes by label, by
+    document and over all; a second one turns class and document rows into averages.
     """
-    pc = per_class(truth, pred, classes)
-    avgs = micro_avg(truth, pred).unionByName(macro_weighted_avg(truth, pred, classes)) \
-        .unionByName(samples_avg(truth, pred, docs))
-    out = pc.withColumnRenamed("label", "avg").unionByName(avgs)
+    out = _report_lines(_outcome_sums(truth, pred, docs, classes))
     return out if names is None else named(out, names, "avg")
 
 
+def _outcome_sums(truth: DataFrame, pred: DataFrame, docs: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """``(kind, label, tp, fp, fn)``: a row per class, per document and for all (kind ``class``, ``doc``, ``all``)."""
+    zero = [F.lit(0).alias(c) for c in ("tp", "fp", "fn")]
+    none = F.lit(None).cast("string")
+    rows = _outcomes(truth, pred).withColumn("of", F.lit("pair"))
+    rows = rows.unionByName(docs.select("doc_id", none.alias("label"), *zero, F.lit("doc").alias("of")).distinct())
+    if classes is not None:
+        rows = rows.unionByName(classes.select(none.alias("doc_id"), "label", *zero, F.lit("class").alias("of")))
+    sums = rows.groupingSets([[F.col("label")], [F.col("doc_id")], []], F.col("label"), F.col("doc_id")).agg(
+        F.grouping_id("label", "doc_id").alias("set"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"),
+        *[F.max(F.col("of") == x).alias("has_" + x) for x in ("pair", "doc", "class")])
+    # the sets' bits: 1 = grouped by label alone, 2 = by document alone, 3 = all
+    kind = F.when(F.col("set") == 1, "class").when(F.col("set") == 2, "doc").otherwise("all")
+    wanted = F.when(F.col("set") == 1, F.col("has_pair" if classes is None else "has_class") & F.col("label").isNotNull()) \
+        .when(F.col("set") == 2, F.col("has_doc")).otherwise(F.lit(True))
+    return sums.where(wanted).select(kind.alias("kind"), "label", "tp", "fp", "fn")
+
+
+def _report_lines(sums: DataFrame) -> DataFrame:
+    """``(avg, precision, recall, f1, support)`` from the sums of classes, documents and all."""
+    m = sums.select("kind", "label", *_metrics(F.col("tp"), F.col("fp"), F.col("fn")),
+                    (F.col("tp") + F.col("fn")).cast("long").alias("support"))
+    lines = F.when(F.col("kind") == "class", F.array(F.concat(F.lit("="), "label"), F.lit("macro avg"), F.lit("weighted avg"))) \
+        .when(F.col("kind") == "doc", F.array(F.lit("samples avg"))).otherwise(F.array(F.lit("micro avg")))
+    line = F.col("line")
+    agg = m.select("*", F.explode(lines).alias("line")).groupBy("line").agg(
+        *[F.avg(c).alias(c) for c in ("precision", "recall", "f1")],
+        *[F.sum(F.col(c) * F.col("support")).alias("w_" + c) for c in ("precision", "recall", "f1")],
+        F.sum("support").cast("long").alias("support"))
+    weighted = line == "weighted avg"
+    return _round(agg.select(
+        F.when(line.startswith("="), F.substring(line, F.lit(2), F.length(line))).otherwise(line).alias("avg"),
+        *[F.when(weighted, _ratio(F.col("w_" + c), F.col("support").cast("double"))).otherwise(F.col(c)).alias(c)
+          for c in ("precision", "recall", "f1")], "support"))
+
+
 # Field -> evaluation function (multi-label report for the default fields)
 def evaluation_registry() -> dict:
     from corpuskit.fields import EVALUATED_FIELDS

@@ -9,6 +9,7 @@ replacement: a Column function, or a column that a pandas UDF has filled.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -63,9 +64,9 @@ def keep_language(corpus: Corpus, language: str = "de") -> Corpus:
 
 
 def repetition_filter(docs: DataFrame, min_rep_count: int = 3, post_filter_count: int = 1,
-                      col: str = "tokens") -> DataFrame:
+                      col: str = "tokens", key: Callable[[Column], Column] = lambda x: x) -> DataFrame:
     """Runs of at least ``min_rep_count`` identical tokens keep their first
-    ``post_filter_count`` tokens.
+    ``post_filter_count`` tokens. ``key`` gives the token of an element, for lists of tagged tokens.
 
     Inside each row: a run starts where a token differs from the one before; each run is
     sliced to its new length, and the slices are joined again.
@@ -77,7 +78,7 @@ def repetition_filter(docs: DataFrame, min_rep_count: int = 3, post_filter_count
 
     def shortened(words: Column) -> Column:
         n = F.size(words)
-        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | ~F.get(words, i).eqNullSafe(F.get(words, i - 1)))
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | ~key(F.get(words, i)).eqNullSafe(key(F.get(words, i - 1))))
 
         def cut(at: Column) -> Column:
             ends = F.concat(F.slice(at, F.lit(2), n), F.array(n))
@@ -90,6 +91,52 @@ def repetition_filter(docs: DataFrame, min_rep_count: int = 3, post_filter_count
                            .otherwise(F.col(col)))
 
 
+# --- fixed values: words of closed classes (German, English, French, Spanish), by part of speech ---
+CLOSED_CLASSES = {
+    "DET": ("der", "die", "das", "den", "dem", "des", "ein", "eine", "einen", "einem", "the", "a", "an", "this", "that",
+            "le", "la", "les", "un", "une", "el", "los", "las", "una"),
+    "PRON": ("ich", "du", "er", "sie", "es", "wir", "ihr", "sich", "i", "you", "he", "she", "it", "we", "they",
+             "je", "tu", "il", "elle", "nous", "vous", "que", "qui", "se"),
+    "ADP": ("in", "auf", "mit", "von", "zu", "bei", "aus", "für", "of", "to", "for", "with", "on", "at", "by", "from",
+            "de", "du", "dans", "pour", "sur", "par", "en", "con", "para", "por", "del"),
+    "CCONJ": ("und", "oder", "aber", "and", "or", "but", "et", "ou", "mais", "y", "o", "pero"),
+    "SCONJ": ("dass", "weil", "wenn", "ob", "because", "if", "while", "although", "si", "quand", "porque", "aunque"),
+    "AUX": ("ist", "sind", "war", "hat", "wird", "is", "are", "was", "were", "be", "has", "have", "est", "sont", "son"),
+    "PART": ("nicht", "not", "ne", "pas", "no"),
+    "INTJ": ("ach", "oh", "hallo", "hello", "hola"),
+}
+_TAG_OF = {word: tag for tag, words in CLOSED_CLASSES.items() for word in words}
+
+
+def closed_class_tags(words: list[str]) -> list[str]:
+    """Default tagger of the training job: words of closed classes by list, in any case of letters; NUM for
+    digits, X for other single characters, NOUN for the rest. A model that sees the whole
+    text can stand in its place: any function from a document's tokens to as many tags."""
+    number = lambda w: all(unicodedata.category(c).startswith("N") for c in w)
+    return [_TAG_OF.get(w.lower()) or ("NUM" if number(w) else "X" if len(w) == 1 else "NOUN") for w in words]
+
+
+def tag_tokens(docs: DataFrame, tagger: Callable[[list[str]], list[str]] = closed_class_tags,
+               col: str = "tokens", out: str = "tagged") -> DataFrame:
+    """``out``: ``array<struct<token, tag>>`` from a tagger in Python, by batches of documents (Arrow)."""
+    @F.arrow_udf("array<struct<token:string,tag:string>>")
+    def tag(tokens):
+        import pyarrow as pa
+
+        def row(words):
+            if words is None:
+                return None
+            tags = tagger(words)
+            if len(tags) != len(words):
+                raise ValueError(f"{len(tags)} tags for {len(words)} tokens")
+            return [{"token": w, "tag": t} for w, t in zip(words, tags)]
+
+        kind = pa.list_(pa.struct([("token", pa.string()), ("tag", pa.string())]))
+        return pa.array([row(words) for words in tokens.to_pylist()], kind)
+
+    return docs.withColumn(out, tag(F.col(col)))
+
+
 def token_class(word: Column) -> Column:
     """Default tagger: NUM for digits only, CHAR for a single character, WORD otherwise.
 
@@ -123,7 +170,9 @@ def drop_tags(docs: DataFrame, excluded: Iterable[str], tagger: Callable[[Column
 
         none = F.array().cast("array<string>")
         start = F.struct(F.lit(0).alias("at"), none.alias("kept"))
-        return docs.withColumn(col, F.aggregate(col, start, judged, lambda a: a["kept"]))
+        untouched = F.transform(F.filter(tagged_col, lambda x: ~F.coalesce(x["tag"].isin(*excluded), F.lit(False))), lambda x: x["token"])
+        return docs.withColumn(col, F.when(F.col(col).eqNullSafe(words), untouched)
+                               .otherwise(F.aggregate(col, start, judged, lambda a: a["kept"])))
     return docs.withColumn(col, F.filter(col, lambda w: ~F.coalesce(tagger(w).isin(*excluded),
                                                                      F.lit(False))))
 
@@ -176,8 +225,8 @@ def drop_short_docs(corpus: Corpus, min_tokens: int = 20) -> Corpus:
 
 
 def bag_of_words(corpus: Corpus, words: DataFrame | None = None, max_count: int | None = None) -> Corpus:
-    """``bow(doc_id, word, n)`` and ``vocab(word)``; ``max_count`` caps n
-    (for one-byte storage), by default it is the true count.
+    """``bow(doc_id, word, n)``; ``max_count`` caps n (for one-byte storage), by
+    default it is the true count.
 
     Words are counted inside their document's row, without a shuffle; the vocabulary is only
     made when it is read. With ``words`` the vocabulary is given: unknown words are ignored, unused
@@ -189,9 +238,7 @@ def bag_of_words(corpus: Corpus, words: DataFrame | None = None, max_count: int
         out = out.with_(docs=filter_tokens(corpus.docs, vocab))
     bow = out.docs.select("doc_id", F.explode(_word_counts(F.col("tokens"))).alias("c")).select(
         "doc_id", "c.word", (F.col("c.n") if max_count is None else F.least("c.n", F.lit(max_count))).alias("n"))
-    if words is None:
-        vocab = bow.select("word").distinct()
-    return out.with_(bow=bow, vocab=vocab)
+    return out.with_(bow=bow, words=None if words is None else vocab)
 
 
 def _word_counts(tokens: Column) -> Column:
@@ -221,7 +268,7 @@ def drop_long_tokens(corpus: Corpus, max_len: int = 30) -> Corpus:
     The rule looks at the word alone, so each table is filtered where it is.
     """
     short = F.length("word") <= max_len
-    out = corpus.with_(vocab=corpus.vocab.where(short), bow=corpus.bow.where(short))
+    out = corpus.with_(words=None if corpus.words is None else corpus.words.where(short), bow=corpus.bow.where(short))
     if "tokens" in corpus.docs.columns:
         out = out.with_(docs=corpus.docs.withColumn("tokens", F.coalesce(
             F.filter("tokens", lambda w: F.length(w) <= max_len), F.array().cast("array<string>"))))

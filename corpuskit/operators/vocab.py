@@ -8,13 +8,15 @@ list is gathered in one place. Outputs are edge tables rather than per-node list
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskit.functions.paths import split_path
 from corpuskit.session import materialize
+from corpuskit.sources.records import read_vocabulary
 
 SUBCATEGORY_FIELDS = ("narrower", "hasTopConcept")
 
@@ -27,36 +29,52 @@ def _json_path(seq: Sequence[str]) -> str:
     return "$" + "".join('["' + k + '"]' for k in seq)
 
 
+#: Levels that one pass walks inside a document's row.
+LEVELS = 8
+_NODE = "struct<id:string,label:string,parent:string,depth:int,node:variant>"
+
+
 def concept_nodes(vocab: DataFrame, id_seq: Sequence[str] | str = ("id",),
                   label_seq: Sequence[str] | str = ("prefLabel", "de"),
-                  subcategory_fields: Sequence[str] = SUBCATEGORY_FIELDS, col: str = "v") -> DataFrame:
+                  subcategory_fields: Sequence[str] = SUBCATEGORY_FIELDS, col: str = "v",
+                  keep: Sequence[str] = ()) -> DataFrame:
     """``(id, label, parent, depth)`` for every node occurrence reachable through
-    the subcategory fields (roots have NULL parent).
+    the subcategory fields (roots have NULL parent), with the columns ``keep`` of its document.
 
-    The trees are walked level by level: each level's nodes are written and read back,
-    so the plan of a level doesn't grow with its depth, and the walk ends with the first
-    empty level. A JSON tree is finite, so no depth limit is needed.
+    A document is walked inside its row, LEVELS levels at a time. The nodes found are written once,
+    with the sub-trees below them if there are any; the next pass goes on from these. A JSON tree is
+    finite, so no depth limit is needed.
     """
     id_seq = split_path(id_seq) if isinstance(id_seq, str) else tuple(id_seq)
     label_seq = split_path(label_seq) if isinstance(label_seq, str) else tuple(label_seq)
     idp, labp = _json_path(id_seq), _json_path(label_seq)
     none = F.array().cast("array<variant>")
-    kids = F.concat(*[F.coalesce(F.try_variant_get("node", _json_path([f]), "array<variant>"), none)
-                      for f in subcategory_fields])
-    level = vocab.where(F.col(col).isNotNull()).select(
-        F.col(col).alias("node"), F.lit(None).cast("string").alias("parent"))
-    found, depth = None, 0
+    text = lambda x, path: F.try_variant_get(x, path, "string")
+
+    def kids(x: Column) -> Column:
+        return F.concat(*[F.coalesce(F.try_variant_get(x, _json_path([f]), "array<variant>"), none) for f in subcategory_fields])
+
+    def node(id_, label, parent, depth, tree) -> Column:
+        return F.struct(id_.alias("id"), label.alias("label"), parent.alias("parent"), depth.cast("int").alias("depth"), tree.alias("node"))
+
+    null, no_tree = F.lit(None).cast("string"), F.lit(None).cast("variant")
+
+    def level(acc: Column, _) -> Column:
+        here = F.transform(acc["open"], lambda o: node(text(o["node"], idp), text(o["node"], labp), o["parent"], o["depth"], no_tree))
+        below = F.flatten(F.transform(acc["open"], lambda o: F.transform(
+            kids(o["node"]), lambda k: node(null, null, text(o["node"], idp), o["depth"] + 1, k))))
+        return F.struct(F.concat(acc["found"], here).alias("found"), below.alias("open"))
+
+    trees = vocab.where(F.col(col).isNotNull()).select(*keep, node(null, null, null, F.lit(0), F.col(col)).alias("n"))
+    found = []
     while True:
-        level = materialize(level.select(
-            F.try_variant_get("node", idp, "string").alias("id"),
-            F.try_variant_get("node", labp, "string").alias("label"), "parent",
-            F.lit(depth).alias("depth"), kids.alias("kids")), "concepts")
-        rows = level.select("id", "label", "parent", "depth")
-        found = rows if found is None else found.unionByName(rows)
-        if level.where(F.size("kids") > 0).isEmpty():
-            return found
-        level = level.select(F.explode("kids").alias("node"), F.col("id").alias("parent"))
-        depth += 1
+        start = F.struct(F.array().cast(f"array<{_NODE}>").alias("found"), F.array("n").alias("open"))
+        walked = trees.select(*keep, F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), start, level).alias("w"))
+        rows = materialize(walked.select(*keep, F.explode(F.concat("w.found", "w.open")).alias("n")), "concepts")
+        found.append(rows.where("n.node IS NULL").select(*keep, "n.id", "n.label", "n.parent", "n.depth"))
+        trees = rows.where("n.node IS NOT NULL")
+        if trees.isEmpty():
+            return reduce(DataFrame.unionByName, found)
 
 
 def children_map(nodes: DataFrame) -> DataFrame:
@@ -76,11 +94,11 @@ def parent_map(nodes: DataFrame) -> DataFrame:
     return e.groupBy("id").agg(F.min_by("parent", F.struct("depth", "parent")).alias("parent"))
 
 
-def label_table(nodes: DataFrame) -> DataFrame:
+def label_table(nodes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``(id, label)`` for every node that has a label; one row per id
-    (duplicates: smallest depth, then label)."""
+    (duplicates: smallest depth, then label), in each group of the columns ``by``."""
     e = nodes.where(F.col("id").isNotNull() & F.col("label").isNotNull())
-    return e.groupBy("id").agg(F.min_by("label", F.struct("depth", "label")).alias("label"))
+    return e.groupBy(*by, "id").agg(F.min_by("label", F.struct("depth", "label")).alias("label"))
 
 
 def labels_for_ids(rows: DataFrame, ids_col: str, labels: DataFrame, out_col: str = "label",
@@ -144,5 +162,24 @@ def label_lookup_table(nodes: DataFrame) -> DataFrame:
     return label_table(nodes).select(F.col("id").alias("uri"), "label")
 
 
+def staged_path(root: str, address: str) -> str:
+    """Where the vocabulary of a web address is staged: below ``root``, by host and path. A path stays as it is."""
+    return f"{root.rstrip('/')}/{address.split('://', 1)[1]}" if address.startswith(("http://", "https://")) else address
+
+
+def registry_labels(spark: SparkSession, registry: Mapping[str, str], root: str = "", label_seq="prefLabel.de",
+                    multiline: bool = True) -> DataFrame:
+    """``(field, uri, label)`` of all vocabularies of a registry ``field -> address``, in one walk.
+
+    Addresses on the web are staged files below ``root`` (:func:`staged_path`).
+    """
+    docs = [read_vocabulary(spark, staged_path(root, address), multiline=multiline).select(F.lit(field).alias("field"), "v")
+            for field, address in registry.items()]
+    if not docs:
+        return spark.createDataFrame([], "field string, uri string, label string")
+    nodes = concept_nodes(reduce(DataFrame.unionByName, docs), label_seq=label_seq, keep=("field",))
+    return label_table(nodes, by=("field",)).select("field", F.col("id").alias("uri"), "label")
+
+
 __all__ = ["concept_nodes", "children_map", "parent_map", "label_table", "labels_for_ids",
-           "labels_by_uri", "hierarchy", "normalise_uri", "label_lookup_table"]
+           "labels_by_uri", "hierarchy", "registry_labels", "staged_path", "normalise_uri", "label_lookup_table"]

@@ -6,7 +6,9 @@ table and every target, so later steps never walk the records again.
 
 from __future__ import annotations
 
+import difflib
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,17 +16,17 @@ from pyspark.sql import functions as F
 from corpuskit import fields as FD
 from corpuskit.fields import Fields
 from corpuskit.functions import predicates as P
-from corpuskit.functions.paths import t_first_string, t_string, t_value_list, t_vals
+from corpuskit.functions.paths import sampled_leaf_paths, t_first_string, t_string, t_value_list, t_vals
 from corpuskit.functions.variant import is_string, vstr
 from corpuskit.operators import corpus as C
 from corpuskit.operators import order as O
 from corpuskit.operators import text as T
 from corpuskit.operators import split as S
 from corpuskit.operators.prune import prune_fixpoint
-from corpuskit.operators.vocab import concept_nodes, label_lookup_table, labels_by_uri
+from corpuskit.operators.vocab import registry_labels
 from corpuskit.session import materialize
 from corpuskit.sources import published as PUB
-from corpuskit.sources.records import extract_table, read_id_list, read_vocabulary, write_id_list
+from corpuskit.sources.records import extract_table, read_id_list, write_id_list
 
 BASE_COLUMNS = (Fields.TITLE.value, Fields.DESCRIPTION.value, Fields.ID.value,
                 Fields.COLLECTIONS_TITLE.value, Fields.LANGUAGE.value, Fields.TEST_DATA.value)
@@ -39,23 +41,31 @@ def _has_string(vals, value: str):
 
 
 def base_corpus(records: DataFrame, target_fields: Sequence[str],
-                labels: dict[str, DataFrame] | None = None, skip_labels: bool = False,
+                labels: dict[str, DataFrame] | DataFrame | None = None, skip_labels: bool = False,
                 filters: Iterable[P.Filter] = (), dropped_values: dict | None = None,
                 remapped_values: dict | None = None, max_len: int | None = None,
                 order=None, stage: bool = True, uri_labels: DataFrame | None = None,
-                category_order: dict | None = None) -> C.Corpus:
+                category_order: dict | None = None, vocabulary_root: str | None = None,
+                beside: P.Filter | None = None) -> C.Corpus | tuple[C.Corpus, DataFrame]:
     """K1: records (``v`` VARIANT, re-rooted) -> corpus over ``target_fields``.
 
-    The extraction is written once (``stage``) and every table of the corpus reads it.
-    Categories take their labels from ``labels[field]`` (a vocabulary's ``(uri, label)``),
-    or, for fields without one, from the staged per-URI table ``uri_labels``.
-    ``category_order[field]`` orders a field's categories (Columns over ``uri``).
+    The extraction is written once (``stage``), by columns, so that what reads categories only reads no
+    texts. Categories take their labels from ``labels``
+    (a table ``(field, uri, label)``, or tables ``(uri, label)`` by field), by default from the catalogue's
+    vocabularies staged below ``vocabulary_root``; fields without a vocabulary from the staged per-URI
+    table ``uri_labels``. ``category_order[field]`` orders a field's categories (Columns over ``uri``).
+
+    With ``beside``, the ids ``(doc_id)`` of the records that this filter accepts are returned, too, from the
+    same walk over the records.
     """
     target_fields = tuple(str(f) for f in target_fields)
+    spark = records.sparkSession
     paths = list(dict.fromkeys(BASE_COLUMNS + target_fields))
     columns = {_alias(p): p for p in paths}
-    ext = extract_table(records, columns, filters=filters, dropped_values=dropped_values,
-                        remapped_values=remapped_values, max_len=max_len, order=order)
+    filters = list(filters)
+    flags = {} if beside is None else {"__main": P.conjunction(filters), "__beside": beside}
+    ext = extract_table(records, columns, filters=[P.comp(*flags.values())] if flags else filters, flags=flags,
+                        dropped_values=dropped_values, remapped_values=remapped_values, max_len=max_len, order=order)
     t = {p: F.col(_alias(p)) for p in paths}
     title, descr = t_string(t[Fields.TITLE.value]), t_first_string(t[Fields.DESCRIPTION.value])
     raw_text = F.concat(F.coalesce(title, F.lit("")), F.lit("\n"), F.coalesce(descr, F.lit("")))
@@ -69,24 +79,28 @@ def base_corpus(records: DataFrame, target_fields: Sequence[str],
     ext = ext.select(F.coalesce(t_string(t[Fields.ID.value]), t_first_string(t[Fields.ID.value]))
                      .alias("doc_id"), raw_text.alias("raw_text"), editor.alias("editor"),
                      test_fields.alias("test_fields"),
-                     *[t_value_list(t[f]).alias(_alias(f)) for f in target_fields])
+                     *[t_value_list(t[f]).alias(_alias(f)) for f in target_fields], *flags)
     if stage:
         ext = materialize(ext, "extraction")
+    if beside is not None:
+        other = ext.where("__beside").select("doc_id")
+        ext = ext.where("__main")
     docs = ext.select("doc_id", "raw_text", "editor", "test_fields")
-    assignments, categories = None, None
-    for f in target_fields:
-        vals = ext.select("doc_id", F.col(_alias(f)).alias("vals"))
-        lab = None if skip_labels or not labels else labels.get(f)
-        a, c = C.encode(vals, f, order=(category_order or {}).get(f), labels=lab)
-        if lab is None and uri_labels is not None and not skip_labels:
-            c = labels_by_uri(c.drop("label"), "uri", uri_labels).select("field", "idx", "uri", "label")
-        assignments = a if assignments is None else assignments.unionByName(a)
-        categories = c if categories is None else categories.unionByName(c)
-    if assignments is None:
-        spark = records.sparkSession
-        assignments = spark.createDataFrame([], "field string, doc_id string, uri string")
-        categories = spark.createDataFrame([], "field string, idx int, uri string, label string")
-    return C.Corpus(docs=docs, assignments=assignments, categories=categories, fields=target_fields)
+    if not target_fields:
+        if beside is not None:
+            raise ValueError("a walk beside needs target fields")
+        return C.Corpus(docs=docs, assignments=spark.createDataFrame([], "field string, doc_id string, uri string"),
+                        categories=spark.createDataFrame([], "field string, idx int, uri string, label string"), fields=())
+    assignments = reduce(DataFrame.unionByName, [C.assigned(ext.select("doc_id", F.col(_alias(f)).alias("vals")), f)
+                                                 for f in target_fields])
+    categories = C.rank_categories(assignments, target_fields, category_order or {})
+    if skip_labels:
+        labels, uri_labels = None, None
+    elif labels is None and vocabulary_root is not None:
+        labels = vocabulary_labels(spark, vocabulary_root, target_fields)
+    corpus = C.Corpus(docs=docs, assignments=assignments, fields=target_fields,
+                      categories=C.label_categories(categories, labels, uri_labels))
+    return corpus if beside is None else (corpus, other)
 
 
 def flat_corpus(records: DataFrame, target_fields: Sequence[str], dropped_values: dict | None = None,
@@ -110,25 +124,35 @@ def collections_corpus(records: DataFrame, target_fields: Sequence[str],
     return base_corpus(records, target_fields, filters=list(filters) + [P.collections_filter], **kw)
 
 
-def vocabulary_labels(spark, registry: dict[str, str], overrides: dict[str, str] | None = None,
-                      label_seq="prefLabel.de", multiline: bool = True) -> dict[str, DataFrame]:
-    """``labels`` for K1 from a registry ``field -> staged vocabulary`` (``overrides`` win)."""
-    seq = tuple(label_seq.split(".")) if isinstance(label_seq, str) else tuple(label_seq)
-    return {f: label_lookup_table(concept_nodes(read_vocabulary(spark, path, multiline=multiline), label_seq=seq))
-            for f, path in {**registry, **(overrides or {})}.items()}
+def vocabulary_labels(spark, root: str, fields: Iterable[str] | None = None, registry: dict[str, str] | None = None,
+                      overrides: dict[str, str | None] | None = None, **kw) -> DataFrame:
+    """``(field, uri, label)`` for K1 from the vocabularies that are staged below ``root``.
 
+    ``registry`` (by default the catalogue's own) gives each field's vocabulary; ``overrides`` replace
+    entries, or leave fields out (None). Only ``fields`` are read, if given.
+    """
+    known = {**(FD.default_vocabularies() if registry is None else registry), **(overrides or {})}
+    wanted = {f: a for f, a in known.items() if a is not None and (fields is None or f in set(fields))}
+    return registry_labels(spark, wanted, root, **kw)
 
-def default_pipeline(tagger=T.token_class, excluded_tags=FD.EXCLUDED_POS_TAGS, tagged_col: str | None = None) -> list[T.TokenStep]:
+
+def default_pipeline(tagger=T.closed_class_tags, excluded_tags=FD.EXCLUDED_POS_TAGS, tagged_col: str | None = None) -> list[T.TokenStep]:
     """The token steps of the training job.
 
-    ``excluded_tags`` are names of the tagger given, or of the tags in ``tagged_col``. The default
-    tagger knows none of the default's part-of-speech tags, so with it the step drops nothing.
+    ``tagger`` maps a document's tokens to their tags, in Python (see ``text.tag_tokens``). Documents that
+    bring ``tagged_col`` from a model of their own are not tagged again.
     """
+    if tagged_col is None:
+        tag, col = (lambda d: T.tag_tokens(d, tagger)), "tagged"
+    else:
+        tag, col = (lambda d: d), tagged_col
     return [T.tokenise,
-            lambda d: T.repetition_filter(d, min_rep_count=4, post_filter_count=2),
-            lambda d: T.drop_tags(d, excluded_tags, tagger, tagged_col=tagged_col),
-            lambda d: T.df_interval(d, min_num=10, max_rate=0.25, interval_open=False),
-            T.language_vote]
+            T.language_vote,  # by the whole text, before words leave it
+            tag,
+            lambda d: T.repetition_filter(d, min_rep_count=4, post_filter_count=2, col=col, key=lambda x: x["token"]),
+            lambda d: T.drop_tags(d.drop("tokens"), excluded_tags, tagged_col=col).drop("tagged"),
+            lambda d: materialize(d, "tagged_tokens"),  # read by each step of the next: counts, hot words, filter
+            lambda d: T.df_interval(d, min_num=10, max_rate=0.25, interval_open=False)]
 
 
 def training_corpus(records: DataFrame, target_fields: Sequence[str], filters: Iterable[P.Filter] = (),
@@ -164,19 +188,17 @@ def candidates_corpus(records: DataFrame, field: str, topic_labels: DataFrame,
     """K5: test-data candidates for ``field``; returns the corpus and its order (H2, H3).
 
     ``topic_labels(uri, label)`` is the staged topic vocabulary; a collection is kept
-    when ``topic_prefix + collection id`` has a label there.
+    when ``topic_prefix + collection id`` has a label there. Documents and collections come from
+    one walk over the records.
     """
     targets = [field, Fields.COLLECTIONS_UUID.value, Fields.TOPIC.value]
     extra = [P.labeled_filter([field]),
              P.len_filter([Fields.DESCRIPTION.value, Fields.TITLE.value], 50,
                           multi_field_semantics="any", unit=length_unit)]
-    corpus = flat_corpus(records, targets, filters=extra + list(filters), **kw)
+    corpus, colls = flat_corpus(records, targets, filters=extra + list(filters), beside=P.collections_filter, **kw)
     corpus = corpus.with_(docs=materialize(T.drop_short_sentences(corpus.docs, 6), "candidate_docs"))
     corpus = T.drop_short_docs(corpus, 20)
-    colls = collections_corpus(records, [field])
-    colls = C.docs_with_label(colls, topic_prefix, topic_labels)
-    ids = colls.docs.select(F.col("doc_id").alias("uri"))
-    corpus = C.categories_in_set(corpus, Fields.COLLECTIONS_UUID.value, ids)
+    corpus = C.categories_in_set(corpus, Fields.COLLECTIONS_UUID.value, C.ids_with_label(colls, topic_prefix, topic_labels))
     return corpus, O.sort_len(corpus, Fields.COLLECTIONS_UUID.value)
 
 
@@ -201,6 +223,26 @@ def review_job(corpus: C.Corpus, order: DataFrame, field: str, state_dir: str, m
     return queue, O.coverage_report(corpus, field, accepted)
 
 
+def review_fields(records: DataFrame, key: str, rate: float = 0.1) -> DataFrame:
+    """K7, before the first round: the fields ``(path, depth)`` that a reviewer can choose from, shortest first;
+    leaf paths of every k-th record (B5)."""
+    return sampled_leaf_paths(records, rate, key).orderBy(F.length("path"), "path")
+
+
+def review_session(records: DataFrame, key: str, field: str, topic_labels: DataFrame, state_dir: str, max_hits: int,
+                   rate: float = 0.1, **kw) -> tuple[DataFrame, DataFrame]:
+    """K7: discover the fields, check the chosen one against them, build its candidates, run the next round.
+
+    A field that no sampled record has is an error that names the fields with a similar name.
+    """
+    found = [r["path"] for r in review_fields(records, key, rate).collect()]  # paths of a schema, not of records
+    if field not in found:
+        near = difflib.get_close_matches(field, found, 3) or found[:3]
+        raise ValueError(f"no record has a field {field!r}; similar ones: {', '.join(near)}")
+    corpus, order = candidates_corpus(records, field, topic_labels, **kw)
+    return review_job(corpus, order, field, state_dir, max_hits)
+
+
 def record_review(spark, state_dir: str, visited: DataFrame, accepted: DataFrame) -> None:
     """Add the outcome of a round, ``(doc_id)`` each, to the lists that the next round reads."""
     for name, ids in (("visited", visited), ("accepted", accepted)):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpuskit import fields as FD
 from corpuskit.fields import Fields, LANGUAGE_REMAPPED
 from corpuskit.functions import predicates as P
 from corpuskit.operators import corpus as C
@@ -94,6 +95,18 @@ def voc_hierarchy(spark, sf):
     return V.hierarchy(nodes(spark, sf))
 
 
+LRT = Fields.LRT.value
+
+
+@query("voc_registry", WH + f"""
+SELECT '{TAXON}' AS field, id AS uri, label FROM hlabels
+UNION ALL SELECT DISTINCT '{LRT}', 'http://x/' || p_brand, p_brand FROM part WHERE p_brand NOT LIKE '%3'""")
+def voc_registry(spark, sf):
+    """Two vocabularies in one walk; the other entries of the default registry are left out."""
+    overrides = dict.fromkeys(FD.default_vocabularies()) | {TAXON: FX.hier_file(spark, sf), LRT: FX.brand_vocabulary_file(spark, sf)}
+    return J.vocabulary_labels(spark, "", overrides=overrides, multiline=False)
+
+
 # --- F: corpus ----------------------------------------------------------------------
 
 RCORPUS = r"""
@@ -139,6 +152,13 @@ def target_build(spark, sf):
     return rec_corpus(spark, sf).categories
 
 
+@query("target_registry", WR + "SELECT field, idx, uri, label FROM rcats")
+def target_registry(spark, sf):
+    """K1 with labels by default: from the vocabulary that the catalogue's registry names, staged in a folder."""
+    root = FX.staged_vocabularies(spark, sf, FD.default_vocabularies()[TAXON])
+    return J.base_corpus(FX.rec_docs(spark, sf), [TAXON], dropped_values={TAXON: {""}}, vocabulary_root=root).categories
+
+
 @query("support", WR + "SELECT field, idx, uri, label, support FROM rsupport")
 def support_q(spark, sf):
     return C.support(rec_corpus(spark, sf))

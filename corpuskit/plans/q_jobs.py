@@ -9,7 +9,8 @@ from corpuskit.operators import text as T
 from corpuskit.plans import jobs as J
 from corpuskit.plans.oracle_views import CATALOGUE, HAS_TEXT, PUBLIC, REC, TOK, with_
 from corpuskit.plans.q_corpus import RCORPUS, rec_corpus
-from corpuskit.plans.q_text import VOTE, text_corpus
+from corpuskit.plans.q_order import GREEDY, SPLIT
+from corpuskit.plans.q_text import EXCLUDED_WORD, VOTE, prune_ctes, text_corpus
 from corpuskit.plans.registry import query
 from corpuskit.sources import fixtures as FX
 from corpuskit.sources import published as PUB
@@ -99,7 +100,32 @@ def _training(spark, sf):
                              labels={TAXON: FX.source_labels(spark, sf)})
 
 
-@query("job_training")
+# the training job's steps, one after the other
+TRAINING = [REC, rf"""
+flat AS (SELECT *, {RAW} AS raw FROM rec WHERE {CATALOGUE} AND {PUBLIC} AND {HAS_TEXT} AND length(title) >= 30)""", r"""
+tok AS (SELECT doc_id, CAST(generate_subscripts(ws, 1) - 1 AS BIGINT) AS pos, unnest(ws) AS word
+        FROM (SELECT id AS doc_id, regexp_extract_all(raw, '[\p{L}\p{N}]+') AS ws FROM flat))""", VOTE, f"""
+runs AS (SELECT *, sum(nw) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM (
+           SELECT doc_id, pos, word, CASE WHEN lag(word) OVER (PARTITION BY doc_id ORDER BY pos) IS DISTINCT FROM word THEN 1 ELSE 0 END AS nw
+           FROM tok)),
+short AS (SELECT doc_id, pos, word FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, run) AS len,
+                                                pos - min(pos) OVER (PARTITION BY doc_id, run) AS rk FROM runs)
+          WHERE (len < 4 OR rk < 2) AND NOT {EXCLUDED_WORD}),
+dfs AS (SELECT word, count(DISTINCT doc_id) AS df FROM short GROUP BY word),
+in_rate AS (SELECT s.* FROM short s JOIN dfs USING (word) WHERE df >= 10 AND df <= 0.25 * (SELECT count(*) FROM flat)),
+alldocs AS (SELECT id AS doc_id FROM flat JOIN best ON best.doc_id = id WHERE best.lang = 'en'),
+b0 AS (SELECT doc_id, word, CAST(count(*) AS INTEGER) AS n FROM in_rate WHERE length(word) <= 30
+         AND doc_id IN (SELECT doc_id FROM alldocs) GROUP BY doc_id, word),
+labelled AS (SELECT DISTINCT '{TAXON}' AS field, id AS doc_id, x AS uri FROM (SELECT id, unnest(taxon) AS x FROM flat) WHERE x LIKE 'http://x/t/src%'),
+k0 AS (SELECT DISTINCT field, uri FROM labelled),
+a0 AS (SELECT * FROM labelled WHERE doc_id IN (SELECT doc_id FROM alldocs))""", *prune_ctes(10, 5, 10)]
+
+
+@query("job_training", with_(*TRAINING) + """
+SELECT f.doc_id, r.coll_title = 'Redaktionsbuffet' AS editor, CAST(l AS BIGINT) AS length,
+       row_number() OVER (ORDER BY r.coll_title = 'Redaktionsbuffet' DESC, f.doc_id) - 1 AS ord
+FROM final_docs f JOIN rec r ON r.id = f.doc_id
+LEFT JOIN (SELECT doc_id, sum(n) AS l FROM final_b GROUP BY doc_id) x ON x.doc_id = f.doc_id""")
 def job_training(spark, sf):
     c, order = _training(spark, sf)
     lens = c.bow.groupBy("doc_id").agg(F.sum("n").cast("long").alias("length"))
@@ -132,7 +158,12 @@ def job_candidates(spark, sf):
     return order
 
 
-@query("job_publish")
+PUBLISHED_PARTS = ["ab AS (SELECT doc_id, uri FROM final_a)", "bdocs AS (SELECT doc_id FROM final_docs)",
+                   "bcats AS (SELECT DISTINCT uri FROM final_a)", SPLIT, GREEDY]
+
+
+@query("job_publish", with_(*TRAINING, *PUBLISHED_PARTS) + """
+SELECT doc_id AS uuid, CASE WHEN doc_id IN (SELECT doc_id FROM kept) THEN 'test' ELSE 'train' END AS part FROM bdocs""")
 def job_publish(spark, sf):
     """K6: training corpus -> balanced split -> two published triples; returns the data files."""
     c, order = _training(spark, sf)
@@ -161,10 +192,11 @@ SELECT doc_id, uri, idx, ord, rank FROM (
   FROM asg a JOIN acc ON acc.idx = a.idx WHERE doc_id NOT IN (SELECT doc_id FROM visited) AND accepted < 5)
 WHERE rank <= 5 - accepted""")
 def job_review(spark, sf):
-    """K7: two rounds of review; the first round's queue is visited, every other document of it accepted."""
-    c, order = _candidates(spark, sf)
+    """K7: field discovery, then two rounds of review; the first round's queue is visited, every other document of it accepted."""
     state = staging_path(spark, "review", unique=True)
-    queue, _ = J.review_job(c, order, TAXON, state, 5)
+    queue, _ = J.review_session(FX.rec_docs(spark, sf), "doc_id", TAXON, FX.topic_labels(spark, sf), state, 5,
+                                topic_prefix=FX.TAXON_PREFIX, length_unit="chars")
+    c, order = _candidates(spark, sf)
     seen = queue.select("doc_id").distinct()
     J.record_review(spark, state, seen, seen.where(F.col("doc_id").cast("long") % 2 == 0))
     queue, _ = J.review_job(c, order, TAXON, state, 5)

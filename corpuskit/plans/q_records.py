@@ -125,31 +125,43 @@ def path_flatten(spark, sf):
                     F.array_join(t_strings(roles), ",").alias("roles"))
 
 
-LEAVES_SQL = W + """
-SELECT path, CAST(depth AS INTEGER) AS depth FROM (VALUES
-  ('nodeRef.id', 2, true), ('nodeRef.storeRef.protocol', 3, true), ('type', 1, true),
-  ('aspects', 1, (SELECT bool_or(asp = 2) FROM rec)), ('collections', 1, true),
-  ('collections.permissions.Read', 3, true), ('collections.properties.cm:title', 3, true),
-  ('collections.properties.sys:node-uuid', 3, true), ('permissions.Read', 2, true),
-  ('properties.cclom:general_description', 2, (SELECT bool_or(has_descr) FROM rec)),
-  ('properties.cclom:general_language', 2, true),
-  ('properties.cclom:title', 2, (SELECT bool_or(title IS NOT NULL) FROM rec)),
-  ('properties.ccm:oeh_ai_test_data', 2, (SELECT bool_or(in_test) FROM rec)),
-  ('properties.ccm:taxonid', 2, true), ('properties.cm:edu_metadataset', 2, true),
-  ('properties.quality', 2, (SELECT bool_or(quality IS NOT NULL) FROM rec))
-) t(path, depth, present) WHERE present"""
-
-
-@query("leaf_paths", LEAVES_SQL)
+def _leaves_of(json: str) -> str:
+    """DuckDB: distinct leaf paths of the JSON documents of a table ``json(j)``; members that are null are left out."""
+    return f"""
+SELECT DISTINCT path, CAST(len(string_split(path, '.')) AS INTEGER) AS depth FROM (
+  SELECT array_to_string(list_transform(regexp_extract_all(regexp_replace(t.fullkey, '\[\d+\]', '', 'g'), '\."[^"]*"|\.[^."]+'),
+                                        lambda k: trim(k[2:], '"')), '.') AS path
+  FROM ({json}) d, json_tree(d.j) t
+  WHERE t.type NOT IN ('OBJECT', 'ARRAY') AND NOT (t.type = 'NULL' AND NOT regexp_matches(t.fullkey, '\]$')))"""
+
+
+REC_JSON = """
+SELECT json_object(
+  'nodeRef', json_object('id', id, 'storeRef', json_object('protocol', proto)), 'type', typ,
+  'aspects', CASE asp WHEN 1 THEN []::VARCHAR[] WHEN 2 THEN ['ccm:collection'] END,
+  'properties', json_object('cclom:title', title,
+    'cclom:general_description', CASE WHEN has_descr THEN ['text'] ELSE []::VARCHAR[] END,
+    'cclom:general_language', CASE WHEN lang_two THEN json_array(lang_code, 'en') WHEN lang_list THEN json_array(lang_code) ELSE to_json(lang_code) END,
+    'cm:edu_metadataset', mds, 'ccm:taxonid', taxon,
+    'ccm:oeh_ai_test_data', CASE WHEN in_test THEN ['properties.ccm:taxonid'] END, 'quality', quality),
+  'permissions', json_object('Read', ['x']),
+  'collections', CASE WHEN coll_two
+    THEN json_array('c', json_object('permissions', json_object('Read', ['x']), 'properties', json_object('cm:title', coll_title, 'sys:node-uuid', id)),
+                    json_object('properties', json_object('cm:title', lang, 'sys:node-uuid', lang)))
+    ELSE json_array('c', json_object('permissions', json_object('Read', ['x']), 'properties', json_object('cm:title', coll_title, 'sys:node-uuid', id))) END) AS j
+FROM rec"""
+
+
+@query("leaf_paths", W + _leaves_of(REC_JSON))
 def leaf_paths_q(spark, sf):
     return leaf_paths(FX.rec_docs(spark, sf))
 
 
-@query("discover_fields", """
-SELECT path, CAST(depth AS INTEGER) AS depth FROM (VALUES ('event_id', 1), ('event_type', 1), ('props.k', 2)) t(path, depth)
-WHERE EXISTS (SELECT 1 FROM events WHERE ('0x' || substr(md5(event_id::VARCHAR), 1, 13))::BIGINT < 0.1 * 4503599627370496)""")
+@query("discover_fields", _leaves_of("""
+SELECT json_object('event_id', event_id, 'event_type', event_type, 'props', props::JSON) AS j
+FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS place FROM events) WHERE place % 10 = 0"""))
 def discover_fields(spark, sf, rate: float = 0.1):
-    """Leaf paths of a tenth of the records, shortest first."""
+    """Leaf paths of every tenth record, shortest first."""
     return sampled_leaf_paths(FX.rec_events(spark, sf), rate, "event_id").orderBy(F.length("path"), "path")
 
 
@@ -321,6 +333,17 @@ def repair_list(spark, sf):
                     .alias("n_vals"), _joined(F.col("lang")).alias("vals"))
 
 
+@query("repair_values", W + """
+SELECT id, lang_list AS is_list, array_to_string(list_transform(l, lambda x: coalesce(x, '<null>')), '|') AS vals
+FROM (SELECT id, lang_list, CASE WHEN NOT lang_list THEN [nullif(lang, 'es')]
+             ELSE list_filter(CASE WHEN lang_two THEN [lang, 'en'] ELSE [lang] END, lambda x: x <> 'es') END AS l FROM rec)""")
+def repair_values(spark, sf):
+    """D1, D2 over all records: scalars are remapped or nulled, lists are remapped and lose what is dropped."""
+    t = extract_table(FX.rec_docs(spark, sf), {"id": ID, "lang": LANG}, dropped_values={LANG: {"es"}},
+                      remapped_values={LANG: LANGUAGE_REMAPPED})
+    return t.select(t_string(F.col("id")).alias("id"), t_is_list(F.col("lang")).alias("is_list"), _joined(F.col("lang")).alias("vals"))
+
+
 @query("repair_nested", """
 SELECT conv_id, count(*) AS n_vals,
        string_agg(CASE role WHEN 'system' THEN '<null>' WHEN 'assistant' THEN 'bot' ELSE role END, '|'

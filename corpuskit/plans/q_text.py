@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpuskit.fields import EXCLUDED_POS_TAGS
 from corpuskit.operators import corpus as C
 from corpuskit.operators import text as T
 from corpuskit.operators.prune import prune_fixpoint
@@ -99,6 +100,17 @@ def drop_tags(spark, sf):
     return token_summary(T.drop_tags(text_corpus(spark, sf).docs, ["NUM", "CHAR"]))
 
 
+_CLOSED = ", ".join(sorted({f"'{w}'" for tag, ws in T.CLOSED_CLASSES.items() if tag in EXCLUDED_POS_TAGS for w in ws}))
+#: Whether the training job's default tagger gives a word a tag that is excluded.
+EXCLUDED_WORD = f"(lower(word) IN ({_CLOSED}) OR (length(word) = 1 AND NOT regexp_matches(word, '\\p{{N}}')))"
+
+
+@query("drop_pos_tags", summary_sql(f"kept AS (SELECT * FROM tok WHERE NOT {EXCLUDED_WORD})", TOK))
+def drop_pos_tags(spark, sf):
+    """G6 with a tagger in Python: an Arrow stage tags each document, the excluded classes go."""
+    return token_summary(T.drop_tags(T.tag_tokens(text_corpus(spark, sf).docs), EXCLUDED_POS_TAGS, tagged_col="tagged"))
+
+
 @query("df_interval", summary_sql("""
 kept AS (
   SELECT * FROM tok WHERE word IN (
@@ -181,11 +193,14 @@ def bow_stats(spark, sf):
     return T.bow_stats(T.bag_of_words(text_corpus(spark, sf)))[1]
 
 
-def prune_sql(rounds: int = 16, min_doc: int = 10, min_word: int = 5, min_cat: int = 10) -> str:
-    """Unrolled fixpoint rounds plus the entry condition, over the text corpus."""
-    ctes = [TOK, BOW, TEXT_ASSIGN,
-            "b0 AS (SELECT doc_id, word, n FROM bow)",
-            "a0 AS (SELECT field, doc_id, uri FROM tassign)"]
+def prune_ctes(min_doc: int = 10, min_word: int = 5, min_cat: int = 10, rounds: int = 16) -> list[str]:
+    """Fixpoint rounds and the entry condition over ``alldocs(doc_id)``, ``b0(doc_id, word, n)``, ``a0(field, doc_id, uri)``
+    and ``k0(field, uri)``, giving ``final_docs``, ``final_b`` and ``final_a``.
+
+    SQL cannot loop over aggregates, so the rounds are written out; where the last one still removed a row,
+    the query fails instead of giving a wrong result.
+    """
+    ctes = []
     for i in range(1, rounds + 1):
         p = i - 1
         ctes.append(f"""
@@ -196,25 +211,34 @@ ax{i} AS (SELECT * FROM a{p} WHERE doc_id IN (SELECT doc_id FROM d{i})),
 c{i} AS (SELECT field, uri FROM ax{i} GROUP BY field, uri HAVING count(*) >= {min_cat}),
 ay{i} AS (SELECT a.* FROM ax{i} a JOIN c{i} c ON a.field = c.field AND a.uri IS NOT DISTINCT FROM c.uri),
 dd{i} AS (SELECT doc_id FROM d{i} WHERE doc_id IN (SELECT doc_id FROM ay{i})),
-b{i} AS (SELECT * FROM bw{i} WHERE doc_id IN (SELECT doc_id FROM dd{i})),
-a{i} AS (SELECT * FROM ay{i} WHERE doc_id IN (SELECT doc_id FROM dd{i}))""")
+b{i} AS MATERIALIZED (SELECT * FROM bw{i} WHERE doc_id IN (SELECT doc_id FROM dd{i})),
+a{i} AS MATERIALIZED (SELECT * FROM ay{i} WHERE doc_id IN (SELECT doc_id FROM dd{i}))""")
     r = rounds
     ctes.append(f"""
-alldocs AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM documents),
 viol AS (SELECT
   (SELECT min(coalesce(l, 0)) FROM alldocs x LEFT JOIN (SELECT doc_id, sum(n) AS l FROM b0 GROUP BY doc_id) y
      ON x.doc_id = y.doc_id) < {min_doc}
   OR (SELECT min(s) FROM (SELECT count(*) AS s FROM b0 GROUP BY word)) < {min_word}
-  OR (SELECT min(s) FROM (SELECT count(*) AS s FROM a0 GROUP BY field, uri)) < {min_cat} AS v),
+  OR (SELECT min(s) FROM (SELECT count(a.doc_id) AS s FROM k0 k LEFT JOIN a0 a
+        ON a.field = k.field AND a.uri IS NOT DISTINCT FROM k.uri GROUP BY k.field, k.uri)) < {min_cat} AS v),
+done AS (SELECT CASE WHEN (SELECT count(*) FROM b{r - 1}) <> (SELECT count(*) FROM b{r})
+                     THEN error('the fixpoint needs more than {r} rounds') ELSE true END AS ok),
 final_docs AS (
   SELECT doc_id FROM alldocs WHERE NOT (SELECT v FROM viol)
-  UNION ALL SELECT doc_id FROM dd{r} WHERE (SELECT v FROM viol)),
+  UNION ALL SELECT doc_id FROM dd{r} WHERE (SELECT v AND ok FROM viol, done)),
 final_b AS (SELECT * FROM b0 WHERE NOT (SELECT v FROM viol) UNION ALL SELECT * FROM b{r} WHERE (SELECT v FROM viol)),
 final_a AS (SELECT * FROM a0 WHERE NOT (SELECT v FROM viol) UNION ALL SELECT * FROM a{r} WHERE (SELECT v FROM viol))""")
-    return with_(*ctes) + """
-SELECT f.doc_id, CAST(coalesce((SELECT sum(n) FROM final_b b WHERE b.doc_id = f.doc_id), 0) AS BIGINT) AS length,
-       (SELECT count(*) FROM final_a a WHERE a.doc_id = f.doc_id) AS n_cats
-FROM final_docs f"""
+    return ctes
+
+
+def prune_sql() -> str:
+    """The fixpoint over the text corpus."""
+    return with_(TOK, BOW, TEXT_ASSIGN, "b0 AS (SELECT doc_id, word, n FROM bow)", "a0 AS (SELECT field, doc_id, uri FROM tassign)",
+                 "k0 AS (SELECT DISTINCT field, uri FROM a0)", "alldocs AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM documents)",
+                 *prune_ctes()) + """
+SELECT f.doc_id, CAST(coalesce(l, 0) AS BIGINT) AS length, coalesce(c, 0) AS n_cats
+FROM final_docs f LEFT JOIN (SELECT doc_id, sum(n) AS l FROM final_b GROUP BY doc_id) x ON x.doc_id = f.doc_id
+LEFT JOIN (SELECT doc_id, count(*) AS c FROM final_a GROUP BY doc_id) y ON y.doc_id = f.doc_id"""
 
 
 @query("prune_fixpoint", prune_sql())
@@ -227,6 +251,14 @@ def prune_fixpoint_q(spark, sf):
                     F.coalesce("n_cats", F.lit(0)).cast("long").alias("n_cats")))
 
 
+@query("vocab_index", WT + """
+SELECT word, CAST(row_number() OVER (ORDER BY word) - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT word FROM tok WHERE length(word) <= 4)""")
+def vocab_index(spark, sf):
+    """the matrix columns of the words that a subset of the vocabulary keeps."""
+    c = T.bag_of_words(text_corpus(spark, sf))
+    return C.vocabulary(C.subset_vocab(c, c.vocab.where(F.length("word") <= 4).select("word")))
+
+
 @query("subset_vocab", summary_sql("kept AS (SELECT * FROM tok WHERE length(word) <= 4)", TOK))
 def subset_vocab(spark, sf):
     """keep the short words of the vocabulary; tokens lose the others (order kept)."""

@@ -167,6 +167,26 @@ def hier_file(spark: SparkSession, sf_dir: str) -> str:
     return staged_json_lines(spark, sf_dir, "hier", hier_json(spark, sf_dir))
 
 
+def brand_vocabulary_file(spark: SparkSession, sf_dir: str) -> str:
+    """A second vocabulary: one fragment per labelled brand, below one scheme."""
+    brand = F.struct(F.col("uri").alias("id"), F.struct(F.col("label").alias("de")).alias("prefLabel"))
+    tree = F.struct(F.lit("brands").alias("id"), F.array(brand).alias("hasTopConcept"))
+    frame = uri_labels(spark, sf_dir).select(F.regexp_replace("uri", r"\.html$", "").alias("uri"), "label")
+    return staged_json_lines(spark, sf_dir, "brands", frame.select(F.to_json(tree).alias("json")))
+
+
+def staged_vocabularies(spark: SparkSession, sf_dir: str, address: str) -> str:
+    """A folder of staged vocabularies that has the taxon concepts, one document, at ``address``."""
+    from corpuskit.operators.vocab import staged_path
+
+    root = staging_path(spark, "vocabularies", unique=True)
+    concept = F.struct(F.col("uri").alias("id"), F.struct(F.col("label").alias("de")).alias("prefLabel"))
+    one = source_labels(spark, sf_dir).agg(F.collect_list(concept).alias("narrower"))
+    tree = F.struct(F.lit("scheme").alias("id"), F.array(F.struct(F.lit("all").alias("id"), "narrower")).alias("hasTopConcept"))
+    one.select(F.to_json(tree).alias("value")).coalesce(1).write.text(staged_path(root, address))
+    return root
+
+
 def uri_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged ``(uri, label)`` for brand concepts; brands ending in 3 have no entry."""
     part = table(spark, sf_dir, "part")

@@ -10,7 +10,7 @@ Each is a CSV directory (one part per task). Texts contain newlines, so reads us
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskit.operators.corpus import Corpus, bit_strings
@@ -67,6 +67,13 @@ def publish(corpus: Corpus, target_dir: str, name: str, order: DataFrame | None
     return paths
 
 
+def ones_of(bits: Column) -> Column:
+    """Positions (from 0) of the ones of a bit string, found inside its row."""
+    chars = F.split(F.coalesce(bits, F.lit("")), "", -1)
+    return F.get(F.transform(F.array(chars), lambda c: F.filter(
+        F.sequence(F.lit(0), F.size(c) - 1), lambda i: F.get(c, i) == "1")), 0)
+
+
 def import_published(spark: SparkSession, data_file: str, metadata_file: str,
                      processed_text_file: str | None = None) -> Corpus:
     """Rebuild a corpus from the published CSV datasets."""
@@ -85,11 +92,9 @@ def import_published(spark: SparkSession, data_file: str, metadata_file: str,
                       test_flags.alias("test_fields"))
     parts = []
     for f in fields:
-        bits = raw.select(F.col("uuid").alias("doc_id"),
-                          F.posexplode(F.split(F.coalesce(F.col(f"`{f}`"), F.lit("")), "", -1))
-                          .alias("idx", "bit")).where(F.col("bit") == "1")
+        ones = raw.select(F.col("uuid").alias("doc_id"), F.explode(ones_of(F.col(f"`{f}`"))).alias("idx"))
         m = meta.where(F.col("field") == f)
-        parts.append(bits.join(m, "idx").select(F.lit(f).alias("field"), "doc_id", "uri"))
+        parts.append(ones.join(m, "idx").select(F.lit(f).alias("field"), "doc_id", "uri"))
     if parts:
         assignments = parts[0]
         for p in parts[1:]:

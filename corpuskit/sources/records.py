@@ -75,21 +75,23 @@ def extract_table(records: DataFrame, columns: Iterable[str] | Mapping[str, str]
                   filters: Iterable[Filter] = (), dropped_values: dict | None = None,
                   remapped_values: dict | None = None, max_len: int | None = None,
                   sep: str = ".", col: str = "v", keep: Iterable[str] = (),
-                  order: list[Column] | None = None) -> DataFrame:
+                  order: list[Column] | None = None, flags: Mapping[str, Filter] | None = None) -> DataFrame:
     """A5: one terminal struct column per requested path (alias -> path).
 
     Every path used by a filter or a projection is compiled once into a hidden
     column; filters and the projection read those columns. Filters in Python (see
     ``predicates``) run behind the others, in an Arrow stage over the same columns.
+    ``flags`` are filters whose results become Boolean columns, so that one walk serves
+    several tables.
     """
     if isinstance(columns, Mapping):
         wanted = {alias: split_path(p, sep) for alias, p in columns.items()}
     else:
         wanted = {p: split_path(p, sep) for p in columns}
     repairs = repairs_from(dropped_values, remapped_values)
-    filters = list(filters)
+    filters, flags = list(filters), dict(flags or {})
     probe = Record(F.col(col), repairs, sep)
-    for f in filters:
+    for f in [*filters, *flags.values()]:
         f(probe)
     paths: list[tuple] = []
     for p in list(wanted.values()) + probe.used:
@@ -109,7 +111,7 @@ def extract_table(records: DataFrame, columns: Iterable[str] | Mapping[str, str]
 
     early = [f for f in filters if not is_late(f)]
     late = [f for f in filters if is_late(f)]
-    if filters:
+    if filters or flags:
         # Each terminal is compiled once into ``bundle``; the filters read its fields
         # through a lambda variable. Filtering inside ``explode`` keeps the optimizer
         # from pushing a Filter below the projection and re-inlining every terminal.
@@ -119,7 +121,8 @@ def extract_table(records: DataFrame, columns: Iterable[str] | Mapping[str, str]
     else:
         df = df.select(bundle.alias("__r"))
     return df.select(*[F.col("__r").getField(k).alias(k) for k in keep],
-                     *[F.col("__r").getField(hidden[p]).alias(alias) for alias, p in wanted.items()])
+                     *[F.col("__r").getField(hidden[p]).alias(alias) for alias, p in wanted.items()],
+                     *[f(bound(F.col("__r"))).alias(name) for name, f in flags.items()])
 
 
 def read_vocabulary(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:

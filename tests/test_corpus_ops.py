@@ -82,13 +82,26 @@ def test_tagged_tokens_keep_what_earlier_steps_left(spark):
     docs = spark.createDataFrame(rows, f"doc_id string, tokens array<string>, t {tagged}")
     want = {"a": ["x", "x", "y"], "b": ["z"], "c": ["new"], "d": None, "e": ["x"], "f": []}
     assert {r.doc_id: r.tokens for r in T.drop_tags(docs, ["DET", "PRON"], tagged_col="t").collect()} == want
-    # the job's own step, by its default tags
-    assert {r.doc_id: r.tokens for r in default_pipeline(tagged_col="t")[2](docs).collect()} == want
-    upper = default_pipeline(tagger=lambda w: F.when(w == "der", "DET").otherwise("NOUN"))[2]
-    assert {r.doc_id: r.tokens for r in upper(docs).collect()} == want | {"b": ["z"]}
     assert {r.doc_id: r.tokens for r in T.drop_tags(docs.drop("tokens"), ["DET"], tagged_col="t").collect()}["a"] == ["x"] * 6 + ["y"]
 
 
+def test_training_pipeline_drops_tagged_words(spark):
+    from corpuskit.plans.jobs import default_pipeline
+
+    texts = ["The cat and the dog of x 12 " + "no " * 5 + "ho " * 6 + "end"] * 12
+    docs = spark.createDataFrame([(str(i), t + f" w{i}") for i, t in enumerate(texts)], "doc_id string, raw_text string")
+    steps = default_pipeline()
+    done = T.run_pipeline(docs, steps[:5]).collect()
+    assert all(r.tokens == "cat dog 12 ho ho end".split() + [f"w{r.doc_id}"] and r.language == "en" for r in done)
+    own = docs.withColumn("mine", F.transform(F.split("raw_text", " +"), lambda w: F.struct(w.alias("token"), F.when(
+        w.startswith("w"), "DET").otherwise("NOUN").alias("tag"))))
+    done = T.run_pipeline(own, default_pipeline(tagged_col="mine")[:5]).collect()
+    assert all(r.tokens == "The cat and the dog of x 12 no no ho ho end".split() for r in done)
+    assert {r.tokens[0] for r in T.run_pipeline(docs, default_pipeline(lambda ws: ["X"] * len(ws), ())[:5]).collect()} == {"The"}
+    with __import__("pytest").raises(Exception, match="1 tags for"):
+        T.run_pipeline(docs, default_pipeline(lambda ws: ["X"])[:5]).collect()
+
+
 def test_ordinal_is_dense_and_ordered(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "32")
@@ -114,6 +127,41 @@ def test_vocabulary_of_many_levels(spark):
     assert len(got) == 106 and {(r.id, r.parent) for r in got if r.depth > 1} == {(f"c{i}", f"c{i + 1}") for i in range(104)}
 
 
+def test_hot_words_stay_out_of_exchanges(spark):
+    """Tokens of words above the rate are judged in their rows; a plan shuffles none of them."""
+    from corpuskit.operators import hot as H
+
+    rows = [(f"d{i}", ["the", "of"] * 3 + [f"w{i % 5}", "the", f"x{i}"]) for i in range(40)] + [("n", None), ("e", [])]
+    docs = spark.createDataFrame(rows, "doc_id string, tokens array<string>")
+    got = {r.doc_id: r.tokens for r in T.df_interval(docs, 2, 0.25).collect()}
+    assert got == {**{f"d{i}": [f"w{i % 5}"] for i in range(40)}, "n": [], "e": []}
+    words = spark.createDataFrame([("w1",), ("of",)], "word string")
+    kept = H.judge_tokens(docs, words, ["the", "of"])
+    assert {r.doc_id: r.tokens for r in kept.collect()}["d1"] == ["of", "of", "of", "w1"]
+    exploded = docs.select(F.explode("tokens").alias("word"))
+    assert sorted(r.word for r in H.keep_words(exploded, words, ["the", "of"]).collect()) == sorted(
+        w for _, ts in rows for w in ts or [] if w in ("w1", "of"))
+    assert {r.doc_id: r.tokens for r in H.judge_tokens(docs, words, ["the"], keep=False).collect()}["d1"] == ["the"] * 4 + ["x1"]
+    plan = H.judge_tokens(docs, words, ["the", "of"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(filter(" in plan and "INSET" in plan.upper() or " IN (" in plan.upper()
+
+
+def test_a_million_free_keywords_are_ranked_by_many_tasks(spark):
+    uris = spark.range(0, 1_000_000, 1, 8).select(F.lit("kw").alias("field"), F.concat(F.lit("k"), F.xxhash64("id").cast("string")).alias("uri"))
+    uris = uris.unionByName(spark.createDataFrame([("other", None), ("other", "b")], "field string, uri string"))
+    got = C.category_index(uris)
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString().split("__off")[0].replace("WindowSpec", "")
+    n, low, high, distinct = got.where("field = 'kw'").agg(F.count("*"), F.min("idx"), F.max("idx"), F.countDistinct("idx")).first()
+    assert (n, low, high, distinct) == (1_000_000, 0, 999_999, 1_000_000)
+    assert [(r.uri, r.idx) for r in got.where("field = 'other'").orderBy("idx").collect()] == [(None, 0), ("b", 1)]
+
+
+def test_sparse_import_explodes_only_ones(spark):
+    df = spark.createDataFrame([("0" * 5000 + "1" + "0" * 200 + "11",), ("",), (None,), ("0000",), ("1",)], "b string")
+    got = df.select(F.explode(PUB.ones_of(F.col("b"))).alias("i")).collect()
+    assert sorted(r.i for r in got) == [0, 5000, 5201, 5202]
+
+
 def test_fixpoint_matches_model(spark, sf):
     c = T.bag_of_words(text_corpus(spark, sf))
     bow = {}
