@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from corpuskit.fields import Fields, LANGUAGE_REMAPPED, PROTOCOL_FIELD
 from corpuskit.functions import predicates as P
@@ -127,7 +128,7 @@ def path_flatten(spark, sf):
 
 def _leaves_of(json: str) -> str:
     """DuckDB: distinct leaf paths of the JSON documents of a table ``json(j)``; members that are null are left out."""
-    return f"""
+    return rf"""
 SELECT DISTINCT path, CAST(len(string_split(path, '.')) AS INTEGER) AS depth FROM (
   SELECT array_to_string(list_transform(regexp_extract_all(regexp_replace(t.fullkey, '\[\d+\]', '', 'g'), '\."[^"]*"|\.[^."]+'),
                                         lambda k: trim(k[2:], '"')), '.') AS path
@@ -271,7 +272,7 @@ PYTHON_FILTER_QUERIES = {
 }
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def _title_longer(title: pd.Series, n: pd.Series) -> pd.Series:
     return title.str.len().fillna(0) > n
 
