@@ -12,9 +12,14 @@ with probability 1e-7). Texts that share a band are compared by a byte of each s
 share of agreeing slots below ``SURE`` is more than five standard deviations from 0.8. The
 rest are verified on their multisets: links are pairs with overlap / union >= 0.8, and
 classes are the links' components. Texts with the same words are one node from the start.
-Bands come in turns, and within a bucket a few pivots, more each round, are held
-against the members not yet in their class, so that a bucket of many alike texts costs few
-comparisons, and every pair that is not joined otherwise is made.
+
+Bands come in turns: the first ones join most copies, and a later bucket is opened only where its
+members are still in different classes. The members of a bucket meet in tiles of bounded size inside
+tasks, and no pair becomes a row. In a tile one member after the other is held against all
+that are not yet in its class, those of the smallest class first; it is done then. A tile ends when all that
+are not done are in one class, so that many alike texts cost few comparisons, and every
+pair that is not joined otherwise is made. A bucket too large for a tile is cut into chunks; when these
+have been joined within, its members outside its largest class are held against all its chunks.
 
 Defined results: fewer than five words make one shingle of them all; texts without words
 (null, empty, white space) are copies of each other; a class's id is its smallest id, and
@@ -32,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import HASH_SPAN, blobs, drop_written, hash52, slices, written
+from corpuskit.llm.common import blobs, drop_written, slices, written
 from corpuskit.llm.components import relabel
 
 SHINGLE = 5
@@ -42,8 +47,8 @@ SLOTS = BANDS * ROWS
 #: Bands taken together: the first ones join most copies, and the rest has little left to compare.
 TURNS = ((0, 2), (2, 10), (10, BANDS))
 SURE = 0.65
-#: A bucket's pivots in the first round (about), and how many times as many are through after each further one.
-PIVOTS, MORE = 2.0, 4.0
+#: Bytes of multisets and sketches, and members, that make up a tile at most, about.
+TILE_BYTES, TILE_ROWS = 16 << 20, 4000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -173,97 +178,160 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def multisets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """``(node, items)`` for ``wanted(id, node)``: sorted 64-bit items, one per occurrence of a shingle."""
+    """``(node, sketch, items)`` for ``wanted(id, node, sketch)``: sorted 64-bit items, one per occurrence of a shingle."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "__text", 1 << 20):
-                want = part.column(part.schema.get_field_index("node")).to_pylist()
-                nodes, doc, h = shingles(blobs(part, "__text"))
+                _, doc, h = shingles(blobs(part, "__text"))
                 *_, nth = weighted(doc, h)
                 with np.errstate(over="ignore"):
                     item = mix(h + nth.astype(np.uint64) * GOLDEN)
-                cut = np.searchsorted(doc, np.arange(1, len(nodes)))
-                items = [np.sort(x).tobytes() for x in np.split(item, cut)]
-                good = [i for i, (a, b) in enumerate(zip(nodes, want)) if a == b]  # ids may repeat
-                yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in good], pa.binary()),
-                                                  pa.array([items[i] for i in good], pa.binary())], names=["node", "items"])
+                cut = np.searchsorted(doc, np.arange(1, part.num_rows))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array([np.sort(x).tobytes() for x in np.split(item, cut)], pa.binary())],
+                    names=["node", "sketch", "items"])
 
-    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
-    return (rows.join(wanted, F.col("__key").eqNullSafe(F.col("id"))).select("node", "__text")
-            .mapInArrow(run, "node binary, items binary").dropDuplicates(["node"]))
+    # ids may repeat or be null: the words' digest is part of the join's key, so only texts of these words meet
+    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"), words_digest(F.col(text)).alias("__node"))
+    found = rows.join(wanted, F.col("__key").eqNullSafe(F.col("id")) & (F.col("__node") == F.col("node")))
+    return found.select("node", "sketch", "__text").mapInArrow(
+        run, "node binary, sketch binary, items binary").dropDuplicates(["node"])
 
 
-def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
+def jaccard(x: bytes, y: bytes) -> float:
     """Overlap by union of two multisets of items."""
-    out = []
-    for x, y in zip(a, b):
-        x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-        both = np.concatenate([x, y])
-        both.sort()
-        same = int((both[1:] == both[:-1]).sum())
-        out.append(same / max(len(x) + len(y) - same, 1))
-    return pa.array(out, pa.float64())
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = np.concatenate([x, y])
+    both.sort()
+    same = int((both[1:] == both[:-1]).sum())
+    return same / max(len(both) - same, 1)
 
 
-def agreement(a: pa.Array, b: pa.Array) -> pa.Array:
+def agreement(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     """The similarity that the slots' bytes show (unequal slots agree in one of 256 cases)."""
-    if not len(a):
-        return pa.array([], pa.float64())
-    x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, SLOTS) for v in (a, b))
-    return pa.array(((x == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256), pa.float64())
+    return ((many == one).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
 
 
-def verified(pairs: DataFrame, busy: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``(a, b)`` that are similar enough."""
-    def side(frame: DataFrame, n: str, column: str) -> DataFrame:
-        return frame.select(F.col("node").alias(n), F.col(column).alias(f"{column}_{n}"))
+def tile_links(labels: list[bytes], sketches: np.ndarray, items: list, threshold: float,
+               asking: np.ndarray | None = None) -> list[tuple[bytes, bytes]]:
+    """Labels of a tile's members that belong together, as (label, smallest label of its class).
 
-    near = (pairs.join(side(busy, "a", "sketch"), "a").join(side(busy, "b", "sketch"), "b")
-            .where(F.arrow_udf(agreement, "double")("sketch_a", "sketch_b") >= SURE).select("a", "b"))
-    return (near.join(side(sets, "a", "items"), "a").join(side(sets, "b", "items"), "b")
-            .where(F.arrow_udf(jaccard, "double")("items_a", "items_b") >= threshold).select("a", "b"))
+    Members of different labels are held against each other; with ``asking``, only the pairs that have one of
+    these members.
+    """
+    known = sorted(set(labels))
+    code = {x: i for i, x in enumerate(known)}
+    own = np.array([code[x] for x in labels])
+    of = np.arange(len(known))  # the class of each label
+    done = np.zeros(len(labels), bool)
+    while True:
+        left = of[own[~done]]
+        sizes = np.bincount(left, minlength=len(known))
+        may = ~done if asking is None else ~done & asking
+        if not may.any() or (sizes > 0).sum() < 2:
+            break
+        candidates = np.flatnonzero(may)
+        i = candidates[sizes[of[own[candidates]]].argmin()]
+        done[i] = True
+        rest = np.flatnonzero((of[own] != of[own[i]]) & ~done)
+        alike = agreement(sketches[i], sketches[rest])
+        for j in rest[np.argsort(-alike, kind="stable")][: int((alike >= SURE).sum())]:
+            a, b = of[own[i]], of[own[j]]
+            if a != b and jaccard(items[i], items[j]) >= threshold:
+                of[of == max(a, b)] = min(a, b)
+    return [(known[i], known[c]) for i, c in enumerate(of) if c != i]
+
+
+def tiled(entries: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)`` labels that belong together, from ``entries(bucket, chunk, part, asks, label, sketch, items)``:
+    the rows of equal bucket, chunk and part are a tile."""
+    names = ["bucket", "chunk", "part"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        of = None
+
+        def tile() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, SLOTS)
+            asks = np.array(rows.column("asks").to_pylist(), bool)
+            links = tile_links(rows.column("label").to_pylist(), sketches, rows.column("items").to_pylist(), threshold,
+                               asks if of[2] >= 0 else None)
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([np.asarray(batch.column(k)).astype(np.int64) for k in range(3)])
+            cut = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
+                key = tuple(keys[:, a].tolist())
+                if held and key != of:
+                    yield tile()
+                    held = []
+                of = key
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield tile()
+
+    dealt = entries.select(*names, "asks", "label", "sketch", "items").repartition(*names).sortWithinPartitions(*names)
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def link_classes(nodes: DataFrame, docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame | None:
     """``(node, label)`` for the nodes that share a bucket with others; None if there are none."""
     rows = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    everyone = written(rows.join(full, "bucket").withColumn("u", hash52(F.hex("node")) / F.lit(HASH_SPAN)), "members")
+    everyone = written(rows.join(full, "bucket").select("band", "bucket", "node"), "members")
     busy = written(everyone.select("node").distinct().join(nodes.select("node", "id", "sketch"), "node"), "busy")
     if busy.isEmpty():
         return None
-    sets = written(multisets(docs, busy.select("id", "node"), key, text), "multisets")
+    sets = written(multisets(docs, busy, key, text), "multisets")
+    sizes = sets.select("node", (F.length("items") + SLOTS).alias("size"))
     labels = written(busy.select("node", F.col("node").alias("label")), "labels")
     for low, high in TURNS:
-        members, done, rounds = everyone.where((F.col("band") >= low) & (F.col("band") < high)), F.lit(0.0), 0
-        while True:
-            # buckets go on while members that were no pivots yet are in different classes
-            now = members.where(F.col("u") >= done).join(labels, "node")
-            open_ = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-            held = written(now.join(open_.select("bucket"), "bucket", "left_semi"), "held")
-            if rounds:
-                drop_written(members)
-            if held.isEmpty():
-                drop_written(held)
-                break
-            upto = F.lit(PIVOTS * MORE**rounds) / F.col("n")  # this share of a bucket has been a pivot after the round
-            pivots = held.where(F.col("u") < upto).select("bucket", F.col("node").alias("a"), F.col("u").alias("ua"),
-                                                          F.col("label").alias("la"))
-            pairs = (held.join(pivots, "bucket").where((F.col("label") != F.col("la")) & (
-                (F.col("ua") < F.col("u")) | (F.col("ua") == F.col("u")) & (F.col("a") < F.col("node"))))
-                .select("a", F.col("node").alias("b")).distinct())
-            links = written(verified(pairs, busy, sets, threshold), "links")
+        for ask in (False, True):
+            now = everyone.where((F.col("band") >= low) & (F.col("band") < high)).join(labels, "node").join(sizes, "node")
+            chunks = F.ceil(F.greatest(F.sum("size") / TILE_BYTES, F.count(F.lit(1)) / F.lit(TILE_ROWS))).cast("int")
+            open_ = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), chunks.alias("chunks")).where("x <> y")
+            if ask:
+                open_ = open_.where("chunks > 1")
+            placed = written(now.join(open_.select("bucket", "chunks"), "bucket").select(
+                "bucket", "node", "label", "size", "chunks", F.pmod(F.xxhash64("node", "bucket"), F.col("chunks")).cast("int").alias("chunk")),
+                "placed")
+            if placed.isEmpty():
+                drop_written(placed)
+                continue
+            entries = _against_all(placed) if ask else placed.select(
+                "bucket", "chunk", F.lit(-1).alias("part"), F.lit(False).alias("asks"), "node", "label")
+            links = written(tiled(entries.join(sets, "node"), threshold), "links")
             fresh = relabel(labels, links)
-            drop_written(links)
+            drop_written(links, placed)
             if fresh is not labels:
                 drop_written(labels)
                 labels = fresh
-            members, done, rounds = held.drop("label"), upto, rounds + 1
     drop_written(sets, busy, everyone)
     return labels
 
 
+def _against_all(placed: DataFrame) -> DataFrame:
+    """Tiles of large buckets: the members outside the bucket's largest class, in parts, with each of its chunks."""
+    by_label = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = by_label.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
+    marked = placed.join(largest, "bucket")
+    others = marked.where("label <> largest")
+    parts = others.groupBy("bucket").agg(F.ceil(F.greatest(
+        F.sum("size") / TILE_BYTES, F.count(F.lit(1)) / F.lit(TILE_ROWS))).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("bucket", "node"), F.col("parts")).cast("int")
+    up_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asking = others.join(parts, "bucket").select("bucket", up_to("chunks").alias("chunk"), part.alias("part"),
+                                                 F.lit(True).alias("asks"), "node", "label")
+    asked = marked.join(parts, "bucket").select("bucket", "chunk", up_to("parts").alias("part"),
+                                                F.lit(False).alias("asks"), "node", "label")
+    return asking.unionByName(asked)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, class_id, kept, node)`` of every row; ``node`` is a digest of its words."""

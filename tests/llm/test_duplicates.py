@@ -98,6 +98,76 @@ def test_group_of_near_copies(spark):
     assert got == want and len({got[i] for i in range(60)}) < 5
 
 
+def _near_copies(n, seed=0):
+    """Texts of one group: each differs in a few words from a common one, so not every pair is alike enough."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+    out = []
+    for i in range(n):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice([0, 1, 2, 3])):
+            words[at] = f"x{i}.{at}"
+        out.append(" ".join(words))
+    return out
+
+
+def _brute_classes(texts):
+    from collections import Counter
+
+    bags = [Counter(zip(*[t.split()[k:] for k in range(5)])) if len(t.split()) >= 5 else Counter([tuple(t.split())]) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = sum((bags[i] & bags[j]).values())
+            if both / max(sum((bags[i] | bags[j]).values()), 1) >= 0.8 and find(i) != find(j):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(texts))]
+
+
+def test_null_ids_meet_only_texts_of_their_words(spark):
+    """Two thousand null ids: no join of all with all, and classes by words alone."""
+    texts = [f"text {i} " + " ".join(f"t{i}w{k}" for k in range(12)) for i in range(1000)]
+    rows = [(None, t) for t in texts] * 2 + [(i, t) for i, t in enumerate(texts[:50])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = docs.select(F.col("doc_id").alias("id"), bag_minhash.words_digest(F.col("text")).alias("node")).distinct() \
+        .withColumn("sketch", F.lit(b""))
+    assert bag_minhash.multisets(docs, wanted.where("id is null"), "doc_id", "text").count() == 1000
+    got = bag_minhash.near_duplicates(docs)
+    assert got.count() == len(rows) and got.where("kept").count() == 1000
+    assert got.where("class_id is null").count() == 2 * 950
+
+
+def test_large_groups_of_near_copies(spark, monkeypatch):
+    texts = _near_copies(500) + [f"alone {i} " + " ".join(f"a{i}b{k}" for k in range(30)) for i in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rows in (bag_minhash.TILE_ROWS, 60):  # one tile a bucket; many chunks, and parts that ask them
+        monkeypatch.setattr(bag_minhash, "TILE_ROWS", rows)
+        got = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(docs).collect()}
+        assert [got[i] for i in range(len(texts))] == _brute_classes(texts)
+
+
+def test_tiles_make_every_pair_that_is_not_joined(spark):
+    texts = _near_copies(80, 3) + [f"z{i} " * 3 for i in range(20)]
+    nodes, doc, h = bag_minhash.shingles([t.encode() for t in texts])
+    d, s, count, nth = bag_minhash.weighted(doc, h)
+    sketch = bag_minhash.mix(bag_minhash.signatures(len(texts), d, s, count).view(np.uint64)).astype(np.uint8)
+    with np.errstate(over="ignore"):
+        item = bag_minhash.mix(h + nth.astype(np.uint64) * bag_minhash.GOLDEN)
+    items = [np.sort(x).tobytes() for x in np.split(item, np.searchsorted(doc, np.arange(1, len(texts))))]
+    label = [b"%03d" % i for i in range(len(texts))]
+    links = dict(bag_minhash.tile_links(label, sketch, items, 0.8))
+    assert [int(links.get(x, x)) for x in label] == _brute_classes(texts)
+    asking = np.arange(len(texts)) < 10
+    got = bag_minhash.tile_links(label, sketch, items, 0.8, asking)
+    assert {x for x, _ in got} <= set(label) and len(got) >= 5
+
+
 def test_near_duplicates_odd_rows(spark, odd, empty):
     rows = bag_minhash.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
