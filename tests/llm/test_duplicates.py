@@ -144,9 +144,9 @@ def test_null_ids_meet_only_texts_of_their_words(spark):
 
 
 def test_large_groups_of_near_copies(spark, monkeypatch):
-    texts = _near_copies(500) + [f"alone {i} " + " ".join(f"a{i}b{k}" for k in range(30)) for i in range(50)]
+    texts = _near_copies(220) + [f"alone {i} " + " ".join(f"a{i}b{k}" for k in range(30)) for i in range(50)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for rows in (bag_minhash.TILE_ROWS, 60):  # one tile a bucket; many chunks, and parts that ask them
+    for rows in (bag_minhash.TILE_ROWS, 40):  # one tile a bucket; many chunks, and parts that ask them
         monkeypatch.setattr(bag_minhash, "TILE_ROWS", rows)
         got = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(docs).collect()}
         assert [got[i] for i in range(len(texts))] == _brute_classes(texts)
