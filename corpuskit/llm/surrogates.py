@@ -8,7 +8,8 @@ the same list; the rest keep their last letter). A permutation keeps different e
 apart, and equal ones are replaced alike in every document. No entity maps to itself.
 
 The corpus-wide check then looks for surrogates that some document really holds, or that
-two entities share; those entities take the next key, until none collides.
+two entities share; those entities take the next key, until none collides. Where a pattern is used up,
+surrogates grow by a character per further key, so that every entity gets one in the end.
 
 Detected kinds, by their form only; what has another form stays in clear:
 
@@ -34,18 +35,23 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
+from bisect import bisect_right
+from functools import lru_cache, reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.llm.common import drop_written, within, written
 
 #: Re-keyed entities up to this many go to the tasks with the function; more are joined.
 CLOSURE_ROWS = 10_000
-#: From this attempt on, names and addresses grow by a letter per attempt (their pattern is used up).
+#: From this attempt on, surrogates grow by a character per attempt (their pattern is used up).
 LONGER_FROM = 4
+#: Attempts that one round after the first makes for each entity that waits.
+ATTEMPTS_A_ROUND = 8
+#: A surrogate that is still taken this many characters beyond its pattern is an error.
+MOST_ATTEMPTS = 1000
 RESULT = "struct<text:string,n_found:int,kinds:array<string>>"
 
 # --- fixed values: titles, first names by gender, letters ---------------------
@@ -76,8 +82,9 @@ PHONES = (
     r"(?:[0-9]{5,8}(?:-[0-9]{1,4})?|[0-9]{3,4}[ -][0-9]{3,4}(?:[ -][0-9]{2,4})?|[0-9]{2,3}(?:[ -][0-9]{2,3}){2,3})(?![0-9])",
     r"(?<![0-9A-Za-z])(?<![0-9][ .-])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9]|[ .-][0-9])",
 )
+#: Addresses are found apart from the rest, so that a run of characters without "@" is read once.
+EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]++(?=(@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+))")
 PATTERN = re.compile("|".join((
-    r"(?P<email>[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)",
     rf"(?P<secret>(?<![0-9A-Za-z])(?:(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{{24,128}}|(?:{PREFIXES})[-_][0-9A-Za-z]{{16,}}|AKIA[0-9A-Z]{{16}})(?![0-9A-Za-z]))",
     rf"(?P<keyed>(?i:{'|'.join(SECRET_KEYS)})[\"']?(?: ?= ?| ?: ?)[\"']?(?P<value>(?=[A-Za-z+/_-]*[0-9])[0-9A-Za-z+/_-]{{6,}}))",
     r"(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z]))",
@@ -87,6 +94,9 @@ PATTERN = re.compile("|".join((
     r"(?P<ssn>(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]))",
     rf"(?P<person>(?<!\w)(?:{'|'.join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True))}) (?:(?:[{CAPITALS}]{WORD[WORD.index(']') + 1:]}(?: |\b)){{1,3}}|{HAN}{{1,4}}(?!{HAN})|{HAN}{{3}}))",
 )))
+STARTS, RUN, HAN_RUN, WORD_CHAR = (re.compile(x) for x in (rf"(?<!\w)[^\W\d_]|{HAN}", WORD, HAN + "{1,4}", r"\w"))
+#: Names up to this length are followed through their text.
+FOLLOWED = 100
 #: What every entity but a name has; prefixed keys may be letters only.
 HINT = re.compile(rf"[0-9@=:]|(?:{PREFIXES})[-_]|AKIA")
 TITLE_HINTS = ("Mr", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Sr.", "Sra.", "Dr", "Prof.")
@@ -198,20 +208,20 @@ def _network(x: int) -> int:
     return 1 if a == 10 or a == 172 and 16 <= b < 32 or a == 192 and b == 168 else 2 if a == 127 else 3 if a >= 224 or a == 0 else 0
 
 
-def _address(key: bytes, text: str) -> str:
+def _address(key: bytes, text: str, attempt: int) -> str:
     parts = [int(p) for p in text.split(".")]
     if max(parts) > 255 or text != ".".join(map(str, parts)):
         return respell(key, "number", text, _sets(text))
     x = int.from_bytes(bytes(parts), "big")
     y = other(key, "ip", x, 1 << 32)
-    while _network(y) != _network(x):
+    while _network(y) != _network(x) and attempt < LONGER_FROM:  # a network may be used up
         y = other(key, "ip", y, 1 << 32)
     return ".".join(map(str, y.to_bytes(4, "big")))
 
 
-def _longer(key: bytes, text: str, sets: list[str | None], attempt: int) -> str:
-    """Letters of the text's script to lengthen a surrogate whose pattern is used up."""
-    letters = next((x for x in sets if x and x != ALPHABETS[0]), ALPHABETS[2])
+def _longer(key: bytes, text: str, sets: list[str | None], attempt: int, letters: str = "") -> str:
+    """Letters of the text's script (or ``letters``) to lengthen a surrogate whose pattern is used up."""
+    letters = letters or next((x for x in sets if x and x != ALPHABETS[0]), ALPHABETS[2])
     return "".join(letters[_round(key, b"longer" + text.lower().encode(), i, i, len(letters))]
                    for i in range(max(0, attempt - LONGER_FROM + 1)))
 
@@ -250,11 +260,12 @@ def surrogate(secret: str, kind: str, text: str, attempt: int = 0, gender: str =
     key = hashlib.blake2b(f"{secret}/{kind}/{attempt}".encode(), digest_size=32).digest()
     if kind == "name":
         return _name(key, text, gender, attempt)
+    sets = _sets(text)
+    numbers = _longer(key, text, sets, attempt, ALPHABETS[0])
     if kind == "card":
-        return _card(key, text)
+        return _card(key, text) + numbers
     if kind == "ip":
-        return _address(key, text)
-    sets = _sets(text)
+        return _address(key, text, attempt)
     if kind == "email":
         domain = text.rindex("@") + 1
         keep = len(".".join(text[domain:].split(".")[-2:]))  # the registered domain
@@ -274,7 +285,9 @@ def surrogate(secret: str, kind: str, text: str, attempt: int = 0, gender: str =
     if kind == "iban" and len(text) > 4:
         letters = {d: "abcdefghijklmnopqrstuvwxyz" for d in (ALPHABETS[1], ALPHABETS[2])}
         sets = [letters.get(s, s) if s else s for s in sets]
-    return respell(key, kind, text, sets)
+    if kind == "secret":
+        return respell(key, kind, text, sets) + _longer(key, text, sets, attempt, HEX if HEX in sets else "")
+    return respell(key, kind, text, sets) + numbers
 
 
 def canonical(kind: str, text: str) -> str:
@@ -287,9 +300,11 @@ def entities(text: str) -> list[tuple[int, int, str, str, str]]:
     if not text or not (HINT.search(text) or any(t in text for t in TITLE_HINTS)):
         return []
     found, names = [], {}
-    for m in PATTERN.finditer(text):
-        kind = m.lastgroup
-        if kind == "person":
+    for start, end, m in _matches(text):
+        kind = "email" if m is None else m.lastgroup
+        if m is None:
+            found.append((start, end, kind, text[start:end], ""))
+        elif kind == "person":
             title, rest = m.group().split(" ", 1)
             gender = TITLES[title]
             for w in re.finditer(WORD, rest):
@@ -304,16 +319,64 @@ def entities(text: str) -> list[tuple[int, int, str, str, str]]:
             found.append((m.start(), m.end(), kind, m.group(), ""))
     if names:
         taken = sorted((a, b) for a, b, *_ in found)
-        # Chinese names of two characters or more stand in running text without a border
-        bounded = "|".join(re.escape(n) if re.fullmatch(HAN + "{2,}", n) else rf"(?<!\w){re.escape(n)}(?!\w)"
-                           for n, _ in sorted(names.values(), key=lambda x: len(x[0]), reverse=True))
-        for m in re.finditer(bounded, text, re.I):
-            if not m.group()[0].islower() and not any(a < m.end() and m.start() < b for a, b in taken):
-                found.append((m.start(), m.end(), "name", m.group(), names.get(m.group().lower(), ("", ""))[1]))
+        starts = [a for a, _ in taken]
+        for a, b in _mentions(text, names):
+            i = bisect_right(starts, a)
+            apart = (i == 0 or taken[i - 1][1] <= a) and (i == len(taken) or b <= taken[i][0])
+            if apart and not text[a].islower():
+                mention = text[a:b]
+                found.append((a, b, "name", mention, names[mention.lower()][1]))
         found.sort()
     return found
 
 
+def _matches(text: str):
+    """``(start, end, match)`` from left to right, without overlap; the match is None for an e-mail address."""
+    at, m = 0, PATTERN.search(text)
+    for e in EMAIL.finditer(text):
+        while m and m.start() < max(e.start(), at):
+            yield m.start(), m.end(), m
+            at = m.end()
+            m = PATTERN.search(text, at)
+        start = max(e.start(), at)
+        if start < e.end():
+            yield start, e.end(1), None
+            at = e.end(1)
+            if m and m.start() < at:
+                m = PATTERN.search(text, at)
+    while m:
+        yield m.start(), m.end(), m
+        m = PATTERN.search(text, m.end())
+
+
+def _mentions(text: str, names: dict):
+    """Spans of the names in a text, in any case of letters; of names that start at one place the longest.
+
+    A name stands between characters that are no letters or digits; a Chinese one of two characters or more
+    stands in running text without a border.
+    """
+    names = {n for n in names if len(n) <= FOLLOWED}
+    longest, at = max(map(len, names), default=0), 0
+    for m in STARTS.finditer(text):
+        p = m.start()
+        if p < at or not names:
+            continue
+        end = 0
+        if HAN_RUN.match(text, p):
+            end = next((p + k for k in (4, 3, 2) if text[p:p + k] in names and HAN_RUN.match(text, p).end() >= p + k), 0)
+        if not end and (p == 0 or not WORD_CHAR.match(text, p - 1)):
+            run = RUN.match(text, p, p + longest).group()
+            k = len(run)
+            while k > 0:
+                if not WORD_CHAR.match(text, p + k) and run[:k].lower() in names:
+                    end = p + k
+                    break
+                k = max(run.rfind(c, 0, k) for c in "'’-")
+        if end:
+            yield p, end
+            at = end
+
+
 def replace(text: str, secret: str, attempts: dict[tuple[str, str], int]) -> tuple[str, int, list[str]]:
     """The text with its entities replaced, their number and kinds."""
     found = entities(text)
@@ -346,26 +409,30 @@ def rekeyed(found: DataFrame, secret: str) -> DataFrame:
     # the surrogate of a name doesn't depend on its title, so the gender is no part of the entity
     known = written(found.groupBy("kind", "value").agg(F.min("gender").alias("gender")), "entities")
 
-    @F.udf("string")
-    def replaced(kind, value, gender, attempt):
-        return canonical(kind, surrogate(secret, kind, value, attempt, gender))
+    @F.arrow_udf("array<struct<attempt:int,new:string>>")
+    def tried(kinds, values, genders, first, last):
+        rows = zip(*[c.to_pylist() for c in (kinds, values, genders, first, last)])
+        return pa.array([[{"attempt": n, "new": canonical(k, surrogate(secret, k, v, n, g))} for n in range(a, z)]
+                         for k, v, g, a, z in rows], pa.list_(pa.struct([("attempt", pa.int32()), ("new", pa.string())])))
 
-    settled, waiting, attempt = None, known, 0
+    real = known.select(F.col("kind").alias("k"), F.col("value").alias("v"))
+    settled, waiting, first, last = [], known, 0, 1
     while True:
-        now = waiting.withColumn("attempt", F.lit(attempt)).withColumn(
-            "new", replaced("kind", "value", "gender", F.lit(attempt)))
-        real = known.select(F.col("kind").alias("k"), F.col("value").alias("v"), F.lit(True).alias("real"))
-        used = real if settled is None else real.unionAll(settled.select("kind", "new", F.lit(True)))
-        judged = (now.join(used.distinct(), (F.col("kind") == F.col("k")) & (F.col("new") == F.col("v")), "left")
-                  .withColumn("twin", F.row_number().over(Window.partitionBy("kind", "new").orderBy("value")))
-                  .withColumn("bad", F.col("real").isNotNull() | (F.col("twin") > 1)))
-        judged = written(judged.select("kind", "value", "gender", "attempt", "new", "bad"), "rekeyed")
-        good = judged.where(~F.col("bad")).drop("bad")
-        settled = good if settled is None else settled.unionAll(good)
-        waiting = judged.where("bad").select("kind", "value", "gender")
+        if first > MOST_ATTEMPTS:
+            raise ValueError(f"no free surrogate after {MOST_ATTEMPTS} attempts")
+        now = waiting.select("kind", "value", "gender", F.explode(tried(
+            "kind", "value", "gender", F.lit(first), F.lit(last))).alias("t")).select("kind", "value", "gender", "t.*")
+        used = reduce(DataFrame.unionAll, [real, *[s.select("kind", "new") for s in settled]]).distinct()
+        free = now.join(used, (F.col("kind") == F.col("k")) & (F.col("new") == F.col("v")), "left_anti")
+        # each takes its first free surrogate; of several that take the same one, the smallest keeps it
+        taken = free.groupBy("kind", "value").agg(F.min(F.struct("attempt", "new")).alias("t")).select("kind", "value", "t.*")
+        keeps = taken.groupBy("kind", "new").agg(F.min("value").alias("value"))
+        judged = written(taken.join(keeps, ["kind", "new", "value"]).select("kind", "value", "attempt", "new"), "rekeyed")
+        settled.append(judged)
+        waiting = written(waiting.join(judged, ["kind", "value"], "left_anti"), "waiting")
         if waiting.isEmpty():
-            return settled.where("attempt > 0").select("kind", "value", "attempt")
-        attempt += 1
+            return reduce(DataFrame.unionAll, settled).where("attempt > 0").select("kind", "value", "attempt")
+        first, last = last, last + ATTEMPTS_A_ROUND
 
 
 def pseudonymize(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:

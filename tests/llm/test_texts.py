@@ -379,3 +379,33 @@ def test_pipeline_of_nothing(spark, sf, tables, odd):
     for _, stage in corpus_pipeline.STAGES:
         frame = stage(spark, frame, sf)
     assert frame.count() > 0
+
+
+@pytest.mark.parametrize("text", ["a" * 10 ** 6, "a1" * 500_000, "a." * 500_000, "a@" * 500_000, "Mr " + "A" * 10 ** 6, "Mr A" + "-" * 10 ** 6,
+                                  "Mr Bo " * 150_000, "token=" * 150_000, "token" + " " * 10 ** 6, "+1 " * 300_000, "aB3/" * 250_000,
+                                  "Mr " + "王" * 10 ** 6, "%+-." * 250_000 + "@"], ids=lambda t: t[:8])
+def test_long_unbroken_texts_take_linear_time(text):
+    import time
+
+    start = time.time()
+    surrogates.entities(text)
+    assert time.time() - start < 15
+
+
+@pytest.mark.parametrize("kind, real", [
+    ("secret", [f"-----{i}" for i in range(10)]), ("secret", [f"-----{i}" for i in range(0, 10, 2)]),
+    ("email", [f"{c}@a.example.com" for c in "abcdefghijklmnopqrstuvwxyz"])])
+def test_used_up_patterns_come_to_an_end(spark, kind, real):
+    """All values of a pattern, or half of them, are real: surrogates leave the pattern and stay apart."""
+    docs = spark.createDataFrame([(i, f"password: {e} today") if kind == "secret" else (i, f"write {e} today")
+                                  for i, e in enumerate(real)], "doc_id long, text string")
+    new = [r.text.split()[1] for r in surrogates.pseudonymize(docs, "k").collect()]
+    assert not set(new) & set(real) and len(set(new)) == len(real)
+
+
+def test_surrogates_of_every_kind_grow_in_the_end():
+    for kind, value in (("secret", "abc123"), ("secret", "0" * 24 + "a"), ("phone", "0171 2345678"), ("card", "4111111111111111"),
+                        ("ssn", "123-45-6789"), ("iban", "DE44500105175407324931"), ("email", "a@b.com"), ("name", "Anna")):
+        made = {surrogates.surrogate("s", kind, value, n) for n in range(60)}
+        assert max(map(len, made)) > len(value) + 40
+    assert len({surrogates.surrogate("s", "ip", "192.168.0.1", n) for n in range(60)}) == 60
