@@ -34,9 +34,9 @@ from pyspark.sql import types as T
 from corpuskit.llm.common import slices
 
 MARK = "▁"
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 #: Segments that a worker remembers between batches, at most.
-MEMORY = 400_000
+MEMORY = 200_000
 NEVER = np.int64(1) << 40
 
 
