@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corpuskit.llm.common import slices
+from corpuskit.llm.common import give_back, slices
 
 MARK = "▁"
 CHUNK_CHARS = 1 << 18
@@ -419,24 +419,28 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: tuple
         from pyspark.sql.pandas.types import to_arrow_schema
 
         encoder, arrow = shared_encoder(path), to_arrow_schema(schema)
-        for batch in batches:
-            for part in slices(batch, "__text"):
-                texts = _strings(part, "__text")
-                got = encoder.encode([t or "" for t in texts])
-                null = [t is None for t in texts]
-                cols = [part.column(part.schema.get_field_index(f.name)) for f in fields]
-                cols.append(pa.array([None if z else len(g) for g, z in zip(got, null)], pa.int32()))
-                cols.append(pa.array([None if z else zlib.crc32(g.astype("<u4").tobytes())
-                                      for g, z in zip(got, null)], pa.int64()))
-                if ids:
-                    cols.append(pa.array([None if z else g for g, z in zip(got, null)], pa.list_(pa.int32())))
-                if back:
-                    text_back = [None if z else encoder.decode(g).decode("utf-8", "replace") for g, z in zip(got, null)]
-                    cols.append(pa.array(text_back, pa.string()))
-                    cols.append(pa.array([None if z else b == t.replace(MARK, " ")
-                                          for b, t, z in zip(text_back, texts, null)], pa.bool_()))
-                yield pa.RecordBatch.from_arrays(
-                    [c.cast(f.type) if c.type != f.type else c for c, f in zip(cols, arrow)], schema=arrow)
+        try:
+            for batch in batches:
+                for part in slices(batch, "__text"):
+                    texts = _strings(part, "__text")
+                    got = encoder.encode([t or "" for t in texts])
+                    null = [t is None for t in texts]
+                    cols = [part.column(part.schema.get_field_index(f.name)) for f in fields]
+                    cols.append(pa.array([None if z else len(g) for g, z in zip(got, null)], pa.int32()))
+                    cols.append(pa.array([None if z else zlib.crc32(g.astype("<u4").tobytes())
+                                          for g, z in zip(got, null)], pa.int64()))
+                    if ids:
+                        cols.append(pa.array([None if z else g for g, z in zip(got, null)], pa.list_(pa.int32())))
+                    if back:
+                        text_back = [None if z else encoder.decode(g).decode("utf-8", "replace") for g, z in zip(got, null)]
+                        cols.append(pa.array(text_back, pa.string()))
+                        cols.append(pa.array([None if z else b == t.replace(MARK, " ")
+                                              for b, t, z in zip(text_back, texts, null)], pa.bool_()))
+                    yield pa.RecordBatch.from_arrays(
+                        [c.cast(f.type) if c.type != f.type else c for c, f in zip(cols, arrow)], schema=arrow)
+        finally:  # segments seldom come again in another task
+            encoder._forget()
+            give_back()
 
     from pyspark.sql import functions as F
 
