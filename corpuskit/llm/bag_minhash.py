@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import blobs, drop_written, slices, written
+from corpuskit.llm.common import blobs, drop_written, give_back, slices, written
 from corpuskit.llm.components import relabel
 
 SHINGLE = 5
@@ -48,7 +48,7 @@ SLOTS = BANDS * ROWS
 TURNS = ((0, 2), (2, 10), (10, BANDS))
 SURE = 0.65
 #: Bytes of multisets and sketches, and members, that make up a tile at most, about.
-TILE_BYTES, TILE_ROWS = 16 << 20, 4000
+TILE_BYTES, TILE_ROWS = 8 << 20, 4000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -172,6 +172,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                     [part.column(0), pa.array(nodes, pa.binary()),
                      pa.array([b if z else [] for b, z in zip(bands, some)], pa.list_(pa.int64())),
                      pa.array([x.tobytes() for x in sketch], pa.binary())], names=["id", "node", "bands", "sketch"])
+        give_back()
 
     return docs.select(F.col(key).alias("id"), F.col(text).alias("__text")).mapInArrow(
         run, f"id {kind}, node binary, bands array<long>, sketch binary")
@@ -191,6 +192,7 @@ def multisets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([np.sort(x).tobytes() for x in np.split(item, cut)], pa.binary())],
                     names=["node", "sketch", "items"])
+        give_back()
 
     # ids may repeat or be null: the words' digest is part of the join's key, so only texts of these words meet
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"), words_digest(F.col(text)).alias("__node"))
@@ -274,6 +276,8 @@ def tiled(entries: DataFrame, threshold: float) -> DataFrame:
                 held.append(batch.slice(a, b - a))
         if held:
             yield tile()
+        held.clear()
+        give_back()
 
     dealt = entries.select(*names, "asks", "label", "sketch", "items").repartition(*names).sortWithinPartitions(*names)
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
