@@ -13,6 +13,7 @@ MIX_SEED = "mix"
 # hash52(parts) / 2^52 as in common.unit
 _UNIT = "(('0x' || substr(md5({}), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0"
 
+# a piece's mean is 32 at most: beyond 200 its masses are 0 in double precision
 MIX_SQL = f"""
 WITH sizes AS (SELECT source, sum(length(coalesce(text, ''))) AS size FROM documents
                GROUP BY source HAVING sum(length(coalesce(text, ''))) > 0),
@@ -24,13 +25,13 @@ WITH sizes AS (SELECT source, sum(length(coalesce(text, ''))) AS size FROM docum
      cdf AS (SELECT source, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM masses),
      draws AS (SELECT d.rowid AS r, d.source, {_UNIT.format("'mix:' || coalesce(d.doc_id::VARCHAR, '~') || ':' || md5(coalesce(d.text, '')) || ':' || i")} AS u
                FROM (SELECT row_number() OVER () AS rowid, * FROM documents) d
-               JOIN steps s ON d.source IS NOT DISTINCT FROM s.source, range(1, 100) i(i) WHERE i <= pieces),
+               JOIN steps s ON d.source IS NOT DISTINCT FROM s.source, unnest(range(1, pieces + 1)) i(i)),
      counts AS (SELECT r, sum((SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM draws.source AND cdf.c <= u))::INT AS n
                 FROM draws GROUP BY r)
 SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, round(s.rate, 6) AS rate, n AS n_copies, j::INT AS copy,
        ('0x' || substr(md5('mix/order:' || coalesce(d.doc_id::VARCHAR, '~') || ':' || md5(coalesce(d.text, '')) || ':' || j), 1, 13))::BIGINT AS shuffle_key
 FROM (SELECT row_number() OVER () AS rowid, * FROM documents) d
-JOIN counts ON r = rowid JOIN steps s ON d.source IS NOT DISTINCT FROM s.source, range(1, 1000) t(j) WHERE j <= n
+JOIN counts ON r = rowid JOIN steps s ON d.source IS NOT DISTINCT FROM s.source, unnest(range(1, n + 1)) t(j)
 """
 
 
