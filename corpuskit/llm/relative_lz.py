@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit.llm.bag_minhash import mix
@@ -44,6 +44,8 @@ from corpuskit.session import staging_path
 WINDOW = 20
 GRAM = 8
 BLOCK_BYTES = 16 << 20
+#: Spark takes no more buckets than this; a task then reads several blocks, one after another.
+MOST_BUCKETS = 100_000
 LAST = np.int64(2**63 - 1)
 #: An odd multiplier and its inverse modulo 2**64: hashes of runs come from two prefix sums.
 FACTOR = 0x9E3779B97F4A7C15
@@ -116,7 +118,10 @@ class Block:
 
 
 def blocks(docs: DataFrame, key: str, text: str, limit: int) -> tuple[DataFrame, str]:
-    """The documents as ``(block, row, id, text)``, bucketed by block without moving a row; the table's name."""
+    """The documents as ``(block, row, id, text)``, bucketed by block without moving a row; the table's name.
+
+    There are as many buckets as blocks fit into the bytes (at least the session's shuffle partitions).
+    """
     spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,14 +141,22 @@ def blocks(docs: DataFrame, key: str, text: str, limit: int) -> tuple[DataFrame,
                     names=["block", "row", "id", "text"])
                 row += n
 
+    size = docs.agg(F.sum(F.octet_length(F.col(text).cast("binary")))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // limit))
     name = f"llm_blocks_{uuid.uuid4().hex[:12]}"
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     (rows.mapInArrow(run, "block long, row int, id long, text binary").write
-     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("compression", "zstd")
+     .bucketBy(min(buckets, MOST_BUCKETS), "block").option("compression", "zstd")
      .option("path", staging_path(spark, "tables", f"llm-{name}", unique=True)).saveAsTable(name))
     return spark.table(name), name
 
 
+def _spots(own: Column, other: Column) -> Column:
+    """The own window's number and the other's start, as one long."""
+    low = F.lit((1 << 32) - 1)
+    return own.bitwiseAND(F.lit(-(1 << 32))).bitwiseOR(other.bitwiseAND(low))
+
+
 def _table(schema: str, **columns) -> pa.Table:
     types = {"long": pa.int64(), "int": pa.int32()}
     fields = [f.split() for f in schema.split(", ")]
@@ -156,21 +169,22 @@ def _signposts(rows: pa.Table) -> pa.Table:
     return _table("post long, block long", post=posts, block=np.full(len(posts), rows.column("block")[0].as_py()))
 
 
-LOOKUPS = "window long, part int, block long, at int, doc long, start int"
+#: ``spot`` is the window's place: its number in the block times 2**32, plus its start in the document.
+LOOKUPS = "window long, part int, block long, doc long, spot long"
 
 
 def _lookups(rows: pa.Table, shared: pa.Table) -> pa.Table:
     """The block's first occurrence of each window under a shared signpost."""
     if not rows.num_rows or not shared.num_rows:
-        return _table(LOOKUPS, window=[], part=[], block=[], at=[], doc=[], start=[])
+        return _table(LOOKUPS, window=[], part=[], block=[], doc=[], spot=[])
     block = Block(rows)
     posts = np.sort(np.asarray(shared.column("post"), np.int64).view(np.uint64))
     near = np.minimum(np.searchsorted(posts, block.signpost), len(posts) - 1)
     first = block.first()
     which = np.flatnonzero((posts[near] == block.signpost) & (first == np.arange(len(first))))
     return _table(LOOKUPS, window=block.window[which].view(np.int64), part=(block.signpost[which] >> np.uint64(33)),
-                  block=np.full(len(which), rows.column("block")[0].as_py()), at=which, doc=block.order(which),
-                  start=block.offset(which))
+                  block=np.full(len(which), rows.column("block")[0].as_py()), doc=block.order(which),
+                  spot=(which << 32) + block.offset(which))
 
 
 def factors(known: np.ndarray, ref_doc: np.ndarray, ref_start: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,9 +206,10 @@ def _parsed(rows: pa.Table, answers: pa.Table, spans: bool) -> pa.Table:
         n = len(first)
         source, place = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         known = np.zeros(n, bool)
-        at = np.asarray(answers.column("at"), np.int64)
+        spots = np.asarray(answers.column("spots"), np.int64)
+        at = spots >> 32
         known[at] = True
-        source[at], place[at] = np.asarray(answers.column("ref_doc")), np.asarray(answers.column("ref_start"))
+        source[at], place[at] = np.asarray(answers.column("ref_doc")), spots & 0xFFFFFFFF
         later = np.flatnonzero(first != np.arange(n))  # the block itself has the window earlier
         known[later] = True
         source[later], place[later] = block.order(first[later]), block.offset(first[later])
@@ -227,21 +242,21 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", blo
     """``(doc_id, n_words, n_removed, kept_sha256, factors)`` of every row; a null id in ``ref_doc`` is the largest long."""
     spark = docs.sparkSession
     dealt, name = blocks(docs, key, text, block_bytes)
-    posts = written(dealt.groupBy("block").applyInArrow(_signposts, "post long, block long"), "signposts")
-    # a signpost comes at most once from a block
-    several = F.count(F.lit(1)).over(Window.partitionBy("post")) > 1
-    shared = posts.withColumn("several", several).where("several").drop("several")
-    lookups = written(dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_lookups, LOOKUPS), "lookups")
-    drop_written(posts)
-    place = F.struct("doc", "block", "at", "start")
-    earliest = F.min(place).over(Window.partitionBy("window", "part"))
-    answers = (lookups.withColumn("e", earliest).where((F.col("e.block") != F.col("block")))
-               .select("block", "at", F.col("e.doc").alias("ref_doc"), F.col("e.start").alias("ref_start")))
-    done = written(dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        lambda rows, got: _parsed(rows, got, spans),
-        f"doc_id long, n_words long, n_removed long, kept_sha256 string, factors {FACTORS}"), "parsed")
-    drop_written(lookups)
-    files = dealt
-    spark.sql(f"DROP TABLE {name}")
-    drop_written(files)
+    try:
+        posts = written(dealt.groupBy("block").applyInArrow(_signposts, "post long, block long"), "signposts")
+        # a signpost comes at most once from a block
+        several = F.count(F.lit(1)).over(Window.partitionBy("post")) > 1
+        shared = posts.withColumn("several", several).where("several").drop("several")
+        lookups = written(dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_lookups, LOOKUPS), "lookups")
+        drop_written(posts)
+        earliest = F.min(F.struct("doc", "block", "spot")).over(Window.partitionBy("window", "part"))
+        answers = (lookups.withColumn("e", earliest).where(F.col("e.block") != F.col("block"))
+                   .select("block", F.col("e.doc").alias("ref_doc"), _spots(F.col("spot"), F.col("e.spot")).alias("spots")))
+        done = written(dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+            lambda rows, got: _parsed(rows, got, spans),
+            f"doc_id long, n_words long, n_removed long, kept_sha256 string, factors {FACTORS}"), "parsed")
+        drop_written(lookups)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_written(dealt)
     return done
