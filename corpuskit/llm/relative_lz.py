@@ -157,6 +157,12 @@ def _spots(own: Column, other: Column) -> Column:
     return own.bitwiseAND(F.lit(-(1 << 32))).bitwiseOR(other.bitwiseAND(low))
 
 
+def _apart(answers: pa.Table) -> pa.Table:
+    """The answers with window number and reference start in columns of their own again."""
+    spots = np.asarray(answers.column("spots"), np.int64)
+    return pa.table({"at": spots >> 32, "ref_doc": answers.column("ref_doc"), "ref_start": spots & 0xFFFFFFFF})
+
+
 def _table(schema: str, **columns) -> pa.Table:
     types = {"long": pa.int64(), "int": pa.int32()}
     fields = [f.split() for f in schema.split(", ")]
@@ -206,10 +212,9 @@ def _parsed(rows: pa.Table, answers: pa.Table, spans: bool) -> pa.Table:
         n = len(first)
         source, place = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         known = np.zeros(n, bool)
-        spots = np.asarray(answers.column("spots"), np.int64)
-        at = spots >> 32
+        at = np.asarray(answers.column("at"), np.int64)
         known[at] = True
-        source[at], place[at] = np.asarray(answers.column("ref_doc")), spots & 0xFFFFFFFF
+        source[at], place[at] = np.asarray(answers.column("ref_doc")), np.asarray(answers.column("ref_start"))
         later = np.flatnonzero(first != np.arange(n))  # the block itself has the window earlier
         known[later] = True
         source[later], place[later] = block.order(first[later]), block.offset(first[later])
@@ -253,7 +258,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", blo
         answers = (lookups.withColumn("e", earliest).where(F.col("e.block") != F.col("block"))
                    .select("block", F.col("e.doc").alias("ref_doc"), _spots(F.col("spot"), F.col("e.spot")).alias("spots")))
         done = written(dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-            lambda rows, got: _parsed(rows, got, spans),
+            lambda rows, got: _parsed(rows, _apart(got), spans),
             f"doc_id long, n_words long, n_removed long, kept_sha256 string, factors {FACTORS}"), "parsed")
         drop_written(lookups)
     finally:
