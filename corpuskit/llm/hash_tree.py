@@ -43,7 +43,7 @@ def grown(tree: list[Leaf], weight: float = 1.0) -> list[Leaf]:
     return [*tree, Leaf(max(x.region for x in tree) + 1, 0, max(x.shard for x in tree) + 1, weight)]
 
 
-def _children(tree: list[Leaf], level: int) -> dict[str, dict[str, float]]:
+def children(tree: list[Leaf], level: int) -> dict[str, dict[str, float]]:
     """Parent id -> {child id: weight} at level 0 (regions), 1 (racks) or 2 (shards)."""
     out: dict[str, dict[str, float]] = {}
     for x in tree:
@@ -59,7 +59,7 @@ def descend(key: Column, tree: list[Leaf]) -> Column:
     for level in range(3):
         options = [F.struct(F.lit(p).alias("p"), F.array(*[F.struct(F.lit(c).alias("c"), F.lit(w).alias("w"))
                                                            for c, w in kids.items() if w > 0]).alias("kids"))
-                   for p, kids in _children(tree, level).items() if any(w > 0 for w in kids.values())]
+                   for p, kids in children(tree, level).items() if any(w > 0 for w in kids.values())]
         kids = F.element_at(F.map_from_entries(F.array(*options)), at)
         at = F.array_min(F.transform(kids, lambda x: F.struct(
             (-F.ln(unit(key, x["c"])) / x["w"]).alias("draw"), x["c"].alias("c"))))["c"]

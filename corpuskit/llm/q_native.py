@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpuskit.llm.common import table
-from corpuskit.llm.hash_tree import even_tree, shard_documents
+from corpuskit.llm.hash_tree import children, even_tree, grown, shard_documents
 from corpuskit.llm.poisson_mix import poisson_mix, rates_by_power
 from corpuskit.llm.registry import query
 
@@ -44,6 +44,44 @@ def op9_poisson_mix(spark, sf_dir):
     return mixed.withColumn("rate", F.round("rate", 6))
 
 
-@query("op10_hash_tree")
+def tree_sql(tree) -> str:
+    """The descent written level by level: of a parent's children the one with the smallest draw."""
+    rows = [(level, parent, child, weight) for level in range(3)
+            for parent, kids in children(tree, level).items() for child, weight in kids.items() if weight > 0]
+    return ", ".join(f"({level}, '{parent}', '{child}', {weight}::DOUBLE)" for level, parent, child, weight in rows)
+
+
+def _descent_sql(name: str, tree) -> str:
+    levels = "".join(f""",
+     {name}{level + 1} AS (SELECT a.k, arg_min(t.child, struct_pack(draw := -ln({_UNIT.format("a.k || ':' || t.child")}) / t.weight, c := t.child)) AS node
+               FROM {name}{level} a JOIN {name} t ON t.level = {level} AND t.parent = a.node GROUP BY a.k)""" for level in range(3))
+    return f"""{name}(level, parent, child, weight) AS (VALUES {tree_sql(tree)}),
+     {name}0 AS (SELECT DISTINCT coalesce(doc_id::VARCHAR, '~') AS k, '' AS node FROM documents){levels}"""
+
+
+# crc32 is a fold over a text's bytes with the table of the reversed polynomial
+SHARD_SQL = f"""
+WITH crcs AS (SELECT list(list_reduce(list_concat([i::BIGINT], range(8)),
+                     lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+              FROM range(256) r(i)),
+     texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+     rows_ AS (SELECT doc_id, (length(h) // 2 + 16)::BIGINT AS size,
+                      xor(list_reduce(list_concat([4294967295::BIGINT],
+                          list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)),
+                          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+               FROM texts, crcs),
+     each AS (SELECT *, row_number() OVER (PARTITION BY doc_id, size, text_crc32) AS copy_ FROM rows_),
+     {_descent_sql("now_", even_tree(SHARDS))},
+     {_descent_sql("later_", grown(even_tree(SHARDS)))},
+     placed AS (SELECT e.*, split_part(n.node, '/', 3)::INT AS shard, split_part(l.node, '/', 3)::INT AS grown_shard,
+                       {_UNIT.format("coalesce(doc_id::VARCHAR, '~') || ':' || size || ':' || text_crc32 || ':' || copy_")} AS u
+                FROM each e JOIN now_3 n ON n.k = coalesce(doc_id::VARCHAR, '~') JOIN later_3 l ON l.k = n.k)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY u, doc_id, size, text_crc32, copy_) - 1 AS slot, grown_shard
+FROM placed
+"""
+
+
+@query("op10_hash_tree", SHARD_SQL)
 def op10_hash_tree(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), even_tree(SHARDS))
