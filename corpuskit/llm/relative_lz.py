@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit.llm.bag_minhash import mix
-from corpuskit.llm.common import blobs, drop_written, slices, written
+from corpuskit.llm.common import blobs, drop_written, give_back, slices, written
 from corpuskit.session import staging_path
 
 WINDOW = 20
@@ -63,32 +63,35 @@ class Block:
         ids = rows.column("id").to_pylist()
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, rows.column("row")[i].as_py()))
         self.ids = [ids[i] for i in order]
-        text = rows.column("text").to_pylist()
-        self.words = [(text[i] or b"").split() for i in order]
-        number: dict[bytes, int] = {}
-        codes: list[int] = []
-        for words in self.words:
-            codes.extend([number.setdefault(w, len(number)) for w in words])
+        text = rows.column("text")
+        number: dict[bytes, int] = {}  # words are kept once, texts as numbers of words
+        codes = [np.array([number.setdefault(w, len(number)) for w in (text[i].as_py() or b"").split()], np.int32) for i in order]
+        self.vocabulary = list(number)
         hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in number), np.uint64, len(number))
-        self.size = np.array([len(w) for w in self.words], np.int64)
+        self.size = np.array([len(w) for w in codes], np.int64)
         self.start = np.cumsum(self.size) - self.size
-        self.doc = np.repeat(np.arange(len(self.words)), self.size)
-        n = len(codes)
+        self.doc = np.repeat(np.arange(len(codes), dtype=np.int32), self.size)
+        self.codes = np.concatenate(codes) if codes else np.zeros(0, np.int32)
+        n = len(self.codes)
+        del number, codes
         if n < WINDOW:
             self.at = np.zeros(0, np.int64)
             self.window = self.signpost = np.zeros(0, np.uint64)
             return
-        word = hashed[np.array(codes, np.int64)]
         with np.errstate(over="ignore"):
             back = np.full(n, INVERSE, np.uint64)
             back[0] = 1
+            np.multiply.accumulate(back, out=back)
+            back *= hashed[self.codes]
             sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(word * np.multiply.accumulate(back), out=sums[1:])
+            np.cumsum(back, out=sums[1:])
+            del back
             forth = np.full(n, FACTOR, np.uint64)
             forth[0] = 1
-            forth = np.multiply.accumulate(forth)
+            np.multiply.accumulate(forth, out=forth)
             run = lambda k: mix((sums[k:] - sums[:-k]) * forth[: n - k + 1])
             window, least = run(WINDOW), run(GRAM)
+            del sums, forth
         inside = self.doc[: n - WINDOW + 1] == self.doc[WINDOW - 1:]
         # the smallest of WINDOW - GRAM + 1 neighbours, by doubling
         need, have = WINDOW - GRAM + 1, 1
@@ -170,8 +173,8 @@ def _table(schema: str, **columns) -> pa.Table:
 
 
 def _signposts(rows: pa.Table) -> pa.Table:
-    block = Block(rows)
-    posts = np.unique(block.signpost).view(np.int64)
+    posts = np.unique(Block(rows).signpost).view(np.int64)
+    give_back()
     return _table("post long, block long", post=posts, block=np.full(len(posts), rows.column("block")[0].as_py()))
 
 
@@ -188,6 +191,8 @@ def _lookups(rows: pa.Table, shared: pa.Table) -> pa.Table:
     near = np.minimum(np.searchsorted(posts, block.signpost), len(posts) - 1)
     first = block.first()
     which = np.flatnonzero((posts[near] == block.signpost) & (first == np.arange(len(first))))
+    del posts, near, first
+    give_back()
     return _table(LOOKUPS, window=block.window[which].view(np.int64), part=(block.signpost[which] >> np.uint64(33)),
                   block=np.full(len(which), rows.column("block")[0].as_py()), doc=block.order(which),
                   spot=(which << 32) + block.offset(which))
@@ -227,15 +232,18 @@ def _parsed(rows: pa.Table, answers: pa.Table, spans: bool) -> pa.Table:
         gone = np.cumsum(cover)[: len(block.doc)] > 0
         cut = np.searchsorted(owner[head], np.arange(len(block.ids) + 1))
         spanned = np.stack([offset[head], offset[end] - offset[head] + WINDOW, source[head], place[head]], axis=1)
-        for d, words in enumerate(block.words):
-            lost = gone[block.start[d]: block.start[d] + block.size[d]]
-            kept = words if not lost.any() else [w for w, z in zip(words, lost.tolist()) if not z]
+        del first, later, known, source, place, offset, owner, cover
+        for d, n_words in enumerate(block.size.tolist()):
+            own = slice(block.start[d], block.start[d] + n_words)
+            lost = gone[own]
+            kept = [block.vocabulary[c] for c in block.codes[own][~lost].tolist()]
             out["doc_id"].append(block.ids[d])
-            out["n_words"].append(len(words))
+            out["n_words"].append(n_words)
             out["n_removed"].append(int(lost.sum()))
             out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
             out["factors"].append([dict(zip(("start", "length", "ref_doc", "ref_start"), f)) for f in
                                    spanned[cut[d]: cut[d + 1]].tolist()] if spans else None)
+    give_back()
     kinds = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]))
     return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "n_words": pa.array(out["n_words"], pa.int64()),
                      "n_removed": pa.array(out["n_removed"], pa.int64()), "kept_sha256": pa.array(out["kept_sha256"], pa.string()),
