@@ -220,3 +220,21 @@ def test_publish_import_round_trip(spark, sf):
     t1 = {r.doc_id: (r.raw_text, list(r.tokens)) for r in c.docs.collect()}
     t2 = {r.doc_id: (r.raw_text, list(r.tokens)) for r in back.docs.collect()}
     assert t1 == t2
+
+
+def test_tagging_holds_one_document_in_python():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from corpuskit.operators.text import closed_class_tags, tagged_lists
+
+    docs = [[f"w{i}{j}" for j in range(200)] for i in range(1000)] + [None, [], ["der", "9", "x"]]
+    tokens = pa.array(docs, pa.list_(pa.string())).slice(1)
+    tracemalloc.start()
+    got = tagged_lists(tokens, closed_class_tags)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000  # 200,000 words and their tags as Python objects take ten times that
+    assert got.to_pylist() == [None if d is None else [
+        {"token": w, "tag": t} for w, t in zip(d, closed_class_tags(d))] for d in docs[1:]]
