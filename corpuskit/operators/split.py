@@ -8,10 +8,10 @@
    when every one of its categories keeps at least its target without it (I4).
 5. ``(rest, kept)`` (I5).
 
-Ranks and prefix counts inside a category are two-level: a histogram over the
-key's leading hex digits (bucket) gives counts before each bucket, and windows
-run only inside (category, bucket). A category holding a third of all documents
-is therefore spread over thousands of small window partitions.
+A key is a function of its document, so it is never written or shuffled with the rows. The first documents
+of a category are told by a cut: the key at which its limit is reached. A histogram over the keys' leading
+hex digits (bucket) finds the bucket of the cut, and only the rows of that bucket are ranked. Rows
+are then held against their category's cut where they are.
 
 Step 4 is computed exactly without walking documents one by one. A category has a surplus S:
 S more documents may leave it. In a pass, each undecided document is ranked by key among the
@@ -67,31 +67,50 @@ def keyed_assignments(corpus: Corpus, field: str, seed: int = 0) -> DataFrame:
     return a.withColumn("key", key).withColumn("bucket", _bucket(F.col("key")))
 
 
-def _prefix(rows: DataFrame, flags: list[str]) -> DataFrame:
-    """Add ``<flag>_before``: sum of the flag over earlier rows (by key) in the same uri."""
-    per_bucket = rows.groupBy("uri", "bucket").agg(*[F.sum(f).alias(f"__b_{f}") for f in flags])
+def _cuts(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    """``(__cu, last_in, first_out)`` per category with a ``limit`` above 0: the largest key among its first ``limit``
+    rows, and a key above it that no later row is below.
+
+    ``rows(doc_id, uri, key, bucket)``, ``limits(__lu, limit)``.
+    """
+    per_bucket = rows.where("bucket IS NOT NULL").groupBy("uri", "bucket").agg(F.count(F.lit(1)).alias("n"))
     wb = Window.partitionBy("uri").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select("uri", "bucket", *[
-        F.coalesce(F.sum(f"__b_{f}").over(wb), F.lit(0)).alias(f"__cb_{f}") for f in flags])
-    wl = Window.partitionBy("uri", "bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    local = rows.select("*", *[F.coalesce(F.sum(f).over(wl), F.lit(0)).alias(f"__l_{f}")
-                               for f in flags])
-    j = local.join(per_bucket, (local["uri"].eqNullSafe(per_bucket["uri"]))
-                   & (local["bucket"] == per_bucket["bucket"]))
-    return j.select(local["*"], *[(F.col(f"__cb_{f}") + F.col(f"__l_{f}")).alias(f"{f}_before")
-                                  for f in flags]).drop(*[f"__l_{f}" for f in flags])
+    before = per_bucket.select("uri", "bucket", F.coalesce(F.sum("n").over(wb), F.lit(0)).alias("before"))
+    edge = materialize(before.join(limits, before["uri"].eqNullSafe(limits["__lu"])).where("before < limit")
+                       .groupBy("uri").agg(F.max(F.struct("bucket", "before", "limit")).alias("e"))
+                       .select(F.col("uri").alias("__cu"), F.col("e.bucket").alias("__cb"), "e.before", "e.limit"), "split_edge")
+    inside = rows.join(edge, rows["uri"].eqNullSafe(edge["__cu"]) & (rows["bucket"] == edge["__cb"]))
+    rank = F.col("before") + F.row_number().over(Window.partitionBy("__cu").orderBy("key")) - 1
+    end = F.concat(F.lpad(F.lower(F.hex("__cb")), BUCKET_HEX_DIGITS, "0"), F.lit("g"))  # above every key of the bucket
+    cuts = materialize(inside.select("__cu", "__cb", "key", (rank < F.col("limit")).alias("in")).groupBy("__cu", "__cb").agg(
+        F.max(F.when(F.col("in"), F.col("key"))).alias("last_in"),
+        F.min(F.when(~F.col("in"), F.col("key"))).alias("first_out")).select(
+        "__cu", "last_in", F.coalesce("first_out", end).alias("first_out")), "split_cuts")
+    drop_materialized(edge)
+    return cuts
+
+
+def _keyed(rows: DataFrame, seed: int) -> DataFrame:
+    return rows.withColumn("key", split_key(F.col("doc_id"), seed)).withColumn("bucket", _bucket(F.col("key")))
 
 
 def split_candidates(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0) -> DataFrame:
     """``(doc_id)`` of the initial selection."""
-    t = split_targets(corpus, field, ratio).select(F.col("uri").alias("__tu"), "target")
-    return _first_of_each(keyed_assignments(corpus, field, seed), t)
+    own, targets = _own(corpus, field, ratio)
+    cuts = _cuts(_keyed(own, seed), targets.select("__tu", "target").toDF("__lu", "limit"))
+    keyed = _keyed(own, seed)
+    ids = materialize(keyed.join(cuts, keyed["uri"].eqNullSafe(cuts["__cu"])).where("key <= last_in")
+                      .select("doc_id").distinct(), "split_candidates")
+    drop_materialized(own, targets, cuts)
+    return ids
 
 
-def _first_of_each(keyed: DataFrame, targets: DataFrame) -> DataFrame:
-    ranked = _prefix(keyed.withColumn("one", F.lit(1)), ["one"])
-    ranked = ranked.join(targets, ranked["uri"].eqNullSafe(targets["__tu"]))
-    return ranked.where(F.col("one_before") < F.col("target")).select("doc_id").distinct()
+def _own(corpus: Corpus, field: str, ratio: float) -> tuple[DataFrame, DataFrame]:
+    """The assignments of the field and the targets of its categories, written once."""
+    own = materialize(corpus.assignments.where(F.col("field") == field).select("doc_id", "uri"), "split_assigned")
+    assigned = corpus.with_(assignments=own.select(F.lit(field).alias("field"), "doc_id", "uri"))
+    targets = split_targets(assigned, field, ratio).select(F.col("uri").alias("__tu"), "target")
+    return own, materialize(targets, "split_targets")
 
 
 def split_pruned(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0,
@@ -100,33 +119,51 @@ def split_pruned(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0,
 
     Passes run until at most ``tail_rows`` rows are undecided; these few are walked in one task.
     """
-    keyed = materialize(keyed_assignments(corpus, field, seed), "split_keyed")
-    own = corpus.with_(assignments=keyed.select(F.lit(field).alias("field"), "doc_id", "uri"))
-    targets = materialize(split_targets(own, field, ratio).select(F.col("uri").alias("__tu"), "target"), "split_targets")
-    cand = materialize(_first_of_each(keyed, targets), "split_candidates")
-    a = keyed.join(cand, "doc_id", "left_semi")
-    selected = a.groupBy("uri").agg(F.count(F.lit(1)).alias("selected"))
-    surplus = selected.join(targets, selected["uri"].eqNullSafe(targets["__tu"])).select(
-        F.col("uri").alias("__su"), (F.col("selected") - F.col("target")).alias("surplus"))
-    a = a.join(surplus, a["uri"].eqNullSafe(surplus["__su"])).drop("__su")
-    closed = a.where("surplus <= 0").select("doc_id").distinct()
-    rows = materialize(a.join(closed, "doc_id", "left_anti").withColumn("leaves", F.lit(False)), "split_rows")
-    passes = [rows]
+    own, targets = _own(corpus, field, ratio)
+    cuts = _cuts(_keyed(own, seed), targets.select("__tu", "target").toDF("__lu", "limit"))
+    rows = materialize(_selected(_keyed(own, seed), cuts), "split_selected")
+    cand = rows.select("doc_id").distinct()
+    counts = rows.groupBy("uri").agg(F.count(F.lit(1)).alias("selected"))
+    surplus = materialize(counts.join(targets, counts["uri"].eqNullSafe(targets["__tu"])).select(
+        F.col("uri").alias("__su"), (F.col("selected") - F.col("target")).alias("surplus")), "split_surplus")
+    drop_materialized(own, cuts)
+    still_open = rows.join(surplus, rows["uri"].eqNullSafe(surplus["__su"])).drop("__su").withColumn("seed", F.lit(seed))
+    if not surplus.where("surplus <= 0").isEmpty():
+        still_open = still_open.withColumn("least", F.min("surplus").over(Window.partitionBy("doc_id"))) \
+            .where("least > 0").drop("least")
+    passes, read = [], [rows, surplus, targets]
     while True:
-        still_open = rows.where("NOT leaves AND surplus > 0").drop("leaves")
         n = still_open.count()
         if n == 0:
             break
-        rows = materialize(_pass(still_open) if n > tail_rows else _walk(still_open), "split_rows")
-        passes.append(rows)
+        judged = _pass(still_open) if n > tail_rows else _walk(still_open)
+        passes.append(materialize(judged, "split_rows"))
+        read.append(judged)  # with what the pass wrote on its way
         if n <= tail_rows:
             break
-    gone = reduce(DataFrame.unionByName, [p.where("leaves").select("doc_id") for p in passes]).distinct()
-    kept = materialize(cand.join(gone, "doc_id", "left_anti"), "split_kept")
-    drop_materialized(keyed, targets, cand, *passes)
+        still_open = passes[-1].where("NOT leaves").drop("leaves")
+    if passes:
+        cand = cand.join(reduce(DataFrame.unionByName, [p.where("leaves").select("doc_id") for p in passes]).distinct(),
+                         "doc_id", "left_anti")
+    kept = materialize(cand, "split_kept")
+    drop_materialized(*read, *passes)
     return kept
 
 
+def _selected(keyed: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``(doc_id, uri, width)``: all rows of the documents that one of their categories selects, with their number.
+
+    A document above the largest cut is selected by none, so its rows are not shuffled.
+    """
+    most = cuts.agg(F.max("last_in")).first()[0]
+    low = keyed.where(F.col("key") <= F.lit(most)) if most is not None else keyed.limit(0)
+    own = Window.partitionBy("doc_id")
+    return (low.join(cuts, low["uri"].eqNullSafe(cuts["__cu"]), "left")
+            .select("doc_id", "uri", F.coalesce(F.col("key") <= F.col("last_in"), F.lit(False)).alias("in"))
+            .select("doc_id", "uri", F.max("in").over(own).alias("chosen"), F.count(F.lit(1)).over(own).alias("width"))
+            .where("chosen").drop("chosen"))
+
+
 def _walk(rows: DataFrame) -> DataFrame:
     """The last undecided documents, one by one in the order of their keys (a bounded number of rows)."""
     def run(batches):
@@ -149,22 +186,35 @@ def _walk(rows: DataFrame) -> DataFrame:
             at = stop
         yield from table.append_column("leaves", pa.array(leaves, pa.bool_())).to_batches()
 
-    ordered = rows.coalesce(1).sortWithinPartitions("key", "doc_id")
-    return ordered.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", leaves boolean")
+    kept = rows.select("doc_id", "uri", "width", "surplus", "seed")
+    key = F.md5(F.concat(F.col("seed").cast("string"), F.lit(":"), F.col("doc_id").cast("string")))
+    ordered = kept.coalesce(1).sortWithinPartitions(key, "doc_id")
+    return ordered.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", leaves boolean")
 
 
 def _pass(rows: DataFrame) -> DataFrame:
-    """The rows of undecided documents after a pass: those that leave, those that are still open (with the
-    surplus left), and those that stay (surplus 0 in every row)."""
-    ranked = _prefix(rows.withColumn("one", F.lit(1)), ["one"])
-    leaves = ranked.groupBy("doc_id").agg(F.min(F.col("one_before") < F.col("surplus")).alias("leaves"))
-    judged = rows.join(leaves, "doc_id")
-    less = judged.where("leaves").groupBy(F.col("uri").alias("__lu")).agg(F.count(F.lit(1)).alias("less"))
-    left = judged.join(less, judged["uri"].eqNullSafe(less["__lu"]), "left").withColumn(
-        "surplus", F.col("surplus") - F.coalesce("less", F.lit(0))).drop("__lu", "less")
-    closed = left.where("NOT leaves AND surplus <= 0").select("doc_id", F.lit(0).alias("__closed")).distinct()
-    return left.join(closed, "doc_id", "left").withColumn(
-        "surplus", F.coalesce("__closed", "surplus")).drop("__closed")
+    """The rows of undecided documents after a pass: those that leave, and those that are still open, with the
+    surplus left. Documents that stay have no rows any more.
+
+    At most a category's surplus of rows are before its cut; a document leaves if all its rows are. Only
+    these rows are grouped by document to find the leavers.
+    """
+    key = F.md5(F.concat(F.col("seed").cast("string"), F.lit(":"), F.col("doc_id").cast("string")))
+    keyed = rows.withColumn("key", key).withColumn("bucket", _bucket(F.col("key")))
+    limits = materialize(rows.groupBy(F.col("uri").alias("__lu")).agg(F.max("surplus").alias("limit")), "split_limits")
+    cuts = _cuts(keyed, limits)
+    own = Window.partitionBy("doc_id")
+    leaving = materialize(
+        keyed.join(cuts, keyed["uri"].eqNullSafe(cuts["__cu"])).where("key < first_out").select("doc_id", "uri", "width")
+        .withColumn("n", F.count(F.lit(1)).over(own)).where("n = width").select("doc_id", "uri"), "split_leaving")
+    less = leaving.groupBy(F.col("uri").alias("__gu")).agg(F.count(F.lit(1)).alias("less"))
+    new = materialize(limits.join(less, limits["__lu"].eqNullSafe(less["__gu"]), "left").select(
+        F.col("__lu").alias("__nu"), (F.col("limit") - F.coalesce("less", F.lit(0))).alias("__new")), "split_surplus")
+    drop_materialized(limits, cuts)
+    gone = leaving.select("doc_id", F.lit(True).alias("__gone")).distinct()
+    return (rows.join(new, rows["uri"].eqNullSafe(new["__nu"])).join(gone, "doc_id", "left")
+            .select("doc_id", "uri", "width", F.col("__new").alias("surplus"), "seed", F.coalesce("__gone", F.lit(False)).alias("leaves"))
+            .withColumn("least", F.min("surplus").over(own)).where("leaves OR least > 0").drop("least"))
 
 
 def balanced_split(corpus: Corpus, field: str, ratio: float = 0.3, seed: int = 0) -> tuple[Corpus, Corpus]:

@@ -238,3 +238,22 @@ def test_tagging_holds_one_document_in_python():
     assert peak < 4_000_000  # 200,000 words and their tags as Python objects take ten times that
     assert got.to_pylist() == [None if d is None else [
         {"token": w, "tag": t} for w, t in zip(d, closed_class_tags(d))] for d in docs[1:]]
+
+
+def test_split_writes_no_keys(spark, monkeypatch):
+    """Keys follow from the documents: no table of the split carries them; repeated assignments count as rows."""
+    import hashlib
+
+    rows = [(f"d{i}", f"c{i % 7}") for i in range(300)] + [(f"d{i}", f"c{i % 5}") for i in range(300) if i % 7 != i % 5]
+    a = spark.createDataFrame(rows, "doc_id string, uri string").selectExpr("'f' AS field", "doc_id", "uri")
+    docs = a.select("doc_id").distinct().selectExpr("doc_id", "'' AS raw_text", "false AS editor", "array() AS test_fields")
+    c = C.Corpus(docs=docs, assignments=a, categories=C.attach_labels(C.category_index(a.select("field", "uri").distinct()), None), fields=("f",))
+    written, plain = [], S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df, name: written.append(df.columns) or plain(df, name))
+    cats = {}
+    for d, u in rows:
+        cats.setdefault(d, set()).add(u)
+    keys = {d: hashlib.md5(f"0:{d}".encode()).hexdigest() for d in cats}
+    for tail in (S.TAIL_ROWS, 0):
+        assert {r.doc_id for r in S.split_pruned(c, "f", 0.3, 0, tail).collect()} == model.greedy_split(cats, keys, 0.3)
+    assert written and not [cols for cols in written if "key" in cols and "doc_id" in cols]
