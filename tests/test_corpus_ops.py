@@ -257,3 +257,22 @@ def test_split_writes_no_keys(spark, monkeypatch):
     for tail in (S.TAIL_ROWS, 0):
         assert {r.doc_id for r in S.split_pruned(c, "f", 0.3, 0, tail).collect()} == model.greedy_split(cats, keys, 0.3)
     assert written and not [cols for cols in written if "key" in cols and "doc_id" in cols]
+
+
+def test_small_word_tables_shuffle_no_rows(spark, monkeypatch):
+    from corpuskit.operators import hot as H
+
+    rows = spark.createDataFrame([("d1", "a"), ("d1", "b"), ("d2", "c"), ("d2", None), ("d3", "a")], "doc_id string, word string")
+    words, rest = (spark.createDataFrame([(w,) for w in ws], "word string") for ws in (["a", "a"], ["b", "c"]))
+    want = {True: ["a", "a"], False: ["None", "b", "c"]}
+    for small, others in ((10, None), (0, None), (1, rest), (0, rest)):
+        monkeypatch.setattr(H, "SMALL_WORDS", small)
+        for keep in (True, False):
+            got = H.keep_words(rows, words, ["a"], keep=keep, others=others)
+            assert sorted(str(r.word) for r in got.collect()) == want[keep]
+    monkeypatch.setattr(H, "SMALL_WORDS", 1)
+    two = spark.createDataFrame([("a",), ("x",)], "word string")  # two words: only the other table, of one word, is small
+    got = H.keep_words(rows.where("word IN ('a', 'b')"), two, [], keep=True, others=words.selectExpr("'b' AS word"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert [r.word for r in got.collect()] == ["a", "a"]
