@@ -240,6 +240,25 @@ def test_tagging_holds_one_document_in_python():
         {"token": w, "tag": t} for w, t in zip(d, closed_class_tags(d))] for d in docs[1:]]
 
 
+def test_tagged_words_leave_in_slices(spark, monkeypatch):
+    """A batch's documents leave the tagger in slices of few words; each document keeps its own words, null lists stay null."""
+    import pyarrow as pa
+
+    from corpuskit.operators import text as X
+
+    docs = [["a", "b"], None, [], ["c"], [f"w{i}" for i in range(9)], None, ["d", "9"], []]
+    tokens = pa.array([["x"], *docs], pa.list_(pa.string())).slice(1)
+    pieces = list(X.word_slices(tokens, 3))
+    assert [p for piece in pieces for p in piece.to_pylist()] == docs
+    assert all(len(p) == 1 or sum(len(d or []) for d in p.to_pylist()) <= 3 for p in pieces) and len(pieces) == 3
+    assert [len(p) for p in X.word_slices(tokens.slice(0, 0), 3)] == [0]
+    monkeypatch.setattr(X, "TAGGED_WORDS", 3)
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id int, tokens array<string>").coalesce(1)
+    got = {r.doc_id: r.tagged for r in X.tag_tokens(rows, lambda ws: [f"{len(ws)}{w}" for w in ws]).collect()}
+    assert {k: v and [(t.token, t.tag) for t in v] for k, v in got.items()} == {
+        k: d and [(w, f"{len(d)}{w}") for w in d] for k, d in enumerate(docs)}
+
+
 def test_split_writes_no_keys(spark, monkeypatch):
     """Keys follow from the documents: no table of the split carries them; repeated assignments count as rows."""
     import hashlib
