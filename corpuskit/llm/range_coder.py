@@ -1,13 +1,17 @@
 """An adaptive context-mixing range coder for token ids below 65,536.
 
-An id is coded as three symbols (six, five and five bits). For each, three adaptive distributions are
-looked up: order 0 (the id's bits so far), order 1 (with the id before) and order 2 (with
-the two before). They are mixed by weights that follow how well each has predicted, and
-the mixture drives a carryless range coder. Everything is integer arithmetic, so any
-machine decodes what another wrote.
+Three adaptive distributions predict each id: order 0 (how often each id came in the block),
+order 1 (the likeliest ids after the id before) and order 2 (those after the two before).
+Orders 1 and 2 keep the three best ids of a context with counts; what they leave to other
+ids falls to order 0, where every id has a share. The three are mixed by weights that follow
+how well each has predicted, and the mixture drives a carryless range coder. Everything is
+integer arithmetic, so any machine decodes what another wrote.
 
 Blocks are coded on their own, each with fresh statistics, a header and a crc32 of its ids.
-Since they don't depend on each other, many are coded in step, one numpy lane each.
+A block is cut into runs of ``RUN`` ids that are coded in step, one numpy lane each. Every
+lane has a coder and weights of its own; the distributions belong to the block. They move
+after each step (order 0 at growing distances); where lanes meet in one context, the last
+lane moves it.
 """
 
 from __future__ import annotations
@@ -17,202 +21,244 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"CMX1"
+MAGIC = b"CMX2"
 HEADER = struct.Struct("<4sIII")  # magic, ids, crc32 of the ids (little-endian 32-bit), bytes that follow
-BLOCK_IDS = 4096
-LANES = 1024
-WHOLE = 32704  # a row's frequencies sum to this, so that its bounds fit 16 bits
-TOTAL = np.uint32(WHOLE + 64)  # in the mixture every symbol keeps a frequency of one at least
-TOP, BOTTOM = np.uint32(1 << 24), np.uint32(1 << 16)
-RATE = np.int16(4)  # a row moves 1/16 of the way
-LEAST = 8
-#: Of each of the three symbols: bits below it, its mask, and how far context numbers are apart.
-PLACES = ((10, 63, 0), (5, 31, 1), (0, 31, 65))
-
-
-class Rows:
-    """The adaptive distributions over ``width`` symbols, ``count`` for each order and lane; contexts share them by hash.
-
-    A row holds the upper bounds of its symbols. Rows are fetched and stored as one item.
-    """
-
-    def __init__(self, lanes: int, width: int, count: int):
-        step = np.arange(width)
-        self.width, self.shift = width, np.uint32(33 - count.bit_length())
-        self.start = ((step + 1) * (WHOLE // width)).astype(np.int16)
-        self.target = np.where(step[None, :] < step[:, None], (step[None, :] + 1) * LEAST,
-                               WHOLE - (width - 1 - step[None, :]) * LEAST).astype(np.int16)
-        self.items = np.tile(self.start, (3 * lanes * count, 1)).view(f"V{2 * width}")[:, 0]
-        self.base = (np.arange(3)[:, None] * lanes + np.arange(lanes)[None, :]) * count
-        self.base = self.base.astype(np.int64)
-        self.step = step[: width - 1].astype(np.int32)
-
-
-class Lanes:
-    """Statistics and coder state of blocks coded in step."""
+RUN = 256
+LANES = 2048
+BLOCK_IDS = RUN * LANES
+ALL = 1 << 16  # ids
+BITS0, BITS = 22, 20  # the shares of order 0, and of a context's ids, are of two to these
+HASHED, SHIFT = 1 << 17, np.uint32(15)  # contexts of order 2, shared by hash
+EMPTY = np.int64(1 << 16 | 2 << 32)  # a context: three different ids of 16 bits, the best first, and their counts of 4 bits
+FADE, LEAST = 4, 32  # a weight moves 1/16 of the way, and never below
+BOTTOM = np.uint64(1 << 44)  # a range is at least this large before an id
+WORD, HIGH = np.uint64(16), np.uint64(48)
+
+
+def _next() -> np.ndarray:
+    """By counts and the place of the id that came (3: none of them): new counts, and above them what moves."""
+    state = np.arange(4096)
+    n = np.stack([state & 15, state >> 4 & 15, state >> 8])
+    out = np.empty((4096, 4), np.int64)
+    for place in range(3):
+        m = n.copy()
+        full = m[place] == 15
+        m[:, full] >>= 1
+        m[place] += 1
+        up = m[place] > m[place - 1] if place else np.zeros(4096, bool)
+        if place:  # it passes the one before it
+            m[place - 1: place + 1, up] = m[place - 1: place + 1, up][::-1]
+        out[:, place] = m[0] | m[1] << 4 | m[2] << 8 | np.where(up, place, 0) << 12
+    gone = n[2] <= 1  # the last one gives way
+    out[:, 3] = n[0] | n[1] << 4 | np.where(gone, 1, n[2] - 1) << 8 | np.where(gone, 3, 0) << 12
+    return out.reshape(-1).astype(np.uint16)
+
+
+def _shares() -> np.ndarray:
+    """(3, counts): the shares of a context's ids."""
+    state = np.arange(4096)
+    n = np.stack([state & 15, state >> 4 & 15, state >> 8])
+    return np.maximum(10 * n - 4, 0) * (1 << BITS) // (10 * n.sum(axis=0) + 6)
+
+
+NEXT, SHARES = _next(), _shares()
+#: By counts and the place of the id that came, the share that it had.
+SHARE_OF = np.append(SHARES, np.zeros((1, 4096), np.int64), axis=0).T.reshape(-1)
+#: By counts: whether the best id never came, came once, up to four times or more.
+SURE = np.searchsorted([1, 2, 5], np.arange(4096) & 15, side="right")
+
+
+class Block:
+    """Statistics of a block, and the coder state of its lanes."""
 
     def __init__(self, lanes: int):
-        six, five = Rows(lanes, 64, 128), Rows(lanes, 32, 512)
-        self.rows = (six, five, five)
-        self.weight = np.full((16 * lanes, 3), 2048, np.int32)
-        self.lane16 = np.arange(lanes) * 16
-        self.low, self.range = np.zeros(lanes, np.uint32), np.full(lanes, 0xFFFFFFFF, np.uint32)
-
-    def fetch(self, k: int, context: np.ndarray, place: int, prefix: np.ndarray) -> None:
-        """Look up the three distributions of the next symbol of the first ``k`` lanes, and their weights."""
-        rows = self.rows[place]
-        node = (prefix + np.uint32(PLACES[place][2] + 1)) * np.uint32(0x9E3779B1)
-        mixed = context ^ node
+        self.slots = np.full(ALL + HASHED, EMPTY, "<i8")
+        self.weight = np.full(3 * 16 * lanes, 2048, np.int64)
+        self.own = np.arange(3)[:, None] * (16 * lanes) + np.arange(lanes)[None, :] * 16
+        self.counts, self.new, self.steps, self.due = np.zeros(ALL, np.int64), [], 0, 1
+        self.upper = np.arange(ALL + 1) << (BITS0 - 16)
+        self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
+
+    def predict(self, k: int, a: np.ndarray, b: np.ndarray) -> None:
+        """What the contexts of the first ``k`` lanes expect after the ids ``b``, ``a``."""
+        self.row = np.empty((2, k), np.int64)
+        self.row[0] = a
+        mixed = (a + np.uint32(1)) * np.uint32(0xC2B2AE35)
+        mixed ^= mixed >> np.uint32(15)
+        mixed += (b + np.uint32(7)) * np.uint32(0x27D4EB2F)
         mixed *= np.uint32(0x85EBCA6B)
-        mixed >>= rows.shift
-        self.row = (rows.base[:, :k] + mixed).reshape(-1)
-        self.bound = rows.items.take(self.row).view(np.int16).reshape(3, k, rows.width)
-        known = self.bound[1:, :, 7] != rows.start[7]  # contexts seen before may deserve more
-        self.set = self.lane16[:k] + (4 * place + 2 * known[1] + known[0])
-        self.w = np.ascontiguousarray(self.weight.take(self.set, axis=0).T)  # (3, k)
-        self.sum = self.w[0] + self.w[1] + self.w[2]
-
-    def find(self, place: int, value: np.ndarray) -> np.ndarray:
-        """The symbols whose span of the mixture holds ``value``."""
-        rows = self.rows[place]
-        last = rows.width - 1
-        mixture = self.bound[0, :, :last] * self.w[0][:, None]
-        mixture += self.bound[1, :, :last] * self.w[1][:, None]
-        mixture += self.bound[2, :, :last] * self.w[2][:, None]
-        most = (value.astype(np.int32)[:, None] - rows.step) * self.sum[:, None]
-        return (mixture < most).sum(axis=1)
-
-    def narrow(self, k: int, place: int, symbol: np.ndarray) -> None:
-        """Code the symbols: cut the ranges to their spans, and move the statistics."""
-        rows = self.rows[place]
-        flat, at = self.bound.reshape(-1), np.arange(0, 3 * k * rows.width, rows.width).reshape(3, k) + symbol
-        high = flat.take(at).astype(np.int32)
-        below = flat.take(at - 1, mode="clip").astype(np.int32)
-        below[:, symbol == 0] = 0
-        a, b = self.w * below, self.w * high
-        start = (a[0] + a[1] + a[2]) // self.sum + symbol
-        end = (b[0] + b[1] + b[2]) // self.sum + symbol + 1
-        if rows.width < 64:  # what the last symbol has over, so that the spans fill the whole
-            end[symbol == rows.width - 1] = int(TOTAL)
-        part = self.range[:k] // TOTAL
-        self.low[:k] += start.astype(np.uint32) * part
-        self.range[:k] = (end - start).astype(np.uint32) * part
-        high -= below
-        high >>= 2
-        high -= self.w
-        high >>= 3
-        high += self.w
-        np.maximum(high, 32, out=high)
-        self.weight[self.set] = high.T
-        move = rows.target.take(symbol, axis=0) - self.bound
-        move >>= RATE
-        move += self.bound
-        rows.items[self.row] = move.reshape(-1, rows.width).view(f"V{2 * rows.width}")[:, 0]
-
-
-def _contexts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """(3, lanes) hashes of nothing, the id before, and the two ids before."""
-    one = (a + np.uint32(1)) * np.uint32(0xC2B2AE35)
-    return np.stack([np.zeros(len(a), np.uint32), one,
-                     (one ^ (one >> np.uint32(15))) + (b + np.uint32(7)) * np.uint32(0x27D4EB2F)])
-
-
-def _shift(state: Lanes, k: int):
-    """Lanes whose leading byte is settled; ranges that got too small are cut first."""
-    low, size = state.low[:k], state.range[:k]
-    settled = (low ^ (low + size)) < TOP
-    tight = ~settled & (size < BOTTOM)
-    if tight.any():
-        size[tight] = (~low[tight] + np.uint32(1)) & (BOTTOM - np.uint32(1))
-    return np.flatnonzero(settled | tight)
-
-
-def _by_length(lengths: list[int]) -> list[list[int]]:
-    """Blocks in groups of lanes, the longest first."""
-    order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
-    return [order[i: i + LANES] for i in range(0, len(order), LANES)]
+        np.add(mixed >> SHIFT, ALL, out=self.row[1])
+        parts = self.slots.take(self.row).view("<u2").reshape(2, k, 4)
+        self.ids = np.ascontiguousarray(parts[:, :, :3].transpose(2, 0, 1))
+        self.state = parts[:, :, 3].astype(np.int64)
+        sure = SURE.take(self.state)
+        self.set = self.own[:, :k] + (4 * sure[0] + sure[1])
+        self.w = self.weight.take(self.set)
+        mass = np.empty((3, 2, k), np.int64)
+        for i in range(3):
+            np.multiply(SHARES[i].take(self.state), self.w[1:], out=mass[i])
+        same = self.ids[:, 0, None] == self.ids[None, :, 1]  # an id of both orders has one span
+        mass[:, 0] += (same * mass[None, :, 1]).sum(axis=1)
+        mass[:, 1] *= ~same.any(axis=0)
+        self.mass, self.names, self.ends = mass.reshape(6, k), self.ids.reshape(6, k), np.empty((6, k), np.int64)
+        self.ends[0] = self.mass[0]
+        for i in range(1, 6):
+            np.add(self.ends[i - 1], self.mass[i], out=self.ends[i])
+        self.total = (self.w[0] + self.w[1] + self.w[2]) << BITS
+        self.rest = self.total - self.ends[5]  # for order 0
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The ids whose span of the mixture holds ``value``."""
+        k = len(value)
+        place = np.add.reduce((self.ends <= value).view(np.uint8), axis=0, dtype=np.uint8)
+        ids = self.names.take(np.minimum(place, 5).astype(np.int64) * k + np.arange(k)).astype(np.int64)
+        other = np.flatnonzero(place == 6)
+        share = (((value[other] - self.ends[5, other] + 1) << BITS0) - 1) // self.rest[other]
+        ids[other] = self.upper.searchsorted(share, side="right") - 1
+        return ids
+
+    def code(self, k: int, ids: np.ndarray, part: np.ndarray) -> None:
+        """Cut the ranges to the spans of the ids, and move the statistics."""
+        below, above = self.upper.take(ids), self.upper.take(ids + 1)
+        start = (self.rest * below) >> BITS0
+        size = ((self.rest * above) >> BITS0) - start
+        start += self.ends[5]
+        short = ids.astype(np.uint16)
+        hit = self.names == short
+        at = np.flatnonzero(hit & (self.mass > 0))  # one for a lane at most
+        lane = at % k
+        own = self.mass.take(at)
+        start[lane], size[lane] = self.ends.take(at) - own, own
+        self.low[:k] += start.view(np.uint64) * part
+        self.range[:k] = size.view(np.uint64) * part
+
+        hit = hit.view(np.uint8).reshape(3, 2, k)
+        place = np.uint8(3) - np.uint8(3) * hit[0] - np.uint8(2) * hit[1] - hit[2]
+        case = 4 * self.state + place
+        got = np.empty((3, k), np.int64)
+        np.right_shift(above - below, BITS0 - 13, out=got[0])
+        np.right_shift(SHARE_OF.take(case), BITS - 13, out=got[1:])
+        got -= self.w
+        got >>= FADE
+        got += self.w
+        self.weight[self.set] = np.maximum(got, LEAST, out=got)
+
+        after = NEXT.take(case)
+        moves = after >> np.uint16(12)
+        first, second, last = self.ids
+        up, rise, new = moves == 1, moves == 2, moves == 3
+        slot = np.empty((2, k, 4), "<u2")
+        slot[:, :, 0] = np.where(up, second, first)
+        slot[:, :, 1] = np.where(up, first, np.where(rise, last, second))
+        slot[:, :, 2] = np.where(rise, second, np.where(new, short, last))
+        slot[:, :, 3] = after & np.uint16(0xFFF)
+        self.slots[self.row] = slot.view("<i8")[:, :, 0]  # of equal contexts, the last one stays
+
+        self.new.append(ids)
+        self.steps += 1
+        if self.steps == self.due:
+            self.due += min(self.steps, 16)
+            self.counts += np.bincount(np.concatenate(self.new), minlength=ALL)
+            self.new = []
+            each = (((1 << BITS0) - ALL) << 20) // int(self.counts.sum())
+            np.cumsum(((self.counts * each) >> 20) + 1, out=self.upper[1:])
+            self.upper[-1] = 1 << BITS0
+
+    def settle(self, k: int) -> np.ndarray:
+        """Lanes whose range is too small and whose leading word is to go; where it is not settled, the range is cut so that it is."""
+        go = np.flatnonzero(self.range[:k] < BOTTOM)
+        if len(go):
+            low, size = self.low[go], self.range[go]
+            open_ = (low ^ (low + size)) >> HIGH != 0
+            if open_.any():
+                self.range[go[open_]] = (~low[open_] + np.uint64(1)) & (BOTTOM - np.uint64(1))
+        return go
+
+    def shift(self, go: np.ndarray) -> None:
+        self.low[go] <<= WORD
+        self.range[go] <<= WORD
+
+
+def _lanes(n: int) -> tuple[int, int]:
+    """Lanes of a block of ``n`` ids, and ids of the last one; the others have ``RUN``."""
+    lanes = -(-n // RUN)
+    return lanes, n - (lanes - 1) * RUN
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """Each array of ids as a block with header."""
-    out: list[bytes] = [b""] * len(blocks)
-    for group in _by_length([len(b) for b in blocks]):
-        for i, payload in zip(group, _encode_group([blocks[i] for i in group])):
-            ids = np.ascontiguousarray(blocks[i], "<u4")
-            out[i] = HEADER.pack(MAGIC, len(ids), zlib.crc32(ids.tobytes()), len(payload)) + payload
+    out = []
+    for block in blocks:
+        ids = np.ascontiguousarray(block, "<u4")
+        payload = _encode(ids) if len(ids) else b""
+        out.append(HEADER.pack(MAGIC, len(ids), zlib.crc32(ids.tobytes()), len(payload)) + payload)
     return out
 
 
-def _encode_group(blocks: list[np.ndarray]) -> list[bytes]:
-    n = len(blocks)
-    length = np.array([len(b) for b in blocks])
-    ids = np.zeros((max(int(length[0]), 1), n), np.uint32)
-    for i, b in enumerate(blocks):
-        ids[: len(b), i] = b
-    state = Lanes(n)
-    room = np.zeros((n, 8 * (int(length[0]) + 4)), np.uint8)
-    flat, start, pos = room.reshape(-1), np.arange(n) * room.shape[1], np.zeros(n, np.int64)
-    zero = np.zeros(n, np.uint32)
-    for t in range(int(length[0])):
-        k = int(np.searchsorted(-length, -t, side="left"))  # lanes with more than t ids
-        context = _contexts(ids[t - 1, :k] if t else zero[:k], ids[t - 2, :k] if t > 1 else zero[:k])
-        for place, (below, mask, _) in enumerate(PLACES):
-            symbol = ((ids[t, :k] >> np.uint32(below)) & np.uint32(mask)).astype(np.int64)
-            state.fetch(k, context, place, ids[t, :k] >> np.uint32(below) >> np.uint32(mask.bit_length()))
-            state.narrow(k, place, symbol)
-            while len(go := _shift(state, k)):
-                flat[start[go] + pos[go]] = state.low[go] >> np.uint32(24)
-                pos[go] += 1
-                state.low[go] <<= np.uint32(8)
-                state.range[go] <<= np.uint32(8)
-    for _ in range(4):
-        flat[start + pos] = state.low >> np.uint32(24)
+def _encode(block: np.ndarray) -> bytes:
+    lanes, last = _lanes(len(block))
+    ids = np.zeros(lanes * RUN, np.uint32)
+    ids[: len(block)] = block
+    ids = np.concatenate([np.zeros((2, lanes), np.uint32), ids.reshape(lanes, RUN).T])
+    state = Block(lanes)
+    room = np.zeros((lanes, 5 * RUN + 2), "<u2")  # five words an id at most
+    flat, start, pos = room.reshape(-1), np.arange(lanes) * room.shape[1], np.zeros(lanes, np.int64)
+    for t in range(RUN if lanes > 1 else last):
+        k = lanes if t < last else lanes - 1
+        state.predict(k, ids[t + 1, :k], ids[t, :k])
+        state.code(k, ids[t + 2, :k].astype(np.int64), state.range[:k] // state.total.view(np.uint64))
+        while len(go := state.settle(k)):
+            flat[start[go] + pos[go]] = state.low[go] >> HIGH
+            pos[go] += 1
+            state.shift(go)
+    rest = state.low + (BOTTOM - np.uint64(1))  # any number in the range will do: one that ends in zeros
+    for at in (HIGH, HIGH - WORD):
+        flat[start + pos] = (rest >> at) & np.uint64(0xFFFF if at == HIGH else 0xF000)
         pos += 1
-        state.low <<= np.uint32(8)
-    return [room[i, : pos[i]].tobytes() if length[i] else b"" for i in range(n)]
+    return pos.astype("<u2").tobytes() + room[np.arange(room.shape[1]) < pos[:, None]].tobytes()
 
 
 def decode(blocks: list[bytes]) -> list[np.ndarray]:
     """The ids of each block; a block that doesn't match its checksum is an error."""
-    heads = [HEADER.unpack_from(b) for b in blocks]
-    out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(blocks)
-    for group in _by_length([h[1] for h in heads]):
-        got = _decode_group([blocks[i][HEADER.size:] for i in group], np.array([heads[i][1] for i in group]))
-        for i, ids in zip(group, got):
-            out[i] = ids
-    for b, (magic, n, crc, size), ids in zip(blocks, heads, out):
-        if magic != MAGIC or len(b) != HEADER.size + size or zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes()) != crc:
+    out = []
+    for b in blocks:
+        magic, n, crc, size = HEADER.unpack_from(b)
+        ids = _decode(b[HEADER.size:], n) if magic == MAGIC and len(b) == HEADER.size + size else None
+        if ids is None or zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes()) != crc:
             raise ValueError("a block of token ids is damaged")
+        out.append(ids)
     return out
 
 
-def _decode_group(payloads: list[bytes], length: np.ndarray) -> list[np.ndarray]:
-    n = len(payloads)
-    state = Lanes(n)
-    width = max(map(len, payloads)) + 8
-    room = np.zeros((n, width), np.uint8)
-    for i, p in enumerate(payloads):
-        room[i, : len(p)] = np.frombuffer(p, np.uint8)
-    flat, start, pos = room.reshape(-1), np.arange(n) * width, np.full(n, 4, np.int64)
-    code = np.zeros(n, np.uint32)
+def _decode(payload: bytes, n: int) -> np.ndarray | None:
+    """The ids; None where the lanes don't fill the payload."""
+    if not n:
+        return np.zeros(0, np.uint32)
+    lanes, last = _lanes(n)
+    if len(payload) < 2 * lanes or len(payload) % 2:
+        return None
+    length, words = np.frombuffer(payload, "<u2", lanes).astype(np.int64), np.frombuffer(payload, "<u2", offset=2 * lanes)
+    if length.sum() != len(words):
+        return None
+    width = int(length.max()) + 4
+    room = np.zeros((lanes, width), np.uint64)  # behind a lane's words are zeros
+    room[np.arange(width) < length[:, None]] = words
+    state = Block(lanes)
+    flat, start, pos = room.reshape(-1), np.arange(lanes) * width, np.full(lanes, 4, np.int64)
+    code = np.zeros(lanes, np.uint64)
     for i in range(4):
-        code = (code << np.uint32(8)) | room[:, i]
-    ids = np.zeros((max(int(length[0]), 1), n), np.uint32)
-    zero = np.zeros(n, np.uint32)
-    for t in range(int(length[0])):
-        k = int(np.searchsorted(-length, -t, side="left"))
-        context = _contexts(ids[t - 1, :k] if t else zero[:k], ids[t - 2, :k] if t > 1 else zero[:k])
-        prefix = np.zeros(k, np.uint32)
-        for place, (_, mask, _) in enumerate(PLACES):
-            state.fetch(k, context, place, prefix)
-            value = (code[:k] - state.low[:k]) // (state.range[:k] // TOTAL)
-            symbol = state.find(place, np.minimum(value, TOTAL - np.uint32(1)))
-            state.narrow(k, place, symbol)
-            prefix = (prefix << np.uint32(mask.bit_length())) | symbol.astype(np.uint32)
-            while len(go := _shift(state, k)):
-                code[go] = (code[go] << np.uint32(8)) | flat[start[go] + np.minimum(pos[go], width - 1)]
-                pos[go] += 1
-                state.low[go] <<= np.uint32(8)
-                state.range[go] <<= np.uint32(8)
-        ids[t, :k] = prefix
-    return [ids[: length[i], i].copy() for i in range(n)]
+        code = (code << WORD) | room[:, i]
+    ids = np.zeros((RUN + 2, lanes), np.uint32)
+    for t in range(RUN if lanes > 1 else last):
+        k = lanes if t < last else lanes - 1
+        state.predict(k, ids[t + 1, :k], ids[t, :k])
+        part = state.range[:k] // state.total.view(np.uint64)
+        value = np.minimum((code[:k] - state.low[:k]) // part, (state.total - 1).view(np.uint64))
+        got = state.find(value.view(np.int64))
+        state.code(k, got, part)
+        ids[t + 2, :k] = got
+        while len(go := state.settle(k)):
+            code[go] = (code[go] << WORD) | flat[start[go] + np.minimum(pos[go], width - 1)]
+            pos[go] += 1
+            state.shift(go)
+    return ids[2:].T.reshape(-1)[:n]

@@ -29,8 +29,17 @@ from corpuskit.llm import range_coder
 from corpuskit.llm.common import slices
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Distinct units that a worker remembers, at most.
-MEMORY = 400_000
+#: Distinct units that a worker remembers, at most; those that came again stay when it forgets.
+MEMORY = 800_000
+#: Units that the library encodes as one text.
+JOINED = 64
+
+
+def _units(text: str) -> list[str]:
+    words = text.split()
+    if words and len(text) - len("".join(words)) == len(words) - 1:  # each white space is a single character between words
+        return text.split(" ")
+    return CUT.split(text)
 
 
 class _Index(dict):
@@ -53,11 +62,49 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("the coder takes ids below 65,536")
-        self._forget()
+        self.bytes = np.zeros(1 << 16, np.int64)  # of a byte-level token: a character for each
+        for token, i in self.tokenizer.get_vocab().items():
+            self.bytes[i] = len(token)
+        self.index = _Index()  # units by their text; a text's first unit, which no space goes before, as a tuple
+        self.flat, self.size, self.at = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
 
     def _forget(self) -> None:
-        self.index = _Index()
-        self.flat, self.size, self.at = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        kept = np.flatnonzero(self.uses > 1)
+        kept = kept[: MEMORY // 2]
+        keys = list(self.index)
+        self.index = _Index((keys[i], n) for n, i in enumerate(kept.tolist()))
+        each = self.size[kept]
+        stop = np.cumsum(each)
+        self.flat = self.flat[np.repeat(self.at[kept] - (stop - each), each) + np.arange(int(each.sum()))]
+        self.size, self.at, self.uses = each, stop - each, np.zeros(len(kept), np.int64)
+
+    def _alone(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the units, and how many each has."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        size = np.array([len(x) for x in got], np.int64)
+        return np.fromiter((i for x in got for i in x), np.uint16, int(size.sum())), size
+
+    def _encoded(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_alone``; units that end in a non-space go to the library many at a time, and are told apart by the bytes of their ids."""
+        together = np.array([u[0] == " " and not u[-1].isspace() for u in units], bool)
+        joined = [u for u, j in zip(units, together.tolist()) if j]
+        if len(joined) < 2:
+            return self._alone(units)
+        flat, _ = self._alone(["".join(joined[i: i + JOINED]) for i in range(0, len(joined), JOINED)])
+        stop = np.cumsum(self.bytes[flat])
+        ends = np.cumsum([len(u.encode()) for u in joined])
+        last = np.searchsorted(stop, ends)
+        if stop[-1] != ends[-1] or (stop[last] != ends).any():  # not the bytes of the texts
+            return self._alone(units)
+        size = np.empty(len(units), np.int64)
+        size[together] = np.diff(last, prepend=-1)
+        rest, size[~together] = self._alone([u for u, j in zip(units, together.tolist()) if not j])
+        if not len(rest):
+            return flat, size
+        ids, own = np.empty(int(size.sum()), np.uint16), np.repeat(together, size)
+        ids[own], ids[~own] = flat, rest
+        return ids, size
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.index) > MEMORY:
@@ -65,19 +112,19 @@ class Tokens:
         seen, codes, ends = len(self.index), [], []
         number = self.index.__getitem__
         for text in texts:
-            units = CUT.split(text) if text else []
-            if units:
-                codes.append(number(units[0]))
-                codes.extend([number(" " + u) for u in units[1:]])
+            if text:
+                units = _units(text)
+                codes.append(number((units[0],)))
+                codes.extend(map(number, units[1:]))
             ends.append(len(codes))
         if len(self.index) > seen:
-            fresh = list(self.index)[seen:]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            size = np.array([len(x) for x in got], np.int64)
-            flat = np.fromiter((i for x in got for i in x), np.uint16, int(size.sum()))
+            fresh = [u[0] if isinstance(u, tuple) else " " + u for u in list(self.index)[seen:]]
+            flat, size = self._encoded(fresh)
             self.at = np.concatenate([self.at, np.cumsum(size) - size + len(self.flat)])
             self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
+            self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
         codes = np.array(codes, np.int64)
+        self.uses += np.bincount(codes, minlength=len(self.uses))
         each = self.size[codes]
         stop = np.cumsum(each)
         ids = self.flat[np.repeat(self.at[codes] - (stop - each), each) + np.arange(int(stop[-1]) if len(stop) else 0)]
