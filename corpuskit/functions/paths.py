@@ -60,13 +60,17 @@ def _flat(vals: Column) -> Column:
 
 
 def terminal(v: Column, path: str | Sequence[str], sep: str = ".",
-             repair: Repair | None = None) -> Column:
-    """Compile the terminal value of ``path`` in record column ``v``."""
+             repair: Repair | None = None, first: Column | None = None) -> Column:
+    """Compile the terminal value of ``path`` in record column ``v``.
+
+    ``first`` is what ``v`` has at the path's first key, where that was taken before: taking a
+    key copies all that is below it.
+    """
     keys = split_path(path, sep)
     vals = F.array(v)
     is_list = F.lit(False)
     for i, key in enumerate(keys):
-        child = F.transform(vals, _getter(key))
+        child = F.transform(vals, _getter(key)) if i or first is None else F.array(first)
         is_list = is_list | F.coalesce(F.exists(child, lambda c: as_array(c).isNotNull()),
                                        F.lit(False))
         if i == len(keys) - 1 and repair is not None and not repair.is_noop():
@@ -189,7 +193,8 @@ def leaf_paths(records: DataFrame, col: str = "v", sep: str = ".") -> DataFrame:
     is deeper than LEVELS is walked on from there in another pass, however deep it is.
     """
     top = F.array().cast("array<string>")
-    nodes = records.where(F.col(col).isNotNull()).select(top.alias("path"), F.col(col).alias("node"))
+    # a NULL record is no container and has no paths; a filter for it would be pushed down and make every record there
+    nodes = records.select(top.alias("path"), F.col(col).alias("node"))
     found = []
     while True:
         walked = nodes.select(_walked(F.col("path"), F.col("node")).alias("w"))

@@ -17,7 +17,7 @@ from corpuskit import fields as FD
 from corpuskit.functions.paths import split_path, terminal
 from corpuskit.functions.predicates import WHOLE, Filter, Record, conjunction, is_late
 from corpuskit.functions.repair import repairs_from
-from corpuskit.functions.variant import is_object
+from corpuskit.functions.variant import get_key, is_object
 
 
 def read_records(spark: SparkSession, path: str | list[str], prefix: str | None = FD.DEFAULT_PREFIX,
@@ -100,11 +100,19 @@ def extract_table(records: DataFrame, columns: Iterable[str] | Mapping[str, str]
     hidden = {p: f"__t{i}" for i, p in enumerate(paths)}
     rec = Record(F.col(col), repairs, sep)
     df = cap(records, max_len, order)
-    members = [F.col(k) for k in keep] + [terminal(F.col(col), p, repair=rec.repairs.get(p)).alias(hidden[p]) for p in paths]
     if probe.whole:
         hidden[WHOLE] = "__whole"
-        members.append(F.col(col).alias("__whole"))
-    bundle = F.struct(*members)
+    # paths that begin alike share what the record has at their first key: it is copied once, not by each path
+    tops = {k: f"__k{i}" for i, k in enumerate(dict.fromkeys(p[0] for p in paths if p))}
+    top = F.struct(F.lit(True).alias("__"), *[get_key(F.col(col), k).alias(a) for k, a in tops.items()])
+
+    def members(s) -> Column:
+        walked = [terminal(F.col(col), p, repair=rec.repairs.get(p), first=s.getField(tops[p[0]]) if p else None).alias(hidden[p])
+                  for p in paths]
+        whole = [F.col(col).alias("__whole")] if probe.whole else []
+        return F.struct(*[F.col(k) for k in keep], *walked, *whole)
+
+    bundles = F.transform(F.array(top), members)
 
     def bound(s) -> Record:
         return Record(F.col(col), repairs, sep, bound={p: s.getField(h) for p, h in hidden.items()})
@@ -112,14 +120,14 @@ def extract_table(records: DataFrame, columns: Iterable[str] | Mapping[str, str]
     early = [f for f in filters if not is_late(f)]
     late = [f for f in filters if is_late(f)]
     if filters or flags:
-        # Each terminal is compiled once into ``bundle``; the filters read its fields
+        # Each terminal is compiled once into the one bundle of ``bundles``; the filters read its fields
         # through a lambda variable. Filtering inside ``explode`` keeps the optimizer
         # from pushing a Filter below the projection and re-inlining every terminal.
-        df = df.select(F.explode(F.filter(F.array(bundle), lambda s: conjunction(early)(bound(s)))).alias("__r"))
+        df = df.select(F.explode(F.filter(bundles, lambda s: conjunction(early)(bound(s)))).alias("__r"))
         if late:  # Python cannot run in the lambda: it judges what is left, on the same terminals
             df = df.where(conjunction(late)(bound(F.col("__r"))))
     else:
-        df = df.select(bundle.alias("__r"))
+        df = df.select(F.get(bundles, 0).alias("__r"))
     return df.select(*[F.col("__r").getField(k).alias(k) for k in keep],
                      *[F.col("__r").getField(hidden[p]).alias(alias) for alias, p in wanted.items()],
                      *[f(bound(F.col("__r"))).alias(name) for name, f in flags.items()])

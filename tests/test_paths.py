@@ -5,8 +5,9 @@ import random
 from pyspark.sql import functions as F
 
 from conftest import records
-from corpuskit.functions.paths import get_in, leaf_paths, t_is_list, t_vals, terminal
+from corpuskit.functions.paths import get_in, leaf_paths, sampled_leaf_paths, t_is_list, t_vals, terminal
 from corpuskit.functions.variant import vstr
+from corpuskit.sources.records import extract_table
 import model
 
 
@@ -101,3 +102,24 @@ def test_missing_and_premature_leaf_keep_positions(spark):
     row = records(spark, [rec]).select(t_is_list(t).alias("l"), F.transform(t_vals(t), vstr).alias("v")).first()
     assert row["l"] is True
     assert row["v"] == ["a", None, None, None]
+
+
+def test_paths_share_their_first_key(spark):
+    rows = spark.createDataFrame([(1, '{"p": {"a": ["x", null], "b": {"c": 1}}, "q": [{"r": "s"}, {}]}'), (2, '{"p": [{"a": "y"}]}'), (3, "[]")],
+                                 "i int, j string").select("i", F.parse_json("j").alias("v"))
+    paths = ["p.a", "p.b.c", "q.r", "p", ""]
+    out = extract_table(rows, {f"c{n}": p for n, p in enumerate(paths)}, keep=["i"])
+    shown = lambda c: F.to_json(F.struct(c.getField("is_list").alias("l"), c.getField("vals").alias("v")))
+    got = out.select("i", *[shown(F.col(f"c{n}")) for n in range(len(paths))]).collect()
+    want = rows.select("i", *[shown(terminal(F.col("v"), p)) for p in paths]).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$['p']") == 1  # a key's value is copied whenever it is taken
+
+
+def test_sampled_walk_builds_no_filter(spark):
+    rows = spark.createDataFrame([(n, '{"a": {"b": 1}}' if n % 3 else None) for n in range(20)], "i int, j string")
+    records = rows.select("i", F.parse_json("j").alias("v"))
+    assert {(r.path, r.depth) for r in leaf_paths(records).collect()} == {("a.b", 2)}
+    assert sampled_leaf_paths(records, 0.1, "i").count() == 1  # rows 0 and 10; 0 has no record
+    assert leaf_paths(records.where("v IS NULL")).count() == 0
