@@ -67,21 +67,28 @@ def terminal(v: Column, path: str | Sequence[str], sep: str = ".",
     key copies all that is below it.
     """
     keys = split_path(path, sep)
-    vals = F.array(v)
-    is_list = F.lit(False)
-    for i, key in enumerate(keys):
-        child = F.transform(vals, _getter(key)) if i or first is None else F.array(first)
-        is_list = is_list | F.coalesce(F.exists(child, lambda c: as_array(c).isNotNull()),
-                                       F.lit(False))
-        if i == len(keys) - 1 and repair is not None and not repair.is_noop():
-            vals = F.flatten(F.transform(child, lambda c: repair_expand(c, repair)))
-        else:
-            vals = F.flatten(F.transform(child, _expand))
     if not keys:  # the record itself
-        is_list = F.coalesce(as_array(v).isNotNull(), F.lit(False))
-        vals = _expand(v)
-    vals = F.transform(_flat(vals), as_python_value)
-    return F.struct(is_list.alias("is_list"), vals.alias("vals"))
+        return _ended(F.coalesce(as_array(v).isNotNull(), F.lit(False)), _expand(v))
+
+    def step(vals: Column | None, is_list: Column, i: int) -> Column:
+        child = F.array(first) if vals is None else F.transform(vals, _getter(keys[i]))
+        last = i == len(keys) - 1
+
+        def inside(c: Column) -> Column:
+            listed = is_list | F.coalesce(F.exists(c, lambda e: as_array(e).isNotNull()), F.lit(False))
+            if last and repair is not None and not repair.is_noop():
+                below = F.flatten(F.transform(c, lambda e: repair_expand(e, repair)))
+            else:
+                below = F.flatten(F.transform(c, _expand))
+            return _ended(listed, below) if last else step(below, listed, i + 1)
+
+        return F.get(F.transform(F.array(child), inside), 0)  # bound: what is taken at a key is used twice
+
+    return step(F.array(v) if first is None else None, F.lit(False), 0)
+
+
+def _ended(is_list: Column, vals: Column) -> Column:
+    return F.struct(is_list.alias("is_list"), F.transform(_flat(vals), as_python_value).alias("vals"))
 
 
 def get_in(v: Column, path: str | Sequence[str], sep: str = ".", strict: bool = False) -> Column:
