@@ -136,6 +136,40 @@ def test_coder_sees_damage():
         range_coder.decode([bytes(coded)])
 
 
+@pytest.mark.parametrize("n", [1, 255, 256, 257, 1023, 3 * 256 + 1])
+def test_coder_lane_ends(n):
+    ids = np.random.default_rng(n).zipf(1.5, n) % 65536
+    assert range_coder.decode(range_coder.encode([ids]))[0].tolist() == ids.tolist()
+
+
+def test_coder_lanes_learn_from_each_other():
+    one = np.random.default_rng(5).integers(0, 65536, 1021)  # blocks of 4,096 ids learnt it anew, each by itself
+    ids = np.tile(one, 128)
+    coded = range_coder.encode([ids[i: i + range_coder.BLOCK_IDS] for i in range(0, len(ids), range_coder.BLOCK_IDS)])
+    assert sum(map(len, coded)) < len(ids) // 8
+    assert np.concatenate(range_coder.decode(coded)).tolist() == ids.tolist()
+
+
+def test_coder_sees_wrong_lanes():
+    coded = bytearray(range_coder.encode([np.arange(700)])[0])
+    coded[range_coder.HEADER.size] ^= 1  # words of the first lane
+    with pytest.raises(ValueError):
+        range_coder.decode([bytes(coded)])
+
+
+def test_units_are_cut_alike_and_joined_units_told_apart(monkeypatch):
+    odd = ["a b", " a b", "a  b c", "a\tb c\n d", "a\nb c", "x", " ", "ä ö\u3000ü 中 文", "a b "]
+    assert [token_files._units(t) for t in odd] == [token_files.CUT.split(t) for t in odd]
+    t = token_files.Tokens(BYTE_BPE)
+    units = [" " + u for text in [*odd, *STRANGE] for u in token_files.CUT.split(text or "") if u] * 20
+    (ids, size), (want, sizes) = t._encoded(units), t._alone(units)
+    assert ids.tolist() == want.tolist() and size.tolist() == sizes.tolist()
+    monkeypatch.setattr(token_files, "MEMORY", 3)  # it forgets between calls, and keeps what came twice
+    lib = Tokenizer.from_file(BYTE_BPE)
+    for text in ["one two two three four", "two two five six one", "two one one seven", "six six two"]:
+        assert t.encode([text])[0].tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
 def test_units_equal_the_tokenizer():
     t = token_files.Tokens(BYTE_BPE)
     want = [e.ids for e in Tokenizer.from_file(BYTE_BPE).encode_batch(STRANGE, add_special_tokens=False)]
