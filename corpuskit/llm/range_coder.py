@@ -1,182 +1,205 @@
 """An adaptive context-mixing range coder for token ids below 65,536.
 
-Three adaptive distributions predict each id: order 0 (how often each id came in the block),
-order 1 (the likeliest ids after the id before) and order 2 (those after the two before).
-Orders 1 and 2 keep the three best ids of a context with counts; what they leave to other
-ids falls to order 0, where every id has a share. The three are mixed by weights that follow
-how well each has predicted, and the mixture drives a carryless range coder. Everything is
-integer arithmetic, so any machine decodes what another wrote.
+Three distributions predict each id: order 0, order 1 (the ids after the id before) and order 2
+(those after the two before). They are mixed by weights that follow how often a context of an
+order brings a new id. The three likeliest ids of a mixture have shares of 64ths; any other id
+has its share of what they leave, by order 0, where every id has one. Everything is integer
+arithmetic (quotients that doubles hold exactly), so any machine decodes what another wrote.
 
 Blocks are coded on their own, each with fresh statistics, a header and a crc32 of its ids.
-A block is cut into runs of ``RUN`` ids that are coded in step, one numpy lane each. Every
-lane has a coder and weights of its own; the distributions belong to the block. They move
-after each step (order 0 at growing distances); where lanes meet in one context, the last
-lane moves it.
+A block is cut into runs of ``RUN`` ids that are coded in step, one numpy lane each, by a range
+coder of its own. The statistics belong to the block: they are counted anew from all ids before
+at the steps of ``ROUNDS``, and stand still between. So the encoder looks up many steps at once,
+and the decoder has one look-up a step.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
-MAGIC = b"CMX2"
+MAGIC = b"CMX3"
 HEADER = struct.Struct("<4sIII")  # magic, ids, crc32 of the ids (little-endian 32-bit), bytes that follow
-RUN = 256
-LANES = 2048
+RUN = 512
+LANES = 8192
 BLOCK_IDS = RUN * LANES
+ROUNDS = (1, 2, 4, 8, 16, 32, 128)
+STEPS = 16  # that the encoder looks up at once
 ALL = 1 << 16  # ids
-BITS0, BITS = 22, 20  # the shares of order 0, and of a context's ids, are of two to these
-HASHED, SHIFT = 1 << 17, np.uint32(15)  # contexts of order 2, shared by hash
-EMPTY = np.int64(1 << 16 | 2 << 32)  # a context: three different ids of 16 bits, the best first, and their counts of 4 bits
-FADE, LEAST = 4, 32  # a weight moves 1/16 of the way, and never below
-BOTTOM = np.uint64(1 << 44)  # a range is at least this large before an id
-WORD, HIGH = np.uint64(16), np.uint64(48)
-
-
-def _next() -> np.ndarray:
-    """By counts and the place of the id that came (3: none of them): new counts, and above them what moves."""
-    state = np.arange(4096)
-    n = np.stack([state & 15, state >> 4 & 15, state >> 8])
-    out = np.empty((4096, 4), np.int64)
-    for place in range(3):
-        m = n.copy()
-        full = m[place] == 15
-        m[:, full] >>= 1
-        m[place] += 1
-        up = m[place] > m[place - 1] if place else np.zeros(4096, bool)
-        if place:  # it passes the one before it
-            m[place - 1: place + 1, up] = m[place - 1: place + 1, up][::-1]
-        out[:, place] = m[0] | m[1] << 4 | m[2] << 8 | np.where(up, place, 0) << 12
-    gone = n[2] <= 1  # the last one gives way
-    out[:, 3] = n[0] | n[1] << 4 | np.where(gone, 1, n[2] - 1) << 8 | np.where(gone, 3, 0) << 12
-    return out.reshape(-1).astype(np.uint16)
-
-
-def _shares() -> np.ndarray:
-    """(3, counts): the shares of a context's ids."""
-    state = np.arange(4096)
-    n = np.stack([state & 15, state >> 4 & 15, state >> 8])
-    return np.maximum(10 * n - 4, 0) * (1 << BITS) // (10 * n.sum(axis=0) + 6)
-
-
-NEXT, SHARES = _next(), _shares()
-#: By counts and the place of the id that came, the share that it had.
-SHARE_OF = np.append(SHARES, np.zeros((1, 4096), np.int64), axis=0).T.reshape(-1)
-#: By counts: whether the best id never came, came once, up to four times or more.
-SURE = np.searchsorted([1, 2, 5], np.arange(4096) & 15, side="right")
-
-
-class Block:
-    """Statistics of a block, and the coder state of its lanes."""
-
-    def __init__(self, lanes: int):
-        self.slots = np.full(ALL + HASHED, EMPTY, "<i8")
-        self.weight = np.full(3 * 16 * lanes, 2048, np.int64)
-        self.own = np.arange(3)[:, None] * (16 * lanes) + np.arange(lanes)[None, :] * 16
-        self.counts, self.new, self.steps, self.due = np.zeros(ALL, np.int64), [], 0, 1
-        self.upper = np.arange(ALL + 1) << (BITS0 - 16)
-        self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-
-    def predict(self, k: int, a: np.ndarray, b: np.ndarray) -> None:
-        """What the contexts of the first ``k`` lanes expect after the ids ``b``, ``a``."""
-        self.row = np.empty((2, k), np.int64)
-        self.row[0] = a
-        mixed = (a + np.uint32(1)) * np.uint32(0xC2B2AE35)
-        mixed ^= mixed >> np.uint32(15)
-        mixed += (b + np.uint32(7)) * np.uint32(0x27D4EB2F)
-        mixed *= np.uint32(0x85EBCA6B)
-        np.add(mixed >> SHIFT, ALL, out=self.row[1])
-        parts = self.slots.take(self.row).view("<u2").reshape(2, k, 4)
-        self.ids = np.ascontiguousarray(parts[:, :, :3].transpose(2, 0, 1))
-        self.state = parts[:, :, 3].astype(np.int64)
-        sure = SURE.take(self.state)
-        self.set = self.own[:, :k] + (4 * sure[0] + sure[1])
-        self.w = self.weight.take(self.set)
-        mass = np.empty((3, 2, k), np.int64)
-        for i in range(3):
-            np.multiply(SHARES[i].take(self.state), self.w[1:], out=mass[i])
-        same = self.ids[:, 0, None] == self.ids[None, :, 1]  # an id of both orders has one span
-        mass[:, 0] += (same * mass[None, :, 1]).sum(axis=1)
-        mass[:, 1] *= ~same.any(axis=0)
-        self.mass, self.names, self.ends = mass.reshape(6, k), self.ids.reshape(6, k), np.empty((6, k), np.int64)
-        self.ends[0] = self.mass[0]
-        for i in range(1, 6):
-            np.add(self.ends[i - 1], self.mass[i], out=self.ends[i])
-        self.total = (self.w[0] + self.w[1] + self.w[2]) << BITS
-        self.rest = self.total - self.ends[5]  # for order 0
-
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """The ids whose span of the mixture holds ``value``."""
-        k = len(value)
-        place = np.add.reduce((self.ends <= value).view(np.uint8), axis=0, dtype=np.uint8)
-        ids = self.names.take(np.minimum(place, 5).astype(np.int64) * k + np.arange(k)).astype(np.int64)
-        other = np.flatnonzero(place == 6)
-        share = (((value[other] - self.ends[5, other] + 1) << BITS0) - 1) // self.rest[other]
-        ids[other] = self.upper.searchsorted(share, side="right") - 1
-        return ids
-
-    def code(self, k: int, ids: np.ndarray, part: np.ndarray) -> None:
-        """Cut the ranges to the spans of the ids, and move the statistics."""
-        below, above = self.upper.take(ids), self.upper.take(ids + 1)
-        start = (self.rest * below) >> BITS0
-        size = ((self.rest * above) >> BITS0) - start
-        start += self.ends[5]
-        short = ids.astype(np.uint16)
-        hit = self.names == short
-        at = np.flatnonzero(hit & (self.mass > 0))  # one for a lane at most
-        lane = at % k
-        own = self.mass.take(at)
-        start[lane], size[lane] = self.ends.take(at) - own, own
-        self.low[:k] += start.view(np.uint64) * part
-        self.range[:k] = size.view(np.uint64) * part
-
-        hit = hit.view(np.uint8).reshape(3, 2, k)
-        place = np.uint8(3) - np.uint8(3) * hit[0] - np.uint8(2) * hit[1] - hit[2]
-        case = 4 * self.state + place
-        got = np.empty((3, k), np.int64)
-        np.right_shift(above - below, BITS0 - 13, out=got[0])
-        np.right_shift(SHARE_OF.take(case), BITS - 13, out=got[1:])
-        got -= self.w
-        got >>= FADE
-        got += self.w
-        self.weight[self.set] = np.maximum(got, LEAST, out=got)
-
-        after = NEXT.take(case)
-        moves = after >> np.uint16(12)
-        first, second, last = self.ids
-        up, rise, new = moves == 1, moves == 2, moves == 3
-        slot = np.empty((2, k, 4), "<u2")
-        slot[:, :, 0] = np.where(up, second, first)
-        slot[:, :, 1] = np.where(up, first, np.where(rise, last, second))
-        slot[:, :, 2] = np.where(rise, second, np.where(new, short, last))
-        slot[:, :, 3] = after & np.uint16(0xFFF)
-        self.slots[self.row] = slot.view("<i8")[:, :, 0]  # of equal contexts, the last one stays
-
-        self.new.append(ids)
-        self.steps += 1
-        if self.steps == self.due:
-            self.due += min(self.steps, 16)
-            self.counts += np.bincount(np.concatenate(self.new), minlength=ALL)
-            self.new = []
-            each = (((1 << BITS0) - ALL) << 20) // int(self.counts.sum())
-            np.cumsum(((self.counts * each) >> 20) + 1, out=self.upper[1:])
-            self.upper[-1] = 1 << BITS0
-
-    def settle(self, k: int) -> np.ndarray:
-        """Lanes whose range is too small and whose leading word is to go; where it is not settled, the range is cut so that it is."""
-        go = np.flatnonzero(self.range[:k] < BOTTOM)
-        if len(go):
-            low, size = self.low[go], self.range[go]
-            open_ = (low ^ (low + size)) >> HIGH != 0
-            if open_.any():
-                self.range[go[open_]] = (~low[open_] + np.uint64(1)) & (BOTTOM - np.uint64(1))
-        return go
-
-    def shift(self, go: np.ndarray) -> None:
-        self.low[go] <<= WORD
-        self.range[go] <<= WORD
+BITS0, BITS = 19, 6  # the shares of order 0, and of a mixture's ids, are of two to these
+TOTAL = BITS0 + BITS
+HASHED, SHIFT = 1 << 19, np.uint32(13)  # contexts of order 2, shared by hash
+FINE = 20  # masses are of two to this while they are mixed
+WORD, HIGH = 16, 32  # a range is at least two to HIGH before an id, and below two to HIGH + WORD
+MASK16, MASK32 = 0xFFFF, (1 << HIGH) - 1
+
+
+def _states() -> tuple[np.ndarray, np.ndarray]:
+    """The number of each three shares that leave one at least, and the ends of the shares, a byte each, by the number."""
+    number, k = np.zeros((64, 64, 64), np.int64), np.arange(64)
+    held = np.argwhere(k[:, None, None] + k[:, None] + k < 64)
+    number[tuple(held.T)] = np.arange(len(held))
+    ends = np.cumsum(held, axis=1)
+    return number.reshape(-1), ends[:, 0] | ends[:, 1] << 8 | ends[:, 2] << 16 | 64 << 24
+
+
+STATE, ENDS = _states()
+
+
+def _best(keys: np.ndarray) -> tuple:
+    """Of contexts times 2**16 plus ids: the contexts, their three commonest ids and counts (3, contexts), how many ids and
+    different ids each has, what a seen id leaves to the lower order (of 2**8; more where many ids came once), and the ids
+    that are none of the three with their counts."""
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    n = np.diff(first, append=len(keys))
+    once, twice = int((n == 1).sum()), int((n == 2).sum())
+    off = min(max((once << 8) // (once + 2 * twice + 1), 4), 240)
+    keys = keys[first].astype(np.int64)
+    context = keys >> 16
+    at = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+    total, size = np.add.reduceat(n, at), np.diff(at, append=len(keys))
+    many = np.repeat(size > 1, size)  # contexts of one id are in order
+    keys[many] = np.sort((context[many] << 32) | (MASK16 - np.minimum(n[many], MASK16)) << 16 | (keys[many] & MASK16))
+    ids = keys & MASK16
+    n[many] = MASK16 - (keys[many] >> 16 & MASK16)
+    end = np.minimum(np.arange(3)[:, None], size - 1) + at
+    count = n[end]
+    count[1] *= size > 1
+    count[2] *= size > 2
+    place = np.arange(len(ids)) - np.repeat(at, size)
+    other = place > 2
+    return context[at], ids[end], count, total, size, off, ids[other], n[other]
+
+
+def _masses(n: np.ndarray, total: np.ndarray, off: int) -> np.ndarray:
+    """What ids that came ``n`` times in a context of ``total`` have of it."""
+    return np.maximum(((n << 8) - off) * (1 << FINE) // (total << 8), 1) * (n > 0)
+
+
+def _packed(ids: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """Three ids and the number of their shares as an integer; of ids without a mass, the first stands again."""
+    have = mass > 0
+    scale = 63 - have.sum(axis=0)
+    share = ((mass * scale) >> FINE) + have
+    out = STATE[(share[0] << 12) | (share[1] << 6) | share[2]] << 48
+    return out | ids[0] | np.where(have[1], ids[1], ids[0]) << 16 | np.where(have[2], ids[2], ids[0]) << 32
+
+
+def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The place of the context of the ids ``b``, ``a`` (uint32) among those of order 2."""
+    mixed = a * np.uint32(0x9E3779B1)
+    mixed += b * np.uint32(0x85EBCA6B)
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0xC2B2AE35)
+    mixed >>= SHIFT
+    return mixed
+
+
+class Model:
+    """What the ids of a block's first steps say about the next: contexts' entries, and order 0."""
+
+    def __init__(self, seen: np.ndarray):
+        """Of ``seen``, steps by lanes, after two rows of zeros."""
+        self.one, self.two = np.zeros(ALL, np.int64), np.zeros(HASHED, np.int64)
+        counts = np.zeros(ALL, np.int64)
+        if len(seen) > 2:
+            b, a, c = seen[:-2].reshape(-1), seen[1:-1].reshape(-1), seen[2:].reshape(-1)
+            own, ids, n, total, size, off, other, times = _best(a << np.uint32(16) | c)
+            counts += np.bincount(other, times, ALL).astype(np.int64) * 4
+            counts += np.bincount(ids[0], minlength=ALL)
+            mass = _masses(n, total, off)
+            self.one[own] = _packed(ids, mass)
+            near, near_mass = np.zeros((3, ALL), np.int64), np.zeros((3, ALL), np.int64)
+            near[:, own], near_mass[:, own] = ids, mass
+            slot = _slot(a, b)
+            owner = np.zeros(HASHED, np.uint32)
+            owner[slot] = a
+            own, ids, n, total, size, off, _, _ = _best(slot.astype(np.int64) << 16 | c)
+            before = owner[own]
+            low, low_mass = near[:, before], near_mass[:, before]
+            mass = _masses(n, total, off)
+            low_mass = low_mass * (off * size) // (total << 8)
+            for i in range(3):  # what order 1 gives goes to the id's place, or to the first that is free
+                left = low_mass[i].copy()
+                for j in range(3):
+                    same = (ids[j] == low[i]) & (mass[j] > 0)
+                    mass[j] += left * same
+                    left *= ~same
+                for j in range(1, 3):
+                    free = (mass[j] == 0) & (left > 0)
+                    ids[j] = np.where(free, low[i], ids[j])
+                    mass[j] += left * free
+                    left *= ~free
+            self.two[own] = _packed(ids, mass)
+        each = (((1 << BITS0) - ALL) << 20) // max(int(counts.sum()), 1)
+        self.upper = np.zeros(ALL + 1, np.int64)
+        np.cumsum(((counts * each) >> 20) + 1, out=self.upper[1:])
+        self.upper[-1] = 1 << BITS0
+        self.at = None
+
+    def entries(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The entries of the contexts of ``b``, ``a``: of order 2, or of order 1 where nothing came after both."""
+        got = self.two.take(_slot(a, b))
+        new = np.flatnonzero(got == 0)
+        got[new] = self.one.take(a.take(new))
+        return got
+
+    def spans(self, a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and sizes of the ids."""
+        entry = self.entries(a, b)
+        hit = entry ^ ids * 0x100010001
+        state = entry >> 48 & MASK16
+        place = np.where((hit & MASK16) == 0, 0, np.where((hit & MASK16 << 16) == 0, 8, np.where((hit & MASK16 << 32) == 0, 16, 24)))
+        place[state == 0] = 24
+        ends = ENDS.take(state)
+        start = (ends << 8 >> place) & 0xFF
+        size = ((ends >> place) & 0xFF) - start
+        start <<= BITS0
+        other = np.flatnonzero(place == 24)
+        named, factor = ids.take(other), size.take(other)
+        below = self.upper.take(named)
+        size <<= BITS0
+        start[other] += below * factor
+        size[other] = (self.upper.take(named + 1) - below) * factor
+        return start, size
+
+    def find(self, entry: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids whose spans hold the values, with their starts and sizes."""
+        ends = ENDS.take(entry >> 48 & MASK16)
+        over = (value >> BITS0) * 0x10101
+        over += 0x808080
+        over -= ends
+        over &= 0x808080
+        place = np.bitwise_count(over).astype(np.int64)
+        place <<= 3
+        size = ends >> place
+        size &= 0xFF
+        start = ends
+        start <<= 8
+        start >>= place
+        start &= 0xFF
+        size -= start
+        start <<= BITS0
+        other = np.flatnonzero(place == 24)
+        place <<= 1
+        ids = entry >> place
+        ids &= MASK16
+        if len(other):
+            if self.at is None:
+                self.at = np.repeat(np.arange(ALL, dtype=np.uint16), np.diff(self.upper))
+            factor, begin = size.take(other), start.take(other)
+            named = self.at.take((value.take(other) - begin) // factor).astype(np.int64)
+            size <<= BITS0
+            below = self.upper.take(named)
+            ids[other], start[other] = named, begin + below * factor
+            size[other] = (self.upper.take(named + 1) - below) * factor
+        else:
+            size <<= BITS0
+        return ids, start, size
 
 
 def _lanes(n: int) -> tuple[int, int]:
@@ -185,6 +208,17 @@ def _lanes(n: int) -> tuple[int, int]:
     return lanes, n - (lanes - 1) * RUN
 
 
+def _rounds(lanes: int, last: int) -> Iterator[tuple[int, int, int]]:
+    """Steps from, to, and the lanes that have them; the last lane may end between ``ROUNDS``."""
+    at, stop = 0, RUN if lanes > 1 else last
+    while at < stop:
+        to = min([r for r in ROUNDS if at < r < stop], default=stop)
+        if at < last < to:
+            to = last
+        yield at, to, lanes if at < last else lanes - 1
+        at = to
+
+
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """Each array of ids as a block with header."""
     out = []
@@ -200,22 +234,34 @@ def _encode(block: np.ndarray) -> bytes:
     ids = np.zeros(lanes * RUN, np.uint32)
     ids[: len(block)] = block
     ids = np.concatenate([np.zeros((2, lanes), np.uint32), ids.reshape(lanes, RUN).T])
-    state = Block(lanes)
-    room = np.zeros((lanes, 5 * RUN + 2), "<u2")  # five words an id at most
-    flat, start, pos = room.reshape(-1), np.arange(lanes) * room.shape[1], np.zeros(lanes, np.int64)
-    for t in range(RUN if lanes > 1 else last):
-        k = lanes if t < last else lanes - 1
-        state.predict(k, ids[t + 1, :k], ids[t, :k])
-        state.code(k, ids[t + 2, :k].astype(np.int64), state.range[:k] // state.total.view(np.uint64))
-        while len(go := state.settle(k)):
-            flat[start[go] + pos[go]] = state.low[go] >> HIGH
-            pos[go] += 1
-            state.shift(go)
-    rest = state.low + (BOTTOM - np.uint64(1))  # any number in the range will do: one that ends in zeros
-    for at in (HIGH, HIGH - WORD):
-        flat[start + pos] = (rest >> at) & np.uint64(0xFFFF if at == HIGH else 0xF000)
-        pos += 1
-    return pos.astype("<u2").tobytes() + room[np.arange(room.shape[1]) < pos[:, None]].tobytes()
+    low, size = np.zeros(lanes, np.int64), np.full(lanes, 1 << HIGH + WORD, np.int64)
+    room = np.zeros((2 * RUN + 4) * lanes, np.uint32)  # two words an id at most; those of a lane stand in a column
+    pos = np.arange(lanes)
+    for at, to, k in _rounds(lanes, last):
+        model = Model(ids[: at + 2, :k])
+        for t in range(at, to, STEPS):
+            b, a, c = (ids[t + i: min(t + STEPS, to) + i, :k].reshape(-1) for i in range(3))
+            begin, width = model.spans(a, b, c.astype(np.int64))
+            for start, each in zip(begin.reshape(-1, k), width.reshape(-1, k)):
+                part = size[:k] >> TOTAL
+                low[:k] += start * part
+                np.multiply(each, part, out=size[:k])
+                while len(go := np.flatnonzero(size[:k] < 1 << HIGH)):
+                    value, where = low.take(go), pos.take(go)
+                    room[where] = value >> HIGH  # with the carry for the word before
+                    low[go] = (value & MASK32) << WORD
+                    size[go] <<= WORD
+                    pos[go] = where + lanes
+    low += MASK16  # any number that begins with these two words is in the range, whatever follows
+    for _ in range(2):
+        room[pos] = low >> HIGH
+        low = (low & MASK32) << WORD
+        pos += lanes
+    words = room.reshape(-1, lanes)[: int(pos.max()) // lanes]
+    for i in range(len(words) - 1, 0, -1):
+        words[i - 1] += words[i] >> WORD
+    length = pos // lanes
+    return length.astype("<u2").tobytes() + words.T.astype("<u2")[np.arange(len(words)) < length[:, None]].tobytes()
 
 
 def decode(blocks: list[bytes]) -> list[np.ndarray]:
@@ -240,25 +286,40 @@ def _decode(payload: bytes, n: int) -> np.ndarray | None:
     length, words = np.frombuffer(payload, "<u2", lanes).astype(np.int64), np.frombuffer(payload, "<u2", offset=2 * lanes)
     if length.sum() != len(words):
         return None
-    width = int(length.max()) + 4
-    room = np.zeros((lanes, width), np.uint64)  # behind a lane's words are zeros
-    room[np.arange(width) < length[:, None]] = words
-    state = Block(lanes)
-    flat, start, pos = room.reshape(-1), np.arange(lanes) * width, np.full(lanes, 4, np.int64)
-    code = np.zeros(lanes, np.uint64)
-    for i in range(4):
-        code = (code << WORD) | room[:, i]
+    words = np.concatenate([words, np.zeros(2 * RUN + 4, "<u2")]).astype(np.int64)  # a damaged lane may read on
+    pos = np.cumsum(length) - length
+    end = np.int64(len(words) - 1)
+    code, size = np.zeros(lanes, np.int64), np.full(lanes, 1 << HIGH + WORD, np.int64)
+    for _ in range(3):
+        code = (code << WORD) | words.take(np.minimum(pos, end))
+        pos += 1
     ids = np.zeros((RUN + 2, lanes), np.uint32)
-    for t in range(RUN if lanes > 1 else last):
-        k = lanes if t < last else lanes - 1
-        state.predict(k, ids[t + 1, :k], ids[t, :k])
-        part = state.range[:k] // state.total.view(np.uint64)
-        value = np.minimum((code[:k] - state.low[:k]) // part, (state.total - 1).view(np.uint64))
-        got = state.find(value.view(np.int64))
-        state.code(k, got, part)
-        ids[t + 2, :k] = got
-        while len(go := state.settle(k)):
-            code[go] = (code[go] << WORD) | flat[start[go] + np.minimum(pos[go], width - 1)]
-            pos[go] += 1
-            state.shift(go)
+    for at, to, k in _rounds(lanes, last):
+        model = Model(ids[: at + 2, :k])
+        code, size, pos = code[:k], size[:k], pos[:k]
+        for t in range(at, to):
+            entry = model.entries(ids[t + 1, :k], ids[t, :k])
+            part = size >> TOTAL
+            value = (code / part).astype(np.int64)  # exact, as all are below 2**52
+            np.minimum(value, (1 << TOTAL) - 1, out=value)
+            got, start, size = model.find(entry, value)
+            ids[t + 2, :k] = got
+            start *= part
+            code -= start
+            size *= part
+            np.minimum(code, size - 1, out=code)  # where the block is damaged
+            move = (size < 1 << HIGH).astype(np.int64)
+            word = words.take(pos)
+            word *= move
+            pos += move
+            move <<= 4
+            size <<= move
+            code <<= move
+            code |= word
+            while len(go := np.flatnonzero(size < 1 << HIGH)):
+                where = pos.take(go)
+                code[go] = code.take(go) << WORD | words.take(np.minimum(where, end))
+                size[go] <<= WORD
+                pos[go] = where + 1
+            np.minimum(pos, end, out=pos)
     return ids[2:].T.reshape(-1)[:n]

@@ -5,8 +5,8 @@ A file set is a Parquet folder of blocks in order (part, block): the block's cod
 block to block within a part. A part is what one task wrote: a range of document ids.
 
 Texts are tokenised unit by unit: a text is cut before each single space between two
-non-spaces, where a byte-level pre-tokenizer always cuts, and each distinct unit is encoded
-once by the tokenizers library.
+non-spaces, where a byte-level pre-tokenizer always cuts; a unit that is a word with signs
+behind it is cut between them, too. Each distinct word is encoded once by the tokenizers library.
 
 Defined results: null and empty texts have the end id alone; rows with equal ids stand next
 to each other, in the order of their texts; null ids come first; an empty table makes no
@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +30,18 @@ from corpuskit.llm import range_coder
 from corpuskit.llm.common import slices
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Distinct units that a worker remembers, at most; those that came again stay when it forgets.
+#: A white space beside a space, or a space at an end: such texts, and empty ones, are left to ``CUT``.
+SPACE = r"[\x00-\x20\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{feff}]"
+ODD = f"^$|^ | $| {SPACE}|{SPACE} "
+#: A word with signs behind it, and another one in the next line: the pre-tokenizer cuts there, too. Letters and signs of these ranges only.
+LETTERS, SIGNS = "[A-Za-zÀ-ÖØ-öø-ɏА-яЁё]+", r"[!-&(-/:-@\[-`{-~]*"
+WORDS = rf"^(?P<a>{LETTERS})(?P<b>{SIGNS})(?P<c>(?:\n{LETTERS})?)(?P<d>{SIGNS})$"
+#: Distinct words that a worker remembers, at most; those that came again stay when it forgets.
 MEMORY = 800_000
+#: Texts that the library gets in one call.
+AT_ONCE = 256
+#: Bytes of text that are encoded at once: a distinct unit is cut and looked up once in them.
+SLICE = 16 << 20
 #: Units that the library encodes as one text.
 JOINED = 64
 
@@ -42,16 +53,57 @@ def _units(text: str) -> list[str]:
     return CUT.split(text)
 
 
-class _Index(dict):
-    """Numbers its keys in the order of their first use."""
+class _Memory:
+    """Distinct texts with their ids."""
 
-    def __missing__(self, key):
-        got = self[key] = len(self)
-        return got
+    def __init__(self):
+        self.names = pa.array([], pa.string())
+        self.flat, self.size, self.at, self.uses = np.zeros(0, np.uint16), *np.zeros((3, 0), np.int64)
+
+    def codes(self, names: pa.Array, uses: np.ndarray, encode) -> np.ndarray:
+        """The numbers of distinct texts that come ``uses`` times; ``encode`` has the ids of those that are new."""
+        known = pc.index_in(names, value_set=self.names)
+        new = np.asarray(pc.is_null(known))
+        codes = np.array(pc.fill_null(known, 0), np.int64)
+        if new.any():
+            fresh = names.filter(pa.array(new))
+            codes[new] = len(self.names) + np.arange(len(fresh))
+            flat, size = encode(fresh)
+            self.names = pa.concat_arrays([self.names, fresh])
+            self.at = np.concatenate([self.at, np.cumsum(size) - size + len(self.flat)])
+            self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
+            self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
+        self.uses[codes] += uses
+        return codes
+
+    def ids(self, codes: np.ndarray) -> np.ndarray:
+        return _cut(self.flat, self.at[codes], self.size[codes])
+
+    def forget(self) -> None:
+        """Keep what came again, once there is too much."""
+        if len(self.names) <= MEMORY:
+            return
+        kept = np.flatnonzero(self.uses > 1)[: MEMORY // 2]
+        self.flat, self.names, self.size = self.ids(kept), self.names.take(pa.array(kept)), self.size[kept]
+        self.at, self.uses = np.cumsum(self.size) - self.size, np.zeros(len(kept), np.int64)
+
+
+def _cut(flat: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Spans of ``flat``, one after the other."""
+    place = np.repeat((at - (np.cumsum(size) - size)).astype(np.int32), size)
+    place += np.arange(len(place), dtype=np.int32)
+    return flat[place]
+
+
+def _numbered(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct texts, the number of each one, and how often they come."""
+    coded = texts.dictionary_encode()
+    number = np.asarray(coded.indices)
+    return coded.dictionary, number, np.bincount(number, minlength=len(coded.dictionary))
 
 
 class Tokens:
-    """Encodes texts with a tokenizer file, each distinct unit once."""
+    """Encodes texts with a tokenizer file, each distinct word once."""
 
     def __init__(self, path: str):
         import os
@@ -65,70 +117,81 @@ class Tokens:
         self.bytes = np.zeros(1 << 16, np.int64)  # of a byte-level token: a character for each
         for token, i in self.tokenizer.get_vocab().items():
             self.bytes[i] = len(token)
-        self.index = _Index()  # units by their text; a text's first unit, which no space goes before, as a tuple
-        self.flat, self.size, self.at = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.uses = np.zeros(0, np.int64)
-
-    def _forget(self) -> None:
-        kept = np.flatnonzero(self.uses > 1)
-        kept = kept[: MEMORY // 2]
-        keys = list(self.index)
-        self.index = _Index((keys[i], n) for n, i in enumerate(kept.tolist()))
-        each = self.size[kept]
-        stop = np.cumsum(each)
-        self.flat = self.flat[np.repeat(self.at[kept] - (stop - each), each) + np.arange(int(each.sum()))]
-        self.size, self.at, self.uses = each, stop - each, np.zeros(len(kept), np.int64)
+        self.firsts, self.words = _Memory(), _Memory()  # texts' first units, and words of the others
 
     def _alone(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the units, and how many each has."""
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-        size = np.array([len(x) for x in got], np.int64)
-        return np.fromiter((i for x in got for i in x), np.uint16, int(size.sum())), size
-
-    def _encoded(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """As ``_alone``; units that end in a non-space go to the library many at a time, and are told apart by the bytes of their ids."""
-        together = np.array([u[0] == " " and not u[-1].isspace() for u in units], bool)
-        joined = [u for u, j in zip(units, together.tolist()) if j]
+        got = []
+        for i in range(0, len(units), AT_ONCE):  # what the library returns is large
+            done = self.tokenizer.encode_batch_fast(units[i: i + AT_ONCE], add_special_tokens=False)
+            got += [np.array(e.ids, np.uint16) for e in done]
+        return np.concatenate([np.zeros(0, np.uint16), *got]), np.array([len(x) for x in got], np.int64)
+
+    def _encoded(self, units: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_alone``; units from a white space to a non-space go to the library many at a time, and are told apart by the bytes of their ids."""
+        units = units if isinstance(units, pa.Array) else pa.array(units, pa.string())
+        together = np.asarray(pc.and_not(pc.match_substring_regex(units, "^[ \n]"), pc.match_substring_regex(units, f"{SPACE}$")))
+        joined, rest = units.filter(pa.array(together)), units.filter(pa.array(~together)).to_pylist()
         if len(joined) < 2:
-            return self._alone(units)
-        flat, _ = self._alone(["".join(joined[i: i + JOINED]) for i in range(0, len(joined), JOINED)])
+            return self._alone(units.to_pylist())
+        runs = pa.ListArray.from_arrays(pa.array([*range(0, len(joined), JOINED), len(joined)], pa.int32()), joined)
+        flat, _ = self._alone(pc.binary_join(runs, "").to_pylist())
         stop = np.cumsum(self.bytes[flat])
-        ends = np.cumsum([len(u.encode()) for u in joined])
+        ends = np.cumsum(np.asarray(pc.binary_length(joined)), dtype=np.int64)
         last = np.searchsorted(stop, ends)
         if stop[-1] != ends[-1] or (stop[last] != ends).any():  # not the bytes of the texts
-            return self._alone(units)
+            return self._alone(units.to_pylist())
         size = np.empty(len(units), np.int64)
         size[together] = np.diff(last, prepend=-1)
-        rest, size[~together] = self._alone([u for u, j in zip(units, together.tolist()) if not j])
-        if not len(rest):
+        other, size[~together] = self._alone(rest)
+        if not len(other):
             return flat, size
         ids, own = np.empty(int(size.sum()), np.uint16), np.repeat(together, size)
-        ids[own], ids[~own] = flat, rest
+        ids[own], ids[~own] = flat, other
         return ids, size
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.index) > MEMORY:
-            self._forget()
-        seen, codes, ends = len(self.index), [], []
-        number = self.index.__getitem__
-        for text in texts:
-            if text:
-                units = _units(text)
-                codes.append(number((units[0],)))
-                codes.extend(map(number, units[1:]))
-            ends.append(len(codes))
-        if len(self.index) > seen:
-            fresh = [u[0] if isinstance(u, tuple) else " " + u for u in list(self.index)[seen:]]
-            flat, size = self._encoded(fresh)
-            self.at = np.concatenate([self.at, np.cumsum(size) - size + len(self.flat)])
-            self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
-            self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
-        codes = np.array(codes, np.int64)
-        self.uses += np.bincount(codes, minlength=len(self.uses))
-        each = self.size[codes]
-        stop = np.cumsum(each)
-        ids = self.flat[np.repeat(self.at[codes] - (stop - each), each) + np.arange(int(stop[-1]) if len(stop) else 0)]
-        cut = np.concatenate([[0], stop])[np.array(ends, np.int64)]
+    def _by_words(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_alone``, of units after a space: their words and signs are encoded once."""
+        cut = pc.extract_regex(units, WORDS)
+        whole = np.asarray(pc.is_null(cut))
+        given = pa.array(~whole)
+        a, b, c, d = (f.filter(given) for f in cut.flatten())
+        rest = units.filter(pa.array(whole))
+        n = len(a)
+        spaced = [pc.binary_join_element_wise(" ", x, "") for x in (a, rest)]
+        names, number, uses = _numbered(pa.concat_arrays([spaced[0], b, c, d, spaced[1]]))
+        empty = np.asarray(pc.equal(names, ""))
+        got = np.empty(len(names), np.int64)
+        got[empty] = -1
+        got[~empty] = self.words.codes(names.filter(pa.array(~empty)), uses[~empty], self._encoded)
+        parts = np.full((len(units), 4), -1)
+        parts[~whole] = got[number[: 4 * n]].reshape(4, n).T
+        parts[whole, 0] = got[number[4 * n:]]
+        size = (np.append(self.words.size, 0)[parts]).sum(axis=1)
+        parts = parts.reshape(-1)
+        return self.words.ids(parts[parts >= 0]), size
+
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        for memory in (self.firsts, self.words):
+            memory.forget()
+        col = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        odd = np.asarray(pc.match_substring_regex(col, ODD))
+        plain = pc.split_pattern(col.filter(pa.array(~odd)), " ")
+        slow = [_units(t) if t else [] for t in col.filter(pa.array(odd)).to_pylist()]
+        n = np.zeros(len(col), np.int64)
+        n[~odd], n[odd] = np.asarray(pc.list_value_length(plain)), [len(u) for u in slow]
+        names, number, _ = _numbered(pa.concat_arrays([plain.flatten(), pa.array([u for x in slow for u in x], pa.string())]))
+        order, own = np.empty(len(number), np.int32), np.repeat(odd, n)
+        there = len(own) - int(own.sum())
+        order[~own], order[own] = number[:there], number[there:]
+        start = (np.cumsum(n) - n)[n > 0]
+        first, place, times = _numbered(names.take(pa.array(order[start])))
+        firsts = self.firsts.codes(first, times, lambda x: self._alone(x.to_pylist()))[place]
+        flat, each = self._by_words(names)
+        size, at = each[order], (np.cumsum(each) - each)[order]
+        size[start], at[start] = self.firsts.size[firsts], self.firsts.at[firsts] + len(flat)
+        ids = _cut(np.concatenate([flat, self.firsts.flat]), at, size)
+        cut = np.concatenate([[0], np.cumsum(size)])[np.cumsum(n)]
         return np.split(ids, cut[:-1]) if len(cut) else []
 
 
@@ -172,16 +235,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
 
         for batch in batches:
             key_type = batch.schema.field(0).type
-            for piece in slices(batch, "__text"):
-                got = tokens.encode([t or "" for t in piece.column(1).to_pylist()])
+            for piece in slices(batch, "__text", SLICE):
+                got = tokens.encode(piece.column(1))
                 for d, ids in zip(piece.column(0).to_pylist(), got):
                     starts.append((d, len(ids) + 1, length))
                     waiting += [ids, np.array([end_id], np.uint16)]
                     length += len(ids) + 1
-                    while length >= range_coder.LANES * size:
-                        yield flush(range_coder.LANES)
+                if length >= size:
+                    yield flush(length // size)
         if length:
-            yield flush(-(-length // size))
+            yield flush(1)
 
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("__text"))
     spread = F.xxhash64("__text")  # rows of one id may go to many tasks
@@ -198,38 +261,36 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: list = []  # documents that have started: [id, ids to come, start, ids, crc, pieces]
-        waiting: list[dict] = []
         part, place = None, 0
 
-        def drain() -> Iterator[pa.RecordBatch]:
-            nonlocal waiting, part, place, open_
-            done = []
-            for row, got in zip(waiting, range_coder.decode([r["payload"] for r in waiting])):
-                if row["part"] != part:
-                    if open_:
-                        raise ValueError("a part of the token files is cut short")
-                    part, place = row["part"], 0
-                at = place
-                for d in row["docs"]:
-                    last = open_[-1] if open_ else None
-                    start = last[2] + last[3] if last else at
-                    open_.append([d["doc_id"], d["n"], start, d["n"], 0, []])
-                at = 0
-                while open_ and at < len(got):
-                    doc = open_[0]
-                    piece = np.ascontiguousarray(got[at: at + doc[1]], "<u4")
-                    at += len(piece)
-                    doc[1] -= len(piece)
-                    doc[4] = zlib.crc32(piece.tobytes(), doc[4])
-                    if ids:
-                        doc[5].append(piece.astype(np.int32))
-                    if not doc[1]:
-                        done.append((part, doc[0], doc[2], doc[3], doc[4], np.concatenate(doc[5]) if ids else None))
-                        open_.pop(0)
-                place += len(got)
-            waiting = []
+        def read(row: dict) -> pa.RecordBatch:
+            nonlocal part, place
+            got, done = range_coder.decode([row["payload"]])[0], []
+            if row["part"] != part:
+                if open_:
+                    raise ValueError("a part of the token files is cut short")
+                part, place = row["part"], 0
+            at = place
+            for d in row["docs"]:
+                last = open_[-1] if open_ else None
+                start = last[2] + last[3] if last else at
+                open_.append([d["doc_id"], d["n"], start, d["n"], 0, []])
+            at = closed = 0
+            while closed < len(open_) and at < len(got):
+                doc = open_[closed]
+                piece = np.ascontiguousarray(got[at: at + doc[1]], "<u4")
+                at += len(piece)
+                doc[1] -= len(piece)
+                doc[4] = zlib.crc32(piece, doc[4])
+                if ids:
+                    doc[5].append(piece.astype(np.int32))
+                if not doc[1]:
+                    done.append((part, doc[0], doc[2], doc[3], doc[4], np.concatenate(doc[5]) if ids else None))
+                    closed += 1
+            del open_[:closed]
+            place += len(got)
             cols = list(zip(*done)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([
+            return pa.RecordBatch.from_arrays([
                 pa.array(cols[0], pa.int32()), pa.array(cols[1], key_type), pa.array(cols[2], pa.int64()),
                 pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64()), pa.array(cols[5], pa.list_(pa.int32()))],
                 names=["part", "doc_id", "start", "n_tokens", "ids_crc32", "ids"])
@@ -237,12 +298,8 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
         key_type = pa.int64()
         for batch in batches:
             key_type = batch.schema.field("docs").type.value_type.field("doc_id").type
-            for row in batch.to_pylist():
-                waiting.append(row)
-                if len(waiting) >= range_coder.LANES:
-                    yield from drain()
-        if waiting:
-            yield from drain()
+            for at in range(batch.num_rows):  # a block at a time is in Python
+                yield read(batch.slice(at, 1).to_pylist()[0])
 
     ordered = blocks.repartitionByRange(parts, "part").sortWithinPartitions("part", "block")
     docs = ordered.select("part", "docs", "payload").mapInArrow(

@@ -157,6 +157,58 @@ def test_coder_sees_wrong_lanes():
         range_coder.decode([bytes(coded)])
 
 
+def test_coder_counts_anew_at_rounds_only(monkeypatch):
+    built, model = [], range_coder.Model
+    monkeypatch.setattr(range_coder, "Model", lambda seen: built.append(len(seen) - 2) or model(seen))
+    ids = np.random.default_rng(3).zipf(1.4, 3 * range_coder.RUN) % 50258
+    coded = range_coder.encode([ids])
+    assert built == [0, *range_coder.ROUNDS]
+    assert range_coder.decode(coded)[0].tolist() == ids.tolist() and built == 2 * [0, *range_coder.ROUNDS]
+
+
+@pytest.mark.parametrize("hot", [1, 300, 65535])
+def test_coder_many_ids_of_one_context(hot):
+    rng = np.random.default_rng(hot)
+    ids = rng.integers(0, 1 << 16, 40_000)
+    ids[::2] = hot  # all others come after one id, and hot comes after all of them
+    coded = range_coder.encode([ids])
+    assert range_coder.decode(coded)[0].tolist() == ids.tolist() and len(coded[0]) < 1.4 * len(ids)
+
+
+def test_coder_damaged_anywhere():
+    ids = np.random.default_rng(4).zipf(1.3, 3000) % 65536
+    coded = range_coder.encode([ids])[0]
+    for at in range(range_coder.HEADER.size, len(coded), 211):
+        bad = bytearray(coded)
+        bad[at] ^= 0x81
+        try:
+            got = range_coder.decode([bytes(bad)])[0]
+        except ValueError:
+            continue
+        assert got.tolist() == ids.tolist()  # bits behind a lane's last id
+
+
+def test_words_are_encoded_once_whatever_signs_follow():
+    t, seen = token_files.Tokens(BYTE_BPE), []
+    alone = t._alone
+    t._alone = lambda units: seen.extend(units) or alone(units)
+    texts = ["a zebra, zebra. zebra!? zebra", "the zebra; zebra:\nand zebra***\nor", "no zebra's zebra1 zebra, zebra"]
+    want = [e.ids for e in Tokenizer.from_file(BYTE_BPE).encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in t.encode(texts)] == want
+    assert len(re.findall(r" zebra(?!['1])", "".join(seen))) == 1
+
+
+def test_signs_and_lines_equal_the_tokenizer():
+    rng = random.Random(6)
+    parts = ["a", "Zebra", "é", "Ёж", "ß", "1", "'", "'s", "'ll", ".", ",", "!?", "***", "_", "~", "\n", "\n\n", " ", "  ", "\t", "\x85",
+             "\xa0", "\u3000", "\x1f", "×", "e\u0301", "中", "<|endoftext|>", "<|", "|>", "\r\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 12))) for _ in range(1500)]
+    t, lib = token_files.Tokens(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    for at in range(0, 1500, 500):
+        want = [e.ids for e in lib.encode_batch(texts[at: at + 500], add_special_tokens=False)]
+        assert [x.tolist() for x in t.encode(texts[at: at + 500])] == want
+
+
 def test_units_are_cut_alike_and_joined_units_told_apart(monkeypatch):
     odd = ["a b", " a b", "a  b c", "a\tb c\n d", "a\nb c", "x", " ", "ä ö\u3000ü 中 文", "a b "]
     assert [token_files._units(t) for t in odd] == [token_files.CUT.split(t) for t in odd]
